@@ -268,13 +268,13 @@ def check_payments(payments: DataFrame, as_of) -> DataFrame:
 
 
 # --- P8 -------------------------------------------------------------------
-def return_amounts(lines: DataFrame, returns: DataFrame, share: float = P.RETURN_SHARE) -> DataFrame:
-    """Return ⋈ line on (order_id, line_number): amount = round(price * qty, 2),
+def return_amounts(lines: DataFrame, returns: DataFrame, share: float = P.RETURN_SHARE,
+                   keys: tuple = ("order_id", "line_number")) -> DataFrame:
+    """Return ⋈ line on the line key: amount = round(price * qty, 2),
     allowed quantity = max(1, int(share * line quantity)), and a flag when
     the return asks for more."""
-    l = lines.select("order_id", "line_number", "price_per_unit",
-                     F.col("quantity").alias("line_quantity"))
-    return (returns.join(l, ["order_id", "line_number"], "inner")
+    l = lines.select(*keys, "price_per_unit", F.col("quantity").alias("line_quantity"))
+    return (returns.join(l, list(keys), "inner")
             .withColumn("amount", P.return_amount("price_per_unit", "quantity"))
             .withColumn("max_quantity", P.max_return_quantity("line_quantity", share))
             .withColumn("over_limit", F.col("quantity") > F.col("max_quantity")))

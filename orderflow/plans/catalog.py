@@ -6,7 +6,7 @@ import importlib
 
 from orderflow.plans.registry import ORACLES, QUERIES
 
-MODULES = ["q_orders", "q_changes"]
+MODULES = ["q_orders", "q_changes", "q_lifecycle"]
 
 for _m in MODULES:
     importlib.import_module(f"orderflow.plans.{_m}")
