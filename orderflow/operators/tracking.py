@@ -160,14 +160,14 @@ def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_a
     n_routes = routes.count()
     if n_routes <= max_inline:
         rows = routes.orderBy("ord").collect()
+        if not rows:
+            return (df.withColumn("route_city", F.lit(None).cast("string"))
+                    .withColumn("route", default))
         arr = F.array(*[F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["city"]).alias("city"),
                                  route_literal([(p["lat"], p["lon"], p["label"])
                                                 for p in r["route"]]).alias("route"))
-                        for r in rows]) if rows else None
-        if arr is None:
-            hit = F.lit(None)
-        else:
-            hit = F.element_at(F.filter(arr, lambda r: addr.contains(r["city"])), 1)
+                        for r in rows])
+        hit = F.try_element_at(F.filter(arr, lambda r: addr.contains(r["city"])), F.lit(1))
         hit = F.when(addr.isNull() | (addr == ""), F.lit(None)).otherwise(hit)
         return (df.withColumn("_hit", hit)
                 .withColumn("route_city", F.col("_hit.city"))
