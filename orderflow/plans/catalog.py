@@ -6,7 +6,7 @@ import importlib
 
 from orderflow.plans.registry import ORACLES, QUERIES
 
-MODULES = ["q_orders", "q_changes", "q_lifecycle", "q_tracking", "q_calendar"]
+MODULES = ["q_orders", "q_changes", "q_lifecycle", "q_tracking", "q_calendar", "q_sources"]
 
 for _m in MODULES:
     importlib.import_module(f"orderflow.plans.{_m}")

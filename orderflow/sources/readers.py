@@ -81,9 +81,14 @@ def read_day_window(spark: SparkSession, src: Source, table: str, ts_col: str,
 # --- S4 -------------------------------------------------------------------
 @dataclass
 class TableSpec:
-    name: str
+    name: str                 # landing name
     kind: str                 # "incremental" | "snapshot"
     ts_col: str | None = None
+    source: str | None = None  # table name at the source, when it differs
+
+    @property
+    def source_table(self) -> str:
+        return self.source or self.name
 
 
 def default_specs() -> list[TableSpec]:
@@ -96,9 +101,10 @@ def extract_table(spark: SparkSession, src: Source, spec: TableSpec, data_date:
                   lookback_days: int = 0) -> DataFrame:
     """Route one table by its spec; an unknown kind is an error."""
     if spec.kind == "incremental":
-        return read_day_window(spark, src, spec.name, spec.ts_col, data_date, lookback_days)
+        return read_day_window(spark, src, spec.source_table, spec.ts_col, data_date,
+                               lookback_days)
     if spec.kind == "snapshot":
-        return read_snapshot(spark, src, spec.name)
+        return read_snapshot(spark, src, spec.source_table)
     raise ValueError(f"unknown table kind {spec.kind!r} for {spec.name}")
 
 

@@ -7,6 +7,8 @@ the dedupe state, a separate setting.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderflow.operators.changes import current_state, upsert
@@ -61,12 +63,14 @@ def stream_upsert(spark: SparkSession, changes_dir: str, schema: T.StructType, b
         cur = current_version(ss, base)
         latest = current_state(batch, keys, list(order_cols))
         new = latest if cur is None else upsert(ss.read.parquet(cur), latest, keys, update_cols)
-        path = f"{base.rstrip('/')}/v={epoch:08d}"
+        # unique per attempt: a retried epoch never overwrites the version it reads
+        path = f"{base.rstrip('/')}/v={epoch:08d}-{uuid.uuid4().hex[:8]}"
         new.write.mode("overwrite").parquet(path)
         ss.createDataFrame([(path,)], "path string").coalesce(1).write.mode(
             "overwrite").text(f"{base.rstrip('/')}/_current")
 
-    q = (spark.readStream.schema(schema).json(changes_dir)
+    q = (spark.readStream.schema(schema)
+         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(changes_dir)
          .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -86,4 +90,4 @@ def current_version(spark: SparkSession, base: str) -> str | None:
 def late_rows(source: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the source whose key is missing from what was landed (rows
     stamped into an already extracted day); remedy: ``lookback_days``."""
-    return source.join(landed.select(*keys).distinct(), keys, "left_anti")
+    return source.join(landed.select(*keys), keys, "left_anti")
