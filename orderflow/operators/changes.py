@@ -4,8 +4,8 @@ Skew: "one row per key" picks (first / latest / dedupe) are written as
 ``min(struct(order..., payload...))`` aggregates, not ``row_number``
 windows.  A hash aggregate combines map-side before the shuffle, so a key
 holding a third of all rows costs one partial-aggregate row per map task
-instead of one giant sorted window partition.  Top-n per key (n > 1) is
-computed in two exact stages over a salted key.
+instead of one giant sorted window partition.  Top-n per key (n > 1) uses
+Spark's partial window-group limit, a map-side top-n before the shuffle.
 """
 
 from __future__ import annotations
@@ -66,19 +66,24 @@ def top_n_per_key(df: DataFrame, keys: list[str], order_col: Column | str, n: in
                   rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows of each key by ``order_col`` (+ ``tiebreak``).
 
-    Exact two-stage plan: rank inside (key, salt) groups and keep the
-    first n of each -- a hot key is spread over ``salt_buckets`` tasks --
-    then rank the at most n * salt_buckets survivors per key.
+    ``row_number() <= n`` with a literal n is planned by Spark as a partial
+    ``WindowGroupLimit`` before the shuffle (a map-side top-n) and a final
+    one after it, so a hot key ships at most n rows per map task.  Above
+    Spark's group-limit threshold an exact two-stage plan over a salted key
+    does the same job.
     """
     order = _cols([order_col] + list(tiebreak or []))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt)
+    rc = rank_col or "_rn"
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold",
+                                             "1000"))
+    if n > threshold:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+        w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", salt)
               .withColumn("_r1", F.row_number().over(w1))
               .filter(F.col("_r1") <= n).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    rc = rank_col or "_r2"
-    out = stage1.withColumn(rc, F.row_number().over(w2)).filter(F.col(rc) <= n)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
     return out if rank_col else out.drop(rc)
 
 
@@ -96,7 +101,7 @@ def sample_per_key(df: DataFrame, keys: list[str], n: int, seed: str,
 def top_recent(df: DataFrame, k: int, ts_col: str = "created_at",
                tiebreak: list[str] | None = None) -> DataFrame:
     """Newest ``k`` rows by ``ts_col`` DESC (TakeOrderedAndProject: each task
-    keeps its own top k, the driver merges k x tasks rows)."""
+    keeps its own top k, one final task merges k x tasks rows)."""
     order = [F.col(ts_col).desc()] + [F.col(c).asc() for c in (tiebreak or [])]
     return df.orderBy(*order).limit(k)
 
