@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import ids, pricing as P
+from orderflow.functions.time import ntz
 from orderflow.functions.status import (CLOSED_STATUSES, LIFECYCLE, stage_rank,
                                         transitions_table)
 from orderflow.operators import changes as C
@@ -58,7 +59,7 @@ def open_recent_orders(orders: DataFrame, today, days: int = 7,
                        created_col: str = "created_at", status_col: str = "status") -> DataFrame:
     """created_at >= today - days and status not closed (null status drops
     out, as in SQL)."""
-    today_c = F.lit(today).cast("timestamp_ntz") if not isinstance(today, Column) else today
+    today_c = ntz(today)
     return orders.filter((F.col(created_col) >= today_c - F.make_interval(days=F.lit(days)))
                          & ~F.col(status_col).isin(*CLOSED_STATUSES))
 
@@ -79,7 +80,8 @@ def attach_shipment(orders: DataFrame, shipments: DataFrame, key: str = "order_i
                     cols=("shipment_id", "shipped_at", "estimated_arrival", "actual_arrival"),
                     order_cols=("shipped_at", "shipment_id")) -> DataFrame:
     """The first shipment of each order, or nulls (left join)."""
-    s = first_shipment(shipments.select(key, *set(cols) | set(order_cols)), key, order_cols)
+    need = list(dict.fromkeys([*cols, *order_cols]))
+    s = first_shipment(shipments.select(key, *need), key, order_cols)
     return orders.join(s.select(key, *cols), key, "left")
 
 
@@ -114,7 +116,9 @@ def late_shipments(orders: DataFrame, shipments: DataFrame, est_gap_hours: int =
     a null pallets_count for existing shipments (the upsert then erases the
     stored value, which is the source rule).  ``orders`` needs order_id,
     customer_id, ts_base, total_weight_kg."""
-    j = attach_shipment(orders, shipments)
+    # only the shipments of the orders being changed reach the per-order pick
+    mine = shipments.join(orders.select("order_id"), "order_id", "left_semi")
+    j = attach_shipment(orders, mine)
     shipped = F.coalesce(F.col("shipped_at"), F.col("ts_base"))
     est = F.coalesce(F.col("estimated_arrival"), shipped + F.make_interval(hours=F.lit(est_gap_hours)))
     act = F.coalesce(F.col("actual_arrival"), shipped + F.make_interval(hours=F.lit(arrival_gap_hours)))
@@ -168,17 +172,27 @@ def late_returns(orders: DataFrame, items: DataFrame, seed: str = "late-return",
 # --- E9 -------------------------------------------------------------------
 def apply_late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFrame,
                        items: DataFrame, today: datetime, *, k: int = 300,
-                       seed: str = "late", gap_minutes: int = 30, days: int = 7) -> dict:
+                       seed: str = "late", gap_minutes: int = 30, days: int = 7,
+                       checkpoint: bool = False) -> dict:
     """F3 -> L4 -> L7 -> J3/J4 -> E4..E8; returns the change sets and the
     order status updates.  The caller applies them with C3 (orders), C1
     (shipments) and C2 (history, payments, returns), ideally into a new
-    version folder so one run lands atomically."""
+    version folder so one run lands atomically.  With ``checkpoint`` the
+    picked orders and their shipment changes (at most ``hi`` = 60 rows) are
+    written to the shared checkpoint folder once, so the five outputs do not
+    recompute the selection and the lineage is cut."""
     recent = C.top_recent(open_recent_orders(orders, today, days), k, "created_at", ["order_id"])
     picked = C.sample_bounded(recent, seed, ["order_id"])
     cur = (lookup_orders(picked, orders, orders.columns))
     nxt = change_base_time(advance_status(cur), gap_minutes)
+    if checkpoint:
+        from orderflow.session import checkpoint_root
+        checkpoint_root(orders.sparkSession)
+        nxt = nxt.checkpoint()
     to_deliver = nxt.filter(F.col("next_status") == "delivered")
     ships = late_shipments(to_deliver, shipments)
+    if checkpoint:
+        ships = ships.checkpoint()
     arrival = ships.select("order_id", F.col("actual_arrival").alias("_arr"))
     final_ts = nxt.join(arrival, "order_id", "left").withColumn(
         "ts_base", F.coalesce("_arr", "ts_base")).drop("_arr")

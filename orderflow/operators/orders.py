@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderflow.functions import pricing as P
+from orderflow.functions.time import ntz
 from orderflow.schemas import dec
 
 # Product attributes copied onto an order line.
@@ -174,16 +175,21 @@ PREFERRED_CATEGORIES = {
 def eligible_products(types: DataFrame, products: DataFrame,
                       preferred: dict[str, list[str]] | None = None, *,
                       type_col: str = "customer_type", n_col: str = "n_items",
-                      category_col: str = "category") -> DataFrame:
+                      category_col: str = "category", max_types: int = 10_000) -> DataFrame:
     """Product pool per customer type: the categories preferred for the type,
     or every product for other types; when fewer than ``n`` products
     qualify, every product.  ``types`` holds (type, n); returns (type, sku).
 
     The rule table (type, category | every) has at most |types| plus the
-    fixed preference entries, so it is broadcast; products stream past it.
-    The "fewer than n" fallback needs only per-type counts (an aggregate).
+    fixed preference entries; customer types are a small closed domain, and
+    the count is checked (``max_types``) before the table is broadcast, so
+    products stream past it.  The "fewer than n" fallback needs only
+    per-type counts (an aggregate).
     """
     spark = products.sparkSession
+    n_types = types.count()
+    if n_types > max_types:
+        raise ValueError(f"{n_types} customer types exceed the broadcast bound {max_types}")
     preferred = PREFERRED_CATEGORIES if preferred is None else preferred
     pref = spark.createDataFrame(
         [(t, c) for t, cats in preferred.items() for c in cats],
@@ -214,7 +220,7 @@ def build_reference(df: DataFrame, rename: dict[str, str], defaults: dict, now)
         if dst in defaults:
             c = F.coalesce(c, F.lit(defaults[dst]))
         cols.append(c.alias(dst))
-    ts = F.lit(now).cast("timestamp_ntz")
+    ts = ntz(now)
     return df.select(*cols, ts.alias("created_at"), ts.alias("updated_at"))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderflow.functions import ids
+from orderflow.functions.time import ntz
 from orderflow.schemas import ROUTE_POINT, ROUTES
 
 # FIXED VALUES: routes by destination city (in list order) and the default
@@ -78,7 +79,7 @@ def route_literal(points) -> Column:
 
 # --- F1 / F2 ----------------------------------------------------------------
 def _ts(v):
-    return F.lit(v).cast("timestamp_ntz") if isinstance(v, str) else F.lit(v)
+    return ntz(v)
 
 
 def filter_tracking(df: DataFrame, since=None, until=None, shipment_id=None,
@@ -145,7 +146,7 @@ def pagination(df: DataFrame, page_no: int = 1, limit: int = 100) -> DataFrame:
 
 # --- J6 -------------------------------------------------------------------
 def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_address",
-                default_route=None, key: str | None = None, max_inline: int = 10_000) -> DataFrame:
+                default_route=None, key: str | None = None, max_inline: int = 1_000) -> DataFrame:
     """Adds ``route_city`` and ``route``: the first city (lowest ``ord``)
     whose name is a substring of the address; the default route on a null
     or empty address or no match.

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.functions.calendar import day_window
 from orderflow.operators import changes as C
@@ -41,24 +41,30 @@ def ingest_tracking(spark: SparkSession, feed: DataFrame, landing: str, state_pa
                             initial_since=initial_since)
 
 
+def align(df: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns, order and types; columns the change rows do not
+    carry are typed nulls (for update columns the upsert then writes null)."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in target.schema.fields])
+
+
 def apply_changes(spark: SparkSession, tables: dict[str, DataFrame], out_root: str,
                   today: _dt.datetime, version: str) -> str:
     """Compute one late-change run and write every changed table into
     ``out_root/v=<version>/<table>``; the ``_current`` pointer is written last."""
     ch = apply_late_changes(tables["orders"], tables["shipments"], tables["payments"],
-                            tables["order_items"], today)
+                            tables["order_items"], today, checkpoint=True)
     base = f"{out_root.rstrip('/')}/v={version}"
     new = {
         "orders": C.update_by_key(tables["orders"], ch["order_updates"], KEYS["orders"],
                                   ["status", "updated_at", "event_timestamp"]),
-        "shipments": C.upsert(tables["shipments"],
-                              ch["shipments"].select(*tables["shipments"].columns),
+        "shipments": C.upsert(tables["shipments"], align(ch["shipments"], tables["shipments"]),
                               KEYS["shipments"], UPDATE_COLUMNS["shipments"]),
     }
     for t, name in (("order_status_history", "status_history"), ("payments", "payments"),
                     ("returns", "returns")):
         if t in tables:
-            new[t] = C.insert_ignore(tables[t], ch[name].select(*tables[t].columns), KEYS[t])
+            new[t] = C.insert_ignore(tables[t], align(ch[name], tables[t]), KEYS[t])
     for t, df in new.items():
         df.write.mode("overwrite").parquet(f"{base}/{t}")
     spark.createDataFrame([(base,)], "path string").coalesce(1).write.mode(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from orderflow.operators import changes as C
+from orderflow.functions.time import ntz
 from orderflow.plans import driver_tables as dt
 from orderflow.plans import jobs
 from orderflow.plans.q_changes import ORDER_COLS, _UPSERT_SQL, order_changes, order_target
@@ -135,7 +136,7 @@ def _two_pulls(spark, d):
     landing, state = f"{base}/landing", f"{base}/state"
     feed = dt.tracking_feed(spark, d)
     cutoff = feed.agg(F.date_trunc("day", F.max("timestamp"))).first()[0]
-    early = feed.filter(F.col("timestamp") < F.lit(cutoff))
+    early = feed.filter(F.col("timestamp") < ntz(cutoff))
     r1 = W.incremental_pull(spark, early, state, landing, "2024-01-30", "20240130T000000")
     r2 = W.incremental_pull(spark, feed, state, landing, "2024-01-31", "20240131T000000")
     return landing, r1, r2
@@ -174,11 +175,11 @@ def q_stream_dedupe(spark, d):
     landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/_checkpoint"
     feed = dt.tracking_feed(spark, d)
     cutoff = feed.agg(F.date_trunc("day", F.max("timestamp"))).first()[0]
-    first = feed.filter(F.col("timestamp") < F.lit(cutoff))
+    first = feed.filter(F.col("timestamp") < ntz(cutoff))
     boundary = first.agg(F.max("timestamp")).first()[0]
     K.land_jsonl(first, landing, "2024-01-30", "1")
     ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA)
-    K.land_jsonl(feed.filter(F.col("timestamp") >= F.lit(boundary)), landing, "2024-01-31", "2")
+    K.land_jsonl(feed.filter(F.col("timestamp") >= ntz(boundary)), landing, "2024-01-31", "2")
     ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA)
     return spark.read.parquet(out).select(*FEED_COLS)
 

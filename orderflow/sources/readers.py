@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderflow.functions.calendar import day_window
+from orderflow.functions.time import ntz
 from orderflow.schemas import TRACKING_EVENT, envelope
 
 
@@ -72,8 +73,7 @@ def read_day_window(spark: SparkSession, src: Source, table: str, ts_col: str,
     filters).  ``lookback_days`` widens the start to re-pick late rows."""
     start, end, _ = day_window(data_date, lookback_days)
     base = df if df is not None else read_snapshot(spark, src, table, partition)
-    lo = F.lit(start).cast("timestamp_ntz")
-    hi = F.lit(end).cast("timestamp_ntz")
+    lo, hi = ntz(start), ntz(end)
     ts = F.col(ts_col)
     return base.filter((ts >= lo) & (ts < hi))
 
