@@ -64,20 +64,32 @@ def incremental_pull(spark: SparkSession, feed: DataFrame, state_path: str, land
                      run_dt: str, batch: str | None = None, initial_since: str | None = None,
                      ts_col: str = "timestamp") -> dict:
     """W3 -> F1 -> K3 -> K2 -> W4 -> W2: data is landed before the state is
-    saved, so a crash between the two re-lands rows (at-least-once)."""
+    saved, so a crash between the two re-lands rows (at-least-once).  The new
+    watermark is the max of the landed batch itself (read back with the
+    feed's schema), so it is exactly what was landed and the feed is not
+    filtered a third time."""
     since = resolve_since(load_watermark(spark, state_path), initial_since)
     rows = filter_tracking(feed, since=since, ts_col=ts_col)
     if skip_if_empty(rows):
         return {"since": since, "landed": None, "watermark": since}
     path = land_jsonl(rows, landing_root, run_dt, batch)
-    wm = max_timestamp(rows, ts_col)
+    landed = (spark.read.schema(feed.select(ts_col).schema)
+              .option("timestampNTZFormat", _ISO).json(path))
+    wm = max_timestamp(landed, ts_col)
     save_watermark(spark, state_path, wm)
     return {"since": since, "landed": path, "watermark": wm}
 
 
 # --- W7 -------------------------------------------------------------------
-def dedupe_events(df: DataFrame, key: str = "event_id",
-                  order_cols=("dt",)) -> DataFrame:
-    """One row per event id: the copy from the earliest landing."""
+def dedupe_events(df: DataFrame, key: str = "event_id", order_cols=("dt",),
+                  min_dt: str | None = None) -> DataFrame:
+    """One row per event id: the copy from the earliest landing.
+
+    ``min_dt`` restricts the input to recent ``dt=`` partitions (pruned at
+    listing time): re-landed copies only ever sit next to the boundary, so
+    an incremental dedupe needs the last partitions plus the lateness bound,
+    not all history."""
+    if min_dt is not None:
+        df = df.filter(F.col("dt") >= F.lit(min_dt).cast("date"))
     cols = [c for c in order_cols if c in df.columns]
     return dedupe(df, [key], cols)
