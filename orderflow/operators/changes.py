@@ -2,9 +2,10 @@
 
 Skew: "one row per key" picks (first / latest / dedupe) are written as
 ``min(struct(order..., payload...))`` aggregates, not ``row_number``
-windows.  A hash aggregate combines map-side before the shuffle, so a key
-holding a third of all rows costs one partial-aggregate row per map task
-instead of one giant sorted window partition.  Top-n per key (n > 1) uses
+windows.  The aggregate runs in two phases (Spark plans a sort-based
+partial aggregate for struct buffers) and combines map-side before the
+shuffle, so a key holding a third of all rows costs one partial row per map
+task instead of one giant window partition.  Top-n per key (n > 1) uses
 Spark's partial window-group limit, a map-side top-n before the shuffle.
 """
 

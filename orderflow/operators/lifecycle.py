@@ -45,8 +45,9 @@ def final_status(history: DataFrame, key: str = "order_id", status_col: str = "s
                  stages: list[str] = LIFECYCLE, id_col: str = "event_id",
                  ts_col: str = "status_ts") -> DataFrame:
     """Last stage reached in lifecycle order (not by time) and the latest
-    status time.  ``max_by`` over a (rank, id) struct: a hash aggregate with
-    map-side combine, so hot keys are pre-aggregated before the shuffle."""
+    status time.  ``max_by`` over a (rank, id) struct: a two-phase aggregate
+    (sort-based partial step), so hot keys are pre-aggregated before the
+    shuffle."""
     rank = stage_rank(status_col, stages)
     return (history.filter(rank.isNotNull())
             .groupBy(key).agg(

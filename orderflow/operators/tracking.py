@@ -151,16 +151,16 @@ def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_a
     whose name is a substring of the address; the default route on a null
     or empty address or no match.
 
-    Small route tables (count checked against ``max_inline``) become an
-    array literal filtered per row: no join, no shuffle.  Larger tables use
+    Small route tables (at most ``max_inline`` rows, checked by a bounded
+    probe) become an array literal filtered per row: no join, no shuffle.  Larger tables use
     an exact equi-join on address substrings of the shortest city length,
     then keep the lowest ``ord`` per row (needs a unique ``key``).
     """
     default = route_literal(default_route or DEFAULT_ROUTE)
     addr = F.col(address_col)
-    n_routes = routes.count()
-    if n_routes <= max_inline:
-        rows = routes.orderBy("ord").collect()
+    # one bounded probe: at most max_inline + 1 rows ever reach the driver
+    rows = routes.orderBy("ord").limit(max_inline + 1).collect()
+    if len(rows) <= max_inline:
         if not rows:
             return (df.withColumn("route_city", F.lit(None).cast("string"))
                     .withColumn("route", default))
