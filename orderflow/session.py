@@ -51,12 +51,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set only when missing."""
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, a laptop) gets a temp folder invented
+    for it; on a cluster a machine-local folder would be invisible to the
+    executors, so a missing setting is an error there."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
             root = tempfile.mkdtemp(prefix="orderflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
