@@ -155,10 +155,17 @@ def late_payments(orders: DataFrame, payments: DataFrame, as_of) -> DataFrame:
 
 
 # --- E7 -------------------------------------------------------------------
+# FIXED VALUES: share of orders moving to delivered that file a late return
+LATE_RETURN_RATE = 0.02
+
+
 def late_returns(orders: DataFrame, items: DataFrame, seed: str = "late-return",
-                 return_lag_days: int = 1) -> DataFrame:
-    """For delivered orders: a return on one md5-sampled line of the order,
-    of the largest allowed quantity on the late path (5 %)."""
+                 return_lag_days: int = 1, rate: float | None = LATE_RETURN_RATE) -> DataFrame:
+    """For delivered orders: about ``rate`` of them (an md5 draw per order;
+    None = all) return one md5-sampled line, of the largest quantity the late
+    path allows (5 %)."""
+    if rate is not None:
+        orders = orders.filter(ids.md5_fraction_below(rate, seed, "order_id"))
     line = C.sample_per_key(items.join(orders.select("order_id", "ts_base"), "order_id"),
                             ["order_id"], 1, seed, ["order_id", "line_number"])
     qty = P.max_return_quantity("quantity", P.LATE_RETURN_SHARE)
@@ -174,7 +181,8 @@ def late_returns(orders: DataFrame, items: DataFrame, seed: str = "late-return",
 def apply_late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFrame,
                        items: DataFrame, today: datetime, *, k: int = 300,
                        seed: str = "late", gap_minutes: int = 30, days: int = 7,
-                       checkpoint: bool = False) -> dict:
+                       checkpoint: bool = False,
+                       return_rate: float | None = LATE_RETURN_RATE) -> dict:
     """F3 -> L4 -> L7 -> J3/J4 -> E4..E8; returns the change sets and the
     order status updates.  The caller applies them with C3 (orders), C1
     (shipments) and C2 (history, payments, returns), ideally into a new
@@ -210,5 +218,5 @@ def apply_late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFr
         "shipments": ships,
         "status_history": status_rows,
         "payments": late_payments(delivered, payments, today.date()),
-        "returns": late_returns(delivered, items, seed),
+        "returns": late_returns(delivered, items, seed, rate=return_rate),
     }

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.functions.calendar import day_window
 from orderflow.operators import changes as C
-from orderflow.operators.lifecycle import apply_late_changes
+from orderflow.operators.lifecycle import LATE_RETURN_RATE, apply_late_changes
 from orderflow.schemas import KEYS, UPDATE_COLUMNS
 from orderflow.sources.readers import Source, TableSpec, default_specs, extract_table
 from orderflow.sources.sinks import write_partition
@@ -49,11 +49,13 @@ def align(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def apply_changes(spark: SparkSession, tables: dict[str, DataFrame], out_root: str,
-                  today: _dt.datetime, version: str) -> str:
+                  today: _dt.datetime, version: str,
+                  return_rate: float | None = LATE_RETURN_RATE) -> str:
     """Compute one late-change run and write every changed table into
     ``out_root/v=<version>/<table>``; the ``_current`` pointer is written last."""
     ch = apply_late_changes(tables["orders"], tables["shipments"], tables["payments"],
-                            tables["order_items"], today, checkpoint=True)
+                            tables["order_items"], today, checkpoint=True,
+                            return_rate=return_rate)
     base = f"{out_root.rstrip('/')}/v={version}"
     new = {
         "orders": C.update_by_key(tables["orders"], ch["order_updates"], KEYS["orders"],

@@ -41,7 +41,8 @@ def test_apply_changes_end_to_end(spark, tmp):
               "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, []),
               "returns": make(spark, S.RETURNS, [])}
     out = f"{tmp}/out"
-    path = jobs.apply_changes(spark, tables, out, dt.datetime(2024, 3, 10), "0001")
+    path = jobs.apply_changes(spark, tables, out, dt.datetime(2024, 3, 10), "0001",
+                              return_rate=None)
     assert current_version(spark, out) == path
 
     o = rows(spark.read.parquet(f"{path}/orders"), "order_id", "status")

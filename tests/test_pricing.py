@@ -93,3 +93,11 @@ def test_order_header_totals_equal_sum_of_lines(spark):
     assert h["o1"].total_lines == 2 and h["o1"].total_vat == Decimal("9.82") + Decimal("3.29")
     assert h["o3"].total_lines == 0 and h["o3"].total_amount == Decimal("0.00")
     assert h["o1"].currency == "RUB"
+
+
+def test_md5_fraction_below_rate(spark):
+    df = spark.range(20000).select(F.col("id").alias("k"))
+    n = df.filter(ids.md5_fraction_below(0.1, "s", "k")).count()
+    assert 1700 < n < 2300
+    assert df.filter(ids.md5_fraction_below(0.0, "s", "k")).count() == 0
+    assert df.filter(ids.md5_fraction_below(1.0, "s", "k")).count() == 20000
