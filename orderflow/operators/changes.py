@@ -133,18 +133,36 @@ def _unique_marker(changes: DataFrame, keys: list[str], what: str) -> Column:
                   ).otherwise(F.lit(True))
 
 
+# Change batches up to this many rows are broadcast, so the target is never
+# shuffled (checked with a bounded probe, not assumed).
+BROADCAST_BATCH_ROWS = 200_000
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` rows, so the probe is bounded."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
-           update_cols: list[str] | None = None) -> DataFrame:
+           update_cols: list[str] | None = None,
+           broadcast_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
     """New key -> insert the change row; existing key -> overwrite only
     ``update_cols`` (a null in the change overwrites), keep the others.
     A key repeated inside the batch is an error, as in the source database.
 
-    Full outer join on the keys: both sides shuffle by key once.
+    Small batch (at most ``broadcast_rows``, checked): the batch is broadcast;
+    the target streams through a left join (updates) and a key semi-join
+    (which batch keys exist), the rest of the batch is inserted -- the
+    target is never shuffled.  Large batch: one full outer join, both sides
+    shuffled by key once.
     """
     cols = target.columns
     update_cols = [c for c in cols if c not in keys] if update_cols is None else update_cols
-    t = target.withColumn("_in_t", F.lit(True))
     c = changes.select(*cols).withColumn("_in_c", _unique_marker(changes, keys, "upsert"))
+    if broadcast_rows and is_small(changes, broadcast_rows):
+        return _upsert_broadcast(target, c, keys, update_cols)
+    t = target.withColumn("_in_t", F.lit(True))
     j = t.alias("t").join(c.alias("c"), keys, "full_outer")
     out = []
     for col in cols:
@@ -159,15 +177,38 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
     return j.select(*out)
 
 
+def _upsert_broadcast(target: DataFrame, c: DataFrame, keys: list[str],
+                      update_cols: list[str]) -> DataFrame:
+    cols = target.columns
+    b = F.broadcast(c.alias("c"))
+    upd = target.alias("t").join(b, keys, "left").select(*[
+        F.col(col) if col in keys else
+        (F.when(F.col("c._in_c"), F.col(f"c.{col}")).otherwise(F.col(f"t.{col}")).alias(col)
+         if col in update_cols else F.col(f"t.{col}"))
+        for col in cols])
+    seen = target.select(*keys).join(F.broadcast(c.select(*keys)), keys, "left_semi")
+    new = c.join(F.broadcast(seen), keys, "left_anti").select(*cols)
+    return upd.unionByName(new)
+
+
 # --- C2 -------------------------------------------------------------------
 def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str],
-                  order_cols: list | None = None) -> DataFrame:
+                  order_cols: list | None = None,
+                  broadcast_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
     """Insert only unseen keys; duplicates inside the batch keep the first
-    in ``order_cols`` order (default: all columns)."""
+    in ``order_cols`` order (default: all columns).
+
+    Small batch (checked): the target's keys stream through a semi-join
+    against the broadcast batch keys, so the target is not shuffled; large
+    batch: an anti-join shuffling both sides by key."""
     order_cols = order_cols if order_cols is not None else [c for c in changes.columns
                                                             if c not in keys]
     fresh = dedupe(changes.select(*target.columns), keys, order_cols)
-    new_rows = fresh.join(target.select(*keys), keys, "left_anti")
+    if broadcast_rows and is_small(changes, broadcast_rows):
+        seen = target.select(*keys).join(F.broadcast(fresh.select(*keys)), keys, "left_semi")
+        new_rows = fresh.join(F.broadcast(seen), keys, "left_anti")
+    else:
+        new_rows = fresh.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 

@@ -125,3 +125,11 @@ def test_append_batches_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "id int, v string")
     b = spark.createDataFrame([("y", 2)], "v string, id int")
     assert rows(C.append_batches([a, b])) == [(1, "x"), (2, "y")]
+
+
+def test_insert_ignore_broadcast_and_shuffle_paths_agree(spark):
+    target = spark.createDataFrame([(i, "t", i, "x") for i in range(0, 40, 2)], SCHEMA)
+    batch = spark.createDataFrame([(i % 30, f"b{i}", i, "y") for i in range(60)], SCHEMA)
+    small = rows(C.insert_ignore(target, batch, ["id"], ["pallets"]))
+    big = rows(C.insert_ignore(target, batch, ["id"], ["pallets"], broadcast_rows=0))
+    assert small == big and len(small) == 20 + 15

@@ -45,11 +45,17 @@ def test_long_stops_windows_are_bucketed(spark):
     assert re.search(r"hashpartitioning\(k#\d+, _b#\d+", p), p
 
 
-def test_upsert_shares_one_exchange_per_side(spark):
+def test_upsert_plans(spark):
     t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("s"))
     c = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("b").alias("s"))
-    p = plan(C.upsert(t, c, ["k"], ["s"]))
-    assert p.count("Exchange hashpartitioning") == 2, p
+    # large batch: one exchange per side, shared by the duplicate check and the join
+    big = C.upsert(t, c, ["k"], ["s"], broadcast_rows=0)
+    assert plan(big).count("Exchange hashpartitioning") == 2
+    # small batch (checked): broadcast, the target is never shuffled
+    small = C.upsert(t, c, ["k"], ["s"])
+    p = plan(small)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p, p
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
