@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderflow.functions import ids
 from orderflow.functions.time import ntz
-from orderflow.schemas import ROUTE_POINT, ROUTES
+from orderflow.schemas import ROUTES
 
 # FIXED VALUES: routes by destination city (in list order) and the default
 # route; each point is (lat, lon, label).

@@ -13,7 +13,6 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from orderflow.functions import pricing as P
 from orderflow.functions.status import reconcile_shipment_status
 from orderflow.operators import changes as C
 from orderflow.operators import lifecycle as LC
@@ -23,8 +22,6 @@ from orderflow.plans.q_orders import priced_lines
 from orderflow.plans.registry import query
 from orderflow.schemas import dec
 
-TRANSIT = ("assembled", "shipped", "in_transit", "delayed", "partially_delivered")
-
 _LO_SQL = """lo AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'cancelled'
        WHEN o_orderstatus = 'O' THEN 'new' WHEN o_orderstatus = 'P' THEN 'in_transit'

@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from orderflow.operators import changes as C
 from orderflow.functions.time import ntz
 from orderflow.plans import driver_tables as dt
 from orderflow.plans import jobs
 from orderflow.plans.q_changes import ORDER_COLS, _UPSERT_SQL, order_changes, order_target
 from orderflow.plans.q_lifecycle import line_shipments
 from orderflow.plans.registry import query
-from orderflow.schemas import envelope
 from orderflow.session import scratch_dir
 from orderflow.sources import readers as R
 from orderflow.sources import sinks as K

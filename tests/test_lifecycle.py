@@ -1,8 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from orderflow.functions.status import reconcile_shipment_status
 from orderflow.operators import lifecycle as LC
 from tests.conftest import rows
@@ -106,4 +104,3 @@ def test_orders_without_and_attach_shipment(spark):
     assert rows(LC.orders_without(o, s)) == [("o2",)]
     j = rows(LC.attach_shipment(o, s), "order_id", "shipment_id")
     assert j == [("o1", "s1"), ("o2", None)]
-    assert F is not None

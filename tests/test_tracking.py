@@ -1,6 +1,5 @@
 import datetime as dt
 import hashlib
-import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -168,4 +167,3 @@ def test_long_stop_alert_and_temperature_priority(spark):
     assert got["e1"] == ("long_stop", "Простой > 30 мин")
     assert got["e2"] == ("temperature_breach", "Температура 7.5 превышает норму 2-6")
     assert got["e0"] == (None, None) and got["e3"] == (None, None) and got["e4"] == (None, None)
-    assert random is not None
