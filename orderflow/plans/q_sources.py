@@ -133,7 +133,7 @@ def _two_pulls(spark, d):
     base = scratch_dir(spark, "pull")
     landing, state = f"{base}/landing", f"{base}/state"
     feed = dt.tracking_feed(spark, d)
-    cutoff = feed.agg(F.date_trunc("day", F.max("timestamp"))).first()[0]
+    cutoff = feed.agg(F.to_date(F.max("timestamp"))).first()[0]
     early = feed.filter(F.col("timestamp") < ntz(cutoff))
     r1 = W.incremental_pull(spark, early, state, landing, "2024-01-30", "20240130T000000")
     r2 = W.incremental_pull(spark, feed, state, landing, "2024-01-31", "20240131T000000")
@@ -172,7 +172,7 @@ def q_stream_dedupe(spark, d):
     base = scratch_dir(spark, "stream")
     landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/_checkpoint"
     feed = dt.tracking_feed(spark, d)
-    cutoff = feed.agg(F.date_trunc("day", F.max("timestamp"))).first()[0]
+    cutoff = feed.agg(F.to_date(F.max("timestamp"))).first()[0]
     first = feed.filter(F.col("timestamp") < ntz(cutoff))
     boundary = first.agg(F.max("timestamp")).first()[0]
     K.land_jsonl(first, landing, "2024-01-30", "1")

@@ -42,3 +42,24 @@ def test_query_matches_oracle_on_smoke_data(spark, name):
     assert len(got) == len(want)
     if name not in ("tracking_events", "long_stops"):      # doubles are compared in the checker
         assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
+@pytest.mark.parametrize("name", ["day_window", "open_recent_orders", "dedupe_events",
+                                  "build_reference", "landed_roundtrip"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    import duckdb
+    from orderflow.plans.driver_tables import TABLE_NAMES
+    con = duckdb.connect()
+    for t in TABLE_NAMES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
+    rel = con.sql(E.oracle_sql()[name])
+    want = sorted(tuple(str(x) for x in r) for r in rel.fetchall())
+    cols = rel.columns
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        sdf = E.queries()[name](spark, SMOKE)
+        got = sorted(tuple(str(r[c]) for c in cols) for r in sdf.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want
