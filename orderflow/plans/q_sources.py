@@ -56,22 +56,24 @@ def q_extract_day(spark, d):
     start day of the window); read back with partition discovery."""
     root = scratch_dir(spark, "extract")
     specs = [R.TableSpec("events", "incremental", "ts", source="events.parquet"),
-             R.TableSpec("region", "snapshot", source="region.parquet")]
+             R.TableSpec("products", "snapshot", source="part.parquet")]
     jobs.extract(spark, _src(d), root, DATA_DATE, specs)
     return spark.read.parquet(f"{root}/events")
 
 
 @query("snapshot_copy", """
-SELECT r_regionkey, r_name, DATE '2024-01-15' AS data_date FROM region
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, DATE '2024-01-15' AS data_date
+FROM customer
 """)
 def q_snapshot_copy(spark, d):
-    """S1 + K1: a snapshot table is copied whole into the run's partition;
-    rerunning the day overwrites the same folder (idempotent)."""
+    """S1 + K1: a master-data table (customers) is copied whole into the
+    run's partition; rerunning the day overwrites the same folder
+    (idempotent)."""
     root = scratch_dir(spark, "snapshot")
-    specs = [R.TableSpec("region", "snapshot", source="region.parquet")]
+    specs = [R.TableSpec("customers", "snapshot", source="customer.parquet")]
     jobs.extract(spark, _src(d), root, DATA_DATE, specs)
     jobs.extract(spark, _src(d), root, DATA_DATE, specs)   # rerun: same result
-    return spark.read.parquet(f"{root}/region")
+    return spark.read.parquet(f"{root}/customers")
 
 
 @query("shipped_lines", """
