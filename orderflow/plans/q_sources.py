@@ -90,16 +90,12 @@ def q_shipped_lines(spark, d):
 
 @query("landed_roundtrip", f"""
 SELECT {_FEED_SQL}, DATE '2024-01-16' AS dt FROM events
-WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
 """)
 def q_landed_roundtrip(spark, d):
-    """K2 + S7: one day of the feed landed as JSON Lines under ``dt=`` (nulls
+    """K2 + S7: the whole feed landed as JSON Lines under ``dt=`` (nulls
     kept, microsecond times) and read back with an explicit schema."""
     root = scratch_dir(spark, "landing")
-    day = R.read_day_window(spark, _src(d), "events.parquet", "ts", DATA_DATE)
-    feed = day.select(*[F.col(c).alias(a) for c, a in
-                        zip(["event_id", "ts", "user_id", "event_type", "value", "props"], FEED_COLS)])
-    K.land_jsonl(feed, root, DATA_DATE, "20240116T000000")
+    K.land_jsonl(dt.tracking_feed(spark, d), root, DATA_DATE, "20240116T000000")
     return R.read_landed_tracking(spark, root, FEED_SCHEMA)
 
 
