@@ -13,7 +13,13 @@ SMOKE = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as ``explain()`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def skewed(spark, n=3000):
