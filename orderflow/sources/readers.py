@@ -28,16 +28,16 @@ class Source:
         return f"{self.schema}.{table}" if self.schema else table
 
 
-def source_options(env: dict | None = None, prefix: str = "SOURCES_POSTGRES_",
-                   schema: str = "source_vfd") -> Source:
+def source_options(env: dict | None = None, prefix: str = "ORDERFLOW_SOURCE_",
+                   schema: str = "source") -> Source:
     """JDBC source from environment variables with defaults (host, port,
     db, user, password); a ``PARQUET_ROOT`` entry selects Parquet instead."""
     env = dict(os.environ if env is None else env)
     if env.get(prefix + "PARQUET_ROOT"):
         return Source(kind="parquet", root=env[prefix + "PARQUET_ROOT"])
-    host = env.get(prefix + "HOST", "postgres")
+    host = env.get(prefix + "HOST", "localhost")
     port = env.get(prefix + "PORT", "5432")
-    db = env.get(prefix + "DB", "vfd")
+    db = env.get(prefix + "DB", "orders")
     return Source(kind="jdbc", url=f"jdbc:postgresql://{host}:{port}/{db}", schema=schema,
                   options={"user": env.get(prefix + "USER", "admin"),
                            "password": env.get(prefix + "PASSWORD", "admin"),

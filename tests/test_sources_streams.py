@@ -24,9 +24,11 @@ def t(h, us=0):
 
 def test_source_options_defaults_and_parquet():
     s = R.source_options({})
-    assert s.url == "jdbc:postgresql://postgres:5432/vfd" and s.options["user"] == "admin"
-    assert s.table_name("orders") == "source_vfd.orders"
-    p = R.source_options({"SOURCES_POSTGRES_PARQUET_ROOT": "/data"})
+    assert s.url == "jdbc:postgresql://localhost:5432/orders" and s.options["user"] == "admin"
+    assert s.table_name("orders") == "source.orders"
+    e = R.source_options({"ORDERFLOW_SOURCE_HOST": "db", "ORDERFLOW_SOURCE_DB": "sales"})
+    assert e.url == "jdbc:postgresql://db:5432/sales"
+    p = R.source_options({"ORDERFLOW_SOURCE_PARQUET_ROOT": "/data"})
     assert p.kind == "parquet" and p.root == "/data"
 
 
