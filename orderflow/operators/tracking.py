@@ -152,9 +152,10 @@ def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_a
     or empty address or no match.
 
     Small route tables (at most ``max_inline`` rows, checked by a bounded
-    probe) become an array literal filtered per row: no join, no shuffle.  Larger tables use
-    an exact equi-join on address substrings of the shortest city length,
-    then keep the lowest ``ord`` per row (needs a unique ``key``).
+    probe) become an array literal filtered per row: no join, no shuffle.
+    Larger tables use an exact equi-join on address substrings of the
+    shortest city length, then keep the lowest ``ord`` per row (needs a
+    unique ``key``).
     """
     default = route_literal(default_route or DEFAULT_ROUTE)
     addr = F.col(address_col)
