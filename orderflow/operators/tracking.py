@@ -144,6 +144,35 @@ def pagination(df: DataFrame, page_no: int = 1, limit: int = 100) -> DataFrame:
                   ((total + F.lit(limit - 1)) / F.lit(limit)).cast("int").alias("pages"))
 
 
+def tracking_envelope(df: DataFrame, page_no: int = 1, limit: int = 100, since=None,
+                      until=None, shipment_id=None, event_type=None, alerts_only: bool = False,
+                      now=None, ts_col: str = "timestamp", id_col: str = "event_id") -> DataFrame:
+    """One row ``{data: [events of the page], pagination: {page, limit,
+    total, pages}, timestamp}`` -- the tracking (or, with ``alerts_only``,
+    the alerts) response for a filter and a page.
+
+    The page holds at most ``limit`` (<= 1000) rows, so collecting it into
+    one array is bounded; the total is one count (a scalar)."""
+    import datetime as _dt
+    validate_page(page_no, limit)
+    base = filter_alerts(df, since, until, ts_col) if alerts_only else df
+    rows = filter_tracking(base, None if alerts_only else since, None if alerts_only else until,
+                           shipment_id, event_type, ts_col)
+    total = rows.count()
+    pages = (total + limit - 1) // limit
+    stamp = (now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).isoformat()
+    data = page(rows, page_no, limit, ts_col, id_col)
+    cols = [F.col(c) for c in rows.columns]
+    # order inside the array: (ts, id) first, as the page itself
+    keyed = F.struct(F.col(ts_col).alias("_k1"), F.col(id_col).alias("_k2"), F.struct(*cols).alias("e"))
+    return data.agg(F.sort_array(F.collect_list(keyed)).alias("_d")).select(
+        F.transform("_d", lambda x: x["e"]).alias("data"),
+        F.struct(F.lit(page_no).alias("page"), F.lit(limit).alias("limit"),
+                 F.lit(total).cast("long").alias("total"), F.lit(pages).alias("pages")
+                 ).alias("pagination"),
+        F.lit(stamp).alias("timestamp"))
+
+
 # --- J6 -------------------------------------------------------------------
 def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_address",
                 default_route=None, key: str | None = None, max_inline: int = 1_000) -> DataFrame:

@@ -167,3 +167,18 @@ def test_long_stop_alert_and_temperature_priority(spark):
     assert got["e1"] == ("long_stop", "Простой > 30 мин")
     assert got["e2"] == ("temperature_breach", "Температура 7.5 превышает норму 2-6")
     assert got["e0"] == (None, None) and got["e3"] == (None, None) and got["e4"] == (None, None)
+
+
+def test_tracking_envelope(spark):
+    import datetime as _dt
+    f = feed(spark, [(f"e{i:02d}", m(i), "s" if i % 2 else "t", "x") for i in range(25)])
+    f = f.withColumn("alert", F.when(F.col("event_id") < "e05", F.lit("long_stop")))
+    env = TR.tracking_envelope(f, 2, 10, now=_dt.datetime(2024, 1, 1)).first()
+    assert [e.event_id for e in env.data] == [f"e{i:02d}" for i in range(10, 20)]
+    assert tuple(env.pagination) == (2, 10, 25, 3) and env.timestamp == "2024-01-01T00:00:00"
+    a = TR.tracking_envelope(f, 1, 100, alerts_only=True).first()
+    assert [e.event_id for e in a.data] == ["e00", "e01", "e02", "e03", "e04"]
+    s = TR.tracking_envelope(f, 1, 100, shipment_id="s", since=m(10).isoformat(" ")).first()
+    assert s.pagination.total == 7
+    past = TR.tracking_envelope(f, 9, 10).first()
+    assert past.data == [] and past.pagination.pages == 3
