@@ -5,6 +5,7 @@
 * ``ingest_tracking``: high-water-mark pull of the tracking feed (W6).
 * ``apply_changes``: one late-change run (E9) written as a new version
   folder with a pointer file written last, so a run lands atomically.
+* ``load_batch``: a historical or incremental load of the order tables (C5).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderflow.functions.calendar import day_window
 from orderflow.operators import changes as C
 from orderflow.operators.lifecycle import LATE_RETURN_RATE, apply_late_changes
-from orderflow.schemas import KEYS, UPDATE_COLUMNS
+from orderflow.schemas import INSERT_IGNORE_TABLES, KEYS, TABLES, UPDATE_COLUMNS
 from orderflow.sources.readers import Source, TableSpec, default_specs, extract_table
 from orderflow.sources.sinks import write_partition
 from orderflow.sources.state import incremental_pull
@@ -72,3 +73,28 @@ def apply_changes(spark: SparkSession, tables: dict[str, DataFrame], out_root: s
     spark.createDataFrame([(base,)], "path string").coalesce(1).write.mode(
         "overwrite").text(f"{out_root.rstrip('/')}/_current")
     return base
+
+
+def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str,
+               version: str, current: dict[str, DataFrame] | None = None) -> str:
+    """C5 for a whole load: ``historical`` rebuilds every table from the
+    batch; ``incremental`` upserts the snapshot tables (only their update
+    columns) and insert-ignores the append-only ones onto ``current``.
+    Each table is conformed to its declared schema first; everything lands
+    in ``out_root/v=<version>`` and the ``_current`` pointer is written last."""
+    base = f"{out_root.rstrip('/')}/v={version}"
+    for name, df in batch.items():
+        if name not in TABLES:
+            raise ValueError(f"unknown table {name!r}")
+        rows = align(df, spark.createDataFrame([], TABLES[name]))
+        target = None
+        if mode == "incremental":
+            if current is None or name not in current:
+                raise ValueError(f"incremental load of {name} needs its current table")
+            target = align(current[name], spark.createDataFrame([], TABLES[name]))
+        out = C.load(mode, target, rows, KEYS[name], UPDATE_COLUMNS.get(name),
+                     append_only=name in INSERT_IGNORE_TABLES)
+        out.write.mode("overwrite").parquet(f"{base}/{name}")
+    spark.createDataFrame([(base,)], "path string").coalesce(1).write.mode(
+        "overwrite").text(f"{out_root.rstrip('/')}/_current")
+    return base

@@ -59,3 +59,30 @@ def test_apply_changes_end_to_end(spark, tmp):
     assert h == [("o1", "confirmed"), ("o2", "delivered"), ("o3", "delivered")]
     r = rows(spark.read.parquet(f"{path}/returns"), "order_id", "quantity", "amount")
     assert r == [("o2", 2, D("5.50")), ("o3", 2, D("5.50"))]
+
+
+def test_load_batch_historical_then_incremental(spark, tmp):
+    day = dt.datetime(2024, 3, 9, 10)
+    cust = dict(customer_name="n", customer_type="horeca", customer_inn="1", created_at=day,
+                updated_at=day)
+    first = {"customers": make(spark, S.CUSTOMERS, [dict(cust, customer_id="c1"),
+                                                    dict(cust, customer_id="c2")]),
+             "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, [
+                 dict(event_id="e1", order_id="o1", status="new", status_ts=day, event_timestamp=day)])}
+    v1 = jobs.load_batch(spark, "historical", first, f"{tmp}/db", "1")
+    cur = {t: spark.read.parquet(f"{v1}/{t}") for t in first}
+    second = {"customers": make(spark, S.CUSTOMERS, [
+                  dict(cust, customer_id="c2", customer_name="renamed", created_at=day.replace(day=1)),
+                  dict(cust, customer_id="c3")]),
+              "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, [
+                  dict(event_id="e1", order_id="o1", status="changed", status_ts=day,
+                       event_timestamp=day),
+                  dict(event_id="e2", order_id="o1", status="confirmed", status_ts=day,
+                       event_timestamp=day)])}
+    v2 = jobs.load_batch(spark, "incremental", second, f"{tmp}/db", "2", cur)
+    assert current_version(spark, f"{tmp}/db") == v2
+    c = {r.customer_id: r for r in spark.read.parquet(f"{v2}/customers").collect()}
+    assert c["c2"].customer_name == "renamed" and c["c2"].created_at == day   # created_at kept
+    assert set(c) == {"c1", "c2", "c3"}
+    h = rows(spark.read.parquet(f"{v2}/order_status_history"), "event_id", "status")
+    assert h == [("e1", "new"), ("e2", "confirmed")]                           # insert-ignore
