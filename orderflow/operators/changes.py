@@ -133,6 +133,14 @@ def _unique_marker(changes: DataFrame, keys: list[str], what: str) -> Column:
                   ).otherwise(F.lit(True))
 
 
+def _checked(changes: DataFrame, cols: list[str], keys: list[str], what: str) -> DataFrame:
+    """The batch with ``_in_c`` = True, filtered on it: the filter keeps every
+    row but forces the duplicate check on all of them (a marker column that
+    no output needs would be pruned by the optimizer)."""
+    return (changes.select(*cols).withColumn("_in_c", _unique_marker(changes, keys, what))
+            .filter(F.col("_in_c")))
+
+
 # Change batches up to this many rows are broadcast, so the target is never
 # shuffled (checked with a bounded probe, not assumed).
 BROADCAST_BATCH_ROWS = 200_000
@@ -159,7 +167,7 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
     """
     cols = target.columns
     update_cols = [c for c in cols if c not in keys] if update_cols is None else update_cols
-    c = changes.select(*cols).withColumn("_in_c", _unique_marker(changes, keys, "upsert"))
+    c = _checked(changes, cols, keys, "upsert")
     if broadcast_rows and is_small(changes, broadcast_rows):
         return _upsert_broadcast(target, c, keys, update_cols)
     t = target.withColumn("_in_t", F.lit(True))
@@ -219,8 +227,7 @@ def update_by_key(target: DataFrame, changes: DataFrame, keys: list[str],
 
     A left join: when the change set is small Spark broadcasts it (size
     check by the optimizer / AQE) and the target is never shuffled."""
-    c = (changes.select(*keys, *cols)
-         .withColumn("_in_c", _unique_marker(changes, keys, "update_by_key")))
+    c = _checked(changes, [*keys, *cols], keys, "update_by_key")
     j = target.alias("t").join(c.alias("c"), keys, "left")
     out = [F.col(k) for k in keys]
     for col in target.columns:

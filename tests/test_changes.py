@@ -133,3 +133,12 @@ def test_insert_ignore_broadcast_and_shuffle_paths_agree(spark):
     small = rows(C.insert_ignore(target, batch, ["id"], ["pallets"]))
     big = rows(C.insert_ignore(target, batch, ["id"], ["pallets"], broadcast_rows=0))
     assert small == big and len(small) == 20 + 15
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_duplicate_new_key_raises_on_both_paths(spark, broadcast_rows):
+    target = spark.createDataFrame([(1, "new", 3, "x")], SCHEMA)
+    dup_new = spark.createDataFrame([(5, "a", 1, "x"), (5, "b", 2, "x")], SCHEMA)
+    for cols in (["status"], []):
+        with pytest.raises(Exception, match="more than once"):
+            C.upsert(target, dup_new, ["id"], cols, broadcast_rows=broadcast_rows).collect()
