@@ -210,6 +210,13 @@ def apply_late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFr
         F.col("next_status").alias("status"), F.col("ts_base").alias("status_ts"),
         F.lit(None).cast("string").alias("reason"), "source_system",
         F.col("ts_base").alias("event_timestamp"))
+    # a shipment created by the late path is also recorded as shipped
+    shipped_rows = ships.filter("is_new_shipment").select(
+        ids.keyed_id("ST", "order_id", F.lit("shipped")).alias("event_id"), "order_id",
+        F.lit("shipped").alias("status"), F.col("shipped_at").alias("status_ts"),
+        F.lit(None).cast("string").alias("reason"), F.lit("tms").alias("source_system"),
+        F.col("shipped_at").alias("event_timestamp"))
+    status_rows = status_rows.unionByName(shipped_rows)
     delivered = final_ts.filter(F.col("next_status") == "delivered")
     return {
         "order_updates": final_ts.select("order_id", F.col("next_status").alias("status"),

@@ -56,7 +56,7 @@ def test_apply_changes_end_to_end(spark, tmp):
     p = rows(spark.read.parquet(f"{path}/payments"), "order_id", "due_date", "status")
     assert p == [("o2", dt.date(2024, 3, 23), "planned"), ("o3", dt.date(2024, 3, 23), "planned")]
     h = rows(spark.read.parquet(f"{path}/order_status_history"), "order_id", "status")
-    assert h == [("o1", "confirmed"), ("o2", "delivered"), ("o3", "delivered")]
+    assert h == [("o1", "confirmed"), ("o2", "delivered"), ("o2", "shipped"), ("o3", "delivered")]
     r = rows(spark.read.parquet(f"{path}/returns"), "order_id", "quantity", "amount")
     assert r == [("o2", 2, D("5.50")), ("o3", 2, D("5.50"))]
 
