@@ -50,6 +50,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def sizing_for_input(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 200 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and scan settings for a job reading ``input_bytes``.
+
+    Initial shuffle partitions ~ input / 200 MB (at least two waves of the
+    cluster's cores), so no task's shuffle block outgrows executor memory;
+    AQE then coalesces small partitions and splits skewed ones.  Scan splits
+    and the AQE advisory size are 256 MB once the input is large."""
+    partitions = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    conf = {"spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    if input_bytes >= 1024 ** 4:
+        conf.update({"spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2)})
+    return conf
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
 
