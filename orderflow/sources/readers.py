@@ -65,13 +65,28 @@ def read_snapshot(spark: SparkSession, src: Source, table: str,
 
 
 # --- S2 -------------------------------------------------------------------
+def window_partitions(ts_col: str, start, end, num_partitions: int) -> dict:
+    """JDBC partitioning of a time window: ``num_partitions`` range queries
+    on ``ts_col`` between the window bounds (Spark splits timestamp columns
+    evenly), so one day is extracted by that many parallel tasks."""
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be >= 1")
+    return {"column": ts_col, "lowerBound": start.isoformat(sep=" "),
+            "upperBound": end.isoformat(sep=" "), "numPartitions": num_partitions}
+
+
 def read_day_window(spark: SparkSession, src: Source, table: str, ts_col: str,
                     data_date: str, lookback_days: int = 0,
-                    partition: dict | None = None, df: DataFrame | None = None) -> DataFrame:
+                    partition: dict | None = None, df: DataFrame | None = None,
+                    num_partitions: int | None = None) -> DataFrame:
     """Rows with ``start <= ts < end`` (half-open) for the run date; both
     bounds are pushed to the source (JDBC WHERE / Parquet row-group
-    filters).  ``lookback_days`` widens the start to re-pick late rows."""
+    filters).  ``lookback_days`` widens the start to re-pick late rows.
+    With ``num_partitions`` a JDBC source is read as that many parallel
+    range queries over the window."""
     start, end, _ = day_window(data_date, lookback_days)
+    if partition is None and num_partitions and src.kind == "jdbc":
+        partition = window_partitions(ts_col, start, end, num_partitions)
     base = df if df is not None else read_snapshot(spark, src, table, partition)
     lo, hi = ntz(start), ntz(end)
     ts = F.col(ts_col)

@@ -136,3 +136,12 @@ def test_late_rows(spark):
     src = ev(spark, [("a", t(1), "s", "x", None), ("b", t(2), "s", "x", None)])
     landed = src.filter(F.col("event_id") == "a")
     assert rows(ST.late_rows(src, landed, ["event_id"]), "event_id") == [("b",)]
+
+
+def test_window_partitions_for_parallel_jdbc_reads():
+    s, e, _ = R.day_window("2024-03-15")
+    p = R.window_partitions("event_timestamp", s, e, 24)
+    assert p == {"column": "event_timestamp", "lowerBound": "2024-03-14 00:00:00",
+                 "upperBound": "2024-03-15 00:00:00", "numPartitions": 24}
+    with pytest.raises(ValueError):
+        R.window_partitions("ts", s, e, 0)
