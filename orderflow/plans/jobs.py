@@ -24,13 +24,14 @@ from orderflow.sources.state import incremental_pull
 
 
 def extract(spark: SparkSession, src: Source, root: str, data_date: str,
-            specs: list[TableSpec] | None = None, lookback_days: int = 0) -> dict[str, str]:
+            specs: list[TableSpec] | None = None, lookback_days: int = 0,
+            num_partitions: int | None = None) -> dict[str, str]:
     """Land every table of ``specs`` for the run date.  Each write overwrites
     one partition folder, so a failed run can simply be repeated."""
     _, _, label = day_window(data_date, lookback_days)
     written = {}
     for spec in specs or default_specs():
-        df = extract_table(spark, src, spec, data_date, lookback_days)
+        df = extract_table(spark, src, spec, data_date, lookback_days, num_partitions)
         written[spec.name] = write_partition(df, root, spec.name, label)
     return written
 

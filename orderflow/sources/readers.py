@@ -113,11 +113,11 @@ def default_specs() -> list[TableSpec]:
 
 
 def extract_table(spark: SparkSession, src: Source, spec: TableSpec, data_date: str,
-                  lookback_days: int = 0) -> DataFrame:
+                  lookback_days: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Route one table by its spec; an unknown kind is an error."""
     if spec.kind == "incremental":
         return read_day_window(spark, src, spec.source_table, spec.ts_col, data_date,
-                               lookback_days)
+                               lookback_days, num_partitions=num_partitions)
     if spec.kind == "snapshot":
         return read_snapshot(spark, src, spec.source_table)
     raise ValueError(f"unknown table kind {spec.kind!r} for {spec.name}")
