@@ -73,16 +73,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local-mode session (tests, a laptop) gets a temp folder invented
     for it; on a cluster a machine-local folder would be invisible to the
     executors, so a missing setting is an error there."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            if not sc.master.startswith("local"):
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
             root = tempfile.mkdtemp(prefix="orderflow-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
