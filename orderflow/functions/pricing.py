@@ -28,9 +28,13 @@ def _c(x: ColLike) -> Column:
 
 
 def unit_price(base_price: ColLike, discount_pct: ColLike) -> Column:
-    """``round(base * (1 - pct/100), 2)`` with exact decimal arithmetic."""
-    factor = F.lit(Decimal(1)) - _c(discount_pct) * F.lit(Decimal("0.01"))
-    return F.round(_c(base_price) * factor, 2).cast(dec(10, 2))
+    """``round(base * (1 - pct/100), 2)`` with exact decimal arithmetic.
+
+    A NUMERIC(5,2) discount gives a factor with four decimals in (-9, 11),
+    so DECIMAL(7,4) holds it exactly and keeps the product at DECIMAL(18,6),
+    Spark's compact 64-bit decimal representation."""
+    factor = (F.lit(Decimal(1)) - _c(discount_pct) * F.lit(Decimal("0.01"))).cast(dec(7, 4))
+    return F.round(_c(base_price).cast(dec(10, 2)) * factor, 2).cast(dec(10, 2))
 
 
 def line_quantity(packs: ColLike, pack_qty: ColLike) -> Column:
