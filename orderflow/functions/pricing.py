@@ -53,8 +53,15 @@ def vat_included(amount: ColLike, rate: Decimal = VAT_RATE) -> Column:
     """VAT contained in a gross amount: ``round(amount * r / (1 + r), 2)``.
 
     A two-decimal amount divided by 11 is never an exact half cent, so the
-    rounding mode of the last step cannot change the result.
+    rounding mode of the last step cannot change the result.  When
+    ``(1 + r) / r`` is a whole number (11 for 10 %) the division by it stays
+    in DECIMAL(18,6), Spark's compact representation, instead of widening to
+    DECIMAL(24,8); its 6-decimal intermediate (a repeating ``.0909..``-type
+    tail) cannot create a tie at the cent.
     """
+    divisor = (Decimal(1) + rate) / rate
+    if divisor == divisor.to_integral_value():
+        return F.round(_c(amount) / F.lit(int(divisor)), 2).cast(dec(14, 2))
     r = F.lit(rate)
     return F.round(_c(amount) * r / (F.lit(Decimal(1)) + r), 2).cast(dec(14, 2))
 

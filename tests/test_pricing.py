@@ -101,3 +101,14 @@ def test_md5_fraction_below_rate(spark):
     assert 1700 < n < 2300
     assert df.filter(ids.md5_fraction_below(0.0, "s", "k")).count() == 0
     assert df.filter(ids.md5_fraction_below(1.0, "s", "k")).count() == 20000
+
+
+def test_vat_fast_path_equals_general_formula(spark):
+    # every cent value up to 50.00 (covers all residues mod 11 many times)
+    df = spark.range(0, 5001).select((F.col("id").cast("decimal(14,2)") / 100)
+                                     .cast("decimal(14,2)").alias("a"))
+    general = F.round(F.col("a") * F.lit(Decimal("0.10")) / F.lit(Decimal("1.10")), 2)
+    bad = df.filter(P.vat_included("a") != general.cast("decimal(14,2)")).count()
+    assert bad == 0
+    other = df.select(P.vat_included("a", Decimal("0.18")).alias("v")).filter("v IS NULL").count()
+    assert other == 0
