@@ -70,3 +70,18 @@ def test_quality_checks(spark):
                          {"currency": "RUB", "unit_of_measure": "шт"})
     assert {r.currency for r in d.collect()} == {None}       # supplied null stays null
     assert {r.unit_of_measure for r in d.collect()} == {"шт"}
+
+
+def test_eligible_products_pools_and_type_bound(spark):
+    from orderflow.operators import orders as O
+    products = spark.createDataFrame([("p1", "milk"), ("p2", "cream"), ("p3", "bolts")],
+                                     "sku string, category string")
+    types = spark.createDataFrame([("horeca", 2), ("government", 5), ("retail", 1)],
+                                  "customer_type string, n_items int")
+    prefs = {"horeca": ["milk", "cream"], "government": ["milk"]}
+    got = rows(O.eligible_products(types, products, prefs))
+    assert got == [("government", "p1"), ("government", "p2"), ("government", "p3"),  # too few
+                   ("horeca", "p1"), ("horeca", "p2"),                                 # preferred
+                   ("retail", "p1"), ("retail", "p2"), ("retail", "p3")]               # no preference
+    with pytest.raises(ValueError, match="broadcast bound"):
+        O.eligible_products(types, products, prefs, max_types=2)

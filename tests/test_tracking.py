@@ -182,3 +182,10 @@ def test_tracking_envelope(spark):
     assert s.pagination.total == 7
     past = TR.tracking_envelope(f, 9, 10).first()
     assert past.data == [] and past.pagination.pages == 3
+
+
+def test_match_route_large_path_needs_a_key(spark):
+    routes = TR.reference_routes(spark)
+    df = spark.createDataFrame([("x",)], "delivery_address string")
+    with pytest.raises(ValueError, match="unique key"):
+        TR.match_route(df, routes, max_inline=1)
