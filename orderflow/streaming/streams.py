@@ -35,11 +35,14 @@ def tracking_stream(spark: SparkSession, landing: str, schema: T.StructType = TR
 
 def stream_tracking(spark: SparkSession, landing: str, out: str, checkpoint: str,
                     schema: T.StructType = TRACKING_EVENT, lateness: str = "7 days",
-                    key: str = "event_id", ts_col: str = "timestamp"):
+                    key: str = "event_id", ts_col: str = "timestamp",
+                    max_files: int | None = None):
     """ST1: new landed events, once each, appended to Parquet.  Runs as an
     ``availableNow`` batch: everything landed so far, then stop; a rerun
-    picks up only new files, and the checkpoint makes the sink exactly-once."""
-    q = (tracking_stream(spark, landing, schema, ts_col, key, lateness)
+    picks up only new files, and the checkpoint makes the sink exactly-once.
+    ``max_files`` bounds each micro-batch, so a large backlog is processed
+    in several bounded batches rather than one."""
+    q = (tracking_stream(spark, landing, schema, ts_col, key, lateness, max_files)
          .writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())

@@ -145,3 +145,14 @@ def test_window_partitions_for_parallel_jdbc_reads():
                  "upperBound": "2024-03-15 00:00:00", "numPartitions": 24}
     with pytest.raises(ValueError):
         R.window_partitions("ts", s, e, 0)
+
+
+def test_stream_tracking_in_bounded_batches(spark, tmp):
+    schema = R.T.StructType.fromDDL(SCHEMA)
+    landing, out, ck = f"{tmp}/landing", f"{tmp}/out", f"{tmp}/ck"
+    for i in range(3):
+        K.land_jsonl(ev(spark, [(f"e{i}", t(i), "s", "x", None), ("dup", t(0), "s", "x", None)]),
+                     landing, f"d{i}", str(i))
+    q = ST.stream_tracking(spark, landing, out, ck, schema, max_files=1)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["dup", "e0", "e1", "e2"]
+    assert len(q.recentProgress) >= 3
