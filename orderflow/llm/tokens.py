@@ -24,20 +24,21 @@ from __future__ import annotations
 
 import json
 import os
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import as_bytes, read_file, record_batch, texts_of, write_file, write_scratch
+from orderflow.llm.base import read_file, record_batch, write_file, write_scratch
 from orderflow.session import scratch_dir
 
 SHARD_TOKENS = 1 << 20
+GROUP_BYTES = 4 << 20
 MAGIC = b"WVMX0001"
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, n_bytes long"
 
@@ -185,95 +186,146 @@ _SPACE_DROPPED = (
     [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 # punctuation that may follow a word and is a piece of its own (no apostrophe)
-_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-WORDS_KEPT = 400_000
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# words of A-Z and the letters from U+00C0 to U+00FF: in normal form as they
+# are, and lower-cased letter by letter
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+WORDS_KEPT = 150_000
+CORES_TOGETHER = 5_000
 
 
 def _byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the
     others for the code points from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
 
 
 class Encoder:
-    """Texts to little-endian ids; words are encoded once and remembered."""
+    """Texts to little-endian ids; words are encoded once and remembered (two
+    generations of ``WORDS_KEPT`` words, so frequent words stay)."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"        # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
         if not os.path.isabs(path):
             import public_tokenizers
             path = public_tokenizers.path(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.whole = Tokenizer.from_file(path)
-        vocab = self.whole.get_vocab_size(with_added_tokens=True)
-        self.bits = max(1, (vocab - 1).bit_length())
+        vocab = self.whole.get_vocab(with_added_tokens=True)
+        self.bits = max(1, max(vocab.values()).bit_length())
         self.dtype = np.dtype("<u2" if self.bits <= 16 else "<u4")
         normal, split = _SPACE_DROPPED
         pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.by_word = ((spec.get("normalizer") or {}).get("normalizers") == normal
-                        and pre[0].get("pattern", {}).get("Regex") == split and pre[0].get("invert")
-                        and pre[0].get("behavior") == "Removed")
-        # the model alone, for words whose normal form and pieces are known
-        self.model = Tokenizer(self.whole.model)
-        self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _ids(self, tokenizer, texts: list[str]) -> list[bytes]:
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = bool((spec.get("normalizer") or {}).get("normalizers") == normal
+                            and pre[0].get("pattern", {}).get("Regex") == split and pre[0].get("invert")
+                            and pre[0].get("behavior") == "Removed" and suffix)
+        if self.by_word:
+            # the model alone, for words whose normal form and piece are known;
+            # a word ends with the token that carries the suffix
+            self.model = Tokenizer(self.whole.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+            self.letters = _byte_letters()
+        self.cores: list[dict[bytes, bytes]] = [{}, {}]
+        self.others: list[dict[bytes, bytes]] = [{}, {}]
+
+    def _whole_ids(self, texts: list[bytes] | list[str]) -> list[bytes]:
+        texts = [t.decode() if isinstance(t, bytes) else t for t in texts]
         return [np.array(e.ids, self.dtype).tobytes()
-                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain: dict[bytes, str] = {}          # known letters: the model alone
-        other: set[bytes] = set()             # anything else: the whole tokenizer
-        parts = []
-        for word in new:
-            core = word.rstrip(_TAIL)
-            tail = word[len(core):]
-            lower, text = core, None
-            if core.isalpha():                # ASCII letters
-                lower = core.lower()
-                text = lower.decode()
-            elif core:
-                s = core.decode()
-                if s.isalpha() and max(s) < "ƀ" and unicodedata.is_normalized("NFC", s):
-                    # Latin letters, one code point per lower-case letter
-                    low = s.lower()
-                    if len(low) == len(s):
-                        lower = low.encode()
-                        text = "".join(map(self.letters.__getitem__, lower))
-            if text is None:
-                parts.append((word, word, b""))
-                if word not in self.cores:
-                    other.add(word)
-                continue
-            parts.append((word, lower, tail))
-            if lower not in self.cores:
-                plain[lower] = text
-            if tail and tail not in self.cores:
-                other.add(tail)
-        self.cores.update(zip(plain, self._ids(self.model, list(plain.values()))))
-        rest = list(other)
-        self.cores.update(zip(rest, self._ids(self.whole, [w.decode() for w in rest])))
-        for word, core, tail in parts:
-            self.words[word] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each whole text, as bytes of ``dtype``."""
+                for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _core_ids(self, cores: list[bytes]) -> list[bytes]:
+        """Ids of lower-case Latin words, encoded together."""
+        if len(cores) > CORES_TOGETHER:
+            return [x for i in range(0, len(cores), CORES_TOGETHER) for x in self._core_ids(cores[i:i + CORES_TOGETHER])]
+        letters = " ".join(cores_text(cores, self.letters))
+        ids = np.array(self.model.encode_batch_fast([letters], add_special_tokens=False)[0].ids, self.dtype)
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+        if len(ends) != len(cores):
+            raise ValueError("a word did not end with a suffix token")
+        data, ends = ids.tobytes(), ends.tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _known(self, keys: list[bytes], encode, store: list[dict[bytes, bytes]]) -> list[bytes]:
+        """Ids of each key, from the store's two generations or encoded now."""
+        if len(store[0]) > WORDS_KEPT:
+            store[:] = [{}, store[0]]
+        new, old = store
+        out = list(map(new.get, keys))
+        missing = []
+        for i, x in enumerate(out):
+            if x is None:
+                x = out[i] = old.get(keys[i])
+                if x is None:
+                    missing.append(i)
+                else:
+                    new[keys[i]] = x
+        if missing:
+            unknown = [keys[i] for i in missing]
+            found = encode(unknown)
+            new.update(zip(unknown, found))
+            for i, x in zip(missing, found):
+                out[i] = x
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and each text's number."""
         if not self.by_word:
-            return self._ids(self.whole, [t.decode() for t in texts])
-        split = [t.split() for t in texts]
-        new = [w for w in set().union(*split) if w not in self.words]
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
-            self.cores.clear()
-            new = list(set().union(*split))
-        if new:
-            self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, w)) for w in split]
+            coded = self._whole_ids(["" if t is None else t for t in texts.to_pylist()])
+            lengths = np.array([len(c) // self.dtype.itemsize for c in coded], np.int64)
+            return np.frombuffer(b"".join(coded), self.dtype), lengths
+        # words split by ASCII blanks; each distinct word of the batch once
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        first = split.offsets.to_numpy()
+        words = split.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
+        distinct = words.dictionary
+        # a Latin word and its punctuation are pieces of their own
+        cut = pc.utf8_rtrim(distinct, characters=_TAIL)
+        latin = pc.match_substring_regex(cut, _LATIN)
+        tailed = pc.and_(latin, pc.less(pc.binary_length(cut), pc.binary_length(distinct)))
+        cores = pc.utf8_lower(cut.filter(latin)).dictionary_encode()
+        tails = pc.replace_substring_regex(distinct.filter(tailed), _LATIN[:-1], "").dictionary_encode()
+        other = distinct.filter(pc.invert(latin))
+        whole = _byte_list(other) + _byte_list(tails.dictionary)
+        coded = self._known(_byte_list(cores.dictionary), self._core_ids, self.cores)
+        n_cores = len(coded)
+        coded += self._known(whole, self._whole_ids, self.others)
+        pool = np.frombuffer(b"".join(coded), self.dtype)
+        sizes = np.append(np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize, 0)
+        starts = np.cumsum(sizes) - sizes
+        is_latin, has_tail = (x.to_numpy(zero_copy_only=False) for x in (latin, tailed))
+        piece = np.full((len(distinct), 2), len(coded))           # the last piece is empty
+        piece[is_latin, 0] = cores.indices.to_numpy()
+        piece[~is_latin, 0] = n_cores + np.arange(len(other))
+        piece[has_tail, 1] = n_cores + len(other) + tails.indices.to_numpy()
+        # the distinct words' ids, then those of all words
+        pool = pool[expand(starts[piece].ravel(), sizes[piece].ravel())]
+        sizes = sizes[piece].sum(axis=1)
+        at = words.indices.to_numpy()
+        n = sizes[at]
+        ids = pool[expand((np.cumsum(sizes) - sizes)[at], n)]
+        return ids, np.diff(np.append(0, np.cumsum(n))[first - first[0]])
+
+
+def _byte_list(strings: pa.Array) -> list[bytes]:
+    return strings.cast(pa.binary()).to_pylist()
+
+
+def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, ... counts[i] times, for all i."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(
+        (starts - (ends - counts)).astype(np.int32), counts)
+
+
+def cores_text(cores: list[bytes], letters: dict[int, str]) -> list[str]:
+    """Byte-level spelling of Latin words."""
+    return [c.decode() if c.isascii() else c.decode("latin-1").translate(letters) for c in cores]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -285,16 +337,25 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def groups_of(texts: list[bytes], size: int):
-    """Ranges of texts of about ``size`` bytes."""
-    lo = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > size:
-            yield lo, i
-            lo, total = i, 0
-        total += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+def groups_of(sizes: np.ndarray, limit: int):
+    """Ranges of texts of about ``limit`` bytes."""
+    lo, ends = 0, np.cumsum(sizes)
+    while lo < len(sizes):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + limit, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def with_end_ids(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids with the end id behind each text."""
+    out = np.empty(len(ids) + len(lengths), ids.dtype)
+    last = np.cumsum(lengths + 1) - 1
+    inner = np.ones(len(out), bool)
+    inner[last] = False
+    out[inner] = ids
+    out[last] = end_id
+    return out
 
 
 # -- operator ----------------------------------------------------------------
@@ -307,14 +368,13 @@ def write_tokens(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
 
     def run(batches):
         enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         ids, lengths, tokens, held = [], [], [], 0
 
         def flush():
             nonlocal seq, ids, lengths, tokens, held
             path = f"{root}/part-{part:06d}-{seq:05d}.wvmx"
-            flat = np.frombuffer(b"".join(tokens), enc.dtype)
+            flat = np.concatenate(tokens)
             data = shard_bytes(ids, lengths, flat, enc.bits)
             write_file(path, lambda f: f.write(data))
             row = record_batch(part=pa.array([part], pa.int32()), seq=pa.array([seq], pa.int32()),
@@ -324,23 +384,30 @@ def write_tokens(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
             return row
 
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            texts = texts_of(batch.column(1))
-            for lo, hi in groups_of(texts, 1 << 20):
-                for name, coded in zip(names[lo:hi], enc.encode(texts[lo:hi])):
-                    coded += end
-                    ids.append(name)
-                    lengths.append(len(coded) // enc.dtype.itemsize)
-                    tokens.append(coded)
-                    held += lengths[-1]
+            texts = batch.column(1)
+            for lo, hi in groups_of(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), GROUP_BYTES):
+                coded, n = enc.encode(texts.slice(lo, hi - lo))
+                coded = with_end_ids(coded, n, end_id)
+                ends = np.append(0, np.cumsum(n + 1))
+                names = batch.column(0).slice(lo, hi - lo).to_pylist()
+                at = 0
+                while at < len(names):
+                    # documents up to the one that fills the shard
+                    to = min(len(names), int(np.searchsorted(ends, ends[at] + shard_tokens - held)))
+                    ids += names[at:to]
+                    lengths += (n[at:to] + 1).tolist()
+                    tokens.append(coded[ends[at]:ends[to]])
+                    held += int(ends[to] - ends[at])
+                    at = to
                     if held >= shard_tokens:
                         yield flush()
         if ids:
             yield flush()
 
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text}`"))
-    ordered = (as_bytes(src, text, "__id").repartitionByRange(F.col("__id").asc_nulls_first())
-               .sortWithinPartitions(F.col("__id").asc_nulls_first(), F.col("__utf8").asc_nulls_first()))
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"),
+                      F.col(f"`{text}`").cast("string").alias("__text"))
+    ordered = (src.repartitionByRange(F.col("__id").asc_nulls_first())
+               .sortWithinPartitions(F.col("__id").asc_nulls_first(), F.col("__text").asc_nulls_first()))
     return write_scratch(ordered.mapInArrow(run, MANIFEST), "token_manifest")
 
 
