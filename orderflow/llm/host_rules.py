@@ -87,7 +87,7 @@ def host_verdicts(stats: DataFrame, failed: str, reject_above: float) -> DataFra
 
 def host_rules(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", host: str = "source",
                min_words: int = 50, max_repeat_pct: int = 50, max_symbol_pct: int = 10,
-               max_dup_line_pct: int = 30, word_chars: tuple[int, int] = (2, 15),
+               max_dup_line_pct: int = 50, word_chars: tuple[int, int] = (2, 15),
                reject_above: float = 0.5) -> DataFrame:
     """Counts, rule results, the host's shrunk rate and verdict, and ``kept``."""
     n = F.col("n_words")
