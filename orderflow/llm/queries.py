@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import (decontaminate, host_rules, langid, license_scan, mixing, quality, simhash, tokens, warc,
                            wrapper)
 from orderflow.llm.base import read_table
+from orderflow.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +86,3 @@ QUERIES = {f.__name__: f for f in (
     op6_quality_discriminant, op7_warc_dictionary, op8_simhash_pivots, op9_language_bayes,
     op10_suffix_decontamination)}
 
-ORACLES: dict[str, str] = {}
