@@ -15,10 +15,16 @@ def tracking_id(shipment_id, index) -> Column:
     return F.concat(F.lit("TRK-"), F.upper(F.substring(h, 1, 12)))
 
 
-def keyed_id(prefix: str, *parts, length: int = 12) -> Column:
-    """``PREFIX-`` + upper md5 prefix of the natural key parts joined by ':'."""
+def keyed_id(prefix: str, *parts) -> Column:
+    """``PREFIX-`` + the whole upper-case md5 of the natural key parts joined
+    by ':' (these ids are keys of upserts, so no digest prefix)."""
     h = F.md5(F.concat_ws(":", *[_c(p).cast("string") for p in parts]))
-    return F.concat(F.lit(prefix + "-"), F.upper(F.substring(h, 1, length)))
+    return F.concat(F.lit(prefix + "-"), F.upper(h))
+
+
+def time_text(ts) -> Column:
+    """A timestamp as text to the microsecond, for use inside an id."""
+    return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 def order_number(created, key) -> Column:
@@ -27,20 +33,6 @@ def order_number(created, key) -> Column:
                     F.upper(F.substring(F.md5(_c(key).cast("string")), 1, 8)))
 
 
-def md5_fraction_below(rate: float, seed: str, *parts) -> Column:
-    """Deterministic Bernoulli draw: True for about ``rate`` of the keys.
-
-    The first 8 hex digits of md5(seed|parts) read as a fraction of 16^8;
-    equal-length lower-case hex compares like the number it spells, so the
-    test is a plain string comparison against the threshold."""
-    if not 0.0 <= rate <= 1.0:
-        raise ValueError("rate must be in [0, 1]")
-    if rate >= 1.0:
-        return F.lit(True)
-    threshold = format(int(rate * 16 ** 8), "08x")
-    return F.substring(sample_order_key(seed, *parts), 1, 8) < F.lit(threshold)
-
-
 def sample_order_key(seed: str, *parts) -> Column:
     """md5 over seed and key parts: a reproducible random order for sampling."""
     return F.md5(F.concat_ws("|", F.lit(seed), *[_c(p).cast("string") for p in parts]))

@@ -40,37 +40,49 @@ def allocate(df: DataFrame, weight_col: str, total: int, order_col: str,
              out_col: str = "allocated") -> DataFrame:
     """Split an integer ``total`` over rows by weight:
     ``max(min, rint(total * w / Σw))`` (rint is half-even, as Python's
-    round), then +1 / -1 on the rows with the largest / smallest rounding
-    residual until the sum fits (never below ``min``; one unit per row).
+    round), then +1 / -1 in rounds until the sum fits: each round goes over
+    the rows from the largest (to add) or smallest (to take) rounding residual
+    and never takes a row below ``min``.  The sum is exact whenever ``total``
+    is at least ``min`` for every row.
 
-    The rows are allocation units (days of a calendar), produced by an
-    aggregate; totals per group come from an aggregate joined on the group
-    keys, or a scalar when there is no group.
+    The rounds are closed form.  To add ``x`` to ``n`` rows: ``x div n`` each
+    and one more for the first ``x mod n``.  To take ``x``: ``r`` full rounds,
+    the largest ``r`` with Σ min(excess, r) <= x (a concave piecewise linear
+    function of r, solved on the line of every breakpoint), then one more from
+    the first rows that still have excess.
+
+    The rows are allocation units (days of a calendar) made by an aggregate;
+    each group's units meet in one window.
     """
-    groups = list(group_cols or [])
-    if groups:
-        sums = df.groupBy(*groups).agg(F.sum(weight_col).alias("_sw"))
-        x = df.join(sums, groups)
-    else:
-        sw = df.agg(F.sum(weight_col)).first()[0] or 0.0
-        x = df.withColumn("_sw", F.lit(float(sw)))
-    share = F.lit(float(total)) * F.col(weight_col) / F.col("_sw")
-    x = (x.withColumn("_share", share)
+    groups = [F.col(c) for c in group_cols or []] or [F.lit(0)]
+    whole = Window.partitionBy(*groups)
+    share = F.lit(float(total)) * F.col(weight_col) / F.coalesce(F.sum(weight_col).over(whole), F.lit(0.0))
+    x = (df.withColumn("_share", share)
          .withColumn("_base", F.greatest(F.lit(min_count), F.rint("_share").cast("long")))
-         .withColumn("_res", F.col("_share") - F.col("_base")))
-    wg = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    x = x.withColumn("_diff", F.lit(total) - F.sum("_base").over(wg))
+         .withColumn("_res", F.col("_share") - F.col("_base"))
+         .withColumn("_excess", F.col("_base") - F.lit(min_count))
+         .withColumn("_n", F.count(F.lit(1)).over(whole))
+         .withColumn("_diff", F.lit(total) - F.sum("_base").over(whole)))
+    # full rounds of taking: the line of each breakpoint ``e`` (and of 0)
+    upto = Window.partitionBy(*groups).orderBy("_excess").rangeBetween(Window.unboundedPreceding, 0)
+    e, need = F.col("_excess"), -F.col("_diff")
+    above = F.col("_n") - F.count(F.lit(1)).over(upto)
+    taken = F.sum("_excess").over(upto) + e * above
+    line = F.when(taken <= need, e + F.when(above > 0, F.floor((need - taken) / above)).otherwise(0))
+    start = F.floor(need / F.greatest(F.lit(1), F.count_if(e > 0).over(whole)))
+    x = x.withColumn("_line", line).withColumn("_start", start)
+    x = (x.withColumn("_r", F.greatest(F.max("_line").over(whole), F.col("_start")))
+         .withColumn("_cut", F.least("_excess", "_r"))
+         .withColumn("_rest", -F.col("_diff") - F.sum("_cut").over(whole)))
     up = Window.partitionBy(*groups).orderBy(F.col("_res").desc(), F.col(order_col))
-    down = Window.partitionBy(*groups, F.col("_base") > min_count).orderBy(
-        F.col("_res").asc(), F.col(order_col))
-    x = (x.withColumn("_rank_up", F.row_number().over(up))
-         .withColumn("_rank_down", F.row_number().over(down)))
-    adj = (F.when((F.col("_diff") > 0) & (F.col("_rank_up") <= F.col("_diff")), F.lit(1))
-           .when((F.col("_diff") < 0) & (F.col("_base") > min_count)
-                 & (F.col("_rank_down") <= -F.col("_diff")), F.lit(-1))
-           .otherwise(F.lit(0)))
-    return (x.withColumn(out_col, (F.col("_base") + adj).cast("long"))
-            .drop("_sw", "_share", "_base", "_res", "_diff", "_rank_up", "_rank_down"))
+    down = Window.partitionBy(*groups, F.col("_excess") > F.col("_r")).orderBy(F.col("_res").asc(), F.col(order_col))
+    x = x.withColumn("_rank_up", F.row_number().over(up)).withColumn("_rank_down", F.row_number().over(down))
+    add = F.floor(F.col("_diff") / F.col("_n")) + (F.col("_rank_up") <= F.col("_diff") % F.col("_n")).cast("long")
+    take = F.col("_cut") + ((F.col("_excess") > F.col("_r")) & (F.col("_rank_down") <= F.col("_rest"))).cast("long")
+    change = F.when(F.col("_diff") > 0, add).when(F.col("_diff") < 0, -take).otherwise(0)
+    return (x.withColumn(out_col, (F.col("_base") + change).cast("long"))
+            .drop("_share", "_base", "_res", "_excess", "_n", "_diff", "_line", "_start", "_r", "_cut", "_rest",
+                  "_rank_up", "_rank_down"))
 
 
 # --- D5 -------------------------------------------------------------------

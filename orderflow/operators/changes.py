@@ -1,19 +1,16 @@
 """Change application and per-key selection.
 
-Skew: "one row per key" picks (first / latest / dedupe) are written as
-``min(struct(order..., payload...))`` aggregates, not ``row_number``
-windows.  The aggregate runs in two phases (Spark plans a sort-based
-partial aggregate for struct buffers) and combines map-side before the
-shuffle, so a key holding a third of all rows costs one partial row per map
-task instead of one giant window partition.  Top-n per key (n > 1) uses
-Spark's partial window-group limit, a map-side top-n before the shuffle.
+Skew: "one row per key" and "n rows per key" picks are ``row_number`` limits,
+which Spark plans as a partial ``WindowGroupLimit`` before the shuffle (a
+map-side top-n), so a key holding a third of all rows ships n rows per map
+task.  Joins carry no hints: Spark's byte-based size check decides.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def _cols(cols) -> list[Column]:
@@ -29,19 +26,31 @@ def append_batches(dfs: list[DataFrame], allow_missing: bool = False) -> DataFra
 
 
 # --- L5 / C4 / dedupe: one row per key ------------------------------------
+def _tiebreak(df: DataFrame, cols: list[str]) -> list[Column]:
+    """Columns as sort keys; types without an order (maps, variants) as JSON."""
+    def ordered(t):
+        if isinstance(t, T.ArrayType):
+            return ordered(t.elementType)
+        if isinstance(t, T.StructType):
+            return all(ordered(f.dataType) for f in t.fields)
+        return not isinstance(t, (T.MapType, T.VariantType))
+    return [F.col(c) if ordered(df.schema[c].dataType) else F.to_json(F.struct(c)) for c in cols]
+
+
 def pick_per_key(df: DataFrame, keys: list[str], order_cols: list, *,
                  latest: bool = False) -> DataFrame:
     """One row per key: the smallest (or with ``latest`` the largest) row in
     ``order_cols`` order; remaining columns break ties, so the pick is total.
+    Nulls are the smallest values.
 
     ``order_cols`` may hold column names or Columns (sorted ascending; wrap in
     a negation / use ``latest`` for descending)."""
     rest = [c for c in df.columns if c not in keys]
-    ordering = [c.alias(f"_o{i}") for i, c in enumerate(_cols(order_cols))]
-    payload = F.struct(*ordering, *[F.col(c) for c in rest])
-    agg = F.max(payload) if latest else F.min(payload)
-    return (df.groupBy(*keys).agg(agg.alias("_pick"))
-            .select(*keys, *[F.col(f"_pick.{c}").alias(c) for c in rest]))
+    order = [*_cols(order_cols), *_tiebreak(df, rest)]
+    order = [c.desc_nulls_last() if latest else c.asc_nulls_first() for c in order]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") == 1)
+            .select(*keys, *rest))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list) -> DataFrame:
@@ -141,35 +150,18 @@ def _checked(changes: DataFrame, cols: list[str], keys: list[str], what: str) ->
             .filter(F.col("_in_c")))
 
 
-# Change batches up to this many rows are broadcast, so the target is never
-# shuffled (checked with a bounded probe, not assumed).
-BROADCAST_BATCH_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows, so the probe is bounded."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
-           update_cols: list[str] | None = None,
-           broadcast_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
+           update_cols: list[str] | None = None) -> DataFrame:
     """New key -> insert the change row; existing key -> overwrite only
     ``update_cols`` (a null in the change overwrites), keep the others.
     A key repeated inside the batch is an error, as in the source database.
 
-    Small batch (at most ``broadcast_rows``, checked): the batch is broadcast;
-    the target streams through a left join (updates) and a key semi-join
-    (which batch keys exist), the rest of the batch is inserted -- the
-    target is never shuffled.  Large batch: one full outer join, both sides
-    shuffled by key once.
+    One full outer join on the keys.  ``sources.versions.merge_table`` limits
+    the target to the buckets that hold changed keys.
     """
     cols = target.columns
     update_cols = [c for c in cols if c not in keys] if update_cols is None else update_cols
     c = _checked(changes, cols, keys, "upsert")
-    if broadcast_rows and is_small(changes, broadcast_rows):
-        return _upsert_broadcast(target, c, keys, update_cols)
     t = target.withColumn("_in_t", F.lit(True))
     j = t.alias("t").join(c.alias("c"), keys, "full_outer")
     out = []
@@ -185,38 +177,15 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
     return j.select(*out)
 
 
-def _upsert_broadcast(target: DataFrame, c: DataFrame, keys: list[str],
-                      update_cols: list[str]) -> DataFrame:
-    cols = target.columns
-    b = F.broadcast(c.alias("c"))
-    upd = target.alias("t").join(b, keys, "left").select(*[
-        F.col(col) if col in keys else
-        (F.when(F.col("c._in_c"), F.col(f"c.{col}")).otherwise(F.col(f"t.{col}")).alias(col)
-         if col in update_cols else F.col(f"t.{col}"))
-        for col in cols])
-    seen = target.select(*keys).join(F.broadcast(c.select(*keys)), keys, "left_semi")
-    new = c.join(F.broadcast(seen), keys, "left_anti").select(*cols)
-    return upd.unionByName(new)
-
-
 # --- C2 -------------------------------------------------------------------
 def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str],
-                  order_cols: list | None = None,
-                  broadcast_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
+                  order_cols: list | None = None) -> DataFrame:
     """Insert only unseen keys; duplicates inside the batch keep the first
-    in ``order_cols`` order (default: all columns).
-
-    Small batch (checked): the target's keys stream through a semi-join
-    against the broadcast batch keys, so the target is not shuffled; large
-    batch: an anti-join shuffling both sides by key."""
-    order_cols = order_cols if order_cols is not None else [c for c in changes.columns
-                                                            if c not in keys]
+    in ``order_cols`` order (default: all columns).  One anti-join of the
+    batch against the target's keys."""
+    order_cols = order_cols if order_cols is not None else []
     fresh = dedupe(changes.select(*target.columns), keys, order_cols)
-    if broadcast_rows and is_small(changes, broadcast_rows):
-        seen = target.select(*keys).join(F.broadcast(fresh.select(*keys)), keys, "left_semi")
-        new_rows = fresh.join(F.broadcast(seen), keys, "left_anti")
-    else:
-        new_rows = fresh.join(target.select(*keys), keys, "left_anti")
+    new_rows = fresh.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 

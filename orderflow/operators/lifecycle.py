@@ -1,23 +1,26 @@
 """Order lifecycle, late changes and their lookups.
 
-The reference walks picked orders one by one with 2-4 queries each; here
-every step is a set operation over all orders at once (joins against the
-transition table, the first shipment per order, anti-join to payments).
+Every step is a set operation over all orders at once (joins against the
+transition table, the first shipment per order, anti-joins).  Late changes
+are read off the landed data: nothing is drawn or invented.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, functions as F
 
 from orderflow.functions import ids, pricing as P
 from orderflow.functions.time import ntz
-from orderflow.functions.status import (CLOSED_STATUSES, LIFECYCLE, stage_rank,
+from orderflow.functions.status import (CLOSED_STATUSES, LIFECYCLE, reconcile_shipment_status, stage_rank,
                                         transitions_table)
 from orderflow.operators import changes as C
 
 
+def status_event_id(key, status, ts):
+    """Id of a status event: a status reached twice gives two events."""
+    return ids.keyed_id("ST", key, status, ids.time_text(ts))
+
+
 # --- E1 -------------------------------------------------------------------
 def milestones_to_events(orders: DataFrame, milestones: list[tuple],
                          key: str = "order_id") -> DataFrame:
@@ -35,7 +38,7 @@ def milestones_to_events(orders: DataFrame, milestones: list[tuple],
             F.lit(source).alias("source_system")))
     ev = (orders.select(key, F.inline(F.array(*structs)))
           .filter(F.col("status_ts").isNotNull()))
-    return ev.select(ids.keyed_id("ST", key, "status").alias("event_id"), key, "status",
+    return ev.select(status_event_id(key, "status", "status_ts").alias("event_id"), key, "status",
                      "status_ts", "reason", "source_system",
                      F.col("status_ts").alias("event_timestamp"))
 
@@ -108,122 +111,92 @@ def change_base_time(orders: DataFrame, gap_minutes: int = 30) -> DataFrame:
         "ts_base", F.greatest("updated_at", "created_at") + F.make_interval(mins=F.lit(gap_minutes)))
 
 
-# --- E5 -------------------------------------------------------------------
-def late_shipments(orders: DataFrame, shipments: DataFrame, est_gap_hours: int = 2,
-                   arrival_gap_hours: int = 3) -> DataFrame:
-    """For orders moving to delivered: no shipment -> a new delivered one
-    shipped at ts_base; existing -> fill missing shipped_at, estimated and
-    actual arrival in that order, and set delivered.  The change row carries
-    a null pallets_count for existing shipments (the upsert then erases the
-    stored value, which is the source rule).  ``orders`` needs order_id,
-    customer_id, ts_base, total_weight_kg."""
-    # only the shipments of the orders being changed reach the per-order pick
-    mine = shipments.join(orders.select("order_id"), "order_id", "left_semi")
-    j = attach_shipment(orders, mine)
-    shipped = F.coalesce(F.col("shipped_at"), F.col("ts_base"))
-    est = F.coalesce(F.col("estimated_arrival"), shipped + F.make_interval(hours=F.lit(est_gap_hours)))
-    act = F.coalesce(F.col("actual_arrival"), shipped + F.make_interval(hours=F.lit(arrival_gap_hours)))
-    is_new = F.col("shipment_id").isNull()
-    return j.select(
-        F.coalesce(F.col("shipment_id"), ids.keyed_id("SHP", "order_id", F.lit("late"), length=8))
-        .alias("shipment_id"),
-        "order_id", "customer_id",
-        F.lit("delivered").alias("status"),
-        shipped.alias("shipped_at"), est.alias("estimated_arrival"), act.alias("actual_arrival"),
-        F.when(is_new, P.pallets(F.col("total_weight_kg"))).cast("int").alias("pallets_count"),
-        F.col("total_weight_kg"),
-        act.alias("event_timestamp"),
-        is_new.alias("is_new_shipment"))
-
-
-# --- E6 -------------------------------------------------------------------
-def late_payments(orders: DataFrame, payments: DataFrame, as_of) -> DataFrame:
-    """For orders becoming delivered without a payment: one payment row with
-    due date = created day + terms and the status rule P6 (nothing paid)."""
-    o = orders_without(orders, payments)
-    due = P.due_date("created_at", "payment_terms_days")
-    return o.select(
-        ids.keyed_id("PAY", "order_id", F.lit("late")).alias("payment_id"),
-        "order_id", "customer_id",
-        F.col("total_amount").cast("decimal(14,2)").alias("amount_total"),
-        F.lit(0).cast("decimal(14,2)").alias("amount_paid"),
-        due.alias("due_date"),
-        P.payment_status(F.col("total_amount"), F.lit(0), due,
-                         F.lit(as_of).cast("date")).alias("status"),
-        F.col("created_at"),
-        F.col("ts_base").alias("event_timestamp"))
-
-
-# --- E7 -------------------------------------------------------------------
-# FIXED VALUES: share of orders moving to delivered that file a late return
-LATE_RETURN_RATE = 0.02
-
-
-def late_returns(orders: DataFrame, items: DataFrame, seed: str = "late-return",
-                 return_lag_days: int = 1, rate: float | None = LATE_RETURN_RATE) -> DataFrame:
-    """For delivered orders: about ``rate`` of them (an md5 draw per order;
-    None = all) return one md5-sampled line, of the largest quantity the late
-    path allows (5 %)."""
-    if rate is not None:
-        orders = orders.filter(ids.md5_fraction_below(rate, seed, "order_id"))
-    line = C.sample_per_key(items.join(orders.select("order_id", "ts_base"), "order_id"),
-                            ["order_id"], 1, seed, ["order_id", "line_number"])
-    qty = P.max_return_quantity("quantity", P.LATE_RETURN_SHARE)
-    ts = F.col("ts_base") + F.make_interval(days=F.lit(return_lag_days))
-    return line.select(
-        ids.keyed_id("RET", "order_id", "line_number", F.lit("late")).alias("return_id"),
-        "order_id", "line_number", "sku", qty.alias("quantity"),
-        P.return_amount("price_per_unit", qty).alias("amount"),
-        ts.alias("created_at"), ts.alias("event_timestamp"))
-
-
-# --- E9 -------------------------------------------------------------------
-def apply_late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFrame,
-                       items: DataFrame, today: datetime, *, k: int = 300,
-                       seed: str = "late", gap_minutes: int = 30, days: int = 7,
-                       checkpoint: bool = False,
-                       return_rate: float | None = LATE_RETURN_RATE) -> dict:
-    """F3 -> L4 -> L7 -> J3/J4 -> E4..E8; returns the change sets and the
-    order status updates.  The caller applies them with C3 (orders), C1
-    (shipments) and C2 (history, payments, returns), ideally into a new
-    version folder so one run lands atomically.  With ``checkpoint`` the
-    picked orders and their shipment changes (at most ``hi`` = 60 rows) are
-    written to the shared checkpoint folder once, so the five outputs do not
-    recompute the selection and the lineage is cut."""
-    recent = C.top_recent(open_recent_orders(orders, today, days), k, "created_at", ["order_id"])
-    picked = C.sample_bounded(recent, seed, ["order_id"])
-    cur = (lookup_orders(picked, orders, orders.columns))
-    nxt = change_base_time(advance_status(cur), gap_minutes)
-    if checkpoint:
-        from orderflow.session import checkpoint_root
-        checkpoint_root(orders.sparkSession)
-        nxt = nxt.checkpoint()
-    to_deliver = nxt.filter(F.col("next_status") == "delivered")
-    ships = late_shipments(to_deliver, shipments)
-    if checkpoint:
-        ships = ships.checkpoint()
-    arrival = ships.select("order_id", F.col("actual_arrival").alias("_arr"))
-    final_ts = nxt.join(arrival, "order_id", "left").withColumn(
-        "ts_base", F.coalesce("_arr", "ts_base")).drop("_arr")
-    status_rows = final_ts.select(
-        ids.keyed_id("ST", "order_id", "next_status").alias("event_id"), "order_id",
-        F.col("next_status").alias("status"), F.col("ts_base").alias("status_ts"),
-        F.lit(None).cast("string").alias("reason"), "source_system",
-        F.col("ts_base").alias("event_timestamp"))
-    # a shipment created by the late path is also recorded as shipped
-    shipped_rows = ships.filter("is_new_shipment").select(
-        ids.keyed_id("ST", "order_id", F.lit("shipped")).alias("event_id"), "order_id",
-        F.lit("shipped").alias("status"), F.col("shipped_at").alias("status_ts"),
-        F.lit(None).cast("string").alias("reason"), F.lit("tms").alias("source_system"),
-        F.col("shipped_at").alias("event_timestamp"))
-    status_rows = status_rows.unionByName(shipped_rows)
-    delivered = final_ts.filter(F.col("next_status") == "delivered")
-    return {
-        "order_updates": final_ts.select("order_id", F.col("next_status").alias("status"),
-                                         F.col("ts_base").alias("updated_at"),
-                                         F.col("ts_base").alias("event_timestamp")),
-        "shipments": ships,
-        "status_history": status_rows,
-        "payments": late_payments(delivered, payments, today.date()),
-        "returns": late_returns(delivered, items, seed, rate=return_rate),
-    }
+# --- E5-E9: late changes from what landed --------------------------------------
+# FIXED VALUES: how far a status is along an order's way; a change never
+# moves an order back
+PROGRESS = ["new", "confirmed", "assembled", "shipped", "in_transit", "delayed",
+            "partially_delivered", "delivered"]
+
+
+def progress_rank(status):
+    """Position on the order's way; cancelled closes it like delivered."""
+    return F.when(status == "cancelled", F.lit(len(PROGRESS) - 1)).otherwise(stage_rank(status, PROGRESS))
+
+
+def landed_evidence(shipments: DataFrame, history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per order: shipment counts and times, and the status history's final
+    status.  Both are map-side combined aggregates."""
+    s = shipments.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("actual_arrival").alias("_arrived"),
+        F.min("shipped_at").alias("_shipped"), F.max("actual_arrival").alias("_arrival"))
+    return s, final_status(history)
+
+
+def late_order_updates(orders: DataFrame, shipments: DataFrame, history: DataFrame) -> DataFrame:
+    """The new status of every open order that landed data has moved on: all
+    shipments arrived -> delivered, some -> partially_delivered, one under
+    way -> in_transit, else the history's final status.  Its time is the
+    arrival, the shipping or the status time, never before the last update."""
+    s, h = landed_evidence(shipments, history)
+    j = (orders.filter(~F.col("status").isin(*CLOSED_STATUSES))
+         .select("order_id", "status", "updated_at").join(s, "order_id", "left").join(h, "order_id", "left"))
+    to = (F.when((F.col("_n") > 0) & (F.col("_arrived") == F.col("_n")), F.lit("delivered"))
+          .when(F.col("_arrived") > 0, F.lit("partially_delivered"))
+          .when(F.col("_shipped").isNotNull(), F.lit("in_transit"))
+          .otherwise(F.col("final_status")))
+    at = (F.when(F.col("_arrived") > 0, F.col("_arrival")).when(F.col("_shipped").isNotNull(), F.col("_shipped"))
+          .otherwise(F.col("last_status_ts")))
+    j = j.withColumn("_to", to).withColumn("_at", F.greatest(at, F.col("updated_at")))
+    moved = progress_rank(F.col("_to")) > F.coalesce(progress_rank(F.col("status")), F.lit(-1))
+    return j.filter(moved).select("order_id", F.col("_to").alias("status"), F.col("_at").alias("updated_at"),
+                                  F.col("_at").alias("event_timestamp"))
+
+
+def late_shipments(shipments: DataFrame) -> DataFrame:
+    """E5 with E3: shipments whose landed arrival changes their status."""
+    to = reconcile_shipment_status("status", "actual_arrival")
+    return (shipments.withColumn("_to", to).filter(~F.col("_to").eqNullSafe(F.col("status")))
+            .select("shipment_id", F.col("_to").alias("status"), F.col("actual_arrival").alias("event_timestamp")))
+
+
+def late_payments(payments: DataFrame, as_of) -> DataFrame:
+    """E6 with P6: payments whose stored status no longer fits their amounts
+    and due date as of the run day."""
+    expected = P.payment_status("amount_total", "amount_paid", "due_date", F.lit(as_of).cast("date"))
+    return (payments.withColumn("_to", expected).filter(~F.col("_to").eqNullSafe(F.col("status")))
+            .select("payment_id", F.col("_to").alias("status")))
+
+
+def late_returns(returns: DataFrame, items: DataFrame, delivered: DataFrame,
+                 keys: tuple = ("order_id", "line_number")) -> DataFrame:
+    """E7 with P8: landed returns on orders that arrived, at the largest
+    quantity the late path allows (5 % of the line), priced at the line."""
+    line = items.select(*keys, "price_per_unit", F.col("quantity").alias("_line_quantity"))
+    kept = returns.join(delivered.select("order_id"), "order_id", "left_semi").join(line, list(keys))
+    qty = F.least("quantity", P.max_return_quantity("_line_quantity", P.LATE_RETURN_SHARE))
+    return kept.select(*keys, qty.alias("quantity"), P.return_amount("price_per_unit", qty).alias("amount"))
+
+
+def late_status_events(updates: DataFrame, history: DataFrame) -> DataFrame:
+    """One status event per order update that the history does not hold yet."""
+    sources = transitions_table(updates.sparkSession).select(
+        F.col("next_status").alias("status"), "source_system").distinct()
+    ev = updates.join(F.broadcast(sources), "status", "left").select(
+        status_event_id("order_id", "status", "updated_at").alias("event_id"), "order_id", "status",
+        F.col("updated_at").alias("status_ts"), F.lit(None).cast("string").alias("reason"),
+        F.coalesce("source_system", F.lit("tms")).alias("source_system"),
+        F.col("updated_at").alias("event_timestamp"))
+    return ev.join(history.select("order_id", "status", "status_ts"),
+                   ["order_id", "status", "status_ts"], "left_anti").select(
+        "event_id", "order_id", "status", "status_ts", "reason", "source_system", "event_timestamp")
+
+
+def late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFrame, history: DataFrame,
+                 as_of) -> dict[str, DataFrame]:
+    """The change sets that landed shipments, payments and history imply
+    for all open orders.  The caller applies them with C3 (orders, shipments,
+    payments) and C2 (history), and publishes them together."""
+    updates = late_order_updates(orders, shipments, history)
+    return {"orders": updates, "shipments": late_shipments(shipments),
+            "payments": late_payments(payments, as_of),
+            "order_status_history": late_status_events(updates, history)}

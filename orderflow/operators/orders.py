@@ -17,7 +17,7 @@ from orderflow.functions import pricing as P
 from orderflow.functions.time import ntz
 from orderflow.schemas import dec
 
-# Product attributes copied onto an order line.
+# FIXED VALUES: product attributes copied onto an order line
 PRODUCT_ATTRS = ["product_name", "brand", "category", "subcategory", "volume", "packaging",
                  "pack_qty", "fat_pct", "shelf_life_days", "gost", "halal_certified"]
 
@@ -100,9 +100,13 @@ HEADER_TOTALS = ["total_lines", "total_quantity", "total_weight_kg", "total_amou
 
 def order_header(orders: DataFrame, lines: DataFrame, products: DataFrame,
                  customers: DataFrame | None = None, regions: DataFrame | None = None,
-                 shipments: DataFrame | None = None) -> DataFrame:
-    """Priced order headers: J1 -> P1/P2 -> A1 -> J2, with the delivery
-    address taken from the shipment when one exists.
+                 shipments: DataFrame | None = None, warehouses: DataFrame | None = None,
+                 managers: DataFrame | None = None, history: DataFrame | None = None,
+                 defaults: dict | None = None) -> DataFrame:
+    """Priced order headers: J1 -> P1/P2 -> A1 -> J2, the final status and
+    last change of the history (E2, A2) when there is one, and the delivery
+    address of the first shipment when one exists.  ``defaults`` are header
+    columns that are the same for every order (the supplier's details).
 
     Plan shape: lines ⋈ products (shuffle or size-checked broadcast) ->
     partial/final aggregate by order_id -> ⋈ orders on order_id (the
@@ -115,7 +119,14 @@ def order_header(orders: DataFrame, lines: DataFrame, products: DataFrame,
     fill = {c: 0 for c in HEADER_TOTALS if c in totals.columns}
     for c, v in fill.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(totals.schema[c].dataType)))
-    out = enrich_orders(out, customers=customers, regions=regions)
+    if history is not None:
+        from orderflow.operators.lifecycle import final_status
+        last = final_status(history)
+        out = (out.join(last, "order_id", "left")
+               .withColumn("status", F.coalesce("final_status", "status"))
+               .withColumn("updated_at", F.coalesce("last_status_ts", "created_at"))
+               .withColumn("event_timestamp", F.col("updated_at")).drop("final_status", "last_status_ts"))
+    out = enrich_orders(out, customers=customers, warehouses=warehouses, managers=managers, regions=regions)
     if shipments is not None:
         first = shipments.groupBy("order_id").agg(
             F.min(F.struct("shipped_at", "shipment_id", "delivery_address")).alias("_s"))
@@ -123,8 +134,9 @@ def order_header(orders: DataFrame, lines: DataFrame, products: DataFrame,
                .withColumn("delivery_address",
                            F.coalesce(F.col("_s.delivery_address"), F.col("delivery_address")))
                .drop("_s"))
-    if "currency" not in out.columns:
-        out = out.withColumn("currency", F.lit("RUB"))
+    for c, v in {"currency": "RUB", **(defaults or {})}.items():
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(v))
     return out
 
 
@@ -172,42 +184,38 @@ PREFERRED_CATEGORIES = {
 }
 
 
+EVERY = "*"
+
+
+def eligibility_rules(types: DataFrame, products: DataFrame, preferred: dict[str, list[str]] | None = None, *,
+                      type_col: str = "customer_type", n_col: str = "n_items",
+                      category_col: str = "category") -> DataFrame:
+    """The pools of each customer type, as rules (type, pool): the categories
+    preferred for the type, or the one pool ``*`` (every product) for other
+    types and when fewer than ``n`` products qualify."""
+    preferred = PREFERRED_CATEGORIES if preferred is None else preferred
+    pref = products.sparkSession.createDataFrame(
+        [(t, c) for t, cats in preferred.items() for c in cats], f"{type_col} string, pool string")
+    sizes = products.groupBy(F.col(category_col).alias("pool")).agg(F.count(F.lit(1)).alias("_size"))
+    n_pref = pref.join(sizes, "pool").groupBy(type_col).agg(F.sum("_size").alias("_n_pref"))
+    t = types.select(type_col, n_col).distinct().join(n_pref, type_col, "left")
+    few = F.coalesce(F.col("_n_pref"), F.lit(0)) < F.col(n_col)
+    return (t.filter(few).select(type_col, F.lit(EVERY).alias("pool"))
+            .unionByName(t.filter(~few).join(pref, type_col).select(type_col, "pool")).distinct())
+
+
 def eligible_products(types: DataFrame, products: DataFrame,
                       preferred: dict[str, list[str]] | None = None, *,
                       type_col: str = "customer_type", n_col: str = "n_items",
-                      category_col: str = "category", max_types: int = 10_000) -> DataFrame:
-    """Product pool per customer type: the categories preferred for the type,
-    or every product for other types; when fewer than ``n`` products
-    qualify, every product.  ``types`` holds (type, n); returns (type, sku).
-
-    The rule table (type, category | every) has at most |types| plus the
-    fixed preference entries; customer types are a small closed domain, and
-    the count is checked (``max_types``) before the table is broadcast, so
-    products stream past it.  The "fewer than n" fallback needs only
-    per-type counts (an aggregate).
-    """
-    spark = products.sparkSession
-    n_types = types.count()
-    if n_types > max_types:
-        raise ValueError(f"{n_types} customer types exceed the broadcast bound {max_types}")
-    preferred = PREFERRED_CATEGORIES if preferred is None else preferred
-    pref = spark.createDataFrame(
-        [(t, c) for t, cats in preferred.items() for c in cats],
-        f"{type_col} string, {category_col} string")
-    n_pref = (products.select(category_col).join(F.broadcast(pref), category_col)
-              .groupBy(type_col).agg(F.count(F.lit(1)).alias("_n_pref")))
-    t = (types.select(type_col, n_col)
-         .join(F.broadcast(n_pref), type_col, "left")
-         .withColumn("_every", F.coalesce(F.col("_n_pref"), F.lit(0)) < F.col(n_col)))
-    rules = (t.filter("_every").select(type_col, F.lit(None).cast("string").alias(category_col),
-                                       F.lit(True).alias("_every"))
-             .unionByName(t.filter(~F.col("_every")).select(type_col)
-                          .join(F.broadcast(pref), type_col)
-                          .withColumn("_every", F.lit(False))))
-    r = F.broadcast(rules.alias("r"))
-    p = products.select("sku", category_col).alias("p")
-    cond = F.col("r._every") | (F.col(f"p.{category_col}") == F.col(f"r.{category_col}"))
-    return p.join(r, cond, "inner").select(F.col(f"r.{type_col}"), F.col("p.sku"))
+                      category_col: str = "category") -> DataFrame:
+    """Product pool per customer type: ``eligibility_rules`` expanded to
+    (type, sku).  A product is in the pool of its category and in ``*``, so
+    the rules join on the pool (an equi-join; Spark broadcasts the rules if
+    they are small)."""
+    rules = eligibility_rules(types, products, preferred, type_col=type_col, n_col=n_col,
+                              category_col=category_col)
+    pools = products.select("sku", F.explode(F.array(F.col(category_col), F.lit(EVERY))).alias("pool"))
+    return pools.join(rules, "pool").select(type_col, "sku")
 
 
 # --- F6 -------------------------------------------------------------------

@@ -6,6 +6,8 @@ one aggregate or one anti-join over the whole table.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -36,15 +38,27 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str,
 
 
 # --- Q4 -------------------------------------------------------------------
+def outside_numeric(col, precision: int, scale: int):
+    """True when a database would refuse the value for NUMERIC(p, s): it is
+    rounded to ``s`` digits (half away from zero) before the range check.
+    Numbers too large for any decimal are outside."""
+    x = F.col(col) if isinstance(col, str) else col
+    exact = x.try_cast("decimal(38,10)")
+    limit = F.lit(Decimal(10) ** (precision - scale))    # a short decimal: a wide one would round the value
+    return F.when(x.isNull(), F.lit(False)).otherwise(
+        F.coalesce(F.abs(F.round(exact, scale)) >= limit, F.lit(True)))
+
+
+def _limits(widths: dict[str, int] | None, numerics: dict[str, tuple[int, int]] | None):
+    return ([(c, f"VARCHAR({n})", F.length(F.col(c)) > n) for c, n in (widths or {}).items()]
+            + [(c, f"NUMERIC({p},{s})", outside_numeric(c, p, s)) for c, (p, s) in (numerics or {}).items()])
+
+
 def width_violations(df: DataFrame, widths: dict[str, int] | None = None,
                      numerics: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Counts per column of text longer than VARCHAR(n) and numbers outside
-    NUMERIC(p, s) (|x| >= 10^(p-s)): (column_name, limit, violations)."""
-    checks = []
-    for c, n in (widths or {}).items():
-        checks.append((c, f"VARCHAR({n})", F.length(F.col(c)) > n))
-    for c, (p, s) in (numerics or {}).items():
-        checks.append((c, f"NUMERIC({p},{s})", F.abs(F.col(c)) >= F.lit(10.0 ** (p - s))))
+    NUMERIC(p, s): (column_name, limit, violations)."""
+    checks = _limits(widths, numerics)
     counts = df.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, _, cond) in enumerate(checks)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(lim).alias("limit"),
@@ -52,6 +66,42 @@ def width_violations(df: DataFrame, widths: dict[str, int] | None = None,
         for i, (c, lim, _) in enumerate(checks)])))
 
 
+# --- Q1-Q4 over the declared schema ------------------------------------------
+def constraint_report(tables: dict[str, DataFrame], schemas: dict, keys: dict, foreign_keys: list,
+                      widths: dict, numerics: dict) -> DataFrame:
+    """One row per declared constraint of the given tables: (table_name,
+    constraint_name, violations).  Nullability, widths and NUMERIC limits of a
+    table are one pass; a key is one aggregate (keys seen more than once); a
+    foreign key is one anti-join.  Constraints on columns a table does not
+    carry are left out."""
+    parts = []
+    for name, df in tables.items():
+        checks = [(f"{f.name} NOT NULL", F.col(f.name).isNull()) for f in schemas[name].fields
+                  if not f.nullable and f.name in df.columns]
+        checks += [(f"{c} {lim}", cond) for c, lim, cond in _limits(
+            {c: n for c, n in widths.get(name, {}).items() if c in df.columns},
+            {c: n for c, n in numerics.get(name, {}).items() if c in df.columns})]
+        counts = df.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, cond) in enumerate(checks)])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(what).alias("constraint_name"),
+                     F.col(f"_v{i}").cast("long").alias("violations"))
+            for i, (what, _) in enumerate(checks)]))))
+        if all(k in df.columns for k in keys[name]):
+            parts.append(duplicate_keys(df, keys[name]).agg(F.count(F.lit(1)).alias("violations")).select(
+                F.lit(name).alias("table_name"), F.lit(f"PRIMARY KEY ({', '.join(keys[name])})")
+                .alias("constraint_name"), "violations"))
+    for child, col, parent, pcol in foreign_keys:
+        if child in tables and parent in tables and col in tables[child].columns and pcol in tables[parent].columns:
+            parts.append(orphans(tables[child].select(col), tables[parent], col, pcol)
+                         .agg(F.count(F.lit(1)).alias("violations")).select(
+                F.lit(child).alias("table_name"), F.lit(f"{col} REFERENCES {parent}({pcol})")
+                .alias("constraint_name"), "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # --- Q5 -------------------------------------------------------------------
 def apply_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Column default when the column is not supplied; a supplied null stays

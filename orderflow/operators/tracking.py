@@ -1,9 +1,8 @@
 """Tracking-event derivation, filtering, paging and alerts
 (F1 F2 L1-L3 T1-T9 J6).
 
-Derivation is closed form: each shipment expands to its n points with
-``posexplode(sequence(0, n-1))`` and every field is an expression of
-(i, n, route), so there is no join back and no per-row Python.
+Positions, event types and alerts are derived from the observed readings:
+progress is the elapsed share of the trip, and firsts and runs are aggregates.
 """
 
 from __future__ import annotations
@@ -49,8 +48,6 @@ DEFAULT_ROUTE = [
 # FIXED VALUES: trip and alert rules
 DEFAULT_TRIP_HOURS = 6
 MIN_TRIP_MINUTES = 60
-MINUTES_PER_POINT = 30
-MIN_POINTS, MAX_POINTS = 5, 15
 TEMP_BREACH_ABOVE = 6.0
 DEFAULT_ZONE = "2-6"
 TEMP_ALERT = "temperature_breach"
@@ -175,52 +172,34 @@ def tracking_envelope(df: DataFrame, page_no: int = 1, limit: int = 100, since=N
 
 # --- J6 -------------------------------------------------------------------
 def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_address",
-                default_route=None, key: str | None = None, max_inline: int = 1_000) -> DataFrame:
+                default_route=None) -> DataFrame:
     """Adds ``route_city`` and ``route``: the first city (lowest ``ord``)
     whose name is a substring of the address; the default route on a null
     or empty address or no match.
 
-    Small route tables (at most ``max_inline`` rows, checked by a bounded
-    probe) become an array literal filtered per row: no join, no shuffle.
-    Larger tables use an exact equi-join on address substrings of the
-    shortest city length, then keep the lowest ``ord`` per row (needs a
-    unique ``key``).
-    """
+    Each distinct address is matched once: its substrings of every city
+    length are joined with the city names (an equi-join on the whole name, so
+    a short name matches only itself), and the match comes back by address.
+    The city lengths are few (at most the longest name's)."""
     default = route_literal(default_route or DEFAULT_ROUTE)
-    addr = F.col(address_col)
-    # one bounded probe: at most max_inline + 1 rows ever reach the driver
-    rows = routes.orderBy("ord").limit(max_inline + 1).collect()
-    if len(rows) <= max_inline:
-        if not rows:
-            return (df.withColumn("route_city", F.lit(None).cast("string"))
-                    .withColumn("route", default))
-        arr = F.array(*[F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["city"]).alias("city"),
-                                 route_literal([(p["lat"], p["lon"], p["label"])
-                                                for p in r["route"]]).alias("route"))
-                        for r in rows])
-        hit = F.try_element_at(F.filter(arr, lambda r: addr.contains(r["city"])), F.lit(1))
-        hit = F.when(addr.isNull() | (addr == ""), F.lit(None)).otherwise(hit)
-        return (df.withColumn("_hit", hit)
-                .withColumn("route_city", F.col("_hit.city"))
-                .withColumn("route", F.coalesce(F.col("_hit.route"), default))
-                .drop("_hit"))
-    if key is None:
-        raise ValueError("a unique key column is needed to match many routes")
-    lmin = routes.agg(F.min(F.length("city"))).first()[0]
-    r = routes.select("ord", "city", "route",
-                      F.substring("city", 1, lmin).alias("_gram"))
-    pos = (df.select(key, address_col)
-           .filter(addr.isNotNull() & (F.length(addr) >= lmin))
-           .select(key, address_col,
-                   F.explode(F.sequence(F.lit(1), F.length(addr) - lmin + 1)).alias("_p"))
-           .withColumn("_gram", F.substring(addr, F.col("_p"), lmin)))
-    best = (pos.join(r, "_gram")
-            .filter(F.substring(addr, F.col("_p"), F.length("city")) == F.col("city"))
-            .groupBy(key).agg(F.min(F.struct("ord", "city", "route")).alias("_hit")))
-    return (df.join(best, key, "left")
-            .withColumn("route_city", F.col("_hit.city"))
-            .withColumn("route", F.coalesce(F.col("_hit.route"), default))
-            .drop("_hit"))
+    sizes = [r[0] for r in routes.select(F.length("city").alias("n")).filter("n > 0").distinct().collect()]
+    addr = df.select(F.col(address_col).alias("_address")).filter("_address <> ''").distinct()
+
+    def substrings(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length("_address") - F.lit(n - 1))
+        return F.when(F.length("_address") >= n, F.transform(
+            starts, lambda p: F.substring(F.col("_address"), p, F.lit(n)))).otherwise(none)
+
+    none = F.array().cast("array<string>")
+    names = F.array_distinct(F.flatten(F.array(none, *[substrings(n) for n in sorted(sizes)])))
+    hit = (addr.select("_address", F.explode(names).alias("city"))
+           .join(routes.select("city", "ord"), "city")
+           .groupBy("_address").agg(F.min(F.struct("ord", "city")).alias("_hit"))
+           .select("_address", F.col("_hit.ord").alias("ord"), F.col("_hit.city").alias("city"))
+           .join(routes.select("city", "ord", F.col("route").alias("_route")), ["city", "ord"])
+           .select("_address", F.col("city").alias("route_city"), "_route"))
+    return (df.join(hit, F.col(address_col) == F.col("_address"), "left")
+            .withColumn("route", F.coalesce("_route", default)).drop("_address", "_route"))
 
 
 # --- T1 T2 T6 -----------------------------------------------------------------
@@ -231,26 +210,23 @@ def trip_end(shipped_at="shipped_at", actual="actual_arrival", estimated="estima
                       _c(shipped_at) + F.make_interval(hours=F.lit(default_hours)))
 
 
-def trip_points(shipments: DataFrame, key: str = "shipment_id") -> DataFrame:
-    """T2 + T6: minutes = max(60, int(elapsed minutes)); n = min(15, max(5,
-    minutes // 30)); one row per i in 0..n-1 with progress = i / (n-1) and
-    time = start + int(minutes * progress) minutes.  Unshipped -> no rows."""
-    end = trip_end()
-    micros = F.timestamp_diff("MICROSECOND", F.col("shipped_at"), end)
-    minutes = F.greatest(F.lit(MIN_TRIP_MINUTES), (micros / F.lit(60_000_000)).cast("int"))
-    n = F.least(F.lit(MAX_POINTS), F.greatest(F.lit(MIN_POINTS),
-                                              F.floor(minutes / MINUTES_PER_POINT).cast("int")))
+def trip_minutes(end: Column | None = None) -> Column:
+    """Whole minutes of the trip, 60 at least."""
+    micros = F.timestamp_diff("MICROSECOND", F.col("shipped_at"), trip_end() if end is None else end)
+    return F.greatest(F.lit(MIN_TRIP_MINUTES), (micros / F.lit(60_000_000)).cast("int"))
+
+
+def observed_points(feed: DataFrame, shipments: DataFrame, key: str = "shipment_id") -> DataFrame:
+    """T2 + T6 on the observed feed: each reading of a shipped shipment with
+    its progress, the elapsed share of the trip (0 before it, 1 after its
+    end), and the stable tracking id of (shipment, reading)."""
     s = (shipments.filter(F.col("shipped_at").isNotNull())
-         .withColumn("trip_minutes", minutes)
-         .withColumn("n_points", n)
-         .select("*", F.posexplode(F.sequence(F.lit(0), F.col("n_points") - 1))
-                 .alias("point_index", "_i"))
-         .drop("_i"))
-    progress = F.col("point_index") / F.greatest(F.lit(1), F.col("n_points") - 1)
-    return (s.withColumn("progress", progress)
-            .withColumn("timestamp", F.col("shipped_at") + F.make_interval(
-                mins=(F.col("trip_minutes") * F.col("progress")).cast("int")))
-            .withColumn("event_id", ids.tracking_id(key, "point_index")))
+         .withColumn("trip_minutes", trip_minutes()))
+    j = feed.join(s, key)
+    micros = F.timestamp_diff("MICROSECOND", F.col("shipped_at"), F.col("timestamp"))
+    share = micros / (F.col("trip_minutes") * F.lit(60_000_000.0))
+    return (j.withColumn("progress", F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
+            .withColumn("tracking_id", ids.tracking_id(key, "event_id")))
 
 
 # --- T3 T4 T5 -----------------------------------------------------------------
@@ -274,25 +250,35 @@ def interpolate_route(points: DataFrame, route_col: str = "route") -> DataFrame:
             .drop("_seg", "_t"))
 
 
-def classify_event(points: DataFrame, route_col: str = "route") -> DataFrame:
-    """T4 + T5: first -> pickup, last -> delivered, route segment changed
-    since the previous point -> checkpoint, else temperature_reading; the
-    checkpoint label is the first / last / next point's label.  The previous
-    point's position is closed form, so no window is needed."""
+def classify_event(points: DataFrame, key: str = "shipment_id", ts_col: str = "timestamp",
+                   id_col: str = "event_id", route_col: str = "route") -> DataFrame:
+    """T4 + T5 in (time, id) order of a shipment's readings: the first ->
+    pickup, the last -> delivered, the first reading on a new route segment ->
+    checkpoint, else temperature_reading; the checkpoint label is the first /
+    last / next point's label.
+
+    Progress never falls with time, so the first reading of a segment is an
+    aggregate (map-side combined): no window over a shipment's readings."""
     k = F.size(route_col)
-    i, n = F.col("point_index"), F.col("n_points")
-    denom = F.greatest(F.lit(1), n - 1)
-    pos_now = (i / denom) * (k - 1)
-    pos_prev = ((i - 1) / denom) * (k - 1)
-    seg = F.least(pos_now.cast("int"), k - 2)
-    etype = (F.when(i == 0, F.lit("pickup"))
-             .when(i == n - 1, F.lit("delivered"))
-             .when(pos_now.cast("int") != pos_prev.cast("int"), F.lit("checkpoint"))
+    pos = (F.col("progress") * (k - 1)).cast("int")
+    at = F.struct(F.col(ts_col).alias("t"), F.col(id_col).alias("i"))
+    x = points.withColumn("_pos", pos).withColumn("_at", at)
+    legs = x.groupBy(key, "_pos").agg(F.min("_at").alias("_leg"), F.max("_at").alias("_end"))
+    trips = legs.groupBy(key).agg(F.min("_leg").alias("_first"), F.max("_end").alias("_last"))
+    marks = legs.select(F.col(key).alias("_k"), F.col("_pos").alias("_p"), "_leg").join(
+        trips.withColumnRenamed(key, "_k"), "_k")
+    x = x.join(marks, (F.col(key) == F.col("_k")) & (F.col("_pos") == F.col("_p")))
+    seg = F.least(F.col("_pos"), k - 2)
+    etype = (F.when(F.col("_at") == F.col("_first"), F.lit("pickup"))
+             .when(F.col("_at") == F.col("_last"), F.lit("delivered"))
+             .when(F.col("_at") == F.col("_leg"), F.lit("checkpoint"))
              .otherwise(F.lit("temperature_reading")))
-    label = (F.when(i == 0, F.element_at(route_col, 1)["label"])
-             .when(i == n - 1, F.element_at(route_col, -1)["label"])
-             .when(etype == "checkpoint", F.element_at(route_col, F.least(seg + 1, k - 1) + 1)["label"]))
-    return points.withColumn("event_type", etype).withColumn("checkpoint", label)
+    label = (F.when(F.col("event_type") == "pickup", F.element_at(route_col, 1)["label"])
+             .when(F.col("event_type") == "delivered", F.element_at(route_col, -1)["label"])
+             .when(F.col("event_type") == "checkpoint",
+                   F.element_at(route_col, F.least(seg + 1, k - 1) + 1)["label"]))
+    return (x.withColumn("event_type", etype).withColumn("checkpoint", label)
+            .drop("_pos", "_at", "_leg", "_first", "_last", "_k", "_p"))
 
 
 # --- T7 -------------------------------------------------------------------
@@ -321,7 +307,9 @@ def with_stop_anchor(df: DataFrame, key: str, stopped: Column, ts_col: str = "ti
     ts = F.col(ts_col)
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     bucket = F.floor(F.timestamp_diff("MINUTE", epoch, ts.cast("timestamp_ntz")) / bucket_minutes)
-    x = df.withColumn("_stop", stopped).withColumn("_b", bucket)
+    # a reading without a key or a time is in no run, but stays a row
+    known = F.col(key).isNotNull() & ts.isNotNull()
+    x = df.withColumn("_stop", F.coalesce(stopped & known, F.lit(False))).withColumn("_b", bucket)
     move = F.when(~F.col("_stop"), F.struct(ts.alias("t"), F.col(id_col).alias("i")))
     per_bucket = x.groupBy(key, "_b").agg(F.max(move).alias("_last_move"))
     carry = per_bucket.withColumn("_carry", F.max("_last_move").over(
@@ -329,7 +317,7 @@ def with_stop_anchor(df: DataFrame, key: str, stopped: Column, ts_col: str = "ti
     w = (Window.partitionBy(key, "_b").orderBy(ts, F.col(id_col))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (x.withColumn("_local", F.max(move).over(w))
-            .join(carry.select(key, "_b", "_carry"), [key, "_b"])
+            .join(carry.select(key, "_b", "_carry"), [key, "_b"], "left")
             .withColumn("_anchor", F.coalesce("_local", "_carry"))
             .drop("_local", "_carry", "_b"))
 
@@ -379,20 +367,20 @@ def long_stop_alert(events: DataFrame, key: str = "shipment_id", ts_col: str = "
 
 # --- T9 -------------------------------------------------------------------
 TRACKING_COLS = ["event_id", "shipment_id", "order_id", "event_type", "timestamp",
-                 "latitude", "longitude", "vehicle_plate", "carrier", "driver_name",
-                 "checkpoint"]
+                 "latitude", "longitude", "temperature_celsius", "speed_kmh", "vehicle_plate",
+                 "carrier", "driver_name", "checkpoint", "alert", "alert_detail"]
 
 
-def tracking_events(shipments: DataFrame, routes: DataFrame | None = None,
+def tracking_events(feed: DataFrame, shipments: DataFrame, routes: DataFrame | None = None,
                     address_col: str = "delivery_address") -> DataFrame:
-    """J6 + T1-T6: shipped shipments -> route -> trip points -> position,
-    event type, checkpoint and stable id.  Readings (speed, temperature)
-    come from the vehicle feed and are joined by event id downstream."""
+    """T1-T8 + J6 on the observed feed (event_id, shipment_id, timestamp,
+    temperature_celsius, speed_kmh): each reading of a shipped shipment with
+    its position on the route, event type, checkpoint and alert."""
     routes = routes if routes is not None else reference_routes(shipments.sparkSession)
     s = shipments
-    for c in ("vehicle_plate", "carrier", "driver_name"):
+    for c in ("vehicle_plate", "carrier", "driver_name", "temperature_zone"):
         if c not in s.columns:
             s = s.withColumn(c, F.lit(None).cast("string"))
-    routed = match_route(s, routes, address_col, key="shipment_id")
-    pts = classify_event(interpolate_route(trip_points(routed)))
-    return pts.select(*TRACKING_COLS)
+    points = observed_points(feed, match_route(s, routes, address_col))
+    located = classify_event(interpolate_route(points)).drop("route")
+    return long_stop_alert(located, zone_col="temperature_zone").select(*TRACKING_COLS)

@@ -4,14 +4,17 @@ Each function is a pure projection (select + alias + cast) of one parquet
 table, so Catalyst prunes columns and pushes filters straight into the scan.
 
 Roles: customers <- customer, products <- part (retail price = base price,
-size = pack size, type = category), orders <- orders, order lines <-
+size = pack size and 50 g a piece, type = category), orders <- orders, order lines <-
 lineitem (quantity = packs, discount fraction -> percent), regions <- nation,
+warehouses <- supplier, sales managers <- region,
 shipments <- one per order (order date = shipping time, earliest line ship
 date = arrival), tracking feed <- events.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.schemas import dec
@@ -31,7 +34,25 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("customer_type"),
         F.col("c_nationkey").alias("region_id"),
-        F.col("c_acctbal").alias("account_balance"))
+        F.col("c_acctbal").alias("account_balance"),
+        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("customer_inn"),
+        F.concat(F.lit("C-"), F.col("c_custkey").cast("string")).alias("contract_number"),
+        (F.col("c_custkey") % 4 * 15).cast("int").alias("payment_terms_days"),
+        (F.col("c_custkey") % 15).cast(dec(5, 2)).alias("discount_pct"))
+
+
+def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("warehouse_id"),
+        F.col("s_name").alias("warehouse_name"),
+        F.concat(F.col("s_name"), F.lit(", nation "), F.col("s_nationkey").cast("string"))
+        .alias("warehouse_address"))
+
+
+def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("sales_manager_id"),
+        F.col("r_name").alias("sales_manager_name"))
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +69,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("brand"),
         F.col("p_type").alias("category"),
         F.col("p_size").alias("pack_qty"),
-        F.col("p_retailprice").cast(dec(10, 2)).alias("base_price"))
+        F.col("p_retailprice").cast(dec(10, 2)).alias("base_price"),
+        (F.col("p_size") * F.lit(Decimal("0.05"))).cast(dec(10, 3)).alias("weight_kg"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

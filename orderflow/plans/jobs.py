@@ -2,10 +2,13 @@
 
 * ``extract``: daily landing of the source tables into ``data_date=``
   partitions (S3 -> S4 -> S1/S2 -> K1).
-* ``ingest_tracking``: high-water-mark pull of the tracking feed (W6).
-* ``apply_changes``: one late-change run (E9) written as a new version
-  folder with a pointer file written last, so a run lands atomically.
+* ``ingest_tracking``: high-water-mark pull of the tracking feed (W6),
+  behind the new-data gate (W5).
+* ``apply_changes``: one late-change run (E9) on the published tables.
 * ``load_batch``: a historical or incremental load of the order tables (C5).
+
+The last two publish all tables of a version together (sources/versions.py);
+tables and key buckets that a run does not touch are carried over.
 """
 
 from __future__ import annotations
@@ -16,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.functions.calendar import day_window
 from orderflow.operators import changes as C
-from orderflow.operators.lifecycle import LATE_RETURN_RATE, apply_late_changes
-from orderflow.schemas import INSERT_IGNORE_TABLES, KEYS, TABLES, UPDATE_COLUMNS
+from orderflow.operators.lifecycle import late_changes
+from orderflow.operators.quality import apply_defaults
+from orderflow.schemas import DEFAULTS, INSERT_IGNORE_TABLES, KEYS, TABLES, UPDATE_COLUMNS
+from orderflow.session import checkpoint_root
+from orderflow.sources import versions
 from orderflow.sources.readers import Source, TableSpec, default_specs, extract_table
 from orderflow.sources.sinks import write_partition
-from orderflow.sources.state import incremental_pull
+from orderflow.sources.state import has_new_data, incremental_pull, load_watermark, resolve_since
 
 
 def extract(spark: SparkSession, src: Source, root: str, data_date: str,
@@ -38,64 +44,67 @@ def extract(spark: SparkSession, src: Source, root: str, data_date: str,
 
 def ingest_tracking(spark: SparkSession, feed: DataFrame, landing: str, state_path: str,
                     run_dt: str | None = None, initial_since: str | None = None) -> dict:
+    """One pull of the feed; when the gate finds nothing new, nothing is read
+    further and nothing is landed."""
     run_dt = run_dt or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+    since = resolve_since(load_watermark(spark, state_path), initial_since)
+    if not has_new_data(feed, since):
+        return {"since": since, "landed": None, "watermark": since}
     return incremental_pull(spark, feed, state_path, landing, run_dt,
                             initial_since=initial_since)
 
 
-def align(df: DataFrame, target: DataFrame) -> DataFrame:
-    """The target's columns, order and types; columns the change rows do not
-    carry are typed nulls (for update columns the upsert then writes null)."""
+def align(df: DataFrame, schema, defaults: dict | None = None) -> DataFrame:
+    """The schema's columns, order and types.  A column the rows do not carry
+    takes its declared default, else a typed null (for update columns the
+    upsert then writes null)."""
+    df = apply_defaults(df, defaults or {})
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
-                       .cast(f.dataType).alias(f.name) for f in target.schema.fields])
-
-
-def apply_changes(spark: SparkSession, tables: dict[str, DataFrame], out_root: str,
-                  today: _dt.datetime, version: str,
-                  return_rate: float | None = LATE_RETURN_RATE) -> str:
-    """Compute one late-change run and write every changed table into
-    ``out_root/v=<version>/<table>``; the ``_current`` pointer is written last."""
-    ch = apply_late_changes(tables["orders"], tables["shipments"], tables["payments"],
-                            tables["order_items"], today, checkpoint=True,
-                            return_rate=return_rate)
-    base = f"{out_root.rstrip('/')}/v={version}"
-    new = {
-        "orders": C.update_by_key(tables["orders"], ch["order_updates"], KEYS["orders"],
-                                  ["status", "updated_at", "event_timestamp"]),
-        "shipments": C.upsert(tables["shipments"], align(ch["shipments"], tables["shipments"]),
-                              KEYS["shipments"], UPDATE_COLUMNS["shipments"]),
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def apply_changes(spark: SparkSession, out_root: str, as_of: _dt.date) -> int:
+    """One late-change run on the published orders, shipments, payments and
+    order_status_history; all changes are published together.  Returns the
+    version."""
+    pub = versions.current(spark, out_root)
+    if pub is None:
+        raise ValueError(f"nothing is published in {out_root}")
+    t = {n: versions.read(spark, out_root, n) for n in ("orders", "shipments", "payments", "order_status_history")}
+    ch = late_changes(t["orders"], t["shipments"], t["payments"], t["order_status_history"], as_of)
+    rules = {
+        "orders": lambda old, c: C.update_by_key(old, c, KEYS["orders"], ["status", "updated_at", "event_timestamp"]),
+        "shipments": lambda old, c: C.update_by_key(old, c, KEYS["shipments"], ["status", "event_timestamp"]),
+        "payments": lambda old, c: C.update_by_key(old, c, KEYS["payments"], ["status"]),
+        "order_status_history": lambda old, c: C.insert_ignore(old, align(c, old.schema), KEYS["order_status_history"]),
     }
-    for t, name in (("order_status_history", "status_history"), ("payments", "payments"),
-                    ("returns", "returns")):
-        if t in tables:
-            new[t] = C.insert_ignore(tables[t], align(ch[name], tables[t]), KEYS[t])
-    for t, df in new.items():
-        df.write.mode("overwrite").parquet(f"{base}/{t}")
-    spark.createDataFrame([(base,)], "path string").coalesce(1).write.mode(
-        "overwrite").text(f"{out_root.rstrip('/')}/_current")
-    return base
-
-
-def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str,
-               version: str, current: dict[str, DataFrame] | None = None) -> str:
-    """C5 for a whole load: ``historical`` rebuilds every table from the
-    batch; ``incremental`` upserts the snapshot tables (only their update
-    columns) and insert-ignores the append-only ones onto ``current``.
-    Each table is conformed to its declared schema first; everything lands
-    in ``out_root/v=<version>`` and the ``_current`` pointer is written last."""
-    base = f"{out_root.rstrip('/')}/v={version}"
+    checkpoint_root(spark)
+    # each change set is used twice (its buckets, the merge): cut the lineage
+    new = {n: versions.merge_table(out_root, n, pub.tables[n], df.checkpoint(), KEYS[n], rules[n])
+           for n, df in ch.items()}
+    return versions.publish(spark, out_root, new, pub)
+
+
+def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str) -> int:
+    """C5 for a whole load: ``historical`` rebuilds the batch's tables from
+    the batch; ``incremental`` upserts the snapshot tables (only their update
+    columns) and insert-ignores the append-only ones onto the published
+    tables.  Each table is conformed to its declared schema first.  Returns
+    the version."""
+    pub = versions.current(spark, out_root)
+    new = {}
     for name, df in batch.items():
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}")
-        rows = align(df, spark.createDataFrame([], TABLES[name]))
-        target = None
+        rows = align(df, TABLES[name], DEFAULTS.get(name))
         if mode == "incremental":
-            if current is None or name not in current:
-                raise ValueError(f"incremental load of {name} needs its current table")
-            target = align(current[name], spark.createDataFrame([], TABLES[name]))
-        out = C.load(mode, target, rows, KEYS[name], UPDATE_COLUMNS.get(name),
-                     append_only=name in INSERT_IGNORE_TABLES)
-        out.write.mode("overwrite").parquet(f"{base}/{name}")
-    spark.createDataFrame([(base,)], "path string").coalesce(1).write.mode(
-        "overwrite").text(f"{out_root.rstrip('/')}/_current")
-    return base
+            if pub is None or name not in pub.tables:
+                raise ValueError(f"incremental load of {name} needs its published table")
+
+            def merge(old, changes, name=name):
+                return C.load(mode, old, changes, KEYS[name], UPDATE_COLUMNS.get(name),
+                              append_only=name in INSERT_IGNORE_TABLES)
+            new[name] = versions.merge_table(out_root, name, pub.tables[name], rows, KEYS[name], merge)
+        else:
+            new[name] = versions.write_table(out_root, name, C.load(mode, None, rows, KEYS[name]), KEYS[name])
+    return versions.publish(spark, out_root, new, pub)

@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F, types as T
 
@@ -28,24 +29,48 @@ def allocation(spark, d):
     return CAL.allocate(event_days(spark, d), "n_events", ALLOCATE_TOTAL, "day")
 
 
-_ALLOC_SQL = """w AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1),
-s AS (SELECT *, 1000.0::DOUBLE * n_events / (sum(n_events) OVER ())::DOUBLE AS share FROM w),
+def _alloc_sql(weight: str, total: str) -> str:
+    """The rule unit by unit: units are given (taken) round by round, in order
+    of the residual, until the sum fits."""
+    return f"""w AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1),
+ww AS (SELECT *, ({weight})::DOUBLE AS wt, {total} AS total FROM w),
+s AS (SELECT *, total::DOUBLE * wt / sum(wt) OVER () AS share FROM ww),
 b AS (SELECT *, greatest(1, CAST(round_even(share, 0) AS BIGINT)) AS base FROM s),
-rr AS (SELECT *, share - base AS res, 1000 - sum(base) OVER () AS diff FROM b),
-k AS (SELECT *, row_number() OVER (ORDER BY res DESC, day) AS rank_up,
-             row_number() OVER (PARTITION BY base > 1 ORDER BY res ASC, day) AS rank_down FROM rr),
-al AS (SELECT day, n_events, CAST(base + CASE WHEN diff > 0 AND rank_up <= diff THEN 1
-                   WHEN diff < 0 AND base > 1 AND rank_down <= -diff THEN -1 ELSE 0 END AS BIGINT)
-                 AS allocated FROM k)"""
+g AS (SELECT *, share - base AS res, total - sum(base) OVER () AS diff, count(*) OVER () AS n FROM b),
+give AS (SELECT day, res, diff, unnest(range(1, CAST(greatest(diff, 0) // n + 2 AS BIGINT))) AS rd FROM g),
+ad AS (SELECT day, count(*) AS c FROM (SELECT day, diff, row_number() OVER (ORDER BY rd, res DESC, day) AS k
+         FROM give) WHERE k <= diff GROUP BY day),
+unit AS (SELECT day, res, diff, unnest(range(1, base)) AS rd FROM g),
+tk AS (SELECT day, count(*) AS c FROM (SELECT day, diff, row_number() OVER (ORDER BY rd, res, day) AS k
+         FROM unit) WHERE k <= -diff GROUP BY day),
+al AS (SELECT g.day, g.n_events, CAST(g.base + coalesce(ad.c, 0) - coalesce(tk.c, 0) AS BIGINT) AS allocated
+       FROM g LEFT JOIN ad ON ad.day = g.day LEFT JOIN tk ON tk.day = g.day)"""
+
+
+_ALLOC_SQL = _alloc_sql("n_events", "1000")
 
 
 @query("allocate_total", f"WITH {_ALLOC_SQL} SELECT * FROM al")
 def q_allocate_total(spark, d):
     """1,000 units over the event days by event count: rint share, at
-    least 1, then +-1 on the largest residuals until the sum is exact."""
+    least 1, then +-1 by residual in rounds until the sum is exact."""
     return allocation(spark, d)
 
 
+@query("allocate_skewed", f"""
+WITH {_alloc_sql("CASE WHEN day = (SELECT min(day) FROM w) THEN n_events * 50 ELSE n_events END",
+                 "(SELECT count(*) + 9 FROM w)")} SELECT * FROM al
+""")
+def q_allocate_skewed(spark, d):
+    """D4 where one day holds most of the weight and the total is nine above
+    the number of days: several units are taken from one day."""
+    days = event_days(spark, d)
+    first, n = days.agg(F.min("day"), F.count(F.lit(1))).first()
+    w = days.withColumn("weight", F.when(F.col("day") == F.lit(first), F.col("n_events") * 50)
+                        .otherwise(F.col("n_events")))
+    return CAL.allocate(w, "weight", n + 9, "day").drop("weight")
+
+
 @query("expand_by_count", f"""
 WITH {_ALLOC_SQL}
 SELECT day, CAST(u AS BIGINT) AS unit FROM al, unnest(range(1, allocated + 1)) AS t(u)
@@ -66,6 +91,21 @@ def q_day_spine(spark, d):
     return CAL.spine_between(bounds, "lo", "hi")
 
 
+@query("days_back", """
+WITH e AS (SELECT CAST(max(ts) AS DATE) AS last FROM events),
+sp AS (SELECT CAST(unnest(generate_series(last - INTERVAL 10 DAY, last - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)
+         AS day FROM e)
+SELECT sp.day, count(ev.event_id) AS n_events FROM sp LEFT JOIN events ev ON CAST(ev.ts AS DATE) = sp.day GROUP BY 1
+""")
+def q_days_back(spark, d):
+    """The ten days before the last event day, with their events."""
+    ev = dt.table(spark, d, "events")
+    last = ev.agg(F.to_date(F.max("ts"))).first()[0]
+    counts = ev.groupBy(F.to_date("ts").alias("day")).agg(F.count("event_id").alias("n_events"))
+    return (CAL.day_spine(spark, last, 10).join(counts, "day", "left")
+            .select("day", F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events")))
+
+
 _DAYS_SQL = "dd AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)"
 
 
@@ -114,7 +154,7 @@ def q_duplicate_keys(spark, d):
 @query("null_counts", """
 WITH ls AS (SELECT l_orderkey AS order_id, l_shipdate AS shipped_at,
                    CASE WHEN l_linestatus = 'F' THEN l_shipdate + INTERVAL 2 DAY END AS actual_arrival
-            FROM lineitem WHERE l_returnflag <> 'N'),
+            FROM lineitem),
 fs AS (SELECT order_id, arg_min(shipped_at, shipped_at) AS shipped_at,
               count(*) AS n FROM ls GROUP BY 1),
 j AS (SELECT o.o_orderkey, fs.shipped_at, fs.n FROM orders o LEFT JOIN fs ON fs.order_id = o.o_orderkey)
@@ -131,16 +171,134 @@ def q_null_counts(spark, d):
 
 @query("orphans", """
 SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS sku, l_suppkey AS supplier_id
-FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey
-                                  AND o.o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
+FROM lineitem WHERE l_linenumber <> 7
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l_orderkey)
+UNION ALL SELECT -l_orderkey - 1, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 7
 """)
 def q_orphans(spark, d):
-    """Q3: lines whose order is missing from the order extract landed so far
-    (orders created before 2000)."""
-    parent = dt.orders(spark, d).filter(F.col("created_at") < F.lit("2000-01-01 00:00:00")
-                                        .cast("timestamp_ntz"))
-    child = dt.order_lines(spark, d).select("order_id", "line_number", "sku", "supplier_id")
-    return Q.orphans(child, parent, "order_id")
+    """Q3: lines whose order does not exist (every seventh line is given an
+    unknown order)."""
+    child = dt.order_lines(spark, d).select("order_id", "line_number", "sku", "supplier_id").withColumn(
+        "order_id", F.when(F.col("line_number") == 7, -F.col("order_id") - 1).otherwise(F.col("order_id")))
+    return Q.orphans(child, dt.orders(spark, d), "order_id")
+
+
+@query("width_rounding", """
+SELECT 'limit_value' AS column_name, 'NUMERIC(5,2)' AS "limit", CAST(count(*) AS BIGINT) AS violations
+FROM customer WHERE c_custkey % 10 >= 5
+""")
+def q_width_rounding(spark, d):
+    """Q4 at the limit: 999.990 to 999.999 by customer key; a NUMERIC(5,2)
+    column refuses what rounds to 1000.00."""
+    c = dt.customers(spark, d).select((F.lit(Decimal("999.990")) + (F.col("customer_id") % 10).cast(dec(3, 0))
+                                       * F.lit(Decimal("0.001"))).cast("double").alias("limit_value"))
+    return Q.width_violations(c, None, {"limit_value": (5, 2)})
+
+
+def constraint_tables(spark, d):
+    """The eight tables with the columns the driver tables give."""
+    from orderflow.plans.q_lifecycle import line_shipments, payments
+    o, lines = dt.orders(spark, d), priced_lines(spark, d)
+    pay = payments(spark, d).withColumn("payment_id", F.col("order_id"))
+    rets = (lines.filter(F.col("return_flag") == "R")
+            .select(F.concat_ws("-", "order_id", "line_number").alias("return_id"), "order_id", "line_number",
+                    F.col("packs_ordered").alias("quantity"), F.col("line_total").alias("amount")))
+    return {"customers": dt.customers(spark, d), "products": dt.products(spark, d),
+            "orders": o.select("order_id", "customer_id", "status", "created_at"),
+            "order_items": lines.select("order_id", "line_number", "sku", "quantity", "price_per_unit", "line_total"),
+            "shipments": line_shipments(spark, d).select("shipment_id", "order_id", "shipped_at"),
+            "order_status_history": status_events(spark, d), "payments": pay, "returns": rets}
+
+
+_C_PRICED = """pl AS (SELECT l.*, CAST(l_quantity AS INTEGER) * p_size AS quantity,
+    CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * (1 - CAST(CAST(l_discount AS DECIMAL(4,2)) * 100
+      AS DECIMAL(5,2)) * 0.01), 2) AS DECIMAL(10,2)) AS price FROM lineitem l JOIN part ON p_partkey = l_partkey),
+it AS (SELECT *, CAST(round(price * quantity, 2) AS DECIMAL(14,2)) AS total FROM pl)"""
+_C_EV = """ev AS (SELECT o_orderkey AS k, 'new' AS st, o_orderdate AS t FROM orders
+  UNION ALL SELECT l_orderkey, 'shipped', min(l_shipdate) FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1
+  UNION ALL SELECT l_orderkey, 'delivered', max(l_shipdate) FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    WHERE o_orderstatus = 'F' GROUP BY 1)"""
+
+
+def _nulls(table, source, cols):
+    return [(table, f"{c} NOT NULL", f"SELECT count(*) FROM {source} WHERE {x} IS NULL") for c, x in cols.items()]
+
+
+def _widths(table, source, cols):
+    return [(table, f"{c} VARCHAR({n})", f"SELECT count(*) FROM {source} WHERE length(CAST({x} AS VARCHAR)) > {n}")
+            for c, (x, n) in cols.items()]
+
+
+def _numbers(table, source, cols):
+    return [(table, f"{c} NUMERIC({p},{s})", f"SELECT count(*) FROM {source} WHERE abs(round({x}, {s})) >= 1e{p - s}")
+            for c, (x, p, s) in cols.items()]
+
+
+def _key(table, source, cols, names):
+    return [(table, f"PRIMARY KEY ({names})",
+             f"SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {cols} HAVING count(*) > 1)")]
+
+
+def _ref(table, what, child, col, parent, pcol):
+    return [(table, what, f"SELECT count(*) FROM {child} x WHERE {col} IS NOT NULL AND NOT EXISTS "
+                          f"(SELECT 1 FROM {parent} y WHERE y.{pcol} = x.{col})")]
+
+
+_CONSTRAINTS = [
+    *_nulls("customers", "customer", {"customer_id": "c_custkey", "customer_name": "c_name",
+                                      "customer_type": "c_mktsegment", "customer_inn": "c_custkey"}),
+    *_widths("customers", "customer", {"customer_id": ("c_custkey", 32), "customer_name": ("c_name", 256),
+                                       "customer_type": ("c_mktsegment", 32),
+                                       "customer_inn": ("lpad(CAST(c_custkey AS VARCHAR), 10, '0')", 20),
+                                       "contract_number": ("'C-' || c_custkey", 64)}),
+    *_numbers("customers", "customer", {"discount_pct": ("c_custkey % 15", 5, 2)}),
+    *_key("customers", "customer", "c_custkey", "customer_id"),
+    *_nulls("products", "part", {"sku": "p_partkey", "product_name": "p_name", "brand": "p_brand",
+                                 "category": "p_type"}),
+    *_numbers("products", "part", {"base_price": ("p_retailprice", 10, 2), "weight_kg": ("p_size * 0.05", 10, 3)}),
+    *_key("products", "part", "p_partkey", "sku"),
+    *_nulls("orders", "orders", {"order_id": "o_orderkey", "customer_id": "o_custkey", "status": "o_orderstatus",
+                                 "created_at": "o_orderdate"}),
+    *_widths("orders", "orders", {"order_id": ("o_orderkey", 64), "customer_id": ("o_custkey", 32),
+                                  "status": ("o_orderstatus", 32)}),
+    *_key("orders", "orders", "o_orderkey", "order_id"),
+    *_ref("orders", "customer_id REFERENCES customers(customer_id)", "orders", "o_custkey", "customer", "c_custkey"),
+    *_nulls("order_items", "it", {"order_id": "l_orderkey", "line_number": "l_linenumber", "sku": "l_partkey",
+                                  "quantity": "quantity", "price_per_unit": "price", "line_total": "total"}),
+    *_widths("order_items", "it", {"order_id": ("l_orderkey", 64), "sku": ("l_partkey", 32)}),
+    *_numbers("order_items", "it", {"price_per_unit": ("price", 10, 2), "line_total": ("total", 14, 2)}),
+    *_key("order_items", "it", "l_orderkey, l_linenumber", "order_id, line_number"),
+    *_ref("order_items", "order_id REFERENCES orders(order_id)", "it", "l_orderkey", "orders", "o_orderkey"),
+    *_ref("order_items", "sku REFERENCES products(sku)", "it", "l_partkey", "part", "p_partkey"),
+    *_nulls("shipments", "lineitem", {"shipment_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
+                                      "order_id": "l_orderkey"}),
+    *_key("shipments", "lineitem", "l_orderkey, l_linenumber, l_partkey, l_suppkey", "shipment_id"),
+    *_ref("shipments", "order_id REFERENCES orders(order_id)", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    *_nulls("order_status_history", "(SELECT * FROM ev WHERE t IS NOT NULL)",
+            {"event_id": "k", "order_id": "k", "status": "st", "status_ts": "t", "event_timestamp": "t"}),
+    *_key("order_status_history", "(SELECT * FROM ev WHERE t IS NOT NULL)", "k, st, t", "event_id"),
+    *_ref("order_status_history", "order_id REFERENCES orders(order_id)", "ev", "k", "orders", "o_orderkey"),
+    *_nulls("payments", "orders", {"payment_id": "o_orderkey", "order_id": "o_orderkey", "status": "o_orderstatus",
+                                   "amount_total": "o_totalprice", "amount_paid": "o_totalprice"}),
+    *_numbers("payments", "orders", {"amount_total": ("o_totalprice", 14, 2), "amount_paid": ("o_totalprice", 14, 2)}),
+    *_key("payments", "orders", "o_orderkey", "payment_id"),
+    *_ref("payments", "order_id REFERENCES orders(order_id)", "orders", "o_orderkey", "orders", "o_orderkey"),
+    *_nulls("returns", "(SELECT * FROM it WHERE l_returnflag = 'R')",
+            {"return_id": "l_orderkey", "order_id": "l_orderkey", "line_number": "l_linenumber",
+             "quantity": "l_quantity", "amount": "total"}),
+    *_numbers("returns", "(SELECT * FROM it WHERE l_returnflag = 'R')", {"amount": ("total", 14, 2)}),
+    *_key("returns", "(SELECT * FROM it WHERE l_returnflag = 'R')", "l_orderkey, l_linenumber", "return_id"),
+    *_ref("returns", "order_id REFERENCES orders(order_id)", "it", "l_orderkey", "orders", "o_orderkey"),
+]
+
+
+@query("constraint_report", f"WITH {_C_PRICED}, {_C_EV} " + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS constraint_name, CAST(({q}) AS BIGINT) AS violations"
+    for t, c, q in _CONSTRAINTS))
+def q_constraint_report(spark, d):
+    """Q1-Q4 over the declared schema of all eight tables."""
+    from orderflow import schemas as S
+    return Q.constraint_report(constraint_tables(spark, d), S.TABLES, S.KEYS, S.FOREIGN_KEYS, S.WIDTHS, S.NUMERICS)
 
 
 @query("width_violations", """

@@ -87,14 +87,16 @@ def lines(spark, d):
 WITH {_LINES_SQL},
 r AS (SELECT *, row_number() OVER (PARTITION BY order_id, line_number ORDER BY {_LINE_ORDER}) AS rn
       FROM lines)
-SELECT {", ".join(LINE_COLS)} FROM r WHERE rn = 1
+SELECT {", ".join(LINE_COLS)} FROM lines WHERE line_number = 1
+UNION ALL SELECT {", ".join(LINE_COLS)} FROM r WHERE rn = 1 AND line_number <> 1
 """)
 def q_insert_ignore_lines(spark, d):
-    """C2 onto an empty target: a key repeated in the batch keeps its first
-    row (ordered by all remaining columns)."""
+    """C2 onto the first lines of every order: their keys are known, and a
+    new key repeated in the batch keeps its first row (by all remaining
+    columns)."""
     batch = lines(spark, d)
-    empty = batch.limit(0)
-    return C.insert_ignore(empty, batch, ["order_id", "line_number"])
+    target = batch.filter(F.col("line_number") == 1)
+    return C.insert_ignore(target, batch, ["order_id", "line_number"])
 
 
 @query("insert_ignore_returns", f"""
@@ -137,8 +139,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _h,
 SELECT {", ".join(LINE_COLS)}, CAST(rn AS INTEGER) AS sample_rank FROM r WHERE rn <= 2
 """)
 def q_sample_line_per_order(spark, d):
-    """Two lines per order without replacement in md5 order (exact
-    salted two-stage top-n, so a huge order is spread over many tasks)."""
+    """Two lines per order without replacement in md5 order (a map-side
+    top-2 per order before the shuffle)."""
     return (C.sample_per_key(lines(spark, d), ["order_id"], 2, "lines",
                              ["order_id", "line_number", "sku", "supplier_id"],
                              rank_col="sample_rank")

@@ -2,8 +2,8 @@
 P6-P8 P10 P11) on the driver tables.
 
 Status binding: O + 5-LOW -> cancelled, O -> new, P -> in_transit,
-F -> delivered.  Shipments per line (returned / accepted lines only):
-shipped at the ship date, arrived two days later when the line is final.
+F -> delivered.  A shipment per line: shipped at the ship date, arrived two
+days later when the line is final; its stored status lags behind.
 """
 
 from __future__ import annotations
@@ -35,14 +35,14 @@ _LO_SQL = """lo AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   FROM orders)"""
 _LS_SQL = """ls AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS shipment_id,
   l_orderkey AS order_id, l_shipdate AS shipped_at, CAST(NULL AS TIMESTAMP) AS estimated_arrival,
-  CASE WHEN l_linestatus = 'F' THEN l_shipdate + INTERVAL 2 DAY END AS actual_arrival
-  FROM lineitem WHERE l_returnflag <> 'N')"""
+  CASE WHEN l_linestatus = 'F' THEN l_shipdate + INTERVAL 2 DAY END AS actual_arrival,
+  CASE WHEN l_returnflag = 'R' THEN 'partially_delivered' WHEN l_linestatus = 'F' THEN 'delayed'
+       ELSE 'in_transit' END AS status
+  FROM lineitem)"""
 _FS_SQL = """fs AS (SELECT shipment_id, order_id, shipped_at, estimated_arrival, actual_arrival FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY shipped_at NULLS FIRST,
                                shipment_id NULLS FIRST) AS rn FROM ls) WHERE rn = 1)"""
 _TODAY_SQL = "(SELECT max(o_orderdate) + INTERVAL 1 DAY FROM orders)"
-_NX_SQL = """nx AS (SELECT *, greatest(updated_at, created_at) + INTERVAL 30 MINUTE AS ts_base
-  FROM lo WHERE status IN ('assembled','shipped','in_transit','delayed','partially_delivered'))"""
 _RANK_SQL = ("CASE status WHEN 'new' THEN 0 WHEN 'cancelled' THEN 1 WHEN 'confirmed' THEN 2 "
              "WHEN 'assembled' THEN 3 WHEN 'shipped' THEN 4 WHEN 'in_transit' THEN 5 "
              "WHEN 'delayed' THEN 6 WHEN 'delivered' THEN 7 WHEN 'partially_delivered' THEN 8 END")
@@ -62,14 +62,16 @@ def lifecycle_orders(spark, d):
 
 
 def line_shipments(spark, d):
-    li = dt.order_lines(spark, d).filter(F.col("return_flag") != "N")
+    li = dt.order_lines(spark, d)
     return li.select(
         F.concat_ws("-", *[F.col(c).cast("string") for c in
                            ("order_id", "line_number", "sku", "supplier_id")]).alias("shipment_id"),
         "order_id", F.col("ship_date").alias("shipped_at"),
         F.lit(None).cast("timestamp_ntz").alias("estimated_arrival"),
         F.when(F.col("line_status") == "F", F.col("ship_date") + F.make_interval(days=F.lit(2)))
-        .alias("actual_arrival"))
+        .alias("actual_arrival"),
+        F.when(F.col("return_flag") == "R", "partially_delivered")
+        .when(F.col("line_status") == "F", "delayed").otherwise("in_transit").alias("status"))
 
 
 def today(spark, d) -> _dt.datetime:
@@ -77,12 +79,6 @@ def today(spark, d) -> _dt.datetime:
     return dt.orders(spark, d).agg(F.max("created_at")).first()[0] + _dt.timedelta(days=1)
 
 
-def to_deliver(spark, d):
-    """Orders whose next status is delivered (E4), with their base time."""
-    nx = LC.advance_status(lifecycle_orders(spark, d))
-    return LC.change_base_time(nx.filter(F.col("next_status") == "delivered"))
-
-
 # --- E1 / E2 ----------------------------------------------------------------
 _EV_SQL = f"""a AS (SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
         FROM lineitem GROUP BY l_orderkey),
@@ -92,7 +88,8 @@ m AS (SELECT o.o_orderkey AS order_id, o.o_orderdate AS created_at, a.first_ship
 ev AS (SELECT order_id, 'new' AS status, created_at AS status_ts, 'erp' AS source_system FROM m
        UNION ALL SELECT order_id, 'shipped', first_ship, 'tms' FROM m
        UNION ALL SELECT order_id, 'delivered', delivered_at, 'tms' FROM m),
-se AS (SELECT 'ST-' || upper(substr(md5(concat_ws(':', order_id, status)), 1, 12)) AS event_id,
+se AS (SELECT 'ST-' || upper(md5(concat_ws(':', order_id, status,
+                strftime(status_ts, '%Y-%m-%d %H:%M:%S.%f')))) AS event_id,
               order_id, status, status_ts, CAST(NULL AS VARCHAR) AS reason, source_system,
               status_ts AS event_timestamp FROM ev WHERE status_ts IS NOT NULL)"""
 
@@ -277,118 +274,6 @@ def q_orders_without_lines(spark, d):
     return LC.orders_without(o, dt.order_lines(spark, d))
 
 
-# --- E5 / E6 / E7 -------------------------------------------------------------
-_LATE_SHIP_SQL = f"""
-WITH {_LO_SQL}, {_LS_SQL}, {_FS_SQL}, {_NX_SQL},
-j AS (SELECT nx.order_id, nx.customer_id, nx.ts_base, nx.total_weight_kg, fs.shipment_id,
-             fs.shipped_at, fs.estimated_arrival, fs.actual_arrival
-      FROM nx LEFT JOIN fs ON fs.order_id = nx.order_id)
-SELECT coalesce(shipment_id, 'SHP-' || upper(substr(md5(concat_ws(':', order_id, 'late')), 1, 8)))
-         AS shipment_id,
-       order_id, customer_id, 'delivered' AS status,
-       coalesce(shipped_at, ts_base) AS shipped_at,
-       coalesce(estimated_arrival, coalesce(shipped_at, ts_base) + INTERVAL 2 HOUR) AS estimated_arrival,
-       coalesce(actual_arrival, coalesce(shipped_at, ts_base) + INTERVAL 3 HOUR) AS actual_arrival,
-       CASE WHEN shipment_id IS NULL THEN greatest(1, CAST(floor(total_weight_kg / 800) AS INTEGER))
-       END AS pallets_count,
-       total_weight_kg,
-       coalesce(actual_arrival, coalesce(shipped_at, ts_base) + INTERVAL 3 HOUR) AS event_timestamp,
-       shipment_id IS NULL AS is_new_shipment
-FROM j
-"""
-
-
-@query("late_shipments", _LATE_SHIP_SQL)
-def q_late_shipments(spark, d):
-    """E5: orders moving to delivered get a new delivered shipment, or their
-    first shipment with missing times filled (shipped, +2 h, +3 h)."""
-    return LC.late_shipments(to_deliver(spark, d), line_shipments(spark, d))
-
-
-@query("late_payments", f"""
-WITH {_LO_SQL}, {_NX_SQL},
-pay AS (SELECT o_orderkey AS order_id FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
-dd AS (SELECT * FROM nx WHERE NOT EXISTS (SELECT 1 FROM pay WHERE pay.order_id = nx.order_id))
-SELECT 'PAY-' || upper(substr(md5(concat_ws(':', order_id, 'late')), 1, 12)) AS payment_id,
-       order_id, customer_id, total_amount AS amount_total, CAST(0 AS DECIMAL(14,2)) AS amount_paid,
-       CAST(created_at AS DATE) + payment_terms_days AS due_date,
-       CASE WHEN 0 >= total_amount THEN 'paid'
-            WHEN CAST(created_at AS DATE) + payment_terms_days > CAST({_TODAY_SQL} AS DATE)
-            THEN 'planned' ELSE 'overdue' END AS status,
-       created_at, ts_base AS event_timestamp
-FROM dd
-""")
-def q_late_payments(spark, d):
-    """Orders moving to delivered without a payment get one payment row
-    (due = created + terms, status by rule P6; nothing paid yet)."""
-    pay = dt.orders(spark, d).filter(F.col("priority").isin("1-URGENT", "2-HIGH")).select("order_id")
-    return LC.late_payments(to_deliver(spark, d), pay, today(spark, d).date())
-
-
-@query("late_returns", f"""
-WITH {_LO_SQL}, {_NX_SQL},
-pl AS (SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number, l.l_partkey AS sku,
-              l.l_suppkey AS supplier_id, CAST(l.l_quantity AS INTEGER) * p.p_size AS quantity,
-              CAST(round(CAST(p.p_retailprice AS DECIMAL(10,2)) * (1 - CAST(CAST(l.l_discount
-                AS DECIMAL(4,2)) * 100 AS DECIMAL(5,2)) * 0.01), 2) AS DECIMAL(10,2)) AS price_per_unit
-       FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
-c AS (SELECT pl.*, nx.ts_base FROM pl JOIN nx ON nx.order_id = pl.order_id
-      WHERE substr(md5(concat_ws('|', 'late-return', nx.order_id)), 1, 8) < '051eb851'),
-r AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY
-        md5(concat_ws('|', 'late-return', order_id, line_number)), order_id NULLS FIRST,
-        line_number NULLS FIRST, sku NULLS FIRST, supplier_id NULLS FIRST, quantity NULLS FIRST,
-        price_per_unit NULLS FIRST, ts_base NULLS FIRST) AS rn FROM c),
-s AS (SELECT *, greatest(1, CAST(trunc(quantity * 0.05::DOUBLE) AS INTEGER)) AS rq FROM r WHERE rn = 1)
-SELECT 'RET-' || upper(substr(md5(concat_ws(':', order_id, line_number, 'late')), 1, 12)) AS return_id,
-       order_id, line_number, sku, rq AS quantity,
-       CAST(round(price_per_unit * rq, 2) AS DECIMAL(14,2)) AS amount,
-       ts_base + INTERVAL 1 DAY AS created_at, ts_base + INTERVAL 1 DAY AS event_timestamp
-FROM s
-""")
-def q_late_returns(spark, d):
-    """About 2 % of the orders moving to delivered (md5 draw) return one
-    md5-sampled line, at the largest quantity the late path allows (5 %)."""
-    items = priced_lines(spark, d).select("order_id", "line_number", "sku", "supplier_id",
-                                          "quantity", "price_per_unit")
-    return LC.late_returns(to_deliver(spark, d), items)
-
-
-# --- E9 -------------------------------------------------------------------
-@query("late_changes", f"""
-WITH {_LO_SQL}, {_LS_SQL}, {_FS_SQL},
-op AS (SELECT * FROM lo WHERE created_at >= {_TODAY_SQL} - INTERVAL 7 DAY
-       AND status NOT IN ('delivered', 'cancelled')),
-rc AS (SELECT * FROM op ORDER BY created_at DESC, order_id LIMIT 300),
-n AS (SELECT least(count(*), least(60, greatest(10, CAST(trunc(count(*) * 0.2) AS BIGINT)))) AS n
-      FROM rc),
-pk AS (SELECT rc.* FROM (SELECT *, row_number() OVER (ORDER BY
-         md5(concat_ws('|', 'late', order_id)), order_id NULLS FIRST, customer_id NULLS FIRST,
-         status NULLS FIRST, created_at NULLS FIRST, updated_at NULLS FIRST,
-         total_amount NULLS FIRST, total_weight_kg NULLS FIRST, payment_terms_days NULLS FIRST,
-         priority NULLS FIRST) AS rn FROM rc) rc, n WHERE rc.rn <= n.n),
-tr(status, next_status, source_system) AS (VALUES ('new','confirmed','erp'),
-   ('confirmed','assembled','wms'), ('assembled','delivered','tms'), ('shipped','delivered','tms'),
-   ('in_transit','delivered','tms'), ('delayed','delivered','tms'),
-   ('partially_delivered','delivered','tms')),
-nx AS (SELECT pk.*, tr.next_status, greatest(updated_at, created_at) + INTERVAL 30 MINUTE AS ts_base
-       FROM pk JOIN tr ON tr.status = pk.status),
-ar AS (SELECT nx.order_id, coalesce(fs.actual_arrival,
-                 coalesce(fs.shipped_at, nx.ts_base) + INTERVAL 3 HOUR) AS arr
-       FROM nx LEFT JOIN fs ON fs.order_id = nx.order_id WHERE nx.next_status = 'delivered')
-SELECT nx.order_id, nx.next_status AS status, coalesce(ar.arr, nx.ts_base) AS updated_at,
-       coalesce(ar.arr, nx.ts_base) AS event_timestamp
-FROM nx LEFT JOIN ar ON ar.order_id = nx.order_id
-""")
-def q_late_changes(spark, d):
-    """One late-change run -- recent open orders (F3), newest 300 (L4),
-    bounded md5 sample (L7), lookup (J3), transition (E4), base time (E8),
-    shipment fill (E5) -> the order status updates to apply with C3."""
-    ch = LC.apply_late_changes(lifecycle_orders(spark, d), line_shipments(spark, d),
-                               dt.orders(spark, d).select("order_id").limit(0),
-                               priced_lines(spark, d), today(spark, d))
-    return ch["order_updates"]
-
-
 # --- P6 / P7 / P8 / P10 / P11 ---------------------------------------------------
 AS_OF = _dt.date(1998, 6, 1)
 _PAY_SQL = """pm AS (SELECT o_orderkey AS order_id, o_orderstatus,
@@ -473,14 +358,23 @@ def q_return_amounts(spark, d):
 
 @query("payment_times", f"""
 WITH {_LO_SQL},
-s AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS arr FROM lineitem GROUP BY l_orderkey)
-SELECT lo.order_id, coalesce(s.arr, lo.updated_at) AS payment_base_ts
+s AS (SELECT o.o_orderkey AS order_id, o.o_orderdate AS shipped,
+             CASE WHEN o.o_orderkey % 5 <> 0 THEN min(l_shipdate) END AS arr
+      FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey GROUP BY 1, 2)
+SELECT lo.order_id, coalesce(s.arr, s.shipped, lo.updated_at) AS payment_base_ts,
+       CASE WHEN lo.priority = '1-URGENT' THEN lo.updated_at + INTERVAL 1 DAY ELSE lo.updated_at END
+         AS event_timestamp
 FROM lo LEFT JOIN s ON s.order_id = lo.order_id
 """)
 def q_payment_times(spark, d):
-    """P10: payment base time = arrival, else shipping time, else last status time."""
-    return (O.payment_times(lifecycle_orders(spark, d), dt.shipments(spark, d))
-            .select("order_id", "payment_base_ts"))
+    """P10: payment base time = arrival, else shipping time (every fifth
+    order has not arrived), else last status time; event time = paid time
+    (urgent orders), else last status time."""
+    o = lifecycle_orders(spark, d).withColumn("paid_at", F.when(
+        F.col("priority") == "1-URGENT", F.col("updated_at") + F.make_interval(days=F.lit(1))))
+    ships = dt.shipments(spark, d).withColumn("actual_arrival", F.when(
+        F.col("order_id") % 5 != 0, F.col("actual_arrival")))
+    return O.payment_times(o, ships).select("order_id", "payment_base_ts", "event_timestamp")
 
 
 @query("returnable", f"""
@@ -491,5 +385,116 @@ WHERE lo.status <> 'cancelled' AND fs.actual_arrival IS NOT NULL
 """)
 def q_returnable(spark, d):
     """Orders that are not cancelled and whose (first) shipment arrived."""
-    j = LC.attach_shipment(lifecycle_orders(spark, d), line_shipments(spark, d))
+    j = LC.attach_shipment(lifecycle_orders(spark, d), line_shipments(spark, d).drop("status"))
     return O.returnable_orders(j).select("order_id", "status", "actual_arrival")
+
+
+# --- E5 / E6 / E7 / E9: late changes read off the landed data ---------------------
+_TO_SQL = """CASE WHEN actual_arrival IS NULL THEN status WHEN status = 'partially_delivered' THEN status
+  ELSE 'delivered' END"""
+_STORED_SQL = "CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'planned' ELSE 'partial' END"
+_PAY_NOW_SQL = f"""pm AS (SELECT 'P-' || o_orderkey AS payment_id, {_STORED_SQL} AS stored,
+    CAST(o_totalprice AS DECIMAL(14,2)) AS total,
+    CASE o_orderpriority WHEN '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(14,2))
+         WHEN '2-HIGH' THEN CAST(round(CAST(o_totalprice AS DECIMAL(14,2)) * 0.5, 2) AS DECIMAL(14,2))
+         ELSE CAST(0 AS DECIMAL(14,2)) END AS paid,
+    CAST(o_orderdate AS DATE) + 30 AS due FROM orders),
+lp AS (SELECT payment_id, CASE WHEN paid >= total THEN 'paid' WHEN paid > 0 THEN 'partial'
+              WHEN due > CAST({_TODAY_SQL} AS DATE) THEN 'planned' ELSE 'overdue' END AS status, stored FROM pm)"""
+
+
+def stored_payments(spark, d):
+    p = payments(spark, d)
+    stored = (F.when(F.col("status") == "F", "paid").when(F.col("status") == "O", "planned").otherwise("partial"))
+    return p.withColumn("status", stored).withColumn(
+        "payment_id", F.concat(F.lit("P-"), F.col("order_id").cast("string")))
+
+
+@query("late_shipments", f"""
+WITH {_LS_SQL}
+SELECT shipment_id, {_TO_SQL} AS status, actual_arrival AS event_timestamp FROM ls
+WHERE {_TO_SQL} <> status
+""")
+def q_late_shipments(spark, d):
+    """E5: shipments whose landed arrival changes their status."""
+    return LC.late_shipments(line_shipments(spark, d))
+
+
+@query("late_payments", f"""
+WITH {_PAY_NOW_SQL}
+SELECT payment_id, status FROM lp WHERE status <> stored
+""")
+def q_late_payments(spark, d):
+    """Payments whose stored status no longer fits the rule P6 on the
+    day after the last order."""
+    return LC.late_payments(stored_payments(spark, d), today(spark, d).date())
+
+
+@query("late_returns", f"""
+WITH {_LO_SQL}, {_LS_SQL}, {_FS_SQL}, {_PL_SQL},
+ok AS (SELECT lo.order_id FROM lo JOIN fs ON fs.order_id = lo.order_id
+       WHERE lo.status <> 'cancelled' AND fs.actual_arrival IS NOT NULL),
+x AS (SELECT r.l_orderkey AS order_id, r.l_linenumber AS line_number, r.l_partkey AS sku, r.l_suppkey AS supplier_id,
+             least(CAST(r.l_quantity AS INTEGER), greatest(1, CAST(trunc(pl.quantity * 0.05::DOUBLE) AS INTEGER)))
+               AS quantity, pl.price_per_unit
+      FROM lineitem r JOIN pl ON pl.order_id = r.l_orderkey AND pl.line_number = r.l_linenumber
+        AND pl.sku = r.l_partkey AND pl.supplier_id = r.l_suppkey
+      WHERE r.l_returnflag = 'R' AND r.l_orderkey IN (SELECT order_id FROM ok))
+SELECT order_id, line_number, sku, supplier_id, quantity,
+       CAST(round(price_per_unit * quantity, 2) AS DECIMAL(14,2)) AS amount FROM x
+""")
+def q_late_returns(spark, d):
+    """The returned lines of orders that arrived (P11), at most 5 % of
+    the line, priced at the line (P8)."""
+    keys = ("order_id", "line_number", "sku", "supplier_id")
+    rets = (dt.order_lines(spark, d).filter(F.col("return_flag") == "R")
+            .select(*keys, F.col("packs_ordered").alias("quantity")))
+    ship = line_shipments(spark, d).drop("status")
+    arrived = O.returnable_orders(LC.attach_shipment(lifecycle_orders(spark, d), ship))
+    return LC.late_returns(rets, priced_lines(spark, d), arrived, keys)
+
+
+_PROGRESS_SQL = ("CASE {0} WHEN 'new' THEN 0 WHEN 'confirmed' THEN 1 WHEN 'assembled' THEN 2 WHEN 'shipped' THEN 3 "
+                 "WHEN 'in_transit' THEN 4 WHEN 'delayed' THEN 5 WHEN 'partially_delivered' THEN 6 "
+                 "WHEN 'delivered' THEN 7 WHEN 'cancelled' THEN 7 END")
+
+
+@query("late_changes", f"""
+WITH {_LO_SQL}, {_LS_SQL}, {_EV_SQL}, {_PAY_NOW_SQL},
+s AS (SELECT order_id, count(*) AS n, count(actual_arrival) AS arrived, min(shipped_at) AS shipped,
+             max(actual_arrival) AS arrival FROM ls GROUP BY 1),
+hr AS (SELECT *, {_RANK_SQL} AS rk FROM se),
+h AS (SELECT order_id, status AS final_status, last_status_ts FROM (
+        SELECT order_id, status, max(status_ts) OVER (PARTITION BY order_id) AS last_status_ts,
+               row_number() OVER (PARTITION BY order_id ORDER BY rk DESC, event_id DESC) AS rn
+        FROM hr WHERE rk IS NOT NULL) WHERE rn = 1),
+j AS (SELECT lo.order_id, lo.status,
+        CASE WHEN s.n > 0 AND s.arrived = s.n THEN 'delivered' WHEN s.arrived > 0 THEN 'partially_delivered'
+             WHEN s.shipped IS NOT NULL THEN 'in_transit' ELSE h.final_status END AS nxt,
+        greatest(lo.updated_at, CASE WHEN s.arrived > 0 THEN s.arrival WHEN s.shipped IS NOT NULL THEN s.shipped
+                                     ELSE h.last_status_ts END) AS at_ts
+      FROM lo LEFT JOIN s ON s.order_id = lo.order_id LEFT JOIN h ON h.order_id = lo.order_id
+      WHERE lo.status NOT IN ('delivered', 'cancelled')),
+u AS (SELECT order_id, nxt AS status, at_ts FROM j
+      WHERE {_PROGRESS_SQL.format("nxt")} > coalesce({_PROGRESS_SQL.format("status")}, -1))
+SELECT 'order' AS entity, CAST(order_id AS VARCHAR) AS id, status, at_ts AS event_timestamp FROM u
+UNION ALL SELECT 'shipment', shipment_id, {_TO_SQL}, actual_arrival FROM ls WHERE {_TO_SQL} <> status
+UNION ALL SELECT 'payment', payment_id, status, NULL FROM lp WHERE status <> stored
+UNION ALL SELECT 'status_event', 'ST-' || upper(md5(concat_ws(':', order_id, status,
+    strftime(at_ts, '%Y-%m-%d %H:%M:%S.%f')))), status, at_ts FROM u
+  WHERE NOT EXISTS (SELECT 1 FROM se WHERE se.order_id = u.order_id AND se.status = u.status AND se.status_ts = u.at_ts)
+""")
+def q_late_changes(spark, d):
+    """The changes that landed shipments, payments and status events
+    imply for all open orders, all four change sets in one list."""
+    ch = LC.late_changes(lifecycle_orders(spark, d), line_shipments(spark, d), stored_payments(spark, d),
+                         status_events(spark, d), today(spark, d).date())
+    ts = "timestamp_ntz"
+
+    def rows(entity, df, key):
+        at = F.col("event_timestamp") if "event_timestamp" in df.columns else F.lit(None)
+        return df.select(F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id"), "status",
+                         at.cast(ts).alias("event_timestamp"))
+    return (rows("order", ch["orders"], "order_id").unionByName(rows("shipment", ch["shipments"], "shipment_id"))
+            .unionByName(rows("payment", ch["payments"], "payment_id"))
+            .unionByName(rows("status_event", ch["order_status_history"], "event_id")))

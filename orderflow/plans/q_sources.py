@@ -7,6 +7,8 @@ result is what a downstream reader would see.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F, types as T
 
 from orderflow.functions.time import ntz
@@ -79,7 +81,7 @@ def q_snapshot_copy(spark, d):
 @query("shipped_lines", """
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS shipment_id,
        l_orderkey AS order_id, l_shipdate AS shipped_at
-FROM lineitem WHERE l_returnflag <> 'N' AND l_linestatus = 'F'
+FROM lineitem WHERE l_linestatus = 'F'
 """)
 def q_shipped_lines(spark, d):
     """Only shipped shipments, with the columns tracking needs."""
@@ -102,11 +104,8 @@ def q_landed_roundtrip(spark, d):
 PAGE_SIZE = 500
 
 
-@query("page_envelopes", f"SELECT {_FEED_SQL} FROM events")
-def q_page_envelopes(spark, d):
-    """The feed served as pages of 500 ``{{data, pagination}}`` envelopes
-    (one JSON line each), read back into one row per event."""
-    root = scratch_dir(spark, "pages")
+def land_pages(spark, d, folder):
+    """The feed served as pages of 500 ``{data, pagination}`` envelopes."""
     feed = dt.tracking_feed(spark, d)
     stats = feed.agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("m")).first()
     total, pages = stats["n"], (int(stats["m"] or 0) // PAGE_SIZE) + 1
@@ -116,7 +115,27 @@ def q_page_envelopes(spark, d):
                                     F.lit(total).cast("long").alias("total"),
                                     F.lit(pages).alias("pages")).alias("pagination"),
                    F.lit("2024-01-31T00:00:00").alias("timestamp")))
-    env.write.option("timestampNTZFormat", K.JSON_TS_FORMAT).json(root)
+    env.write.option("timestampNTZFormat", K.JSON_TS_FORMAT).json(folder)
+    return env
+
+
+@query("page_envelopes", f"SELECT {_FEED_SQL} FROM events")
+def q_page_envelopes(spark, d):
+    """The feed served as pages of 500 ``{data, pagination}`` envelopes
+    (one JSON line each), read back into one row per event."""
+    root = scratch_dir(spark, "pages")
+    land_pages(spark, d, root)
+    return R.read_page_envelopes(spark, root, FEED_SCHEMA)
+
+
+@query("page_envelopes_two_pulls", f"SELECT {_FEED_SQL} FROM events")
+def q_page_envelopes_two_pulls(spark, d):
+    """S6 over the folders of two pulls: the second found nothing and landed
+    one empty first page, which must not stop the pages of the first."""
+    root = scratch_dir(spark, "pulls")
+    env = land_pages(spark, d, f"{root}/pull=1")
+    empty = env.orderBy("pagination.page").limit(1).withColumn("data", F.filter("data", lambda e: F.lit(False)))
+    empty.write.option("timestampNTZFormat", K.JSON_TS_FORMAT).json(f"{root}/pull=2")
     return R.read_page_envelopes(spark, root, FEED_SCHEMA)
 
 
@@ -151,6 +170,40 @@ def q_incremental_pull(spark, d):
     return R.read_landed_tracking(spark, landing, FEED_SCHEMA)
 
 
+@query("empty_pull", f"""
+WITH {_PULL_SQL}
+SELECT e.*, DATE '2024-01-30' AS dt FROM e, c WHERE "timestamp" < c.cutoff
+UNION ALL SELECT e.*, DATE '2024-01-31' AS dt FROM e, b WHERE "timestamp" >= b.boundary
+""")
+def q_empty_pull(spark, d):
+    """K3: a third pull that finds nothing at or after the saved state (the
+    feed without its last day) lands nothing."""
+    landing, _, r2 = _two_pulls(spark, d)
+    state = landing.replace("/landing", "/state")
+    feed = dt.tracking_feed(spark, d)
+    cutoff = feed.agg(F.to_date(F.max("timestamp"))).first()[0]
+    W.incremental_pull(spark, feed.filter(F.col("timestamp") < ntz(cutoff)), state, landing, "2024-02-01",
+                       "20240201T000000")
+    return R.read_landed_tracking(spark, landing, FEED_SCHEMA)
+
+
+@query("new_data_gate", """
+WITH m AS (SELECT max(ts) AS last FROM events)
+SELECT 'any' AS since, count(*) > 0 AS has_new FROM events
+UNION ALL SELECT 'last event', count(*) > 0 FROM events, m WHERE ts >= last
+UNION ALL SELECT 'after it', count(*) > 0 FROM events, m WHERE ts >= last + INTERVAL 1 MICROSECOND
+""")
+def q_new_data_gate(spark, d):
+    """The gate with no state, at the last event (inclusive) and just
+    after it."""
+    feed = dt.tracking_feed(spark, d)
+    last = _dt.datetime.fromisoformat(W.max_timestamp(feed))
+    sinces = {"any": None, "last event": last.isoformat(),
+              "after it": (last + _dt.timedelta(microseconds=1)).isoformat()}
+    return spark.createDataFrame([(k, W.has_new_data(feed, s)) for k, s in sinces.items()],
+                                 "since string, has_new boolean")
+
+
 @query("dedupe_events", f"""
 WITH {_PULL_SQL}
 SELECT e.*, CASE WHEN "timestamp" < c.cutoff THEN DATE '2024-01-30' ELSE DATE '2024-01-31' END AS dt
@@ -183,8 +236,8 @@ def q_stream_dedupe(spark, d):
 @query("stream_upsert", _UPSERT_SQL)
 def q_stream_upsert(spark, d):
     """ST2: the orders land as a first change file, the change batch as a
-    second; each ``availableNow`` run upserts onto the current version and
-    moves the pointer."""
+    second; each ``availableNow`` run upserts into the key buckets it touches
+    and publishes them."""
     base = scratch_dir(spark, "stream-upsert")
     changes, tables, ckpt = f"{base}/changes", f"{base}/orders", f"{base}/_checkpoint"
     schema = T.StructType(order_target(spark, d).schema.fields
@@ -194,7 +247,22 @@ def q_stream_upsert(spark, d):
          .write.mode("append").option("ignoreNullFields", "false")
          .option("timestampNTZFormat", K.JSON_TS_FORMAT).json(changes))
         ST.stream_upsert(spark, changes, schema, tables, ["order_id"], ["status", "priority"], ckpt)
-    return spark.read.parquet(ST.current_version(spark, tables)).select(*ORDER_COLS)
+    return ST.read_upserted(spark, tables).select(*ORDER_COLS)
+
+
+@query("stream_late", f"SELECT {_FEED_SQL} FROM events")
+def q_stream_late(spark, d):
+    """ST1 with a late sink: the last ten days land first, the whole feed
+    second; what is behind the one-day watermark by then goes to the late
+    sink, and both sinks together hold every event once."""
+    base = scratch_dir(spark, "stream-late")
+    landing, out, late, ckpt = (f"{base}/{x}" for x in ("landing", "out", "late", "_checkpoint"))
+    feed = dt.tracking_feed(spark, d)
+    cutoff = feed.agg(F.to_date(F.max("timestamp"))).first()[0] - _dt.timedelta(days=10)
+    for i, part in enumerate([feed.filter(F.col("timestamp") >= ntz(cutoff)), feed]):
+        K.land_jsonl(part, landing, f"2024-01-3{i}", str(i))
+        ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA, lateness="1 day", late_out=late)
+    return spark.read.parquet(out).select(*FEED_COLS).unionByName(spark.read.parquet(late).select(*FEED_COLS))
 
 
 @query("late_rows", f"""

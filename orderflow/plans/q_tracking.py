@@ -1,11 +1,11 @@
 """Tracking queries on the driver tables.
 
-Bindings: a shipment per order with lines (shipped at the order date,
-arrived at the earliest ship date); its delivery address names the
-customer's nation; routes are a dimension derived from nation / region
-(one per nation outside AFRICA, 3-5 points).  The tracking feed is the
-``events`` table: user = shipment, value -> speed (0 below 20) and a
-temperature reading.
+Bindings: the tracking feed is the ``events`` table (user = shipment, value ->
+speed, 0 below 20, and a temperature reading); a shipment per customer with
+that key, shipped in the feed's first hours, with an actual, an estimated or
+no arrival; its delivery address names the customer's nation (some have no
+city, some are empty); routes are a dimension derived from nation / region
+(one per nation, 3-5 points).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def routes(spark, d):
         dt.table(spark, d, "region").alias("r"), F.col("n.n_regionkey") == F.col("r.r_regionkey"))
     nk = F.col("n_nationkey")
     start = F.array(F.struct(F.lit(55.7943).alias("lat"), F.lit(49.1115).alias("lon"),
-                             F.lit("Склад КМК, Казань").alias("label")))
+                             F.lit("Depot").alias("label")))
     mids = F.transform(F.sequence(F.lit(1), F.lit(1) + F.col("n_regionkey") % 3), lambda j: F.struct(
         (F.lit(55.8) - F.lit(0.1) * j - F.lit(0.01) * nk).alias("lat"),
         (F.lit(49.1) + F.lit(0.5) * j + F.lit(0.02) * nk).alias("lon"),
@@ -34,26 +34,35 @@ def routes(spark, d):
     end = F.array(F.struct((F.lit(54.9) + F.lit(0.03) * nk).alias("lat"),
                            (F.lit(52.3) - F.lit(0.05) * F.col("n_regionkey")).alias("lon"),
                            F.concat(F.col("n_name"), F.lit(", РЦ")).alias("label")))
-    return (n.filter(F.col("r_name") != "AFRICA")
-            .select(F.col("n_name").alias("city"), nk.cast("int").alias("ord"),
-                    F.concat(start, mids, end).alias("route")))
+    return n.select(F.col("n_name").alias("city"), nk.cast("int").alias("ord"),
+                    F.concat(start, mids, end).alias("route"))
 
 
 def addresses(spark, d):
-    c = dt.customers(spark, d)
-    return (c.join(dt.regions(spark, d), "region_id")
-            .select("customer_id", F.concat(F.lit("Customer address, "), F.col("customer_region"))
-                    .alias("delivery_address")))
+    k = F.col("customer_id")
+    address = (F.when(k % 13 == 0, "").when(k % 11 == 0, "No city")
+               .otherwise(F.concat(F.lit("Customer address, "), F.col("customer_region"))))
+    return (dt.customers(spark, d).join(dt.regions(spark, d), "region_id")
+            .select("customer_id", address.alias("delivery_address")))
 
 
 def shipments(spark, d):
-    return (dt.shipments(spark, d).join(addresses(spark, d), "customer_id")
-            .withColumn("shipment_id", F.col("order_id").cast("string")))
+    k = F.col("customer_id")
+    start = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    return (addresses(spark, d)
+            .withColumn("shipped_at", start + F.make_interval(hours=(k % 7).cast("int")))
+            .withColumn("actual_arrival", F.when(k % 3 == 0, F.col("shipped_at") + F.make_interval(days=F.lit(20))))
+            .withColumn("estimated_arrival", F.when(k % 3 == 1, F.col("shipped_at") + F.make_interval(days=F.lit(10))))
+            .select(k.alias("shipment_id"), k.alias("order_id"), "delivery_address", "shipped_at",
+                    "estimated_arrival", "actual_arrival",
+                    F.concat(F.lit("V"), k.cast("string")).alias("vehicle_plate"),
+                    F.when(k % 2 == 0, "0-4").alias("temperature_zone")))
 
 
-def routed_points(spark, d):
-    routed = TR.match_route(shipments(spark, d), routes(spark, d), key="shipment_id")
-    return TR.trip_points(routed)
+def located(spark, d):
+    readings = feed(spark, d).drop("event_type", "value")
+    points = TR.observed_points(readings, TR.match_route(shipments(spark, d), routes(spark, d)))
+    return TR.classify_event(TR.interpolate_route(points))
 
 
 def feed(spark, d):
@@ -68,15 +77,16 @@ def feed(spark, d):
 
 # --- SQL fragments of the oracle -------------------------------------------
 _RT_SQL = """rt AS (SELECT n.n_name AS city, n.n_nationkey AS ord,
-  list_concat([{'lat': 55.7943::DOUBLE, 'lon': 49.1115::DOUBLE, 'label': 'Склад КМК, Казань'}],
+  list_concat([{'lat': 55.7943::DOUBLE, 'lon': 49.1115::DOUBLE, 'label': 'Depot'}],
     list_transform(range(1, 2 + n.n_regionkey % 3), lambda j: {
       'lat': 55.8::DOUBLE - 0.1::DOUBLE * j - 0.01::DOUBLE * n.n_nationkey,
       'lon': 49.1::DOUBLE + 0.5::DOUBLE * j + 0.02::DOUBLE * n.n_nationkey,
       'label': n.n_name || ' km ' || CAST(j * 100 AS VARCHAR)}),
     [{'lat': 54.9::DOUBLE + 0.03::DOUBLE * n.n_nationkey,
       'lon': 52.3::DOUBLE - 0.05::DOUBLE * n.n_regionkey, 'label': n.n_name || ', РЦ'}]) AS route
-  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey WHERE r.r_name <> 'AFRICA'),
-ca AS (SELECT c.c_custkey AS customer_id, 'Customer address, ' || n.n_name AS address
+  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey),
+ca AS (SELECT c.c_custkey AS customer_id, CASE WHEN c.c_custkey % 13 = 0 THEN '' WHEN c.c_custkey % 11 = 0
+         THEN 'No city' ELSE 'Customer address, ' || n.n_name END AS address
        FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey),
 mt AS (SELECT ca.customer_id, arg_min(rt.city, rt.ord) AS city, arg_min(rt.route, rt.ord) AS route
        FROM ca JOIN rt ON contains(ca.address, rt.city) GROUP BY ca.customer_id),
@@ -87,30 +97,33 @@ cr AS (SELECT ca.customer_id, mt.city AS route_city,
                 AS route
        FROM ca LEFT JOIN mt ON mt.customer_id = ca.customer_id)"""
 
+_FEED_SQL = """f AS (SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value,
+  CASE WHEN value < 20 THEN 0 ELSE CAST(trunc(value) AS INTEGER) END AS speed_kmh,
+  (CAST(floor(value * 10) AS BIGINT) % 120) / 10.0::DOUBLE AS temperature_celsius FROM events)"""
+
 _PTS_SQL = _RT_SQL + """,
-sh AS (SELECT CAST(o.o_orderkey AS VARCHAR) AS shipment_id, o.o_orderkey AS order_id,
-              o.o_custkey AS customer_id, o.o_orderdate AS shipped_at, a.arr AS actual_arrival
-       FROM orders o JOIN (SELECT l_orderkey, min(l_shipdate) AS arr FROM lineitem GROUP BY 1) a
-         ON a.l_orderkey = o.o_orderkey),
-tp AS (SELECT sh.*, cr.route, greatest(60, CAST(trunc((epoch_us(coalesce(sh.actual_arrival,
-         sh.shipped_at + INTERVAL 6 HOUR)) - epoch_us(sh.shipped_at)) / 60000000.0::DOUBLE) AS INTEGER))
-         AS trip_minutes
-       FROM sh JOIN cr ON cr.customer_id = sh.customer_id),
-tn AS (SELECT *, least(15, greatest(5, CAST(floor(trip_minutes / 30) AS INTEGER))) AS n_points FROM tp),
-pt AS (SELECT *, unnest(range(0, n_points)) AS point_index FROM tn),
-pp AS (SELECT *, point_index / greatest(1, n_points - 1) AS progress, len(route) AS k FROM pt),
-px AS (SELECT *, shipped_at + to_minutes(CAST(trunc(trip_minutes * progress) AS BIGINT)) AS "timestamp",
-              'TRK-' || upper(substr(md5(shipment_id || ':' || CAST(point_index AS VARCHAR)), 1, 12))
-                AS event_id,
-              progress * (k - 1) AS pos,
-              ((point_index - 1) / greatest(1, n_points - 1)) * (k - 1) AS pos_prev FROM pp),
-ps AS (SELECT *, least(CAST(trunc(pos) AS INTEGER), k - 2) AS seg FROM px),
+""" + _FEED_SQL + """,
+s0 AS (SELECT c_custkey AS shipment_id, TIMESTAMP '2024-01-02 00:00:00' + (c_custkey % 7) * INTERVAL 1 HOUR
+         AS shipped_at FROM customer),
+sh AS (SELECT *, CASE shipment_id % 3 WHEN 0 THEN shipped_at + INTERVAL 20 DAY WHEN 1 THEN shipped_at + INTERVAL 10 DAY
+                 ELSE shipped_at + INTERVAL 6 HOUR END AS trip_end FROM s0),
+tm AS (SELECT *, greatest(60, CAST(trunc((epoch_us(trip_end) - epoch_us(shipped_at)) / 60000000.0::DOUBLE) AS INTEGER))
+         AS trip_minutes FROM sh),
+pp AS (SELECT f.event_id, f."timestamp", f.shipment_id, f.speed_kmh, f.temperature_celsius, tm.trip_minutes, cr.route,
+              len(cr.route) AS k,
+              greatest(0.0::DOUBLE, least(1.0::DOUBLE, (epoch_us(f."timestamp") - epoch_us(tm.shipped_at))
+                / (tm.trip_minutes * 60000000.0::DOUBLE))) AS progress
+       FROM f JOIN tm ON tm.shipment_id = f.shipment_id JOIN cr ON cr.customer_id = f.shipment_id),
+px AS (SELECT *, progress * (k - 1) AS pos, CAST(trunc(progress * (k - 1)) AS INTEGER) AS leg FROM pp),
+ps AS (SELECT *, least(leg, k - 2) AS seg,
+         row_number() OVER (PARTITION BY shipment_id ORDER BY "timestamp", event_id) AS up,
+         row_number() OVER (PARTITION BY shipment_id ORDER BY "timestamp" DESC, event_id DESC) AS down,
+         row_number() OVER (PARTITION BY shipment_id, leg ORDER BY "timestamp", event_id) AS in_leg FROM px),
 pi AS (SELECT *, round(route[seg + 1].lat + (route[seg + 2].lat - route[seg + 1].lat) * (pos - seg), 6)
                    AS latitude,
                  round(route[seg + 1].lon + (route[seg + 2].lon - route[seg + 1].lon) * (pos - seg), 6)
                    AS longitude,
-                 CASE WHEN point_index = 0 THEN 'pickup' WHEN point_index = n_points - 1 THEN 'delivered'
-                      WHEN trunc(pos) <> trunc(pos_prev) THEN 'checkpoint'
+                 CASE WHEN up = 1 THEN 'pickup' WHEN down = 1 THEN 'delivered' WHEN in_leg = 1 THEN 'checkpoint'
                       ELSE 'temperature_reading' END AS event_type FROM ps),
 pc AS (SELECT *, CASE WHEN event_type = 'pickup' THEN route[1].label
                       WHEN event_type = 'delivered' THEN route[k].label
@@ -126,72 +139,79 @@ FROM cr
 """)
 def q_route_match(spark, d):
     """First route city (lowest ord) contained in the customer's address;
-    NATION_1 matches before NATION_12, AFRICA nations fall to the default."""
-    m = TR.match_route(addresses(spark, d), routes(spark, d), key="customer_id")
+    NATION_1 matches before NATION_12, addresses without a city and empty
+    ones fall to the default."""
+    m = TR.match_route(addresses(spark, d), routes(spark, d))
     return m.select("customer_id", "route_city", F.size("route").alias("n_route_points"),
                     F.element_at("route", -1)["label"].alias("route_end"))
 
 
 @query("trip_points", f"""
 WITH {_PTS_SQL}
-SELECT shipment_id, CAST(point_index AS INTEGER) AS point_index, n_points, trip_minutes,
-       "timestamp", event_id FROM pc
+SELECT shipment_id, event_id, trip_minutes, round(progress, 6) AS progress,
+       'TRK-' || upper(substr(md5(shipment_id || ':' || event_id), 1, 12)) AS tracking_id FROM pc
 """)
 def q_trip_points(spark, d):
-    """5-15 timed points per shipped shipment with stable ids."""
-    return routed_points(spark, d).select("shipment_id", "point_index", "n_points",
-                                          "trip_minutes", "timestamp", "event_id")
+    """The observed readings of a shipment with their trip, progress
+    and stable id."""
+    points = TR.observed_points(feed(spark, d), shipments(spark, d))
+    return points.select("shipment_id", "event_id", "trip_minutes", F.round("progress", 6).alias("progress"),
+                         "tracking_id")
 
 
 @query("interpolated_route", f"""
 WITH {_PTS_SQL}
-SELECT shipment_id, CAST(point_index AS INTEGER) AS point_index, latitude, longitude FROM pc
+SELECT shipment_id, event_id, latitude, longitude FROM pc
 """)
 def q_interpolated_route(spark, d):
-    """Position of each point on its route polyline."""
-    return (TR.interpolate_route(routed_points(spark, d))
-            .select("shipment_id", "point_index", "latitude", "longitude"))
+    """Position of each reading on its route polyline."""
+    return located(spark, d).select("shipment_id", "event_id", "latitude", "longitude")
 
 
 @query("event_types", f"""
 WITH {_PTS_SQL}
-SELECT shipment_id, CAST(point_index AS INTEGER) AS point_index, event_type FROM pc
+SELECT shipment_id, event_id, event_type FROM pc
 """)
 def q_event_types(spark, d):
     """T4: pickup / checkpoint / temperature_reading / delivered."""
-    return (TR.classify_event(routed_points(spark, d))
-            .select("shipment_id", "point_index", "event_type"))
+    return located(spark, d).select("shipment_id", "event_id", "event_type")
 
 
 @query("checkpoints", f"""
 WITH {_PTS_SQL}
-SELECT shipment_id, CAST(point_index AS INTEGER) AS point_index, event_type, checkpoint
-FROM pc WHERE checkpoint IS NOT NULL
+SELECT shipment_id, event_id, event_type, checkpoint FROM pc WHERE checkpoint IS NOT NULL
 """)
 def q_checkpoints(spark, d):
-    """T5: checkpoint label of pickup, checkpoint and delivered points."""
-    return (TR.classify_event(routed_points(spark, d))
-            .filter(F.col("checkpoint").isNotNull())
-            .select("shipment_id", "point_index", "event_type", "checkpoint"))
+    """T5: checkpoint label of pickup, checkpoint and delivered readings."""
+    return (located(spark, d).filter(F.col("checkpoint").isNotNull())
+            .select("shipment_id", "event_id", "event_type", "checkpoint"))
 
 
 @query("tracking_events", f"""
-WITH {_PTS_SQL}
-SELECT event_id, shipment_id, order_id, event_type, "timestamp", latitude, longitude,
-       CAST(NULL AS VARCHAR) AS vehicle_plate, CAST(NULL AS VARCHAR) AS carrier,
-       CAST(NULL AS VARCHAR) AS driver_name, checkpoint FROM pc
+WITH {_PTS_SQL},
+e AS (SELECT *, speed_kmh = 0 AND event_type NOT IN ('pickup', 'delivered') AS stop FROM pc),
+g AS (SELECT *, sum(CASE WHEN stop THEN 0 ELSE 1 END) OVER (PARTITION BY shipment_id
+        ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM e),
+r AS (SELECT shipment_id, grp FROM g WHERE stop GROUP BY shipment_id, grp
+      HAVING epoch_us(max("timestamp")) - epoch_us(min("timestamp")) > 30 * 60000000)
+SELECT g.event_id, g.shipment_id, g.shipment_id AS order_id, g.event_type, g."timestamp", g.latitude, g.longitude,
+       g.temperature_celsius, g.speed_kmh, 'V' || g.shipment_id AS vehicle_plate, CAST(NULL AS VARCHAR) AS carrier,
+       CAST(NULL AS VARCHAR) AS driver_name, g.checkpoint,
+       CASE WHEN g.temperature_celsius > 6 THEN 'temperature_breach'
+            WHEN g.stop AND r.grp IS NOT NULL THEN 'long_stop' END AS alert,
+       CASE WHEN g.temperature_celsius > 6 THEN 'Температура ' || CAST(g.temperature_celsius AS VARCHAR)
+              || ' превышает норму ' || CASE WHEN g.shipment_id % 2 = 0 THEN '0-4' ELSE '2-6' END
+            WHEN g.stop AND r.grp IS NOT NULL THEN 'Простой > 30 мин' END AS alert_detail
+FROM g LEFT JOIN r ON r.shipment_id = g.shipment_id AND r.grp = g.grp
 """)
 def q_tracking_events(spark, d):
-    """J6 + T1-T6 composed into tracking event rows."""
-    return TR.tracking_events(shipments(spark, d), routes(spark, d))
+    """The observed feed with shipment, route position, event type,
+    checkpoint and alerts, all 15 columns."""
+    readings = feed(spark, d).drop("event_type", "value")
+    return TR.tracking_events(readings, shipments(spark, d), routes(spark, d))
 
 
 # --- F1 F2 L1-L3 T7 T8 A5 -------------------------------------------------------
-_FEED_SQL = """f AS (SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value,
-  CASE WHEN value < 20 THEN 0 ELSE CAST(trunc(value) AS INTEGER) END AS speed_kmh,
-  (CAST(floor(value * 10) AS BIGINT) % 120) / 10.0::DOUBLE AS temperature_celsius FROM events)"""
-
-
 @query("tracking_page", """
 SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value FROM events
 ORDER BY ts, event_id LIMIT 100 OFFSET 200
@@ -201,6 +221,16 @@ def q_tracking_page(spark, d):
     return TR.page(dt.tracking_feed(spark, d).drop("props"), page_no=3, limit=100)
 
 
+@query("page_after", """
+SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value FROM events
+WHERE ts > TIMESTAMP '2024-01-10 00:00:00' OR (ts = TIMESTAMP '2024-01-10 00:00:00' AND event_id > 0)
+ORDER BY ts, event_id LIMIT 100
+""")
+def q_page_after(spark, d):
+    """L2 by key: the 100 events after a (time, id) position."""
+    return TR.page_after(dt.tracking_feed(spark, d).drop("props"), "2024-01-10 00:00:00", 0, 100)
+
+
 @query("pagination_summary", """
 SELECT 3 AS page, 100 AS "limit", count(*) AS total, CAST((count(*) + 99) // 100 AS INTEGER) AS pages
 FROM events WHERE event_type = 'click'
@@ -296,6 +326,31 @@ def q_long_stop_alerts(spark, d):
             .select("event_id", "temperature_celsius", "alert", "alert_detail"))
 
 
+@query("alerts_null_key", f"""
+WITH {_FEED_SQL},
+n AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE shipment_id END AS shipment_id,
+             CASE WHEN event_id % 5 = 0 THEN NULL ELSE "timestamp" END AS "timestamp", speed_kmh, event_type,
+             temperature_celsius FROM f),
+e AS (SELECT *, speed_kmh = 0 AND event_type NOT IN ('pickup', 'delivered') AS stop FROM n
+      WHERE shipment_id IS NOT NULL AND "timestamp" IS NOT NULL),
+g AS (SELECT *, sum(CASE WHEN stop THEN 0 ELSE 1 END) OVER (PARTITION BY shipment_id
+        ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM e),
+r AS (SELECT shipment_id, grp FROM g WHERE stop GROUP BY shipment_id, grp
+      HAVING epoch_us(max("timestamp")) - epoch_us(min("timestamp")) > 30 * 60000000),
+st AS (SELECT g.event_id FROM g JOIN r ON r.shipment_id = g.shipment_id AND r.grp = g.grp WHERE g.stop)
+SELECT n.event_id, CASE WHEN temperature_celsius > 6 THEN 'temperature_breach'
+                        WHEN st.event_id IS NOT NULL THEN 'long_stop' END AS alert
+FROM n LEFT JOIN st ON st.event_id = n.event_id
+""")
+def q_alerts_null_key(spark, d):
+    """T7 + T8 where a third of the readings has no shipment and a fifth no
+    time: every reading stays a row and keeps its temperature alert."""
+    f = feed(spark, d)
+    broken = (f.withColumn("shipment_id", F.when(F.col("event_id") % 3 != 0, F.col("shipment_id")))
+              .withColumn("timestamp", F.when(F.col("event_id") % 5 != 0, F.col("timestamp"))))
+    return TR.long_stop_alert(broken).select("event_id", "alert")
+
+
 @query("event_count", "SELECT count(*) AS events_count FROM events")
 def q_event_count(spark, d):
     """A5: number of tracking events loaded."""

@@ -179,7 +179,7 @@ WATERMARK = _struct([("last_timestamp", S, True), ("saved_at", S, True)])
 ROUTE_POINT = _struct([("lat", D, False), ("lon", D, False), ("label", S, False)])
 ROUTES = _struct([("city", S, False), ("ord", I, False), ("route", T.ArrayType(ROUTE_POINT), False)])
 
-# VARCHAR widths and NUMERIC precisions, for width checks (Q4)
+# FIXED VALUES: VARCHAR widths, for width checks (Q4)
 WIDTHS = {
     "customers": {"customer_id": 32, "customer_name": 256, "customer_type": 32,
                   "customer_inn": 20, "contract_number": 64, "customer_region": 128},
@@ -187,3 +187,8 @@ WIDTHS = {
                "status": 32, "currency": 3, "cancel_reason": 256},
     "order_items": {"order_id": 64, "sku": 32, "unit_of_measure": 8},
 }
+
+# NUMERIC limits (Q4), as declared by the decimal columns above
+NUMERICS = {name: {f.name: (f.dataType.precision, f.dataType.scale) for f in schema.fields
+                   if isinstance(f.dataType, T.DecimalType)}
+            for name, schema in TABLES.items()}

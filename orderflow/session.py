@@ -82,7 +82,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-            if not master.startswith("local"):
+            if not (master == "local" or master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
             root = tempfile.mkdtemp(prefix="orderflow-ckpt-")
         if sc is not None:

@@ -54,14 +54,17 @@ def read_snapshot(spark: SparkSession, src: Source, table: str,
         return spark.read.parquet(f"{src.root.rstrip('/')}/{table}")
     if src.kind != "jdbc":
         raise ValueError(f"unknown source kind {src.kind!r}")
-    r = (spark.read.format("jdbc").option("url", src.url)
-         .option("dbtable", src.table_name(table)).options(**src.options))
+    return spark.read.format("jdbc").options(**jdbc_options(src, table, partition)).load()
+
+
+def jdbc_options(src: Source, table: str, partition: dict | None = None) -> dict[str, str]:
+    """Reader options of one table; with ``partition`` the read is split."""
+    out = {"url": src.url, "dbtable": src.table_name(table), **src.options}
     if partition:
-        r = (r.option("partitionColumn", partition["column"])
-             .option("lowerBound", str(partition["lowerBound"]))
-             .option("upperBound", str(partition["upperBound"]))
-             .option("numPartitions", str(partition["numPartitions"])))
-    return r.load()
+        out |= {"partitionColumn": partition["column"], "lowerBound": str(partition["lowerBound"]),
+                "upperBound": str(partition["upperBound"]),
+                "numPartitions": str(partition["numPartitions"])}
+    return out
 
 
 # --- S2 -------------------------------------------------------------------
@@ -94,12 +97,16 @@ def read_day_window(spark: SparkSession, src: Source, table: str, ts_col: str,
 
 
 # --- S4 -------------------------------------------------------------------
+JDBC_WINDOW_PARTITIONS = 8
+
+
 @dataclass
 class TableSpec:
     name: str                 # landing name
     kind: str                 # "incremental" | "snapshot"
     ts_col: str | None = None
     source: str | None = None  # table name at the source, when it differs
+    partition: dict | None = None  # JDBC split: column, lowerBound, upperBound, numPartitions
 
     @property
     def source_table(self) -> str:
@@ -114,16 +121,20 @@ def default_specs() -> list[TableSpec]:
 
 def extract_table(spark: SparkSession, src: Source, spec: TableSpec, data_date: str,
                   lookback_days: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Route one table by its spec; an unknown kind is an error."""
+    """Route one table by its spec; an unknown kind is an error.  A JDBC
+    table is split by the spec's ``partition``; a day window without one is
+    split on its own time bounds into ``num_partitions`` (8 by default)."""
     if spec.kind == "incremental":
         return read_day_window(spark, src, spec.source_table, spec.ts_col, data_date,
-                               lookback_days, num_partitions=num_partitions)
+                               lookback_days, partition=spec.partition,
+                               num_partitions=num_partitions or JDBC_WINDOW_PARTITIONS)
     if spec.kind == "snapshot":
-        return read_snapshot(spark, src, spec.source_table)
+        return read_snapshot(spark, src, spec.source_table, spec.partition)
     raise ValueError(f"unknown table kind {spec.kind!r} for {spec.name}")
 
 
 # --- S5 -------------------------------------------------------------------
+# FIXED VALUES: the columns tracking needs
 SHIPPED_COLS = ["shipment_id", "order_id", "delivery_address", "status", "carrier",
                 "vehicle_plate", "driver_name", "temperature_zone", "shipped_at",
                 "estimated_arrival", "actual_arrival"]
@@ -140,27 +151,27 @@ def read_page_envelopes(spark: SparkSession, path: str,
                         event_schema: T.StructType = TRACKING_EVENT) -> DataFrame:
     """Landed pages ``{data: [...], pagination: {...}}`` (one envelope per
     JSON line) -> one row per event.  A page without ``data`` or
-    ``pagination`` fails the job; pages are read 1..``pages`` and stop at
-    the first empty page, as a page loop would.
+    ``pagination`` fails the job.  The pages of one pull are the files of one
+    folder; of each pull, pages 1..``pages`` are read up to the first empty
+    page, as a page loop would.
 
     Each envelope is bounded (page size <= 1000), so a task holds at most
-    one page of events at a time; the stop rule needs one small aggregate
-    over page numbers."""
-    env = spark.read.schema(envelope(event_schema)).json(path)
-    checked = env.withColumn("_ok", F.when(
-        F.col("data").isNull() | F.col("pagination").isNull(),
-        F.raise_error(F.lit("Invalid response: need data and pagination"))).otherwise(F.lit(True)))
-    pages = checked.select(F.col("pagination.page").alias("_page"),
-                           F.col("pagination.pages").alias("_pages"),
-                           F.size("data").alias("_n"), "_ok", "data")
-    s = pages.agg(F.min(F.when(F.col("_n") == 0, F.col("_page"))).alias("first_empty"),
-                  F.max("_pages").alias("last")).first()
-    cond = F.col("_ok")
-    if s["last"] is not None:
-        cond = cond & (F.col("_page") <= F.lit(max(int(s["last"]), 1)))
-    if s["first_empty"] is not None:
-        cond = cond & (F.col("_page") <= F.lit(int(s["first_empty"])))
-    return pages.filter(cond).select(F.inline("data"))
+    one page of events at a time; the stop rule is one row per pull."""
+    env = (spark.read.schema(envelope(event_schema)).json(path)
+           .withColumn("_pull", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")))
+    ok = F.when(F.col("data").isNull() | F.col("pagination").isNull(),
+                F.raise_error(F.lit("Invalid response: need data and pagination"))).otherwise(F.lit(True))
+    pages = env.select("_pull", F.col("pagination.page").alias("_page"),
+                       F.col("pagination.pages").alias("_pages"), F.size("data").alias("_n"),
+                       ok.alias("_ok"), "data")
+    stop = pages.groupBy("_pull").agg(
+        F.min(F.when(F.col("_n") == 0, F.col("_page"))).alias("_first_empty"),
+        F.greatest(F.max("_pages"), F.lit(1)).alias("_last"))
+    page = F.col("_page")
+    return (pages.join(stop, "_pull")
+            .filter(F.col("_ok") & F.coalesce(page <= F.col("_last"), F.lit(True))
+                    & F.coalesce(page <= F.col("_first_empty"), F.lit(True)))
+            .select(F.inline("data")))
 
 
 # --- S7 -------------------------------------------------------------------

@@ -22,10 +22,11 @@ _ISO = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 # --- W1 / W2 ------------------------------------------------------------------
 def load_watermark(spark: SparkSession, path: str) -> str | None:
-    """``last_timestamp`` of the state document, or None when there is no
-    state yet; other errors propagate."""
+    """``last_timestamp`` of the newest state document, or None when there is
+    no state yet; other errors propagate."""
     try:
-        rows = spark.read.schema(WATERMARK).json(path).limit(1).collect()
+        rows = (spark.read.schema(WATERMARK).json(path)
+                .orderBy(F.col("saved_at").desc(), F.col("last_timestamp").desc()).limit(1).collect())
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
@@ -35,10 +36,11 @@ def load_watermark(spark: SparkSession, path: str) -> str | None:
 
 def save_watermark(spark: SparkSession, path: str, ts: str,
                    now: _dt.datetime | None = None) -> None:
-    """Overwrite the state with ``last_timestamp`` and ``saved_at``."""
-    saved = (now or _dt.datetime.now(_dt.timezone.utc)).isoformat()
+    """Add a state document with ``last_timestamp`` and ``saved_at``; the old
+    one stays, so a crash in between never loses the state."""
+    saved = (now or _dt.datetime.now(_dt.timezone.utc)).isoformat(timespec="microseconds")
     (spark.createDataFrame([(ts, saved)], WATERMARK).coalesce(1)
-     .write.mode("overwrite").json(path))
+     .write.mode("append").json(path))
 
 
 # --- W3 -------------------------------------------------------------------
@@ -81,9 +83,19 @@ def incremental_pull(spark: SparkSession, feed: DataFrame, state_path: str, land
 
 
 # --- W7 -------------------------------------------------------------------
+# An event is identified by its id together with its natural key: the id text
+# holds a digest prefix, so two events may share it.
+EVENT_KEY = ("event_id", "shipment_id", "timestamp")
+
+
+def event_key(df: DataFrame, key: str = "event_id") -> list[str]:
+    return list(dict.fromkeys([key, *[c for c in EVENT_KEY if c in df.columns]]))
+
+
 def dedupe_events(df: DataFrame, key: str = "event_id", order_cols=("dt",),
                   min_dt: str | None = None) -> DataFrame:
-    """One row per event id: the copy from the earliest landing.
+    """One row per event (id and natural key): the copy from the earliest
+    landing.
 
     ``min_dt`` restricts the input to recent ``dt=`` partitions (pruned at
     listing time): re-landed copies only ever sit next to the boundary, so
@@ -92,4 +104,4 @@ def dedupe_events(df: DataFrame, key: str = "event_id", order_cols=("dt",),
     if min_dt is not None:
         df = df.filter(F.col("dt") >= F.lit(min_dt).cast("date"))
     cols = [c for c in order_cols if c in df.columns]
-    return dedupe(df, [key], cols)
+    return dedupe(df, event_key(df, key), cols)

@@ -7,90 +7,116 @@ the dedupe state, a separate setting.
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from orderflow.operators.changes import current_state, upsert
+from orderflow.operators.changes import current_state, dedupe, upsert
 from orderflow.schemas import TRACKING_EVENT
+from orderflow.sources import versions
+from orderflow.sources.state import event_key
+
+_NTZ = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 # --- ST1 ------------------------------------------------------------------
 def tracking_stream(spark: SparkSession, landing: str, schema: T.StructType = TRACKING_EVENT,
                     ts_col: str = "timestamp", key: str = "event_id",
                     lateness: str = "7 days", max_files: int | None = None) -> DataFrame:
-    """Landed JSON Lines as a stream, each event id once within the lateness
-    bound (``dropDuplicatesWithinWatermark`` keeps bounded state)."""
-    r = spark.readStream.schema(schema).option(
-        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+    """Landed JSON Lines as a stream, each event once within the lateness
+    bound (``dropDuplicatesWithinWatermark`` keeps bounded state).  Rows
+    behind the watermark do not pass: ``late_events`` has them."""
+    r = spark.readStream.schema(schema).option("timestampNTZFormat", _NTZ)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     s = r.json(landing)
     # withWatermark needs a zoned timestamp; the session zone is UTC
     s = s.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
     return (s.withWatermark("_event_time", lateness)
-            .dropDuplicatesWithinWatermark([key])
+            .dropDuplicatesWithinWatermark(event_key(s, key))
             .drop("_event_time"))
 
 
 def stream_tracking(spark: SparkSession, landing: str, out: str, checkpoint: str,
                     schema: T.StructType = TRACKING_EVENT, lateness: str = "7 days",
                     key: str = "event_id", ts_col: str = "timestamp",
-                    max_files: int | None = None):
+                    max_files: int | None = None, late_out: str | None = None):
     """ST1: new landed events, once each, appended to Parquet.  Runs as an
     ``availableNow`` batch: everything landed so far, then stop; a rerun
     picks up only new files, and the checkpoint makes the sink exactly-once.
     ``max_files`` bounds each micro-batch, so a large backlog is processed
-    in several bounded batches rather than one."""
+    in several bounded batches rather than one.  With ``late_out`` the events
+    behind the watermark are appended there, so ``out`` and ``late_out``
+    together hold every landed event once."""
     q = (tracking_stream(spark, landing, schema, ts_col, key, lateness, max_files)
          .writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+    if late_out is not None:
+        late_events(spark, landing, out, late_out, schema, key).write.mode("append").parquet(late_out)
     return q
 
 
+def late_events(spark: SparkSession, landing: str, out: str, late_out: str, schema: T.StructType,
+                key: str = "event_id") -> DataFrame:
+    """Landed events that neither ``out`` nor ``late_out`` holds, once each
+    (ST3 on the stream's own sinks)."""
+    landed = spark.read.schema(schema).option("timestampNTZFormat", _NTZ).json(landing)
+    keys = event_key(landed, key)
+    missing = late_rows(landed, spark.read.schema(schema).parquet(out), keys)
+    spark.createDataFrame([], schema).write.mode("append").parquet(late_out)   # the sink exists
+    return dedupe(late_rows(missing, spark.read.schema(schema).parquet(late_out), keys), keys, [])
+
+
 # --- ST2 ------------------------------------------------------------------
+STREAM_TABLE = "rows"
+
+
 def stream_upsert(spark: SparkSession, changes_dir: str, schema: T.StructType, base: str,
                   keys: list[str], update_cols: list[str] | None, checkpoint: str,
-                  order_cols=("event_timestamp",)):
+                  order_cols=("event_timestamp",), max_files: int | None = None,
+                  buckets: int = versions.N_BUCKETS):
     """ST2: apply landed change files as they arrive.  Each micro-batch is
-    reduced to the latest change per key, upserted onto the current version
-    and written to a new version folder; the pointer file is written last,
-    so readers switch atomically and a failed batch leaves the old version.
+    reduced to the latest change per key and upserted into the key buckets it
+    touches; the new publication is written last, so readers switch at once
+    and a failed batch leaves the last one.  A retried batch upserts the same
+    rows again, with the same result.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        ss = batch.sparkSession
-        cur = current_version(ss, base)
-        latest = current_state(batch, keys, list(order_cols))
-        new = latest if cur is None else upsert(ss.read.parquet(cur), latest, keys, update_cols)
-        # unique per attempt: a retried epoch never overwrites the version it reads
-        path = f"{base.rstrip('/')}/v={epoch:08d}-{uuid.uuid4().hex[:8]}"
-        new.write.mode("overwrite").parquet(path)
-        ss.createDataFrame([(path,)], "path string").coalesce(1).write.mode(
-            "overwrite").text(f"{base.rstrip('/')}/_current")
-
-    q = (spark.readStream.schema(schema)
-         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(changes_dir)
-         .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+        latest = current_state(batch, keys, list(order_cols)).persist()
+        try:
+            if latest.isEmpty():
+                return
+            ss = batch.sparkSession
+            pub = versions.current(ss, base)
+            if pub is None:
+                new = versions.write_table(base, STREAM_TABLE, latest, keys, buckets)
+            else:
+                new = versions.merge_table(base, STREAM_TABLE, pub.tables[STREAM_TABLE], latest, keys,
+                                           lambda t, c: upsert(t, c, keys, update_cols), buckets)
+            versions.publish(ss, base, {STREAM_TABLE: new}, pub)
+        finally:
+            latest.unpersist()
+
+    r = spark.readStream.schema(schema).option("timestampNTZFormat", _NTZ)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    q = (r.json(changes_dir).writeStream.foreachBatch(apply)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """Path of the current version named by the pointer file, if any."""
-    try:
-        rows = spark.read.text(f"{base.rstrip('/')}/_current").collect()
-    except Exception:
-        return None
-    return rows[0][0] if rows else None
+def read_upserted(spark: SparkSession, base: str) -> DataFrame:
+    """The table as last published by ``stream_upsert``."""
+    return versions.read(spark, base, STREAM_TABLE)
 
 
 # --- ST3 ------------------------------------------------------------------
 def late_rows(source: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the source whose key is missing from what was landed (rows
     stamped into an already extracted day); remedy: ``lookback_days``."""
-    return source.join(landed.select(*keys), keys, "left_anti")
+    seen = landed.select(*[F.col(k).alias(f"_landed_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_landed_{k}")) for k in keys])
+    return source.join(seen, same, "left_anti")

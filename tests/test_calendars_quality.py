@@ -34,6 +34,36 @@ def test_allocate_total_below_rows_keeps_minimum(spark):
     assert [r.allocated for r in CAL.allocate(df, "w", 3, "day").collect()] == [1] * 5
 
 
+def test_allocate_takes_several_units_from_a_heavy_row(spark):
+    # weights 100 and nine 1s: shares round to 18 + nine 0s, raised to 1 each
+    df = spark.createDataFrame([(0, 100.0)] + [(i, 1.0) for i in range(1, 10)], "day int, w double")
+    for total, heavy in ((20, 11), (10, 1)):
+        got = dict(rows(CAL.allocate(df, "w", total, "day"), "day", "allocated"))
+        assert got == {0: heavy, **{i: 1 for i in range(1, 10)}}
+    two = spark.createDataFrame([(0, 50.0), (1, 50.0)] + [(i, 0.1) for i in range(2, 12)], "day int, w double")
+    got = [r.allocated for r in CAL.allocate(two, "w", 20, "day").orderBy("day").collect()]
+    assert got == [5, 5] + [1] * 10
+
+
+def test_numeric_limits_round_first(spark):
+    df = spark.createDataFrame([(999.994,), (999.996,), (-999.996,), (1e300,), (None,)], "v double")
+    assert rows(Q.width_violations(df, None, {"v": (5, 2)})) == [("v", "NUMERIC(5,2)", 3)]
+
+
+def test_constraint_report(spark):
+    from orderflow import schemas as S
+    tables = {"customers": spark.createDataFrame([("c1", "n" * 300), ("c1", None)],
+                                                 "customer_id string, customer_name string"),
+              "orders": spark.createDataFrame([("o1", "c1"), ("o2", "c9"), ("o3", None)],
+                                              "order_id string, customer_id string")}
+    got = {(r.table_name, r.constraint_name): r.violations for r in Q.constraint_report(
+        tables, S.TABLES, S.KEYS, S.FOREIGN_KEYS, S.WIDTHS, S.NUMERICS).collect()}
+    assert got["customers", "customer_name NOT NULL"] == 1 and got["customers", "customer_name VARCHAR(256)"] == 1
+    assert got["customers", "PRIMARY KEY (customer_id)"] == 1 and got["orders", "PRIMARY KEY (order_id)"] == 0
+    assert got["orders", "customer_id REFERENCES customers(customer_id)"] == 1
+    assert got["orders", "customer_id NOT NULL"] == 1
+
+
 def test_allocate_per_group(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 3.0), ("b", 1, 1.0), ("b", 2, 1.0)],
                                "g string, day int, w double")
@@ -72,7 +102,7 @@ def test_quality_checks(spark):
     assert {r.unit_of_measure for r in d.collect()} == {"шт"}
 
 
-def test_eligible_products_pools_and_type_bound(spark):
+def test_eligible_products_pools_and_rules(spark):
     from orderflow.operators import orders as O
     products = spark.createDataFrame([("p1", "milk"), ("p2", "cream"), ("p3", "bolts")],
                                      "sku string, category string")
@@ -83,5 +113,5 @@ def test_eligible_products_pools_and_type_bound(spark):
     assert got == [("government", "p1"), ("government", "p2"), ("government", "p3"),  # too few
                    ("horeca", "p1"), ("horeca", "p2"),                                 # preferred
                    ("retail", "p1"), ("retail", "p2"), ("retail", "p3")]               # no preference
-    with pytest.raises(ValueError, match="broadcast bound"):
-        O.eligible_products(types, products, prefs, max_types=2)
+    rules = rows(O.eligibility_rules(types, products, prefs))
+    assert rules == [("government", "*"), ("horeca", "cream"), ("horeca", "milk"), ("retail", "*")]

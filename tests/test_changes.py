@@ -127,18 +127,46 @@ def test_append_batches_by_name(spark):
     assert rows(C.append_batches([a, b])) == [(1, "x"), (2, "y")]
 
 
-def test_insert_ignore_broadcast_and_shuffle_paths_agree(spark):
-    target = spark.createDataFrame([(i, "t", i, "x") for i in range(0, 40, 2)], SCHEMA)
-    batch = spark.createDataFrame([(i % 30, f"b{i}", i, "y") for i in range(60)], SCHEMA)
-    small = rows(C.insert_ignore(target, batch, ["id"], ["pallets"]))
-    big = rows(C.insert_ignore(target, batch, ["id"], ["pallets"], broadcast_rows=0))
-    assert small == big and len(small) == 20 + 15
+def test_insert_ignore_onto_repeated_target_keys(spark):
+    # one target key repeated many times, a batch that knows it and one that does not
+    target = spark.createDataFrame([(1, "t", i, "x") for i in range(50)] + [(2, "t", 0, "x")], SCHEMA)
+    batch = spark.createDataFrame([(i % 5, f"b{i}", i, "y") for i in range(20)], SCHEMA)
+    out = C.insert_ignore(target, batch, ["id"], ["pallets"])
+    assert out.count() == 51 + 3
+    assert rows(out.filter("note = 'y'"), "id", "pallets") == [(0, 0), (3, 3), (4, 4)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_duplicate_new_key_raises_on_both_paths(spark, broadcast_rows):
+def test_duplicate_new_key_raises(spark):
     target = spark.createDataFrame([(1, "new", 3, "x")], SCHEMA)
     dup_new = spark.createDataFrame([(5, "a", 1, "x"), (5, "b", 2, "x")], SCHEMA)
     for cols in (["status"], []):
         with pytest.raises(Exception, match="more than once"):
-            C.upsert(target, dup_new, ["id"], cols, broadcast_rows=broadcast_rows).collect()
+            C.upsert(target, dup_new, ["id"], cols).collect()
+
+
+def test_pick_per_key_with_a_map_payload(spark):
+    df = spark.createDataFrame([("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("a", 1, {"b": 3}), ("b", None, None)],
+                               "k string, ord int, m map<string,int>")
+    first = {r.k: r.m for r in C.first_per_key(df, ["k"], ["ord"]).collect()}
+    assert first == {"a": {"b": 3}, "b": None}
+    last = {r.k: r.ord for r in C.pick_per_key(df, ["k"], ["ord"], latest=True).collect()}
+    assert last == {"a": 2, "b": None}
+
+
+def test_ids_keep_the_whole_digest_and_the_status_time(spark):
+    from orderflow.functions import ids
+    from orderflow.operators.lifecycle import status_event_id
+    df = spark.createDataFrame([("o1", "delayed", dt.datetime(2024, 1, 1)), ("o1", "delayed", dt.datetime(2024, 1, 2))],
+                               "k string, s string, t timestamp_ntz")
+    got = [r[0] for r in df.select(status_event_id("k", "s", "t")).collect()]
+    assert len(set(got)) == 2 and all(len(x) == 3 + 32 for x in got)
+    assert df.select(ids.keyed_id("PAY", "k")).first()[0].startswith("PAY-")
+
+
+def test_events_that_share_an_id_text_are_both_kept(spark):
+    from orderflow.sources.state import dedupe_events
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("TRK-1", "s1", t, "2024-01-01"), ("TRK-1", "s2", t, "2024-01-01"),
+                                ("TRK-1", "s1", t, "2024-01-02")],
+                               "event_id string, shipment_id string, timestamp timestamp_ntz, dt string")
+    assert rows(dedupe_events(df), "shipment_id", "dt") == [("s1", "2024-01-01"), ("s2", "2024-01-01")]

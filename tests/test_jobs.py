@@ -1,9 +1,11 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from orderflow import schemas as S
 from orderflow.plans import jobs
-from orderflow.streaming.streams import current_version
+from orderflow.sources import versions
 from tests.conftest import rows
 
 
@@ -15,74 +17,77 @@ def D(x):
     return Decimal(x)
 
 
-def test_apply_changes_end_to_end(spark, tmp):
-    day = dt.datetime(2024, 3, 9, 10)
-    base = dict(customer_id="c1", supplier_name="s", supplier_inn="1", customer_name="n",
-                customer_type="horeca", customer_inn="2", warehouse_id="w", total_lines=1,
-                total_quantity=10, total_weight_kg=D("900.00"), total_amount=D("110.00"),
-                total_vat=D("10.00"), payment_terms_days=14, created_at=day, updated_at=day,
-                event_timestamp=day)
-    orders = make(spark, S.ORDERS, [
-        dict(base, order_id="o1", status="new"),
-        dict(base, order_id="o2", status="in_transit"),
-        dict(base, order_id="o3", status="assembled"),
-        dict(base, order_id="o4", status="delivered"),
-        dict(base, order_id="o5", status="new", created_at=dt.datetime(2024, 2, 1)),
-    ])
-    ships = make(spark, S.SHIPMENTS, [dict(shipment_id="S3", order_id="o3", customer_id="c1",
-                                           status="shipped", shipped_at=day + dt.timedelta(hours=1),
-                                           pallets_count=4, carrier="TK", event_timestamp=day)])
-    items = make(spark, S.ORDER_ITEMS, [
-        dict(order_id=o, line_number=1, sku="k", product_name="p", brand="b", category="c",
-             packs_ordered=1, quantity=40, price_per_unit=D("2.75"), line_total=D("110.00"),
-             event_timestamp=day) for o in ("o1", "o2", "o3", "o4", "o5")])
-    tables = {"orders": orders, "shipments": ships, "order_items": items,
-              "payments": make(spark, S.PAYMENTS, []),
-              "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, []),
-              "returns": make(spark, S.RETURNS, [])}
+DAY = dt.datetime(2024, 3, 9, 10)
+ORDER = dict(customer_id="c1", supplier_name="s", supplier_inn="1", customer_name="n",
+             customer_type="horeca", customer_inn="2", warehouse_id="w", total_lines=1,
+             total_quantity=10, total_weight_kg=D("900.00"), total_amount=D("110.00"),
+             total_vat=D("10.00"), payment_terms_days=14, created_at=DAY, updated_at=DAY,
+             event_timestamp=DAY)
+
+
+def all_tables(spark):
+    ship = dict(customer_id="c1", carrier="TK", event_timestamp=DAY)
+    return {
+        "customers": make(spark, S.CUSTOMERS, [dict(customer_id=c, customer_name="n", customer_type="horeca",
+                                                    customer_inn="1", created_at=DAY, updated_at=DAY)
+                                               for c in ("c1", "c2")]),
+        "products": make(spark, S.PRODUCTS, [dict(sku="k", product_name="p", brand="b", category="c",
+                                                  created_at=DAY, updated_at=DAY)]),
+        "orders": make(spark, S.ORDERS, [dict(ORDER, order_id="o1", status="in_transit"),
+                                         dict(ORDER, order_id="o2", status="new"),
+                                         dict(ORDER, order_id="o3", status="delivered")]),
+        "order_items": make(spark, S.ORDER_ITEMS, [
+            dict(order_id=o, line_number=1, sku="k", product_name="p", brand="b", category="c", packs_ordered=1,
+                 quantity=40, price_per_unit=D("2.75"), line_total=D("110.00"), event_timestamp=DAY)
+            for o in ("o1", "o2", "o3")]),
+        "shipments": make(spark, S.SHIPMENTS, [dict(ship, shipment_id="S1", order_id="o1", status="in_transit",
+                                                    shipped_at=DAY, actual_arrival=DAY + dt.timedelta(hours=4))]),
+        "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, [
+            dict(event_id="e1", order_id="o2", status="confirmed", status_ts=DAY + dt.timedelta(hours=1),
+                 event_timestamp=DAY)]),
+        "payments": make(spark, S.PAYMENTS, [dict(payment_id="p1", order_id="o1", customer_id="c1", status="planned",
+                                                  amount_total=D("110.00"), amount_paid=D("0.00"),
+                                                  due_date=dt.date(2024, 3, 1), created_at=DAY, event_timestamp=DAY)]),
+        "returns": make(spark, S.RETURNS, []),
+    }
+
+
+def test_apply_changes_publishes_all_tables(spark, tmp):
     out = f"{tmp}/out"
-    path = jobs.apply_changes(spark, tables, out, dt.datetime(2024, 3, 10), "0001",
-                              return_rate=None)
-    assert current_version(spark, out) == path
+    assert jobs.load_batch(spark, "historical", all_tables(spark), out) == 1
+    assert jobs.apply_changes(spark, out, dt.date(2024, 3, 10)) == 2
 
-    o = rows(spark.read.parquet(f"{path}/orders"), "order_id", "status")
-    assert o == [("o1", "confirmed"), ("o2", "delivered"), ("o3", "delivered"), ("o4", "delivered"),
-                 ("o5", "new")]
-    s = {r.order_id: r for r in spark.read.parquet(f"{path}/shipments").collect()}
-    assert s["o3"].shipment_id == "S3" and s["o3"].carrier == "TK"          # kept (not updated)
-    assert s["o3"].pallets_count is None                                   # null overwrites
-    assert s["o3"].actual_arrival == day + dt.timedelta(hours=4)
-    assert s["o2"].shipment_id.startswith("SHP-") and s["o2"].status == "delivered"
-    p = rows(spark.read.parquet(f"{path}/payments"), "order_id", "due_date", "status")
-    assert p == [("o2", dt.date(2024, 3, 23), "planned"), ("o3", dt.date(2024, 3, 23), "planned")]
-    h = rows(spark.read.parquet(f"{path}/order_status_history"), "order_id", "status")
-    assert h == [("o1", "confirmed"), ("o2", "delivered"), ("o2", "shipped"), ("o3", "delivered")]
-    r = rows(spark.read.parquet(f"{path}/returns"), "order_id", "quantity", "amount")
-    assert r == [("o2", 2, D("5.50")), ("o3", 2, D("5.50"))]
+    def table(n):
+        return versions.read(spark, out, n)
+    assert rows(table("orders"), "order_id", "status") == [("o1", "delivered"), ("o2", "confirmed"), ("o3", "delivered")]
+    s = table("shipments").first()
+    assert s.status == "delivered" and s.carrier == "TK" and s.actual_arrival == DAY + dt.timedelta(hours=4)
+    assert rows(table("payments"), "payment_id", "status") == [("p1", "overdue")]
+    assert rows(table("order_status_history"), "order_id", "status") == [("o1", "delivered"), ("o2", "confirmed")]
+    assert [table(n).count() for n in ("customers", "products", "order_items", "returns")] == [2, 1, 3, 0]
+    # nothing more to do: the next run changes nothing
+    assert jobs.apply_changes(spark, out, dt.date(2024, 3, 10)) == 3
+    assert rows(table("orders"), "order_id", "status")[0] == ("o1", "delivered")
+    assert table("order_status_history").count() == 2
 
 
-def test_load_batch_historical_then_incremental(spark, tmp):
-    day = dt.datetime(2024, 3, 9, 10)
-    cust = dict(customer_name="n", customer_type="horeca", customer_inn="1", created_at=day,
-                updated_at=day)
-    first = {"customers": make(spark, S.CUSTOMERS, [dict(cust, customer_id="c1"),
-                                                    dict(cust, customer_id="c2")]),
-             "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, [
-                 dict(event_id="e1", order_id="o1", status="new", status_ts=day, event_timestamp=day)])}
-    v1 = jobs.load_batch(spark, "historical", first, f"{tmp}/db", "1")
-    cur = {t: spark.read.parquet(f"{v1}/{t}") for t in first}
-    second = {"customers": make(spark, S.CUSTOMERS, [
-                  dict(cust, customer_id="c2", customer_name="renamed", created_at=day.replace(day=1)),
-                  dict(cust, customer_id="c3")]),
-              "order_status_history": make(spark, S.ORDER_STATUS_HISTORY, [
-                  dict(event_id="e1", order_id="o1", status="changed", status_ts=day,
-                       event_timestamp=day),
-                  dict(event_id="e2", order_id="o1", status="confirmed", status_ts=day,
-                       event_timestamp=day)])}
-    v2 = jobs.load_batch(spark, "incremental", second, f"{tmp}/db", "2", cur)
-    assert current_version(spark, f"{tmp}/db") == v2
-    c = {r.customer_id: r for r in spark.read.parquet(f"{v2}/customers").collect()}
-    assert c["c2"].customer_name == "renamed" and c["c2"].created_at == day   # created_at kept
-    assert set(c) == {"c1", "c2", "c3"}
-    h = rows(spark.read.parquet(f"{v2}/order_status_history"), "event_id", "status")
-    assert h == [("e1", "new"), ("e2", "confirmed")]                           # insert-ignore
+def test_incremental_load_of_one_table_keeps_the_others(spark, tmp):
+    out = f"{tmp}/db"
+    jobs.load_batch(spark, "historical", all_tables(spark), out)
+    later = DAY.replace(day=1)
+    cust = make(spark, S.CUSTOMERS, [dict(customer_id=c, customer_name="renamed", customer_type="horeca",
+                                          customer_inn="1", created_at=later, updated_at=DAY) for c in ("c2", "c3")])
+    jobs.load_batch(spark, "incremental", {"customers": cust}, out)
+    c = {r.customer_id: r for r in versions.read(spark, out, "customers").collect()}
+    assert set(c) == {"c1", "c2", "c3"} and c["c2"].customer_name == "renamed" and c["c2"].created_at == DAY
+    assert sorted(versions.current(spark, out).tables) == sorted(S.TABLES)
+    assert versions.read(spark, out, "order_items").count() == 3
+    # append-only tables ignore known keys; a column the batch lacks takes its default
+    pay = make(spark, S.PAYMENTS, [dict(payment_id=p, order_id="o1", customer_id="c1", status="paid",
+                                        amount_total=D("1.00"), amount_paid=D("1.00"), created_at=DAY,
+                                        event_timestamp=DAY) for p in ("p1", "p2")]).drop("currency")
+    jobs.load_batch(spark, "incremental", {"payments": pay}, out)
+    p = {r.payment_id: r for r in versions.read(spark, out, "payments").collect()}
+    assert p["p1"].status == "planned" and p["p2"].status == "paid" and p["p2"].currency == "RUB"
+    with pytest.raises(ValueError, match="published table"):
+        jobs.load_batch(spark, "incremental", {"payments": pay}, f"{tmp}/other")

@@ -60,32 +60,43 @@ def test_open_recent_orders(spark):
     assert rows(LC.open_recent_orders(o, today), "order_id") == [("a",)]
 
 
-def test_late_shipments_fill_rules(spark):
+def test_late_changes_follow_the_landed_data(spark):
     orders = spark.createDataFrame(
-        [("o1", "c1", h(10), Decimal("1700.00")), ("o2", "c2", h(10), Decimal("100.00"))],
-        "order_id string, customer_id string, ts_base timestamp_ntz, total_weight_kg decimal(12,2)")
-    ships = spark.createDataFrame([("s2", "o2", h(1), None, None)],
-                                  "shipment_id string, order_id string, shipped_at timestamp_ntz, "
-                                  "estimated_arrival timestamp_ntz, actual_arrival timestamp_ntz")
-    got = {r.order_id: r for r in LC.late_shipments(orders, ships).collect()}
-    new, old = got["o1"], got["o2"]
-    assert new.is_new_shipment and new.shipped_at == h(10) and new.actual_arrival == h(13)
-    assert new.pallets_count == 2 and new.status == "delivered"
-    assert not old.is_new_shipment and old.shipment_id == "s2" and old.shipped_at == h(1)
-    assert old.estimated_arrival == h(3) and old.actual_arrival == h(4)
-    assert old.pallets_count is None and old.event_timestamp == h(4)
-
-
-def test_late_payments_only_for_orders_without_payment(spark):
-    orders = spark.createDataFrame(
-        [("o1", "c", dt.datetime(2024, 1, 1), 30, Decimal("10.00"), h(0)),
-         ("o2", "c", dt.datetime(2024, 1, 1), None, Decimal("10.00"), h(0))],
-        "order_id string, customer_id string, created_at timestamp_ntz, payment_terms_days int, "
-        "total_amount decimal(14,2), ts_base timestamp_ntz")
-    pays = spark.createDataFrame([("o2",)], "order_id string")
-    got = LC.late_payments(orders, pays, dt.date(2024, 1, 15)).collect()
-    assert [(r.order_id, r.due_date, r.status) for r in got] == [("o1", dt.date(2024, 1, 31),
-                                                                  "planned")]
+        [("all", "in_transit", h(0)), ("some", "in_transit", h(9)), ("sent", "confirmed", h(0)),
+         ("hist", "new", h(0)), ("back", "delayed", h(0)), ("gone", "new", h(0)), ("done", "delivered", h(0)),
+         ("quiet", "new", h(0))], "order_id string, status string, updated_at timestamp_ntz")
+    ships = spark.createDataFrame(
+        [("s1", "all", "delayed", h(1), h(5)), ("s2", "all", "partially_delivered", h(1), h(6)),
+         ("s3", "some", "in_transit", h(1), h(4)), ("s4", "some", "in_transit", h(1), None),
+         ("s5", "sent", "in_transit", h(2), None), ("s6", "back", "in_transit", h(2), None),
+         ("s7", "done", "in_transit", h(2), h(3))],
+        "shipment_id string, order_id string, status string, shipped_at timestamp_ntz, actual_arrival timestamp_ntz")
+    hist = spark.createDataFrame(
+        [("e1", "hist", "assembled", h(3)), ("e2", "gone", "cancelled", h(4)), ("e3", "sent", "in_transit", h(2))],
+        "event_id string, order_id string, status string, status_ts timestamp_ntz")
+    pays = spark.createDataFrame(
+        [("p1", "planned", Decimal("10.00"), Decimal("10.00"), dt.date(2024, 9, 1)),
+         ("p2", "planned", Decimal("10.00"), Decimal("0.00"), dt.date(2024, 3, 1)),
+         ("p3", "planned", Decimal("10.00"), Decimal("0.00"), dt.date(2024, 9, 1))],
+        "payment_id string, status string, amount_total decimal(14,2), amount_paid decimal(14,2), due_date date")
+    ch = LC.late_changes(orders, ships, pays, hist, dt.date(2024, 3, 2))
+    assert rows(ch["orders"], "order_id", "status", "updated_at") == [
+        ("all", "delivered", h(6)), ("gone", "cancelled", h(4)), ("hist", "assembled", h(3)),
+        ("sent", "in_transit", h(2)), ("some", "partially_delivered", h(9))]
+    assert rows(ch["shipments"], "shipment_id", "status") == [("s1", "delivered"), ("s3", "delivered"),
+                                                              ("s7", "delivered")]
+    assert rows(ch["payments"]) == [("p1", "paid"), ("p2", "overdue")]
+    # the history already holds the in_transit and assembled events
+    assert rows(ch["order_status_history"], "order_id", "status") == [("all", "delivered"),
+                                                                      ("some", "partially_delivered")]
+
+
+def test_late_returns_are_cut_to_the_limit(spark):
+    rets = spark.createDataFrame([("o1", 1, 9), ("o2", 1, 9)], "order_id string, line_number int, quantity int")
+    items = spark.createDataFrame([("o1", 1, Decimal("2.75"), 40), ("o2", 1, Decimal("1.00"), 40)],
+                                  "order_id string, line_number int, price_per_unit decimal(10,2), quantity int")
+    arrived = spark.createDataFrame([("o1",)], "order_id string")
+    assert rows(LC.late_returns(rets, items, arrived)) == [("o1", 1, 2, Decimal("5.50"))]
 
 
 def test_change_base_time(spark):

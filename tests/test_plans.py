@@ -29,10 +29,10 @@ def skewed(spark, n=3000):
         (F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
 
 
-def test_pick_per_key_aggregates_map_side(spark):
+def test_pick_per_key_limits_before_the_shuffle(spark):
     p = plan(C.first_per_key(skewed(spark), ["k"], ["v"]))
-    first_exchange = p.index("Exchange hashpartitioning")
-    assert re.search(r"partial_min", p[first_exchange:]), p   # partial agg below the shuffle
+    assert p.count("WindowGroupLimit") == 2, p                # partial below the exchange + final
+    assert "WindowGroupLimit" in p[p.index("Exchange hashpartitioning"):], p
 
 
 def test_top_n_limits_before_the_shuffle(spark):
@@ -54,18 +54,13 @@ def test_long_stops_windows_are_bucketed(spark):
 def test_upsert_plans(spark):
     t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("s"))
     c = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("b").alias("s"))
-    # large batch: one exchange per side, shared by the duplicate check and the join
-    big = C.upsert(t, c, ["k"], ["s"], broadcast_rows=0)
-    assert plan(big).count("Exchange hashpartitioning") == 2
-    # small batch (checked): broadcast, the target is never shuffled
-    small = C.upsert(t, c, ["k"], ["s"])
-    p = plan(small)
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p, p
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    # one exchange per side, shared by the duplicate check and the join
+    assert plan(C.upsert(t, c, ["k"], ["s"])).count("Exchange hashpartitioning") == 2
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
 def test_no_cartesian_product_in_any_query(spark):
     import __spark_entry__ as E
-    bad = [n for n, q in E.queries().items() if "CartesianProduct" in plan(q(spark, SMOKE))]
+    bad = [n for n, q in E.queries().items()
+           if re.search("CartesianProduct|NestedLoopJoin", plan(q(spark, SMOKE)))]
     assert bad == []

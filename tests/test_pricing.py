@@ -95,14 +95,6 @@ def test_order_header_totals_equal_sum_of_lines(spark):
     assert h["o1"].currency == "RUB"
 
 
-def test_md5_fraction_below_rate(spark):
-    df = spark.range(20000).select(F.col("id").alias("k"))
-    n = df.filter(ids.md5_fraction_below(0.1, "s", "k")).count()
-    assert 1700 < n < 2300
-    assert df.filter(ids.md5_fraction_below(0.0, "s", "k")).count() == 0
-    assert df.filter(ids.md5_fraction_below(1.0, "s", "k")).count() == 20000
-
-
 def test_vat_fast_path_equals_general_formula(spark):
     # every cent value up to 50.00 (covers all residues mod 11 many times)
     df = spark.range(0, 5001).select((F.col("id").cast("decimal(14,2)") / 100)

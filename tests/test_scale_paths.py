@@ -1,26 +1,20 @@
 """The scalable code paths, checked on data rather than on plans."""
 
-import os
-
-import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import tracking as TR
 
-SMOKE = "/root/testdata/sf0.01"
-
 
-@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
-def test_route_match_equi_join_path_equals_inline_path(spark):
-    from orderflow.plans import q_tracking as QT
-    addr, routes = QT.addresses(spark, SMOKE), QT.routes(spark, SMOKE)
-    inline = TR.match_route(addr, routes, key="customer_id")
-    joined = TR.match_route(addr, routes, key="customer_id", max_inline=0)
-    cols = ["customer_id", "route_city", F.size("route").alias("n"),
-            F.element_at("route", -1)["label"].alias("end")]
-    a = sorted(map(tuple, inline.select(*cols).collect()))
-    b = sorted(map(tuple, joined.select(*cols).collect()))
-    assert a == b and len(a) == addr.count()
+def test_short_city_names_match_only_themselves(spark):
+    # a one-letter city and a thousand others with the same first letter
+    routes = spark.createDataFrame(
+        [("N", 5000, [dict(lat=1.0, lon=2.0, label="n"), dict(lat=1.0, lon=2.0, label="N")])]
+        + [(f"N{i}x", i, [dict(lat=1.0, lon=2.0, label="a"), dict(lat=3.0, lon=4.0, label=f"L{i}")])
+           for i in range(1200)], "city string, ord int, route array<struct<lat double, lon double, label string>>")
+    df = spark.createDataFrame([("1", "to N17x"), ("2", "N only"), ("3", "none"), ("4", "N1x N0x"), ("5", "to N17x")],
+                               "id string, delivery_address string")
+    got = {r.id: r.route_city for r in TR.match_route(df, routes).collect()}
+    assert got == {"1": "N17x", "2": "N", "3": None, "4": "N0x", "5": "N17x"}
 
 
 def test_long_stops_with_a_hot_key_match_sql(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.plans import jobs
 from orderflow.schemas import TRACKING_EVENT
-from orderflow.sources import readers as R, sinks as K, state as W
+from orderflow.sources import readers as R, sinks as K, state as W, versions as V
 from orderflow.streaming import streams as ST
 from tests.conftest import rows
 
@@ -117,19 +117,93 @@ def test_stream_tracking_dedupes_across_runs(spark, tmp):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
-def test_stream_upsert_versions_and_pointer(spark, tmp):
+def test_stream_upsert_rewrites_touched_buckets_only(spark, tmp):
     schema = R.T.StructType.fromDDL("id int, status string, event_timestamp timestamp_ntz")
     changes, base, ck = f"{tmp}/changes", f"{tmp}/table", f"{tmp}/ck"
-    spark.createDataFrame([(1, "new", t(1)), (2, "new", t(1))], schema).write.json(changes)
-    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck)
-    v1 = ST.current_version(spark, base)
-    spark.createDataFrame([(2, "confirmed", t(2)), (2, "assembled", t(3)), (3, "new", t(3))],
+    n = 40
+    spark.createDataFrame([(i, "new", t(1)) for i in range(n)], schema).write.json(changes)
+    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, buckets=8)
+    before = V.current(spark, base).tables[ST.STREAM_TABLE].folders
+    spark.createDataFrame([(2, "confirmed", t(2)), (2, "assembled", t(3)), (n, "new", t(3))],
                           schema).write.mode("append").json(changes)
-    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck)
-    v2 = ST.current_version(spark, base)
-    assert v1 != v2
-    assert rows(spark.read.parquet(v2), "id", "status") == [(1, "new"), (2, "assembled"), (3, "new")]
-    assert rows(spark.read.parquet(v1), "id", "status") == [(1, "new"), (2, "new")]
+    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, buckets=8)
+    after = V.current(spark, base)
+    assert after.number == 2
+    touched = {r[0] for r in spark.createDataFrame([(2,), (n,)], "id int").select(V.bucket_of(["id"], 8)).collect()}
+    assert {b for b, p in after.tables[ST.STREAM_TABLE].folders.items() if before.get(b) != p} == touched
+    want = [(i, "assembled" if i == 2 else "new") for i in range(n + 1)]
+    assert sorted((r.id, r.status) for r in ST.read_upserted(spark, base).collect()) == want
+
+
+def test_a_damaged_pointer_fails_and_keeps_the_version(spark, tmp):
+    base = f"{tmp}/db"
+    assert V.current(spark, base) is None
+    df = spark.createDataFrame([(1, "a")], "id int, s string")
+    table = V.write_table(base, "x", df, ["id"], 4)
+    V.publish(spark, base, {"x": table}, None)
+    with pytest.raises(Exception, match="(?i)exists"):          # a second writer with the same base
+        V.publish(spark, base, {"x": table}, None)
+    os.makedirs(f"{base}/_versions/000000000002")
+    with open(f"{base}/_versions/000000000002/part-0.json", "w") as f:
+        f.write('{"version": 2, "table"')
+    with pytest.raises(Exception):
+        V.merge_table(base, "x", V.current(spark, base).tables["x"], df, ["id"], lambda o, c: c, 4)
+    os.replace(f"{base}/_versions/000000000002/part-0.json", f"{base}/_damaged")
+    assert rows(V.read(spark, base, "x")) == [(1, "a")]
+    os.makedirs(f"{tmp}/empty/_versions")
+    with pytest.raises(RuntimeError, match="no readable pointer"):
+        V.current(spark, f"{tmp}/empty")
+
+
+def test_empty_tables_keep_their_schema(spark, tmp):
+    df = spark.createDataFrame([], "id int, s string")
+    V.publish(spark, f"{tmp}/db", {"x": V.write_table(f"{tmp}/db", "x", df, ["id"])}, None)
+    back = V.read(spark, f"{tmp}/db", "x")
+    assert back.count() == 0 and back.columns == ["id", "s"]
+
+
+def test_late_events_go_to_the_late_sink_once(spark, tmp):
+    schema = R.T.StructType.fromDDL(SCHEMA)
+    landing, out, late, ck = (f"{tmp}/{x}" for x in ("landing", "out", "late", "ck"))
+    K.land_jsonl(ev(spark, [("new1", t(100), "s", "x", None), ("new2", t(101), None, "x", None)]), landing, "d1", "1")
+    ST.stream_tracking(spark, landing, out, ck, schema, lateness="1 hour", late_out=late)
+    old = [(f"old{i}", t(i), "s", "x", None) for i in range(5)]
+    K.land_jsonl(ev(spark, old + old[:2] + [("new1", t(100), "s", "x", None)]), landing, "d2", "2")
+    for _ in range(2):
+        ST.stream_tracking(spark, landing, out, ck, schema, lateness="1 hour", late_out=late)
+    written = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    behind = sorted(r.event_id for r in spark.read.parquet(late).collect())
+    assert sorted(written + behind) == ["new1", "new2"] + [f"old{i}" for i in range(5)] and len(behind) == 5
+
+
+def test_pages_of_an_empty_pull_do_not_stop_another(spark, tmp):
+    def page(n, ids, pages):
+        return {"data": [{"event_id": i} for i in ids],
+                "pagination": {"page": n, "limit": 2, "total": 6, "pages": pages}, "timestamp": "x"}
+    for folder, pages in (("a", [page(1, ["e1", "e2"], 3), page(2, ["e3", "e4"], 3), page(3, ["e5", "e6"], 3)]),
+                          ("b", [page(1, [], 1)])):
+        os.makedirs(f"{tmp}/pages/{folder}")
+        with open(f"{tmp}/pages/{folder}/p.json", "w") as f:
+            f.writelines(json.dumps(p) + "\n" for p in pages)
+    got = R.read_page_envelopes(spark, f"{tmp}/pages/*", R.T.StructType.fromDDL("event_id string"))
+    assert sorted(r.event_id for r in got.collect()) == [f"e{i}" for i in range(1, 7)]
+
+
+def test_jdbc_options_split_tables(spark):
+    src = R.Source(kind="jdbc", url="jdbc:x", schema="s", options={"user": "u"})
+    part = {"column": "id", "lowerBound": 0, "upperBound": 100, "numPartitions": 4}
+    o = R.jdbc_options(src, "customers", part)
+    assert o["dbtable"] == "s.customers" and o["user"] == "u"
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "100", "4")
+    assert "partitionColumn" not in R.jdbc_options(src, "customers")
+
+
+def test_ingest_gate(spark, tmp):
+    feed = ev(spark, [("a", t(1), "s", "x", None)])
+    first = jobs.ingest_tracking(spark, feed, f"{tmp}/l", f"{tmp}/s", "2024-03-14")
+    assert first["landed"] and first["watermark"] == t(1).isoformat()
+    none = jobs.ingest_tracking(spark, feed.limit(0), f"{tmp}/l", f"{tmp}/s", "2024-03-15")
+    assert none == {"since": t(1).isoformat(), "landed": None, "watermark": t(1).isoformat()}
 
 
 def test_late_rows(spark):

@@ -59,76 +59,70 @@ def test_match_route_first_city_and_defaults(spark):
         ("5", "Зеленодольск и Нижнекамск"),       # two cities: the first in list order wins
     ], "id string, delivery_address string")
     got = {r.id: (r.route_city, r.route[-1].label) for r in
-           TR.match_route(df, routes, key="id").collect()}
+           TR.match_route(df, routes).collect()}
     assert got["1"] == (None, "Точка доставки") and got["2"] == (None, "Точка доставки")
     assert got["3"] == (None, "Точка доставки")
     assert got["4"] == ("Набережные Челны", "Набережные Челны, РЦ")
     assert got["5"] == ("Нижнекамск", "Нижнекамск")
 
 
-def test_match_route_large_path_equals_inline(spark):
-    routes = spark.createDataFrame(
-        [(f"CITY_{i}", i, [dict(lat=1.0, lon=2.0, label="a"), dict(lat=3.0, lon=float(i), label=f"L{i}")])
-         for i in range(30)], "city string, ord int, route array<struct<lat double, lon double, label string>>")
-    df = spark.createDataFrame([(str(i), f"to CITY_{i} now" if i % 4 else None) for i in range(40)],
-                               "id string, delivery_address string")
-    inline = rows(TR.match_route(df, routes, key="id"), "id", "route_city")
-    joined = rows(TR.match_route(df, routes, key="id", max_inline=5), "id", "route_city")
-    assert inline == joined
-    assert dict(inline)["13"] == "CITY_1"         # CITY_1 is a substring of CITY_13
-
-
-def py_points(shipped, end, route):
-    """Brute-force reading of the trip rules, one shipment."""
-    total = max(60, int((end - shipped).total_seconds() / 60))
-    n = min(15, max(5, total // 30))
-    out = []
-    k = len(route)
-    for i in range(n):
-        progress = i / max(1, n - 1)
-        ts = shipped + dt.timedelta(minutes=int(total * progress))
+def py_readings(readings, shipped, end, route):
+    """Brute-force reading of the rules over one shipment's readings."""
+    minutes = max(60, int((end - shipped).total_seconds() / 60))
+    k, out, before = len(route), [], None
+    readings = sorted(readings, key=lambda r: (r[1], r[0]))
+    for n, (i, ts) in enumerate(readings):
+        progress = min(1.0, max(0.0, (ts - shipped).total_seconds() / (minutes * 60)))
         pos = progress * (k - 1)
         seg = min(int(pos), k - 2)
-        t = pos - seg
-        lat = route[seg][0] + (route[seg + 1][0] - route[seg][0]) * t
-        if i == 0:
-            et, cp = "pickup", route[0][2]
-        elif i == n - 1:
-            et, cp = "delivered", route[-1][2]
-        elif int(pos) != int((i - 1) / max(1, n - 1) * (k - 1)):
-            et, cp = "checkpoint", route[min(seg + 1, k - 1)][2]
+        lat = route[seg][0] + (route[seg + 1][0] - route[seg][0]) * (pos - seg)
+        if n == 0:
+            kind, label = "pickup", route[0][2]
+        elif n == len(readings) - 1:
+            kind, label = "delivered", route[-1][2]
+        elif int(pos) != before:
+            kind, label = "checkpoint", route[min(seg + 1, k - 1)][2]
         else:
-            et, cp = "temperature_reading", None
-        out.append((i, ts, round(lat, 6), et, cp))
+            kind, label = "temperature_reading", None
+        before = int(pos)
+        out.append((i, round(lat, 6), kind, label))
     return out
 
 
-@pytest.mark.parametrize("minutes", [-90, 0, 45, 61, 200, 451, 2000])
-def test_trip_points_match_brute_force(spark, minutes):
+SHIPMENT = ("shipment_id string, order_id string, shipped_at timestamp_ntz, estimated_arrival timestamp_ntz, "
+            "actual_arrival timestamp_ntz, delivery_address string")
+
+
+@pytest.mark.parametrize("minutes", [-90, 45, 451, 2000])
+def test_observed_readings_match_brute_force(spark, minutes):
     route = [(a, b, c) for a, b, c in TR.REFERENCE_ROUTES[0][1]]
-    arrival = m(minutes)
-    s = spark.createDataFrame([("SHP-1", "o1", T0, None, arrival, "в Набережные Челны")],
-                              "shipment_id string, order_id string, shipped_at timestamp_ntz, "
-                              "estimated_arrival timestamp_ntz, actual_arrival timestamp_ntz, "
-                              "delivery_address string")
-    ev = TR.classify_event(TR.interpolate_route(TR.trip_points(
-        TR.match_route(s, TR.reference_routes(spark), key="shipment_id"))))
-    got = [(r.point_index, r.timestamp, r.latitude, r.event_type, r.checkpoint)
-           for r in ev.orderBy("point_index").collect()]
-    assert got == py_points(T0, arrival, route)
-    ids_ = [r.event_id for r in ev.orderBy("point_index").collect()]
-    assert ids_[0] == "TRK-" + hashlib.md5(b"SHP-1:0").hexdigest()[:12].upper()
-
-
-def test_unshipped_and_default_end(spark):
-    s = spark.createDataFrame([("a", "o", None, None, None, None), ("b", "o", T0, None, None, None)],
-                              "shipment_id string, order_id string, shipped_at timestamp_ntz, "
-                              "estimated_arrival timestamp_ntz, actual_arrival timestamp_ntz, "
-                              "delivery_address string")
-    p = TR.trip_points(s).collect()
-    assert {r.shipment_id for r in p} == {"b"}
-    assert max(r.timestamp for r in p) == T0 + dt.timedelta(hours=6)   # shipped + 6 h
-    assert len(p) == 12
+    readings = [(f"e{i:02d}", m(x)) for i, x in enumerate([-30, 0, 5, 40, 40, 61, 200, 333, 440, 900, 1999, 3000])]
+    s = spark.createDataFrame([("SHP-1", "o1", T0, None, m(minutes), "в Набережные Челны"),
+                               ("idle", "o2", None, None, None, "Елабуга")], SHIPMENT)
+    f = spark.createDataFrame([(i, ts, "SHP-1", 3.0, 50) for i, ts in readings] + [("x", T0, "idle", 3.0, 0),
+                                                                               ("y", T0, "unknown", 3.0, 0)],
+                              "event_id string, timestamp timestamp_ntz, shipment_id string, "
+                              "temperature_celsius double, speed_kmh int")
+    ev = TR.tracking_events(f, s)
+    assert ev.columns == TR.TRACKING_COLS
+    got = [(r.event_id, r.latitude, r.event_type, r.checkpoint) for r in ev.orderBy("timestamp", "event_id").collect()]
+    assert got == py_readings(readings, T0, m(minutes), route)
+    p = TR.observed_points(f, s)
+    assert p.filter("event_id = 'e00'").first().tracking_id == "TRK-" + hashlib.md5(b"SHP-1:e00").hexdigest()[:12].upper()
+
+
+def test_default_trip_end(spark):
+    s = spark.createDataFrame([("b", "o", T0, None, None, None)], SHIPMENT)
+    assert s.select(TR.trip_end(), TR.trip_minutes()).first() == (T0 + dt.timedelta(hours=6), 360)
+
+
+def test_readings_without_key_or_time_keep_their_alert(spark):
+    data = [(None, m(0), "a", "x", 0, 7.0), ("s", None, "b", "x", 0, 8.0), (None, None, "c", "x", 0, 1.0),
+            ("s", m(0), "d", "x", 0, 1.0), ("s", m(40), "e", "x", 0, 1.0)]
+    df = spark.createDataFrame(data, "shipment_id string, timestamp timestamp_ntz, event_id string, "
+                                     "event_type string, speed_kmh int, temperature_celsius double")
+    got = dict(rows(TR.long_stop_alert(df), "event_id", "alert"))
+    assert got == {"a": "temperature_breach", "b": "temperature_breach", "c": None, "d": "long_stop", "e": "long_stop"}
 
 
 def py_long_stops(events, minutes=30):
@@ -182,10 +176,3 @@ def test_tracking_envelope(spark):
     assert s.pagination.total == 7
     past = TR.tracking_envelope(f, 9, 10).first()
     assert past.data == [] and past.pagination.pages == 3
-
-
-def test_match_route_large_path_needs_a_key(spark):
-    routes = TR.reference_routes(spark)
-    df = spark.createDataFrame([("x",)], "delivery_address string")
-    with pytest.raises(ValueError, match="unique key"):
-        TR.match_route(df, routes, max_inline=1)
