@@ -1,5 +1,8 @@
 """DuckDB SQL for the results of the corpus operators that SQL can express,
-written from the rules of the results, not from the operators."""
+written from the rules of the results, not from the operators (the licence
+templates are the shared fixed values)."""
+
+from orderflow.llm.license_scan import TEMPLATES
 
 HOST_RULES = r"""
 WITH d AS (
@@ -95,7 +98,63 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
 FROM d LEFT JOIN words USING (rid) LEFT JOIN ids USING (rid)
 """
 
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]::VARCHAR[]"
+
+
+def _template(n, t) -> str:
+    body, key = t.text.split(), t.phrases[0].split()
+    shift = next((i for i in range(len(body)) if body[i:i + len(key)] == key), 0)
+    return f"({n}, '{t.label}', {t.base}, {shift}, {_list(key)}, {_list(body)}, {_list(t.phrases[1:])})"
+
+
+LICENSES = rf"""
+WITH tpl AS (
+  SELECT * FROM (VALUES {", ".join(_template(n, t) for n, t in enumerate(TEMPLATES))})
+    AS v(t, label, base, shift, ph, body, more)
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), word AS (
+  SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d
+), voc AS (
+  SELECT DISTINCT unnest(body) AS w FROM tpl
+), df AS (
+  SELECT w, count(DISTINCT rid) AS c FROM word WHERE w IN (SELECT w FROM voc) GROUP BY w
+), idf AS (
+  SELECT voc.w, ln(((SELECT count(*) FROM d) + 1.0) / (coalesce(df.c, 0) + 1)) + 1e-9 AS v FROM voc LEFT JOIN df USING (w)
+), place AS (
+  SELECT d.rid, d.ws, word.i - 1 AS start, tpl.* FROM word JOIN tpl ON tpl.ph[1] = word.w JOIN d ON d.rid = word.rid
+  WHERE d.ws[word.i:word.i + len(tpl.ph) - 1] = tpl.ph
+), near AS (
+  SELECT *, ' ' || array_to_string(ws[greatest(0, start - shift - len(body)) + 1:start - shift + 2 * len(body)], ' ')
+    || ' ' AS text FROM place
+), ok AS (
+  SELECT * FROM near WHERE len(list_filter(more, lambda p: NOT contains(text, ' ' || p || ' '))) = 0
+), body AS (
+  SELECT rid, t, start, label, base, ws, unnest(body) AS bw, start - shift + generate_subscripts(body, 1) AS pos FROM ok
+), hit AS (
+  SELECT rid, t, start, any_value(label) AS label, any_value(base) AS base,
+         least(1.0, sum(CASE WHEN pos >= 1 AND pos <= len(ws) AND ws[greatest(pos, 1)] = bw THEN v ELSE 0 END) / sum(v)) AS cover
+  FROM body JOIN idf ON idf.w = bw GROUP BY rid, t, start
+), r AS (
+  SELECT rid, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+         max(start) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, round(max(cover), 6) AS score
+  FROM hit GROUP BY rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN r USING (rid)
+"""
+
 ORACLES = {
+    "op1_license_scan": LICENSES.strip(),
     "op3_host_rules": HOST_RULES.strip(),
     "op7_warc_dictionary": ARCHIVE.strip(),
     "op10_suffix_decontamination": DECONTAMINATION.strip(),

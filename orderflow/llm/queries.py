@@ -24,7 +24,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         labels(F.filter("matches", lambda m: m["base"])).alias("base_labels"), labels(F.col("matches")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0)).alias("score"))
+        F.round(F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0)), 6).alias("score"))
 
 
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Main-text extraction by wrapper induction.
 
-1. Each host has a reference page: of its complete pages (else of all), the
-   one with the smallest hash of its id.
+1. Each host has a reference page: of its complete pages of at most twice the
+   median length (else of all), the one with the smallest hash of its id.
 2. Every page of the host is aligned with it by simple tree matching (the
    largest order-preserving matching of the two DOM trees with equal labels).
    An aligned text block with the reference's text votes "constant", another
@@ -26,6 +26,7 @@ columns are not read.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from html import unescape
 
@@ -66,6 +67,7 @@ _MARK = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", r
 _HIDDEN = re.compile(r"""(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
+MAX_DEPTH = 10_000_000        # trees are walked recursively, however deep a page nests
 
 
 class Node:
@@ -90,11 +92,18 @@ class Page:
 
 def parse(html: str) -> Page:
     """The page's tree.  Inline elements belong to the text of their block."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), MAX_DEPTH))
     page = Page()
     # open elements: tag, node, inside furniture, inside article, inside main
     stack = [("html", page.root, False, False, False)]
+    is_open: Counter = Counter()
     buffer: list[str] = []
 
+    def pop_from(i):
+        for x in stack[i:]:
+            is_open[x[0]] -= 1
+        del stack[i:]
+
     def flush():
         if not buffer:
             return
@@ -109,10 +118,11 @@ def parse(html: str) -> Page:
             page.main.append(main)
 
     def close(tag):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
+        if is_open[tag]:
+            i = len(stack) - 1
+            while stack[i][0] != tag:
+                i -= 1
+            pop_from(i)
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -133,13 +143,13 @@ def parse(html: str) -> Page:
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES_P and any(x[0] == "p" for x in stack[1:]):
+        if tag in CLOSES_P:
             close("p")
         ends = CLOSED_BY_SAME.get(tag)
         if ends:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in ends:
-                    del stack[i:]
+                    pop_from(i)
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "article", "section", "div"):
                     break
@@ -152,6 +162,7 @@ def parse(html: str) -> Page:
         label = tag + "".join("." + v for k, v in marks if k == "class")
         node = Node(label)
         parent.children.append(node)
+        is_open[tag] += 1
         stack.append((tag, node, furniture, article or tag == "article",
                       main or tag == "main" or ("role", "main") in marks))
     if at < len(html):
@@ -170,60 +181,95 @@ def fold(node: Node) -> None:
         node.block, node.children = node.children[0].block, []
 
 
+def leaves_match(x: Node, y: Node) -> bool:
+    return x.label == y.label and not x.children and not y.children
+
+
+def trim(xs: list[Node], ys: list[Node]) -> tuple[int, int]:
+    """Equal leaves at the front and at the back; they match one another in
+    some largest matching."""
+    most, k, e = min(len(xs), len(ys)), 0, 0
+    while k < most and leaves_match(xs[k], ys[k]):
+        k += 1
+    while e < most - k and leaves_match(xs[-1 - e], ys[-1 - e]):
+        e += 1
+    return k, e
+
+
 def tree_match(a: Node, b: Node, memo: dict) -> int:
-    """Size of the largest matching of two trees with equal root labels."""
+    """Size of the largest matching of two trees, 0 for unequal root labels."""
     if a.label != b.label:
         return 0
     if not a.children or not b.children:
         return 1
     key = (id(a), id(b))
     if key not in memo:
-        memo[key] = 1 + child_table(a.children, b.children, memo)[-1][-1]
+        k, e = trim(a.children, b.children)
+        inner = last_row(a.children[k:len(a.children) - e], b.children[k:len(b.children) - e], memo)
+        memo[key] = 1 + k + e + inner[-1]
     return memo[key]
 
 
-def child_table(xs, ys, memo):
-    width = len(ys) + 1
-    rows = [[0] * width]
+def next_row(x: Node, ys, above: list[int], memo: dict) -> list[int]:
+    row, leaf, label = [0], not x.children, x.label
+    for j, y in enumerate(ys):
+        best = above[j + 1] if above[j + 1] >= row[j] else row[j]
+        if y.label == label:
+            w = above[j] + (1 if leaf or not y.children else tree_match(x, y, memo))
+            if w > best:
+                best = w
+        row.append(best)
+    return row
+
+
+def last_row(xs, ys, memo: dict) -> list[int]:
+    """Largest matchings of ``xs`` with every front part of ``ys``."""
+    row = [0] * (len(ys) + 1)
     for x in xs:
-        above, row = rows[-1], [0]
-        leaf, label = not x.children, x.label
-        for j, y in enumerate(ys):
-            best = above[j + 1] if above[j + 1] >= row[j] else row[j]
-            if y.label == label:
-                w = above[j] + (1 if leaf or not y.children else tree_match(x, y, memo))
-                if w > best:
-                    best = w
-            row.append(best)
-        rows.append(row)
-    return rows
+        row = next_row(x, ys, row, memo)
+    return row
+
+
+TABLE_CELLS = 1 << 20
+
+
+def matched(xs: list[Node], ys: list[Node], memo: dict) -> list[tuple[Node, Node]]:
+    """The node pairs of a largest matching of two child lists, in order.
+    Beyond ``TABLE_CELLS`` the first list is halved where the best matchings
+    of both halves meet, so memory stays linear."""
+    k, e = trim(xs, ys)
+    front, back = list(zip(xs[:k], ys[:k])), list(zip(xs[len(xs) - e:], ys[len(ys) - e:]))
+    xs, ys = xs[k:len(xs) - e], ys[k:len(ys) - e]
+    found = []
+    if xs and ys and len(xs) > 1 and len(xs) * len(ys) > TABLE_CELLS:
+        half = len(xs) // 2
+        ahead, behind = last_row(xs[:half], ys, memo), last_row(xs[:half - 1:-1], ys[::-1], memo)
+        cut = max(range(len(ys) + 1), key=lambda j: ahead[j] + behind[len(ys) - j])
+        found = matched(xs[:half], ys[:cut], memo) + matched(xs[half:], ys[cut:], memo)
+    elif xs and ys:
+        rows = [[0] * (len(ys) + 1)]
+        for x in xs:
+            rows.append(next_row(x, ys, rows[-1], memo))
+        i, j = len(xs), len(ys)
+        while i and j:
+            if rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            elif rows[i][j] == rows[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((xs[i], ys[j]))
+        found.reverse()
+    return front + found + back
 
 
 def align(a: Node, b: Node, pairs: list, memo: dict) -> None:
     """Append the (block of a, block of b) pairs of the largest matching."""
     if a.block >= 0 and b.block >= 0:
         pairs.append((a.block, b.block))
-    xs, ys = a.children, b.children
-    if not xs or not ys:
-        return
-    # equal leaves at the front match in some largest matching
-    k, most = 0, min(len(xs), len(ys))
-    while k < most and xs[k].label == ys[k].label and not xs[k].children and not ys[k].children:
-        align(xs[k], ys[k], pairs, memo)
-        k += 1
-    xs, ys = xs[k:], ys[k:]
-    rows = child_table(xs, ys, memo)
-    i, j, found = len(xs), len(ys), []
-    while i and j:
-        if rows[i][j] == rows[i - 1][j]:
-            i -= 1
-        elif rows[i][j] == rows[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            found.append((xs[i], ys[j]))
-    for x, y in reversed(found):
-        align(x, y, pairs, memo)
+    if a.children and b.children:
+        for x, y in matched(a.children, b.children, memo):
+            align(x, y, pairs, memo)
 
 
 def aligned_blocks(page: Page, reference: Page) -> list[tuple[int, int]]:
@@ -265,15 +311,18 @@ def references(pages: DataFrame, *, id_col: str, html: str) -> DataFrame:
     """One reference page per host: ``__host``, ``__ref``."""
     incomplete = ~F.lower(F.right(F.rtrim(F.col(f"`{html}`")), F.lit(7))).eqNullSafe(F.lit("</html>"))
     page = F.col(f"`{id_col}`")
-    order = F.struct(incomplete.alias("c"), F.xxhash64(page).alias("x"), page.alias("id"))
     rows = pages.where(F.length(F.col(f"`{html}`")) > 0)
-    best = write_scratch(rows.groupBy("__host").agg(F.min(order).alias("o"))
-                         .select(F.col("__host").alias("__h"), F.col("o.c").alias("__c"), F.col("o.id").alias("__id")),
-                         "hosts")
-    found = rows.select("__host", page.alias("__page"), incomplete.alias("__incomplete"),
-                        F.col(f"`{html}`").alias("__ref")).join(
+    typical = write_scratch(rows.groupBy(F.col("__host").alias("__h")).agg(
+        F.percentile_approx(F.length(F.col(f"`{html}`")), 0.5).alias("__median")), "median_lengths")
+    narrow = rows.select("__host", page.alias("__page"), incomplete.alias("c"),
+                         F.length(F.col(f"`{html}`")).alias("n")).join(typical, F.col("__host") == F.col("__h"))
+    order = F.struct("c", (F.col("n") > 2 * F.col("__median")).alias("long"), F.xxhash64("__page").alias("x"),
+                     F.col("__page").alias("id"), "n")
+    best = write_scratch(narrow.groupBy("__h").agg(F.min(order).alias("o")).select(
+        "__h", F.col("o.n").alias("__n"), F.col("o.id").alias("__id")), "hosts")
+    found = rows.select("__host", page.alias("__page"), F.col(f"`{html}`").alias("__ref")).join(
         best, (F.col("__host") == F.col("__h")) & F.col("__page").eqNullSafe(F.col("__id"))
-        & (F.col("__incomplete") == F.col("__c")))
+        & (F.length("__ref") == F.col("__n")))
     # rows that repeat the reference's id: the smallest page
     return write_scratch(found.groupBy("__host").agg(F.min("__ref").alias("__ref")), "references")
 

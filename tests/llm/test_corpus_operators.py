@@ -167,6 +167,23 @@ def test_tree_match_is_the_largest_matching():
         assert wrapper.tree_match(a, b, {}) == brute(a, b)
 
 
+def test_deep_and_wide_pages(monkeypatch):
+    deep = wrapper.parse("<div>" * 20_000 + "x" + "</section>" * 5_000 + "<p>y")
+    assert wrapper.main_text(deep, set()) == "x y"
+    assert wrapper.aligned_blocks(deep, deep) == [(0, 0), (1, 1)]
+    assert wrapper.main_text(wrapper.parse("<a <a " * 50_000), set()) == ""
+    assert len(wrapper.parse("<!-- " * 50_000 + "<p>t").texts) == 0
+    rng = np.random.default_rng(5)
+
+    def items(n):
+        return "".join("<ul><li>a</ul>" if x else "<p>b</p>" for x in rng.integers(0, 2, n))
+    a, b = wrapper.parse(items(70)), wrapper.parse(items(50))
+    want = wrapper.aligned_blocks(a, b)
+    monkeypatch.setattr(wrapper, "TABLE_CELLS", 16)              # halved instead of one table
+    got = wrapper.aligned_blocks(a, b)
+    assert len(got) == len(want) and got == sorted(got)
+
+
 def test_constant_nodes_become_template(sp):
     rows = [(i, "http://H.example.com/p", page(f"<article><h1>Head {i}</h1><p>body {i} text</p><p>Share this story</p>"
                                                f"<p>more {i}</p></article>", f"t{i}")) for i in range(8)]
