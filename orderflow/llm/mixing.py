@@ -25,8 +25,9 @@ probability: repeatable, and equal for repeated rows.
 Defined results: a null source or language counts as the empty name; null and
 empty texts have 0 tokens, weigh nothing and keep the probability of their
 cell; a target for a category without tokens is ignored and the others are
-renormalised; if the marginals cannot all be met, raking stops after
-``max_rounds``; an empty table gives an empty result.
+renormalised; if the marginals cannot all be met, raking stops when
+``PATIENCE`` rounds bring no improvement, or after ``max_rounds``; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ from pyspark.sql import types as T
 from orderflow.llm.base import record_batch, space_words, texts_of, write_scratch
 
 TOPIC_WORD = 7
+PATIENCE = 5
 _BUCKETS: dict[bytes, int] = {}
 
 
@@ -133,14 +135,16 @@ def rake(cells: DataFrame, *, source_targets: DataFrame, lang_targets: dict, top
             out[r["at"]] = r["x"]
         return out[:size].reshape(len(langs), len(topics)), out[size]
 
-    mean = 1.0
+    mean, best, idle = 1.0, np.inf, 0
     for _ in range(max_rounds):
         joint, total = summed(np.outer(b, c).ravel())        # sources fitted
         now_b = b * (joint @ c)
         now_c = c * (joint.T @ b)
         off = max(np.abs(now_b - want_b).max(), np.abs(now_c - want_c).max())
         mean = float((joint * np.outer(b, c)).sum() / total) if total else 1.0
-        if off < tolerance:
+        idle = idle + 1 if off > 0.999 * best else 0
+        best = min(best, off)
+        if off < tolerance or idle >= PATIENCE:
             break
         b = np.divide(want_b * b, now_b, out=np.zeros_like(b), where=now_b > 0)
         now_c = c * (joint.T @ b)
