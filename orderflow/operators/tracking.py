@@ -264,9 +264,9 @@ def classify_event(points: DataFrame, key: str = "shipment_id", ts_col: str = "t
     at = F.struct(F.col(ts_col).alias("t"), F.col(id_col).alias("i"))
     x = points.withColumn("_pos", pos).withColumn("_at", at)
     legs = x.groupBy(key, "_pos").agg(F.min("_at").alias("_leg"), F.max("_at").alias("_end"))
-    trips = legs.groupBy(key).agg(F.min("_leg").alias("_first"), F.max("_end").alias("_last"))
-    marks = legs.select(F.col(key).alias("_k"), F.col("_pos").alias("_p"), "_leg").join(
-        trips.withColumnRenamed(key, "_k"), "_k")
+    trip = Window.partitionBy(key)           # over legs: a row per route segment
+    marks = legs.select(F.col(key).alias("_k"), F.col("_pos").alias("_p"), "_leg",
+                        F.min("_leg").over(trip).alias("_first"), F.max("_end").over(trip).alias("_last"))
     x = x.join(marks, (F.col(key) == F.col("_k")) & (F.col("_pos") == F.col("_p")))
     seg = F.least(F.col("_pos"), k - 2)
     etype = (F.when(F.col("_at") == F.col("_first"), F.lit("pickup"))
