@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,20 +70,25 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.to_pylist()]
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: helper columns cannot clash
+    with them, whatever the names were; ``toDF`` with the old names undoes it."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def record_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def filter_rows(docs: DataFrame, text: str, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:
     """The rows whose text ``keep`` accepts, all columns unchanged."""
-    names = docs.columns
-    at = names.index(text)
+    at, rows = docs.columns.index(text), positional(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(keep(texts_of(batch.column(at))), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
@@ -103,6 +109,15 @@ def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def task_name() -> str:
+    """Name of this task for its files: partition and attempt.  Each attempt
+    (a retry, a speculative copy) has files of its own, since not every store
+    lets a move replace a file; readers follow the names that the successful
+    attempt returned."""
+    task = TaskContext.get()
+    return f"{task.partitionId():06d}-{task.taskAttemptId()}"
+
+
 def write_file(uri: str, write: Callable) -> int:
     """Write a file under a temporary name and move it into place, so a
     retried or a lost task never leaves a partial file; returns its bytes."""

@@ -27,11 +27,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import as_bytes, letter_words, read_file, record_batch, texts_of, write_file
+from orderflow.llm.base import (as_bytes, filter_rows, letter_words, read_file, record_batch, task_name, texts_of,
+                                write_file)
 from orderflow.session import scratch_dir
 
 SHARD_BYTES = 8 << 20
@@ -58,7 +58,7 @@ def benchmark_blocks(benchmark: DataFrame, *, text: str = "text", id_col: str =
         buf = io.BytesIO()
         with pa.ipc.new_file(buf, table.schema) as out:
             out.write_table(table)
-        path = f"{root}/block-{TaskContext.get().partitionId():06d}.arrow"
+        path = f"{root}/block-{task_name()}.arrow"
         write_file(path, lambda f: f.write(buf.getvalue()))
         yield record_batch(path=pa.array([path], pa.string()))
 
@@ -164,8 +164,8 @@ def longest_matches(pos, size, item, offset, bounds):
 def shard_hits(texts: list[bytes], paths: list[str], window: int):
     """Per document: words, hit words, item ids and longest matches."""
     words = [letter_words(t) for t in texts]
-    n = np.array([len(w) for w in words])
-    bounds = np.concatenate([[0], np.cumsum(n + 1)])     # each document ends with a 0
+    n = np.array([len(w) for w in words], np.int64)
+    bounds = np.append(0, np.cumsum(n + 1))              # each document ends with a 0
     hit = np.zeros(int(bounds[-1]) + 1, np.int64)
     items: list[set] = [set() for _ in texts]
     matches: list[list] = [[] for _ in texts]
@@ -224,12 +224,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", window: int = 10) -> DataFrame:
     """The documents without any benchmark window, all columns unchanged."""
     paths = benchmark_blocks(benchmark)
-    names = docs.columns
-
-    def run(batches):
-        for batch in batches:
-            texts = texts_of(batch.column(names.index(text)))
-            keep = [h == 0 for lo, hi in shards(texts) for h in shard_hits(texts[lo:hi], paths, window)[1].tolist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_rows(docs, text, lambda texts: [
+        h == 0 for lo, hi in shards(texts) for h in shard_hits(texts[lo:hi], paths, window)[1].tolist()])

@@ -40,10 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.base import record_batch, space_words, texts_of, write_scratch
+from orderflow.llm.base import positional, record_batch, space_words, texts_of, write_scratch
 
 TOPIC_WORD = 7
 PATIENCE = 5
+RESULTS = ("__topic", "__tokens", "__probability", "__kept")
 _BUCKETS: dict[bytes, int] = {}
 
 
@@ -161,8 +162,12 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
                topic_targets: dict | None = None, flatten: float = 0.7, fraction: float = 0.6,
                seed: int = 42) -> DataFrame:
     """The columns (all by default) with ``__topic``, ``__tokens``,
-    ``__probability`` and ``__kept``."""
-    columns = list(columns or docs.columns)
+    ``__probability`` and ``__kept``, which replace input columns of these
+    names."""
+    keep = [c for c in columns or docs.columns if c not in RESULTS]
+    columns, text, id_col, source, lang = ([f"c{docs.columns.index(c)}" for c in keep], *(
+        f"c{docs.columns.index(c)}" for c in (text, id_col, source, lang)))
+    docs = positional(docs)
     src = docs.withColumns({
         "__source": F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")),
         "__lang": F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")),
@@ -217,10 +222,12 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
     p = F.least(F.lit(1.0), F.coalesce(F.col("factor"), F.lit(0.0)) * lookup(b, F.col("__lang"))
                 * lookup(c, F.col("__topic")) * F.lit(scale))
     rows = rows.join(factors.withColumnRenamed("source", "__source"), "__source", "left")
-    return rows.select(*[F.col(f"`{x}`") for x in columns], "__topic", "__tokens", p.alias("__probability"),
-                       (F.col("__draw") < p).alias("__kept"))
+    return rows.select(*columns, "__topic", "__tokens", p.alias("__probability"),
+                       (F.col("__draw") < p).alias("__kept")).toDF(*keep, *RESULTS)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", source: str = "source",
+          lang: str = "lang", **options) -> DataFrame:
     """The sampled documents, all columns unchanged."""
-    return calibrated(docs, **options).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    at = {k: f"c{docs.columns.index(c)}" for k, c in dict(text=text, id_col=id_col, source=source, lang=lang).items()}
+    return calibrated(positional(docs), **at, **options).where("__kept").drop(*RESULTS).toDF(*docs.columns)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from orderflow.llm.base import as_bytes, record_batch, space_words, texts_of, write_scratch
+from orderflow.llm.base import as_bytes, positional, record_batch, space_words, texts_of, write_scratch
 
 SEED = 42
 N_PIVOTS = 24
@@ -274,20 +274,21 @@ def one_per_group(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     one with the group's smallest id (of rows that repeat this id, the one
     with the smallest text).  A group without any id keeps the row with the
     smallest text."""
+    columns = docs.columns
+    at, docs = columns.index(text), positional(docs)
+    names = docs.columns
+    text, id_col = names[at], names[columns.index(id_col)]
     docs_fp, class_ids = groups(docs, text=text, id_col=id_col, shingle=shingle, max_bits=max_bits,
                                 bucket_rows=bucket_rows)
-    key, names = F.col(f"`{id_col}`"), docs.columns
-    by_text = F.col(f"`{text}`").asc_nulls_first()
+    key, by_text = F.col(id_col), F.col(text).asc_nulls_first()
 
     def first_of(rows, group):
         rank = F.row_number().over(Window.partitionBy(group).orderBy(by_text))
-        return rows.withColumn("__row", rank).where(F.col("__row") == 1).select(*[f"`{c}`" for c in names])
+        return rows.withColumn("__row", rank).where(F.col("__row") == 1).select(*names)
 
     firsts = class_ids.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__first"))
     named = first_of(docs.join(write_scratch(firsts.distinct(), "group_firsts"), key == F.col("__first")), "__first")
 
-    at = names.index(text)
-
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in texts_of(batch.column(at))], dtype=np.uint64)
@@ -297,4 +298,4 @@ def one_per_group(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     nameless = docs.where(key.isNull()).mapInArrow(run, schema).join(
         class_ids.where(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")),
         "__fp")
-    return named.unionByName(first_of(nameless, "__root"))
+    return named.union(first_of(nameless, "__root")).toDF(*columns)

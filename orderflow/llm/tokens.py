@@ -7,8 +7,8 @@ after a header with the document ids and lengths.  With the ranks of each
 plane a shard gives random token access, counts and the places of a token
 (``rank``, ``select``) without decoding the rest, and decodes as a whole.
 
-Shards are named by (partition, number) and moved into place when complete,
-so retried tasks rewrite the same files.  A manifest table lists them; the
+Shards are named by partition, attempt and number and moved into place when
+complete.  A manifest table lists those of the tasks that succeeded; the
 position of a shard among all tokens is the sum of the shards before it.
 
 Words between blanks are encoded once per task process and remembered: the
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import read_file, record_batch, write_file, write_scratch
+from orderflow.llm.base import read_file, record_batch, task_name, write_file, write_scratch
 from orderflow.session import scratch_dir
 
 SHARD_TOKENS = 1 << 20
@@ -373,7 +373,7 @@ def write_tokens(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
 
         def flush():
             nonlocal seq, ids, lengths, tokens, held
-            path = f"{root}/part-{part:06d}-{seq:05d}.wvmx"
+            path = f"{root}/part-{task_name()}-{seq:05d}.wvmx"
             flat = np.concatenate(tokens)
             data = shard_bytes(ids, lengths, flat, enc.bits)
             write_file(path, lambda f: f.write(data))

@@ -5,8 +5,10 @@ Each task writes one archive (``.warc.zst``): a leading skippable frame
 records, then every record is a frame of its own, compressed with it, so any
 record can be read alone.  Records with equal payloads are found by their
 SHA-1; the smallest page id is the response, the others are revisit records
-that refer to it and carry no payload.  Only digests are shuffled, never
-pages.
+that refer to it and carry no payload.  Digests are grouped first (map-side
+combined); the table of repeated payloads is joined back to the pages, by
+broadcast while Spark's byte-based check allows it, else by a join on the
+digest in which AQE splits hot digests.
 
 Defined results: null or empty html is an empty payload (equal like any
 other); rows that repeat the smallest page id of their payload are all
@@ -26,11 +28,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import read_file, record_batch, texts_of, write_file, write_scratch
+from orderflow.llm.base import read_file, record_batch, task_name, texts_of, write_file, write_scratch
 from orderflow.session import scratch_dir
 
 DICTIONARY_FRAME = 0x184D2A5D
@@ -117,9 +118,9 @@ def read_archive(data: bytes):
         yield parse_record(b"".join(parts))
 
 
-def with_refers_to(pages: DataFrame, *, id_col: str, html: str) -> DataFrame:
+def with_refers_to(pages: DataFrame, *, id_col: str, url: str, html: str) -> DataFrame:
     """``__payload`` and ``__refers_to`` (null for responses) of every page."""
-    rows = pages.withColumn("__payload", F.coalesce(F.col(f"`{html}`").cast("binary"), F.lit(b""))) \
+    rows = pages.select(*[F.col(f"`{c}`") for c in (id_col, url, html)]).withColumn("__payload", F.coalesce(F.col(f"`{html}`").cast("binary"), F.lit(b""))) \
         .withColumn("__sha1", F.sha1("__payload"))
     first = (rows.groupBy("__sha1").agg(F.min(F.col(f"`{id_col}`")).alias("__first"),
                                         F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
@@ -134,7 +135,7 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url: str = "url
     root = scratch_dir(pages.sparkSession, "warc")
 
     def run(batches):
-        path = f"{root}/part-{TaskContext.get().partitionId():06d}.warc.zst"
+        path = f"{root}/part-{task_name()}.warc.zst"
         n = 0
 
         def records():
@@ -166,7 +167,7 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url: str = "url
         size = write_file(path, write)
         yield record_batch(path=pa.array([path]), n=pa.array([n], pa.int64()), b=pa.array([size], pa.int64()))
 
-    rows = with_refers_to(pages, id_col=id_col, html=html).select(
+    rows = with_refers_to(pages, id_col=id_col, url=url, html=html).select(
         F.col(f"`{id_col}`").cast("long"), F.col(f"`{url}`").cast("string"), "__payload",
         F.col("__refers_to").cast("long"))
     return write_scratch(rows.mapInArrow(run, "path string, n_records long, n_bytes long"), "warc_manifest")

@@ -43,6 +43,7 @@ INLINE = frozenset(
 DROPPED = frozenset(
     "script style noscript template head title nav footer aside form menu dialog iframe object embed svg canvas "
     "button select option textarea input audio video map".split())
+WHOLE = frozenset("html body main".split())
 RAW = "script|style|noscript|template|textarea|title|iframe|svg"
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
@@ -156,9 +157,11 @@ def parse(html: str) -> Page:
         _, parent, furniture, article, main = stack[-1]
         attrs = m.group(4) or m.group(7) or ""
         marks = [(k.lower(), v.strip("\"'").lower()) for k, v in _MARK.findall(attrs)] if attrs else []
-        words = {w for _, v in marks for w in _PART.findall(v)}
-        furniture = (furniture or tag in DROPPED or not words.isdisjoint(FURNITURE)
-                     or tag == "header" and not article or bool(attrs and _HIDDEN.search(attrs)))
+        # marks of the whole page's containers ("has-sidebar") say nothing about its text
+        words = {w for _, v in marks for w in _PART.findall(v)} if tag not in WHOLE else ()
+        furniture = (furniture or tag in DROPPED or not FURNITURE.isdisjoint(words)
+                     or tag == "header" and not article
+                     or bool(attrs and tag not in WHOLE and _HIDDEN.search(attrs)))
         label = tag + "".join("." + v for k, v in marks if k == "class")
         node = Node(label)
         parent.children.append(node)

@@ -15,7 +15,7 @@ def sp(spark):
 def frame(sp):
     """rows -> documents table with clashing extra columns."""
     def make(rows, extra=("score", "fp", "n_words", "kept")):
-        cols = "doc_id long, text string, lang string, source string" + "".join(f", {c} string" for c in extra)
+        cols = "doc_id long, text string, lang string, source string" + "".join(f", `{c}` string" for c in extra)
         full = [tuple(r) + (None,) * (4 - len(r)) + ("x",) * len(extra) for r in rows]
         return sp.createDataFrame(full, cols).repartition(3)
     return make

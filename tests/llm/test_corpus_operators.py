@@ -143,6 +143,12 @@ def test_parse_and_main_text():
     assert text("<article><script>if (a < b) '</p>'</script><header>H</header><p>t</article>") == "H t"
 
 
+def test_marks_of_the_whole_page_drop_nothing():
+    body = '<body class="home has-sidebar nav-open" style="display:none"><main id="main-menu"><p>Text.</p></main>' \
+           '<div class="sidebar">Other</div></body>'
+    assert wrapper.main_text(wrapper.parse(f"<html class=hidden>{body}</html>"), set()) == "Text."
+
+
 def test_tree_match_is_the_largest_matching():
     def tree(spec):
         n = wrapper.Node(spec[0])
@@ -389,6 +395,31 @@ def test_stages_keep_columns_and_handle_edges(sp, frame, tmp_path):
             out.collect()
 
 
+HELPERS = ("__source", "__lang", "__draw", "__topic", "__tokens", "__probability", "__kept", "factor", "__first",
+           "__row", "__fp", "__root", "root", "component_id", "fp", "__id", "__text", "__utf8", "__host", "held_out",
+           "x", "id", "c0", "c1", "score", "predicted", "a.b")
+
+
+def test_column_names_of_the_operators_own_clash_with_nothing(sp, frame, tmp_path):
+    sp.createDataFrame([(2, 1, "x"), (5, 0, "x")], "doc_id long, quality int, __id string") \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    sp.createDataFrame([(1, "all rights reserved", "x")], "item_id long, text string, __id string") \
+        .write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, plain = frame(EDGE, extra=HELPERS), frame(EDGE, extra=())
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(sp, docs, str(tmp_path))
+        assert out.columns == docs.columns and all(r["a.b"] == r["__kept"] == "x" for r in out.collect())
+        want = stage(sp, plain, str(tmp_path)).collect()
+        assert sorted(map(str, want)) == sorted(map(str, out.select(*plain.columns).collect()))
+    rows = mixing.calibrated(docs)
+    assert [c for c in rows.columns if c in mixing.RESULTS] == list(mixing.RESULTS)
+    assert rows.where("__probability between 0 and 1").count() == len(EDGE)
+    pages = sp.createDataFrame([(1, "http://a.b/", "<p>x</p>", "x", "x"), (2, None, "<p>x</p>", "x", "x")],
+                               "page_id long, url string, html string, __first string, __payload string")
+    got = warc.read_archives(warc.write_archives(pages)).select("page_id", "refers_to").collect()
+    assert sorted(map(tuple, got)) == [(1, None), (2, 1)]
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert len(corpus_pipeline.STAGES) == 5
