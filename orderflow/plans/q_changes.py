@@ -147,6 +147,22 @@ def q_sample_line_per_order(spark, d):
             .withColumn("sample_rank", F.col("sample_rank").cast("int")))
 
 
+TOP_LINES = 1500
+
+
+@query("top_lines_per_flag", f"""
+WITH {_LINES_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY return_flag ORDER BY packs_ordered DESC NULLS LAST,
+        order_id NULLS FIRST, line_number NULLS FIRST, {_LINE_ORDER}) AS rn FROM lines)
+SELECT {", ".join(LINE_COLS)} FROM r WHERE rn <= {TOP_LINES}
+""")
+def q_top_lines_per_flag(spark, d):
+    """L6 with few keys and a large n: the 1,500 largest lines of each return
+    flag, cut per salted key before the shuffle by key."""
+    return C.top_n_per_key(lines(spark, d), ["return_flag"], F.col("packs_ordered").desc_nulls_last(), TOP_LINES,
+                           [F.col(c).asc_nulls_first() for c in LINE_COLS])
+
+
 @query("update_by_key", """
 WITH c AS (SELECT l_orderkey AS order_id, 'shipped' AS status, max(l_shipdate) AS updated_at
            FROM lineitem GROUP BY l_orderkey)

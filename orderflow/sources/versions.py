@@ -83,9 +83,13 @@ def _read(spark: SparkSession, t: Table, buckets: list[int] | None = None) -> Da
 
 def write_table(root: str, name: str, df: DataFrame, keys: list[str],
                 buckets: int = N_BUCKETS) -> Table:
-    """Write all rows of a table into new bucket folders (unpublished)."""
+    """Write all rows of a table into new bucket folders (unpublished).
+
+    Rows are rebalanced by bucket: AQE merges small buckets into one task and
+    splits a bucket above the advisory partition size over several tasks (each
+    writes a file of its own), so no task holds a whole large bucket."""
     path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    (df.withColumn("_bucket", bucket_of(keys, buckets)).repartition("_bucket")
+    (df.withColumn("_bucket", bucket_of(keys, buckets)).hint("rebalance", F.col("_bucket"))
      .write.partitionBy("_bucket").parquet(path))
     spark = df.sparkSession
     found = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)

@@ -155,6 +155,20 @@ def test_a_damaged_pointer_fails_and_keeps_the_version(spark, tmp):
         V.current(spark, f"{tmp}/empty")
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp):
+    df = spark.range(0, 20_000, numPartitions=8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("s"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100k")
+    try:
+        table = V.write_table(f"{tmp}/db", "x", df, ["id"], 2)
+    finally:
+        spark.conf.unset(size)
+    assert sorted(table.folders) == [0, 1]
+    assert all(len([f for f in os.listdir(p) if f.endswith(".parquet")]) > 1 for p in table.folders.values())
+    V.publish(spark, f"{tmp}/db", {"x": table}, None)
+    assert V.read(spark, f"{tmp}/db", "x").agg(F.count_distinct("id"), F.count("s")).first()[:] == (20_000, 20_000)
+
+
 def test_empty_tables_keep_their_schema(spark, tmp):
     df = spark.createDataFrame([], "id int, s string")
     V.publish(spark, f"{tmp}/db", {"x": V.write_table(f"{tmp}/db", "x", df, ["id"])}, None)
