@@ -58,11 +58,12 @@ FURNITURE = frozenset(
     "reply replies disqus footer masthead topbar toolbar pagination pager login signup search "
     "contentinfo complementary hidden".split())
 
+# a quote opens a value behind "=" only; possessive, so a broken tag costs one pass
+_ATTRS = r"""(?:[^>"'=]++|=\s*+"[^"]*"|=\s*+'[^']*'|[="'])*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
+    rf"|<({RAW})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S | re.I)
 _MARK = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -130,7 +131,7 @@ def parse(html: str) -> Page:
         if m.start() > at:
             buffer.append(html[at:m.start()])
         at = m.end()
-        tag = m.group(3) or m.group(6)
+        tag = m.group(3)
         if tag is None:                       # comment, raw-text element, declaration
             if m.group(1):
                 flush()
@@ -139,7 +140,7 @@ def parse(html: str) -> Page:
         if tag in INLINE:
             continue
         flush()
-        if m.group(2) or m.group(5):          # closing tag
+        if m.group(2):                        # closing tag
             close(tag)
             continue
         if tag in VOID:
@@ -155,7 +156,7 @@ def parse(html: str) -> Page:
                 if stack[i][0] in ("ul", "ol", "dl", "table", "article", "section", "div"):
                     break
         _, parent, furniture, article, main = stack[-1]
-        attrs = m.group(4) or m.group(7) or ""
+        attrs = m.group(4)
         marks = [(k.lower(), v.strip("\"'").lower()) for k, v in _MARK.findall(attrs)] if attrs else []
         # marks of the whole page's containers ("has-sidebar") say nothing about its text
         words = {w for _, v in marks for w in _PART.findall(v)} if tag not in WHOLE else ()

@@ -3,11 +3,14 @@
 import base64
 import hashlib
 import json
+import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +42,25 @@ def test_tokens_equal_direct_encoding(sp, table):
     assert sorted(tuple(r) for r in queries.op2_wavelet_tokens(sp, SF).collect()) == brute_tokens(rows)
 
 
+def test_words_encode_like_whole_texts():
+    pick = random.Random(7)
+    parts = ["abcXYZé", "ÀÖØßÿŸ×÷", "0123", "!.,;:'\"|<>_-", "\u0301\u00a0\u0085\u2028\x1c\x00", "İſǅΣς中語🙂", " \t\n\r\x0b\x0c"]
+    words = ["don't", "WE'LL", "x's.", "<|endoftext|>", "a<|startoftext|>b", "Ärger!!", "naïve,"]
+
+    def text():
+        return " ".join(pick.choice(words) if pick.random() < 0.3 else
+                        "".join(pick.choice(pick.choice(parts)) for _ in range(pick.randint(0, 9)))
+                        for _ in range(pick.randint(0, 25)))
+
+    enc = tokens.Encoder("word_bpe_49k.json")
+    assert enc.by_word
+    for _ in range(5):
+        texts = [text() for _ in range(400)]
+        ids, n = enc.encode(pa.array(texts))
+        want = [e.ids for e in enc.whole.encode_batch(texts, add_special_tokens=False)]
+        assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_token_edges_and_small_shards(frame):
     rows = EDGE + [(60, "Don't <|endoftext|> stop\x1f!! É́a İx ǅ ß'S 3km, (word). naïve-cóte #2"),
                    (61, "Ångström MÜNCHEN, señor... ﬁ Ⅷ ½ 漢字 q̣̇")]
@@ -143,6 +165,18 @@ def test_parse_and_main_text():
     assert text("<article><script>if (a < b) '</p>'</script><header>H</header><p>t</article>") == "H t"
 
 
+@pytest.mark.parametrize("part", ["<svg", "<a", "<a '>' ", "<a b=\"", "<p a='b\">", "<script ", "<!-- ", "</p", "=\"<p>"])
+def test_long_broken_markup_is_parsed_in_one_pass(part):
+    start = time.monotonic()
+    wrapper.main_text(wrapper.parse("<p>x</p>" + part * 50_000), set())
+    assert time.monotonic() - start < 20
+
+
+def test_quotes_in_tags():
+    page = wrapper.parse("<p title=\"a>b\" x=' > ' y>1</p><p don't>2</p><p a = \"3>4</p>")
+    assert wrapper.main_text(page, set()) == "1 2 4"
+
+
 def test_marks_of_the_whole_page_drop_nothing():
     body = '<body class="home has-sidebar nav-open" style="display:none"><main id="main-menu"><p>Text.</p></main>' \
            '<div class="sidebar">Other</div></body>'
