@@ -17,8 +17,10 @@ Topics are a hash vote: each word of at least seven bytes votes for one of
 without such words has topic 0.  A column of topics may be given instead.
 
 Default targets flatten each marginal: share ** ``flatten``, normalised.  The
-sampling rate is set so that ``fraction`` of the tokens is expected before
-probabilities are cut at 1 (a document is kept at most once).  A document is
+sampling rate is set so that ``fraction`` of the tokens is expected.  A
+document is kept at most once, so where that rate would give a cell a
+probability above 1, the rate of all cells is lowered until the largest is 1
+(with a warning): the drawn tokens meet the targets, but are fewer.  A document is
 kept if a hash of its id and text, taken as a number in [0, 1), is below its
 probability: repeatable, and equal for repeated rows.
 
@@ -32,6 +34,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import logging
 from zlib import crc32
 
 import numpy as np
@@ -44,6 +47,7 @@ from orderflow.llm.base import positional, record_batch, space_words, texts_of,
 
 TOPIC_WORD = 7
 PATIENCE = 5
+log = logging.getLogger(__name__)
 RESULTS = ("__topic", "__tokens", "__probability", "__kept")
 _BUCKETS: dict[bytes, int] = {}
 
@@ -98,15 +102,15 @@ def _targets(observed: dict, wanted: dict | None, flatten: float) -> dict:
 
 
 def rake(cells: DataFrame, *, source_targets: DataFrame, lang_targets: dict, topic_targets: dict,
-         tolerance: float = 1e-7, max_rounds: int = 60) -> tuple[DataFrame, dict, dict, float]:
-    """Factors of sources (table: source, factor), languages and topics, and
-    the mean factor over all tokens.  ``cells``: source, lang, topic, tokens."""
+         tolerance: float = 1e-7, max_rounds: int = 60) -> tuple[DataFrame, dict, dict, float, float]:
+    """Factors of sources (table: source, factor), languages and topics, the
+    mean factor over all tokens, and the largest factor of a cell.  ``cells``: source, lang, topic, tokens."""
     langs, topics = sorted(lang_targets), sorted(topic_targets)
     at = {(a, b): i * len(topics) + j for i, a in enumerate(langs) for j, b in enumerate(topics)}
     size = len(at)
     spot = F.create_map(*[x for (a, b), i in at.items() for x in (F.lit(f"{b}:{a}"), F.lit(i))]) if at else None
     if not size:
-        return source_targets.select("source", F.lit(1.0).alias("factor")), {}, {}, 1.0
+        return source_targets.select("source", F.lit(1.0).alias("factor")), {}, {}, 1.0, 1.0
     rows = (cells.withColumn("at", spot[F.concat_ws(":", F.col("topic").cast("string"), F.col("lang"))])
             .where(F.col("at").isNotNull())
             .groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("at", "tokens"))).alias("cells"))
@@ -152,8 +156,11 @@ def rake(cells: DataFrame, *, source_targets: DataFrame, lang_targets: dict, top
         c = np.divide(want_c * c, now_c, out=np.zeros_like(c), where=now_c > 0)
     weights = F.array(*[F.lit(float(x)) for x in np.outer(b, c).ravel()])
     mass = F.aggregate(F.zip_with("v", weights, lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
-    factors = table.select("source", F.when(mass > 0, F.col("target") / mass).otherwise(0.0).alias("factor"))
-    return factors, dict(zip(langs, b.tolist())), dict(zip(topics, c.tolist())), mean
+    factor = F.when(mass > 0, F.col("target") / mass).otherwise(0.0)
+    most = F.array_max(F.zip_with("v", weights, lambda x, w: F.when(x > 0, w).otherwise(0.0)))
+    largest = table.agg(F.max(factor * most)).first()[0] or 0.0
+    return (table.select("source", factor.alias("factor")), dict(zip(langs, b.tolist())),
+            dict(zip(topics, c.tolist())), mean, largest)
 
 
 def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", source: str = "source",
@@ -205,11 +212,15 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
         wanted = wanted.select("source", (F.col("weight") / F.lit(norm)).alias("target"))
     share = {k: v / total for k, v in by_lang.items()}
     topic_share = {k: v / total for k, v in by_topic.items()}
-    factors, b, c, mean = rake(
+    factors, b, c, mean, largest = rake(
         cells, source_targets=wanted, lang_targets=_targets(share, lang_targets, flatten),
         topic_targets=_targets(topic_share, topic_targets, flatten))
     factors = write_scratch(factors, "mix_factors")
     scale = fraction / mean if mean else 0.0
+    if scale * largest > 1:
+        scale = 1 / largest
+        log.warning("mixing: %.4g of the tokens are drawn instead of %.4g, more would miss the targets",
+                    scale * mean, fraction)
 
     def lookup(values: dict, col):
         if not values:

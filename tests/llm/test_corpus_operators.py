@@ -134,6 +134,36 @@ def test_sampling_follows_probabilities(sp):
     assert abs(kept - mean) < 4 * np.sqrt(sum(r["probability"] * (1 - r["probability"]) for r in rows) + 1)
 
 
+def drawn(out, column):
+    mass = defaultdict(float)
+    for r in out:
+        mass[r[column]] += r["__tokens"] * r["__probability"]
+    total = sum(mass.values())
+    return {k: v / total for k, v in mass.items()}
+
+
+def shares(out, column):
+    n = defaultdict(int)
+    for r in out:
+        n[r[column]] += r["__tokens"]
+    return {k: v / sum(n.values()) for k, v in n.items()}
+
+
+def test_hot_source_and_long_tail_meet_the_targets(frame):
+    rng = np.random.default_rng(2)
+    tail = np.arange(1, 60) ** -1.1
+    names = [f"s{i}" for i in range(60)]
+    p = np.append([1 / 3], tail / tail.sum() * 2 / 3)
+    words = [f"langeswort{i}" for i in range(50)]
+    rows = [(i, " ".join(rng.choice(words, 20)), str(rng.choice(["en", "fr", "de"], p=[.7, .2, .1])),
+             str(rng.choice(names, p=p))) for i in range(3000)]
+    out = mixing.calibrated(frame(rows), n_topics=2).collect()
+    for column in ("source", "lang", "__topic"):
+        want, got = mixing.flattened(shares(out, column), 0.7), drawn(out, column)
+        assert max(abs(want[k] - got[k]) for k in want) < 1e-5
+    assert max(r["__probability"] for r in out) == pytest.approx(1)
+
+
 def test_mixing_edges(frame):
     docs = frame(EDGE)
     out = mixing.calibrated(docs, max_langs=1)
