@@ -6,8 +6,10 @@ cells are summed in Spark; raking scales them in turn to the source, language
 and topic marginals until these agree with the targets.  Documents are then
 sampled with the calibrated probability of their cell.
 
-Sources are unbounded, so a round over them is a Spark job on the written
-cell table: one row per source with its language-topic vector.  Languages are
+Sources are unbounded: a round over them needs their language-topic vectors
+only, and sources with proportional vectors are one (their targets add up).
+Up to ``LOCAL_CELLS`` entries of these vectors are raked on the driver; beyond
+that each round is a Spark job on the written table.  Languages are
 bounded by ``max_langs`` (the most frequent keep their name, the rest share
 one category) and topics by ``n_topics``, so only one such vector and its
 factors visit the driver per round.
@@ -27,9 +29,10 @@ probability: repeatable, and equal for repeated rows.
 Defined results: a null source or language counts as the empty name; null and
 empty texts have 0 tokens, weigh nothing and keep the probability of their
 cell; a target for a category without tokens is ignored and the others are
-renormalised; if the marginals cannot all be met, raking stops when
-``PATIENCE`` rounds bring no improvement, or after ``max_rounds``; an empty
-table gives an empty result.
+renormalised; raking goes on until every marginal is within ``tolerance``.  If
+the marginals cannot all be met, it stops when the error has not fallen at all
+for ``STALLED`` rounds, or after ``max_rounds``, and a warning tells the error
+that is left; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,7 +49,8 @@ from pyspark.sql import types as T
 from orderflow.llm.base import positional, record_batch, space_words, texts_of, write_scratch
 
 TOPIC_WORD = 7
-PATIENCE = 5
+STALLED = 200
+LOCAL_CELLS = 1 << 22
 log = logging.getLogger(__name__)
 RESULTS = ("__topic", "__tokens", "__probability", "__kept")
 _BUCKETS: dict[bytes, int] = {}
@@ -101,66 +105,108 @@ def _targets(observed: dict, wanted: dict | None, flatten: float) -> dict:
     return {k: v / total for k, v in use.items()}
 
 
+def fitted(targets: np.ndarray, lengths: np.ndarray, at: np.ndarray, v: np.ndarray,
+           weights: np.ndarray) -> np.ndarray:
+    """Tokens by spot, before ``weights``, of source vectors scaled so that
+    each weighs its target."""
+    if not len(targets):
+        return np.zeros(len(weights))
+    mass = np.add.reduceat(v * weights[at], np.cumsum(lengths) - lengths)
+    scale = np.divide(targets, mass, out=np.zeros_like(mass), where=mass > 0)
+    return np.bincount(at, np.repeat(scale, lengths) * v, len(weights))
+
+
+def vectors_of(batch) -> tuple[np.ndarray, ...]:
+    target, at, v = batch.columns[:3]
+    return (target.to_numpy(zero_copy_only=False), at.value_lengths().to_numpy(zero_copy_only=False),
+            at.flatten().to_numpy(zero_copy_only=False), v.flatten().to_numpy(zero_copy_only=False))
+
+
 def rake(cells: DataFrame, *, source_targets: DataFrame, lang_targets: dict, topic_targets: dict,
-         tolerance: float = 1e-7, max_rounds: int = 60) -> tuple[DataFrame, dict, dict, float, float]:
+         tolerance: float = 1e-7, max_rounds: int = 10_000) -> tuple[DataFrame, dict, dict, float, float]:
     """Factors of sources (table: source, factor), languages and topics, the
-    mean factor over all tokens, and the largest factor of a cell.  ``cells``: source, lang, topic, tokens."""
+    mean factor over all tokens, and the largest factor of a cell.
+    ``cells``: source, lang, topic, tokens."""
     langs, topics = sorted(lang_targets), sorted(topic_targets)
-    at = {(a, b): i * len(topics) + j for i, a in enumerate(langs) for j, b in enumerate(topics)}
-    size = len(at)
-    spot = F.create_map(*[x for (a, b), i in at.items() for x in (F.lit(f"{b}:{a}"), F.lit(i))]) if at else None
+    size = len(langs) * len(topics)
     if not size:
         return source_targets.select("source", F.lit(1.0).alias("factor")), {}, {}, 1.0, 1.0
-    rows = (cells.withColumn("at", spot[F.concat_ws(":", F.col("topic").cast("string"), F.col("lang"))])
+    spark = cells.sparkSession
+    lang_at = write_scratch(spark.createDataFrame(list(zip(langs, range(len(langs)))), "lang string, l int"), "rake_langs")
+    topic_at = F.create_map(*[F.lit(x) for kv in zip(topics, range(len(topics))) for x in kv])
+    rows = (cells.join(lang_at, "lang").withColumn("at", F.col("l") * len(topics) + topic_at[F.col("topic")])
             .where(F.col("at").isNotNull())
-            .groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("at", "tokens"))).alias("cells"))
+            .groupBy("source").agg(F.sort_array(F.collect_list(F.struct("at", "tokens"))).alias("cells"))
             .join(source_targets, "source"))
     # at most langs x topics entries a source: a bounded vector
-    table = write_scratch(rows.select("source", "target", F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.coalesce(F.col("cells")[i], F.lit(0)).cast("double")).alias("v")), "rake_sources")
-    b = np.ones(len(langs))
-    c = np.ones(len(topics))
-    want_b = np.array([lang_targets[x] for x in langs])
-    want_c = np.array([topic_targets[x] for x in topics])
-
-    def summed(weights: np.ndarray):
+    table = write_scratch(rows.select("source", "target", F.col("cells.at").alias("at"),
+                                      F.col("cells.tokens").cast("array<double>").alias("v")), "rake_sources")
+    tokens = F.aggregate("v", F.lit(0.0), lambda s, x: s + x)
+    vectors = write_scratch(table.groupBy("at", F.transform("v", lambda x: x / tokens).alias("v"))
+                            .agg(F.sum("target").alias("target")).select("target", "at", "v"), "rake_vectors")
+    known = table.agg(F.sum(tokens).alias("tokens"), F.sum("target").alias("target")).first()
+    if not known["tokens"]:
+        return source_targets.select("source", F.lit(0.0).alias("factor")), {}, {}, 0.0, 0.0
+
+    def run_with(weights):
         def run(batches):
             for batch in batches:
-                target = batch.column(0).to_numpy()
-                v = batch.column(1).flatten().to_numpy().reshape(-1, size)
-                mass = v @ weights
-                a = np.divide(target, mass, out=np.zeros_like(mass), where=mass > 0)
-                yield record_batch(at=pa.array(np.arange(size + 1), pa.int32()),
-                                   x=pa.array(np.append(a @ v, v.sum()), pa.float64()))
-        got = (table.select("target", "v").mapInArrow(run, "at int, x double")
-               .groupBy("at").agg(F.sum("x").alias("x")).collect())
-        out = np.zeros(size + 1)
+                x = fitted(*vectors_of(batch), weights)
+                spots = np.flatnonzero(x)
+                yield record_batch(at=pa.array(spots, pa.int32()), x=pa.array(x[spots], pa.float64()))
+        return run
+
+    def in_spark(weights):
+        got = vectors.mapInArrow(run_with(weights), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+        out = np.zeros(size)
         for r in got:
             out[r["at"]] = r["x"]
-        return out[:size].reshape(len(langs), len(topics)), out[size]
+        return out
 
-    mean, best, idle = 1.0, np.inf, 0
-    for _ in range(max_rounds):
-        joint, total = summed(np.outer(b, c).ravel())        # sources fitted
+    if (vectors.agg(F.sum(F.size("at"))).first()[0] or 0) <= LOCAL_CELLS:
+        local = vectors_of(vectors.toArrow().combine_chunks().to_batches()[0])
+        summed = lambda weights: fitted(*local, weights)
+    else:
+        summed = in_spark
+    b = np.ones(len(langs))
+    c = np.ones(len(topics))
+    want_b = np.array([lang_targets[x] for x in langs])
+    want_c = np.array([topic_targets[x] for x in topics])
+    off, best, idle, rounds = np.inf, np.inf, 0, 0
+    while True:
+        joint = summed(np.outer(b, c).ravel()).reshape(len(langs), len(topics)) / known["target"]   # sources fitted
+        if not rounds:                       # categories that share no cell with the others' targets
+            want_b, want_c = want_b * joint.any(axis=1), want_c * joint.any(axis=0)
+            want_b, want_c = want_b / want_b.sum(), want_c / want_c.sum()
         now_b = b * (joint @ c)
         now_c = c * (joint.T @ b)
         off = max(np.abs(now_b - want_b).max(), np.abs(now_c - want_c).max())
-        mean = float((joint * np.outer(b, c)).sum() / total) if total else 1.0
-        idle = idle + 1 if off > 0.999 * best else 0
+        idle = idle + 1 if off >= best else 0
         best = min(best, off)
-        if off < tolerance or idle >= PATIENCE:
+        if off < tolerance or idle >= STALLED or rounds >= max_rounds:
             break
+        rounds += 1
         b = np.divide(want_b * b, now_b, out=np.zeros_like(b), where=now_b > 0)
         now_c = c * (joint.T @ b)
         c = np.divide(want_c * c, now_c, out=np.zeros_like(c), where=now_c > 0)
-    weights = F.array(*[F.lit(float(x)) for x in np.outer(b, c).ravel()])
-    mass = F.aggregate(F.zip_with("v", weights, lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
-    factor = F.when(mass > 0, F.col("target") / mass).otherwise(0.0)
-    most = F.array_max(F.zip_with("v", weights, lambda x, w: F.when(x > 0, w).otherwise(0.0)))
-    largest = table.agg(F.max(factor * most)).first()[0] or 0.0
-    return (table.select("source", factor.alias("factor")), dict(zip(langs, b.tolist())),
-            dict(zip(topics, c.tolist())), mean, largest)
+    if off >= tolerance:
+        log.warning("mixing: a marginal is still %.3g off its target after %d rounds", off, rounds)
+    spots = np.outer(b, c).ravel()
+
+    def scaled(batches):
+        for batch in batches:
+            _, lengths, at, v = vectors_of(batch.select(["target", "at", "v"]))
+            target, starts = batch.column("target").to_numpy(), np.cumsum(lengths) - lengths
+            if len(target):
+                mass = np.add.reduceat(v * spots[at], starts)
+                factor = np.divide(target / known["target"], mass, out=np.zeros_like(mass), where=mass > 0)
+                most = factor * np.maximum.reduceat(spots[at], starts)
+                yield record_batch(source=batch.column("source"), factor=pa.array(factor), most=pa.array(most))
+
+    factors = write_scratch(table.mapInArrow(scaled, "source string, factor double, most double"), "rake_factors")
+    largest = factors.agg(F.max("most")).first()[0] or 0.0
+    return (factors.select("source", "factor"), dict(zip(langs, b.tolist())), dict(zip(topics, c.tolist())),
+            1.0 / known["tokens"], largest)
 
 
 def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", source: str = "source",
@@ -215,7 +261,6 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
     factors, b, c, mean, largest = rake(
         cells, source_targets=wanted, lang_targets=_targets(share, lang_targets, flatten),
         topic_targets=_targets(topic_share, topic_targets, flatten))
-    factors = write_scratch(factors, "mix_factors")
     scale = fraction / mean if mean else 0.0
     if scale * largest > 1:
         scale = 1 / largest

@@ -164,6 +164,36 @@ def test_hot_source_and_long_tail_meet_the_targets(frame):
     assert max(r["__probability"] for r in out) == pytest.approx(1)
 
 
+def test_nearly_monolingual_sources_are_raked_to_the_end(frame, caplog):
+    rng = np.random.default_rng(2)
+    langs, words = ["en", "fr", "de", "it"], np.ones((24, 4), int)
+    words[np.arange(24), rng.choice(4, 24, p=[.6, .2, .1, .1])] = rng.integers(2000, 20_000, 24)
+    rows = [(4 * s + i, "wort " * int(words[s, i]), x, f"s{s}") for s in range(24) for i, x in enumerate(langs)]
+    with caplog.at_level("WARNING", mixing.__name__):
+        out = mixing.calibrated(frame(rows), n_topics=1).collect()
+    for column in ("source", "lang"):
+        want, got = mixing.flattened(shares(out, column), 0.7), drawn(out, column)
+        assert max(abs(want[k] - got[k]) for k in want) < 1e-6
+    assert "off its target" not in caplog.text
+
+
+def test_rounds_in_spark_equal_rounds_on_the_driver(frame, monkeypatch):
+    docs = frame([(i, "langeswort " * (1 + i * i % 7), "en" if i % 3 else "fr", f"s{i % 5}") for i in range(40)])
+
+    def probabilities():
+        return {r["doc_id"]: r["__probability"] for r in mixing.calibrated(docs, n_topics=1).collect()}
+    want = probabilities()
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", 0)
+    assert probabilities() == pytest.approx(want, rel=1e-9)
+
+
+def test_targets_that_cannot_be_met_are_told(frame, caplog):
+    docs = frame([(1, "a b c d", "en", "x"), (2, "a", "fr", "y")])
+    with caplog.at_level("WARNING", mixing.__name__):
+        mixing.calibrated(docs, source_targets={"x": 1, "y": 1}, lang_targets={"en": 3, "fr": 1}).collect()
+    assert "a marginal is still 0.25 off its target" in caplog.text
+
+
 def test_mixing_edges(frame):
     docs = frame(EDGE)
     out = mixing.calibrated(docs, max_langs=1)
