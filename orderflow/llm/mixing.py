@@ -9,10 +9,11 @@ sampled with the calibrated probability of their cell.
 Sources are unbounded: a round over them needs their language-topic vectors
 only, and sources with proportional vectors are one (their targets add up).
 Up to ``LOCAL_CELLS`` entries of these vectors are raked on the driver; beyond
-that each round is a Spark job on the written table.  Languages are
-bounded by ``max_langs`` (the most frequent keep their name, the rest share
-one category) and topics by ``n_topics``, so only one such vector and its
-factors visit the driver per round.
+that each round is a Spark job on the written table.  Every language keeps its
+own marginal; topics are bounded by ``n_topics``.  The driver holds one number
+per language and topic a round, whatever the number of sources.  With
+``max_langs`` given, the languages beyond the most frequent ones share one
+category; languages with a given target always keep theirs.
 
 Topics are a hash vote: each word of at least seven bytes votes for one of
 ``n_topics`` buckets, the largest wins, ties go to the smallest bucket; a text
@@ -210,7 +211,7 @@ def rake(cells: DataFrame, *, source_targets: DataFrame, lang_targets: dict, top
 
 
 def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", source: str = "source",
-               lang: str = "lang", columns: list[str] | None = None, n_topics: int = 8, max_langs: int = 200,
+               lang: str = "lang", columns: list[str] | None = None, n_topics: int = 8, max_langs: int | None = None,
                source_targets: dict | None = None, lang_targets: dict | None = None,
                topic_targets: dict | None = None, flatten: float = 0.7, fraction: float = 0.6,
                seed: int = 42) -> DataFrame:
@@ -231,17 +232,13 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
         with_topic(src, text=text, n_topics=n_topics, columns=names)
         .groupBy(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"))
         .agg(F.sum("__tokens").alias("tokens")), "mix_cells").where("tokens > 0")
-    # languages beyond the bound share one category
-    shares = (cells.groupBy("lang").agg(F.sum("tokens").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(max_langs).collect())
-    known = [r["lang"] for r in shares]
-    rest = "\u0000other"
-
-    def category(col):
-        return F.when(F.col(col).isin(known), F.col(col)).otherwise(F.lit(rest)) if known else F.lit(rest)
-
-    cells = cells.withColumn("lang", category("lang"))
-    cells = cells.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
+    langs = cells.groupBy("lang").agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), "lang").collect()
+    names_of = {r["lang"]: r["lang"] if max_langs is None or i < max_langs or r["lang"] in (lang_targets or ())
+                else "\u0000other" for i, r in enumerate(langs)}
+    if any(k != v for k, v in names_of.items()):     # the caller's bound: the rest shares one category
+        named = docs.sparkSession.createDataFrame(list(names_of.items()), "lang string, name string")
+        cells = (cells.join(write_scratch(named, "mix_names"), "lang")
+                 .groupBy("source", F.col("name").alias("lang"), "topic").agg(F.sum("tokens").alias("tokens")))
     by_lang = {r["lang"]: float(r["n"]) for r in cells.groupBy("lang").agg(F.sum("tokens").alias("n")).collect()}
     by_topic = {r["topic"]: float(r["n"]) for r in cells.groupBy("topic").agg(F.sum("tokens").alias("n")).collect()}
     total = sum(by_lang.values()) or 1.0
@@ -274,10 +271,12 @@ def calibrated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", s
 
     rows = with_topic(src, text=text, n_topics=n_topics,
                       columns=[*columns, *[x for x in ("__source", "__lang", "__draw")]])
-    rows = rows.withColumn("__lang", category("__lang"))
-    p = F.least(F.lit(1.0), F.coalesce(F.col("factor"), F.lit(0.0)) * lookup(b, F.col("__lang"))
+    p = F.least(F.lit(1.0), F.coalesce(F.col("factor"), F.lit(0.0)) * F.coalesce(F.col("lang_factor"), F.lit(0.0))
                 * lookup(c, F.col("__topic")) * F.lit(scale))
-    rows = rows.join(factors.withColumnRenamed("source", "__source"), "__source", "left")
+    of_lang = docs.sparkSession.createDataFrame([(k, b.get(v, 0.0)) for k, v in names_of.items()],
+                                                "__lang string, lang_factor double")
+    rows = (rows.join(factors.withColumnRenamed("source", "__source"), "__source", "left")
+            .join(write_scratch(of_lang, "mix_lang_factors"), "__lang", "left"))
     return rows.select(*columns, "__topic", "__tokens", p.alias("__probability"),
                        (F.col("__draw") < p).alias("__kept")).toDF(*keep, *RESULTS)
 

@@ -194,6 +194,17 @@ def test_targets_that_cannot_be_met_are_told(frame, caplog):
     assert "a marginal is still 0.25 off its target" in caplog.text
 
 
+def test_every_language_keeps_its_own_marginal(frame):
+    rows = [(1000 * s + i, "wort " * (1 + (2000 if i < 3 else 6) // (1 + i)), f"l{i:03}", f"s{s}")
+            for s in range(3) for i in range(230)]
+    goal = {"l000": 0.5, "l010": 0.3, "l229": 0.2}
+    for targets in (None, goal):
+        out = mixing.calibrated(frame(rows), n_topics=1, lang_targets=targets, fraction=0.001).collect()
+        want, got = targets or mixing.flattened(shares(out, "lang"), 0.7), drawn(out, "lang")
+        assert max(abs(want.get(k, 0) - got[k]) for k in got) < 1e-6
+    assert all(r["__probability"] > 0 for r in out if r["lang"] in goal)
+
+
 def test_mixing_edges(frame):
     docs = frame(EDGE)
     out = mixing.calibrated(docs, max_langs=1)
