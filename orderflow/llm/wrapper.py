@@ -5,8 +5,9 @@
 2. Every page of the host is aligned with it by simple tree matching (the
    largest order-preserving matching of the two DOM trees with equal labels).
    An aligned text block with the reference's text votes "constant", another
-   text votes "varying".  Copies of the reference (half of the aligned blocks
-   equal) cast no vote.  Votes are summed per host and block in Spark, map-side
+   text votes "varying".  Copies of the reference cast no vote: pages whose
+   blocks that differ from the reference's share most of their words with
+   them, or whose blocks all align and are nearly all equal.  Votes are summed per host and block in Spark, map-side
    combined, over all pages.
 3. Blocks that are constant in ``constant_share`` of at least ``min_votes``
    votes are template; varying slots and unaligned blocks are content.
@@ -69,6 +70,7 @@ _MARK = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", r
 _HIDDEN = re.compile(r"""(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
+COPY_WORDS, COPY_EQUAL = 0.8, 0.95   # of the words that differ, of all words of an aligned page
 MAX_DEPTH = 10_000_000        # trees are walked recursively, however deep a page nests
 
 
@@ -282,6 +284,27 @@ def aligned_blocks(page: Page, reference: Page) -> list[tuple[int, int]]:
     return pairs
 
 
+def is_copy(page: Page, reference: Page, pairs: list[tuple[int, int]]) -> bool:
+    """Whether a page repeats the reference's content: what differs, without
+    page furniture, is at most a few edited words."""
+    same = [(i, j) for i, j in pairs if page.texts[i] == reference.texts[j]]
+    sides = [(page, {i for i, _ in same}, {i for i, _ in pairs}),
+             (reference, {j for _, j in same}, {j for _, j in pairs})]
+    differ, total, aligned = [], 0, True
+    for p, equal, paired in sides:
+        words: Counter = Counter()
+        for i, text in enumerate(p.texts):
+            if not p.furniture[i]:
+                total += len(text.split())
+                aligned = aligned and i in paired
+                if i not in equal:
+                    words.update(text.split())
+        differ.append(words)
+    a, b = differ
+    return (aligned and a.total() + b.total() <= (1 - COPY_EQUAL) * total
+            or (a & b).total() >= COPY_WORDS * max(a.total(), b.total()))
+
+
 def main_text(page: Page, template: set[int]) -> str:
     """The content blocks joined by one space; ``template``: blocks of the
     page that the wrapper found constant."""
@@ -346,12 +369,11 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html
             for host, text, ref in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 page, reference = parse(text or ""), seen.get(host, ref)
                 pairs = aligned_blocks(page, reference)
-                same = [page.texts[i] == reference.texts[j] for i, j in pairs]
-                if 2 * sum(same) >= len(same):
+                if is_copy(page, reference, pairs):
                     continue
-                for (_, j), s in zip(pairs, same):
+                for i, j in pairs:
                     votes[host, j] += 1
-                    equal[host, j] += s
+                    equal[host, j] += page.texts[i] == reference.texts[j]
             keys = list(votes)
             yield record_batch(h=pa.array([k[0] for k in keys], pa.string()),
                                b=pa.array([k[1] for k in keys], pa.int32()),

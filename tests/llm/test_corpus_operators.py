@@ -312,6 +312,26 @@ def test_constant_nodes_become_template(sp):
     assert wrapper.extract(pages.limit(0)).count() == 0
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+
+
+def test_more_constant_blocks_than_paragraphs(sp):
+    rng = np.random.default_rng(6)
+    chrome = "".join(f"<div><p>Fixed line {i} of the host</p></div>" for i in range(20))
+    story = [[prose(rng, 30) for _ in range(5)] for _ in range(8)]
+    html = [f"<html><body>{chrome}<div>{''.join(f'<p>{p}</p>' for p in s)}</div></body></html>" for s in story]
+    near = [html[0].replace(story[0][2][:6], f"edit{i}") for i in range(12)]      # near copies of one story
+    rows = [(i, "http://h.example.com/", h) for i, h in enumerate(html)]
+    rows += [(100 + i, "http://n.example.com/", h) for i, h in enumerate(near)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(
+        sp.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i] == " ".join(story[i])
+    for i in range(12):
+        assert " ".join(story[0][3:]) in got[100 + i] and f"edit{i}" in got[100 + i]
+
+
 def test_page_text_of_the_table(sp, table):
     import re
     from html import unescape
