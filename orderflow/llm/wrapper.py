@@ -13,7 +13,9 @@
    votes are template; varying slots and unaligned blocks are content.
 4. Varying slots that are marked as menus, headers, footers, sidebars,
    notices, adverts, forms, scripts, styles or reader comments by their
-   element, class, id or role are no article text, so they are dropped as well;
+   element, class, id or role are no article text, so they are dropped as well
+   (but no class, id or role drops an element that holds the main element, the
+   only article or most of the page's text);
    if the page has an article (or main) element, only its blocks are content.
    Alignment alone cannot tell these from the article: their texts vary from
    page to page just as the article's do.
@@ -57,7 +59,17 @@ FURNITURE = frozenset(
     "sidenav menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent notice notices alert "
     "newsletter subscribe subscription popup modal share sharing social related recommended comment comments "
     "reply replies disqus footer masthead topbar toolbar pagination pager login signup search "
-    "contentinfo complementary hidden".split())
+    "contentinfo complementary".split())
+# regions that may well hold articles of their own or outgrow the article
+REGIONS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored related recommended comment comments "
+    "reply replies disqus".split())
+# "has-sidebar", "comments-open", "search-results" tell of furniture elsewhere, or of none
+NOT_AFTER = frozenset("has have no not without with w hide show enable use uses supports".split())
+NOT_BEFORE = frozenset(
+    "open opened closed enabled disabled on off active inactive visible supported free none result results page "
+    "template layout".split())
+INVISIBLE = frozenset("hidden is-hidden visually-hidden".split())
 
 # a quote opens a value behind "=" only; possessive, so a broken tag costs one pass
 _ATTRS = r"""(?:[^>"'=]++|=\s*+"[^"]*"|=\s*+'[^']*'|[="'])*+"""
@@ -66,8 +78,8 @@ _TOKEN = re.compile(
     rf"|<({RAW})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S | re.I)
-_MARK = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_NO_DISPLAY = re.compile(r"(?<![-\w])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 COPY_WORDS, COPY_EQUAL = 0.8, 0.95   # of the words that differ, of all words of an aligned page
@@ -82,6 +94,50 @@ class Node:
         self.label, self.children, self.block = label, [], block
 
 
+class Mark:
+    """An element that is page furniture for sure (``hard``) or by its class,
+    id or role, inside the marked element ``up``."""
+    __slots__ = ("up", "hard", "region", "main", "article", "size", "sure", "drop")
+
+    def __init__(self, up, hard: bool, region: bool):
+        self.up, self.hard, self.region, self.main, self.article, self.size = up, hard, region, False, False, 0
+        self.sure = hard or up is not None and up.sure
+
+
+def furniture_words(value: str) -> set[str]:
+    """The furniture that the names of a class, id or role attribute mark."""
+    found = set()
+    for name in value.split():
+        parts = _PART.findall(name)
+        if parts and NOT_AFTER.isdisjoint(parts[:-1]) and parts[-1] not in NOT_BEFORE:
+            found.update(FURNITURE.intersection(parts))
+        if name in INVISIBLE:
+            found.add(name)
+    return found
+
+
+def dropped(texts: list[str], marks: list[Mark | None], opened: list[Mark], outside: bool) -> list[bool]:
+    """Per block, whether it is furniture.  ``opened``: the marked elements in
+    page order; ``outside``: an article or main element is in none of them."""
+    total = 0
+    for text, mark in zip(texts, marks):
+        if mark is None or not mark.sure:
+            total += len(text)
+            if mark is not None:
+                mark.size += len(text)
+    for mark in reversed(opened):
+        if mark.up is not None and not mark.sure:
+            mark.up.size += mark.size
+    for regions in (True, False):            # regions hold the article only if nothing else is left
+        for mark in opened:
+            most = 2 * mark.size > total or mark.article and not outside
+            kept = mark.main or most and not (mark.region and (regions or not mark.article))
+            mark.drop = mark.hard or not kept or mark.up is not None and mark.up.drop
+        if any(m is None or not m.drop for m in marks):
+            break
+    return [m is not None and m.drop for m in marks]
+
+
 class Page:
     """DOM tree of the body with its text blocks in page order."""
     __slots__ = ("root", "texts", "furniture", "article", "main")
@@ -98,8 +154,9 @@ def parse(html: str) -> Page:
     """The page's tree.  Inline elements belong to the text of their block."""
     sys.setrecursionlimit(max(sys.getrecursionlimit(), MAX_DEPTH))
     page = Page()
-    # open elements: tag, node, inside furniture, inside article, inside main
-    stack = [("html", page.root, False, False, False)]
+    # open elements: tag, node, innermost mark, inside article, inside main
+    stack = [("html", page.root, None, False, False)]
+    marks_of, opened, outside = [], [], False
     is_open: Counter = Counter()
     buffer: list[str] = []
 
@@ -114,10 +171,10 @@ def parse(html: str) -> Page:
         text = _SPACE.sub(" ", unescape("".join(buffer))).strip()
         buffer.clear()
         if text:
-            _, node, furniture, article, main = stack[-1]
+            _, node, mark, article, main = stack[-1]
             node.children.append(Node("#", len(page.texts)))
             page.texts.append(text)
-            page.furniture.append(furniture)
+            marks_of.append(mark)
             page.article.append(article)
             page.main.append(main)
 
@@ -157,23 +214,35 @@ def parse(html: str) -> Page:
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "article", "section", "div"):
                     break
-        _, parent, furniture, article, main = stack[-1]
+        _, parent, mark, article, main = stack[-1]
         attrs = m.group(4)
-        marks = [(k.lower(), v.strip("\"'").lower()) for k, v in _MARK.findall(attrs)] if attrs else []
+        named = [(k.lower(), v.strip("\"'").lower()) for k, v in _ATTR.findall(attrs)] if attrs else []
+        marks = [x for x in named if x[0] in ("class", "id", "role")]
+        is_main = tag == "main" or ("role", "main") in marks
         # marks of the whole page's containers ("has-sidebar") say nothing about its text
-        words = {w for _, v in marks for w in _PART.findall(v)} if tag not in WHOLE else ()
-        furniture = (furniture or tag in DROPPED or not FURNITURE.isdisjoint(words)
-                     or tag == "header" and not article
-                     or bool(attrs and tag not in WHOLE and _HIDDEN.search(attrs)))
+        whole = tag in WHOLE
+        words = {w for _, v in marks for w in furniture_words(v)} if marks and not whole else ()
+        hard = (tag in DROPPED or tag == "header" and not article or not whole and any(
+            k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and _NO_DISPLAY.search(v)
+            for k, v in named))
+        if hard or words:
+            mark = Mark(mark, hard, not REGIONS.isdisjoint(words))
+            opened.append(mark)
+        if is_main or tag == "article" and not words:
+            outside = outside or mark is None
+            up = mark
+            while up is not None and not (up.main if is_main else up.article):
+                up.main, up.article = up.main or is_main, up.article or not is_main
+                up = up.up
         label = tag + "".join("." + v for k, v in marks if k == "class")
         node = Node(label)
         parent.children.append(node)
         is_open[tag] += 1
-        stack.append((tag, node, furniture, article or tag == "article",
-                      main or tag == "main" or ("role", "main") in marks))
+        stack.append((tag, node, mark, article or tag == "article", main or is_main))
     if at < len(html):
         buffer.append(html[at:])
     flush()
+    page.furniture = dropped(page.texts, marks_of, opened, outside)
     fold(page.root)
     return page
 

@@ -254,6 +254,27 @@ def test_marks_of_the_whole_page_drop_nothing():
     assert wrapper.main_text(wrapper.parse(f"<html class=hidden>{body}</html>"), set()) == "Text."
 
 
+@pytest.mark.parametrize("attrs", [
+    'style="overflow:hidden"', 'style="overflow-x: hidden"', 'title="Hidden gems"', 'class="overflow-hidden"',
+    'class="site no-sidebar"', 'class="layout has-menu"', 'class="post comments-open"', 'class="search-results"',
+    'class="sidebar-left"', 'data-id="menu"'])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_loose_marks_drop_nothing(attrs, tag):
+    inner = "<p>First text of the story.</p><p>Second text of the story.</p>"
+    html = f'<body><{tag} {attrs}>{inner}</{tag}><div class="site-footer">Imprint</div></body>'
+    assert wrapper.main_text(wrapper.parse(html), set()) == "First text of the story. Second text of the story."
+
+
+def test_marked_containers_of_the_article_are_kept():
+    def text(html):
+        return wrapper.main_text(wrapper.parse(html), set())
+    assert text('<div class="sidebar"><article><p>t</article></div><p class="menu">a long list of menu entries') == "t"
+    assert text('<div id="modal"><div role="main">t</div></div>') == "t"
+    assert text('<article><p>t</article><section id="comments"><article><p>a long reply, longer than the page</article>') == "t"
+    assert text('<div>the story</div><div class="related"><article>x</article></div><div class="is-hidden">h</div>') == "the story"
+    assert text('<p>t<div style="visibility: hidden">h</div><div aria-hidden="true">h</div><div hidden>h</div>') == "t"
+
+
 def test_tree_match_is_the_largest_matching():
     def tree(spec):
         n = wrapper.Node(spec[0])
