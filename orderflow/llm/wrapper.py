@@ -16,7 +16,9 @@
    element, class, id or role are no article text, so they are dropped as well
    (but no class, id or role drops an element that holds the main element, the
    only article or most of the page's text);
-   if the page has an article (or main) element, only its blocks are content.
+   if the larger part of the page's content text (of its main element, if that
+   holds the articles) is in article elements, only their blocks are content,
+   else those of its main element, if it has one.
    Alignment alone cannot tell these from the article: their texts vary from
    page to page just as the article's do.
 
@@ -64,6 +66,8 @@ FURNITURE = frozenset(
 REGIONS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored related recommended comment comments "
     "reply replies disqus".split())
+# lists that outgrow a short article
+LISTS = frozenset("menu nav navbar navigation sidenav footer breadcrumb breadcrumbs cookie cookies consent".split())
 # "has-sidebar", "comments-open", "search-results" tell of furniture elsewhere, or of none
 NOT_AFTER = frozenset("has have no not without with w hide show enable use uses supports".split())
 NOT_BEFORE = frozenset(
@@ -96,11 +100,13 @@ class Node:
 
 class Mark:
     """An element that is page furniture for sure (``hard``) or by its class,
-    id or role, inside the marked element ``up``."""
-    __slots__ = ("up", "hard", "region", "main", "article", "size", "sure", "drop")
+    id or role, inside the marked element ``up``.  ``inside``: it is part of
+    an article or main element."""
+    __slots__ = ("up", "hard", "region", "lists", "inside", "main", "article", "size", "sure", "drop")
 
-    def __init__(self, up, hard: bool, region: bool):
-        self.up, self.hard, self.region, self.main, self.article, self.size = up, hard, region, False, False, 0
+    def __init__(self, up, hard: bool, words, inside: bool):
+        self.up, self.hard, self.inside, self.main, self.article, self.size = up, hard, inside, False, False, 0
+        self.region, self.lists = not REGIONS.isdisjoint(words), not LISTS.isdisjoint(words)
         self.sure = hard or up is not None and up.sure
 
 
@@ -130,7 +136,8 @@ def dropped(texts: list[str], marks: list[Mark | None], opened: list[Mark], outs
             mark.up.size += mark.size
     for regions in (True, False):            # regions hold the article only if nothing else is left
         for mark in opened:
-            most = 2 * mark.size > total or mark.article and not outside
+            most = (mark.article and not outside
+                    or 2 * mark.size > total and not mark.lists and (mark.inside or not outside))
             kept = mark.main or most and not (mark.region and (regions or not mark.article))
             mark.drop = mark.hard or not kept or mark.up is not None and mark.up.drop
         if any(m is None or not m.drop for m in marks):
@@ -226,7 +233,7 @@ def parse(html: str) -> Page:
             k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and _NO_DISPLAY.search(v)
             for k, v in named))
         if hard or words:
-            mark = Mark(mark, hard, not REGIONS.isdisjoint(words))
+            mark = Mark(mark, hard, words, article or main)
             opened.append(mark)
         if is_main or tag == "article" and not words:
             outside = outside or mark is None
@@ -378,7 +385,11 @@ def main_text(page: Page, template: set[int]) -> str:
     """The content blocks joined by one space; ``template``: blocks of the
     page that the wrapper found constant."""
     blocks = [i for i in range(len(page.texts)) if not page.furniture[i] and i not in template]
-    inside = [i for i in blocks if page.article[i]] or [i for i in blocks if page.main[i]] or blocks
+    main = [i for i in blocks if page.main[i]]
+    articles = [i for i in blocks if page.article[i]]
+    bound = main if main and all(page.main[i] for i in articles) else blocks
+    most = 2 * sum(len(page.texts[i]) for i in articles) >= sum(len(page.texts[i]) for i in bound)
+    inside = articles if articles and most else main or blocks
     return " ".join(page.texts[i] for i in inside)
 
 

@@ -269,12 +269,26 @@ def test_marked_containers_of_the_article_are_kept():
     def text(html):
         return wrapper.main_text(wrapper.parse(html), set())
     assert text('<div class="sidebar"><article><p>t</article></div><p class="menu">a long list of menu entries') == "t"
+    assert text('<article><p>t</article><div class="toolbar">a long list of entries</div>') == "t"
+    assert text('<p>t</p><div class="menu">a long list of menu entries</div>') == "t"
+    assert text('<article><div class="promo">the whole text</div><p>t</article>') == "the whole text t"
     assert text('<div id="modal"><div role="main">t</div></div>') == "t"
     assert text('<article><p>t</article><section id="comments"><article><p>a long reply, longer than the page</article>') == "t"
     assert text('<div>the story</div><div class="related"><article>x</article></div><div class="is-hidden">h</div>') == "the story"
     assert text('<p>t<div style="visibility: hidden">h</div><div aria-hidden="true">h</div><div hidden>h</div>') == "t"
 
 
+def test_articles_bound_the_text_only_if_they_are_most_of_it():
+    def text(html):
+        return wrapper.main_text(wrapper.parse(html), set())
+    story, card = "<p>The whole story of this page, long.</p>" * 3, "<article class='card'><p>More.</p></article>"
+    whole = " ".join(["The whole story of this page, long."] * 3)
+    assert text(f"<div>{story}</div>{card}{card}") == f"{whole} More. More."
+    assert text(f"<main><div>{story}</div></main>{card}{card}") == whole
+    assert text(f"<main><article>{story}</article><p>Note</p></main><p>Imprint</p>") == whole
+    assert text(f"<article>{story}</article><p>Note</p>") == whole
+
+
 def test_tree_match_is_the_largest_matching():
     def tree(spec):
         n = wrapper.Node(spec[0])
