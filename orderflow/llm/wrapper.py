@@ -1,16 +1,22 @@
 """Main-text extraction by wrapper induction.
 
-1. Each host has a reference page: of its complete pages of at most twice the
-   median length (else of all), the one with the smallest hash of its id.
-2. Every page of the host is aligned with it by simple tree matching (the
+1. A host's pages are grouped by layout, a hash of their containers' labels to
+   some depth.  Layouts of at least ``min_votes`` + 2 pages are groups of their own;
+   pages of smaller ones belong to the host's largest, or, if all are small,
+   the host is one group.  Each group has a reference page: of its complete
+   pages of at most twice the median length (else of all), the one with the
+   smallest hash of its id.
+2. Every page of the group is aligned with it by simple tree matching (the
    largest order-preserving matching of the two DOM trees with equal labels).
    An aligned text block with the reference's text votes "constant", another
    text votes "varying".  Copies of the reference cast no vote: pages whose
    blocks that differ from the reference's share most of their words with
-   them, or whose blocks all align and are nearly all equal.  Votes are summed per host and block in Spark, map-side
+   them, or whose blocks all align and are nearly all equal.  Votes are summed per group and block in Spark, map-side
    combined, over all pages.
 3. Blocks that are constant in ``constant_share`` of at least ``min_votes``
-   votes are template; varying slots and unaligned blocks are content.
+   votes are template; varying slots and unaligned blocks are content.  Pages
+   of a group with fewer voters (copies of one another) use the wrapper of the
+   host's group with the most.
 4. Varying slots that are marked as menus, headers, footers, sidebars,
    notices, adverts, forms, scripts, styles or reader comments by their
    element, class, id or role are no article text, so they are dropped as well
@@ -33,11 +39,13 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.llm.base import record_batch, write_scratch
 
@@ -82,10 +90,17 @@ _TOKEN = re.compile(
     rf"|<({RAW})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S | re.I)
+_CONTAINER = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    rf"|<({RAW})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)(div|section|main|article|aside|header|footer|nav|form|table)(?![^\s/>])({_ATTRS})>"
+    r"|<[a-zA-Z][^>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NO_DISPLAY = re.compile(r"(?<![-\w])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+_DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
+LAYOUT_DEPTH = 3                # the body's containers and two levels in these
 COPY_WORDS, COPY_EQUAL = 0.8, 0.95   # of the words that differ, of all words of an aligned page
 MAX_DEPTH = 10_000_000        # trees are walked recursively, however deep a page nests
 
@@ -371,7 +386,7 @@ def is_copy(page: Page, reference: Page, pairs: list[tuple[int, int]]) -> bool:
         words: Counter = Counter()
         for i, text in enumerate(p.texts):
             if not p.furniture[i]:
-                total += len(text.split())
+                total += text.count(" ") + 1
                 aligned = aligned and i in paired
                 if i not in equal:
                     words.update(text.split())
@@ -393,12 +408,57 @@ def main_text(page: Page, template: set[int]) -> str:
     return " ".join(page.texts[i] for i in inside)
 
 
+def shape(html: str) -> str:
+    """Distinct paths of the page's containers to ``LAYOUT_DEPTH``, labels
+    without numbers.  Scans the container tags only, which costs a fraction of
+    parsing the page."""
+    stack, is_open, paths = [], Counter(), {}
+    for m in _CONTAINER.finditer(html):
+        tag = m.group(3)
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if m.group(2):
+            if is_open[tag]:
+                while True:
+                    top = stack.pop()[0]
+                    is_open[top] -= 1
+                    if top == tag:
+                        break
+            continue
+        path = ""
+        if len(stack) < LAYOUT_DEPTH:
+            names = (v.strip("\"'").lower() for k, v in _ATTR.findall(m.group(4)) if k.lower() == "class")
+            path = f"{stack[-1][1] if stack else ''}/{tag}{_DIGITS.sub('', ''.join('.' + v for v in names))}"
+            paths[path] = None
+        stack.append((tag, path))
+        is_open[tag] += 1
+    return " ".join(paths)
+
+
+def with_layout(pages: DataFrame, html: str) -> DataFrame:
+    """``pages`` with ``__layout``, the hash of the page's shape."""
+    at = pages.columns.index(html)
+
+    def run(batches):
+        for batch in batches:
+            shapes = (shape(t or "") for t in batch.column(at).to_pylist())
+            yield batch.append_column("__layout", pa.array(
+                [int.from_bytes(blake2b(x.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+                 for x in shapes], pa.int64()))
+
+    return pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField("__layout", T.LongType())]))
+
+
 def host_of(url):
     """Lower-case host of a URL column, "" if it has none."""
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)),
                       F.lit(""))
 
 
+VOTERS = -1      # the block number under which a group's voting pages are counted
+
+
 class References:
     """Parsed reference pages of a task, the last few kept."""
 
@@ -414,24 +474,31 @@ class References:
         return self.pages[key]
 
 
-def references(pages: DataFrame, *, id_col: str, html: str) -> DataFrame:
-    """One reference page per host: ``__host``, ``__ref``."""
+def references(pages: DataFrame, laid_out: DataFrame, *, id_col: str, html: str, min_pages: int) -> tuple[DataFrame, DataFrame]:
+    """Group of each layout of a host (``__host``, ``__layout``, ``__group``)
+    and the reference page of each group (``__host``, ``__group``, ``__ref``)."""
     incomplete = ~F.lower(F.right(F.rtrim(F.col(f"`{html}`")), F.lit(7))).eqNullSafe(F.lit("</html>"))
-    page = F.col(f"`{id_col}`")
-    rows = pages.where(F.length(F.col(f"`{html}`")) > 0)
-    typical = write_scratch(rows.groupBy(F.col("__host").alias("__h")).agg(
-        F.percentile_approx(F.length(F.col(f"`{html}`")), 0.5).alias("__median")), "median_lengths")
-    narrow = rows.select("__host", page.alias("__page"), incomplete.alias("c"),
-                         F.length(F.col(f"`{html}`")).alias("n")).join(typical, F.col("__host") == F.col("__h"))
+    page, size, digest = F.col(f"`{id_col}`"), F.length(F.col(f"`{html}`")), F.xxhash64(F.col(f"`{html}`"))
+    narrow = write_scratch(laid_out.where(size > 0).select("__host", "__layout", page.alias("__page"), incomplete.alias("c"),
+                                       size.alias("n"), digest.alias("h")), "page_shapes")
+    counts = write_scratch(narrow.groupBy("__host", "__layout").agg(F.count("*").alias("pages")), "layouts")
+    tops = counts.groupBy("__host").agg(F.max(F.struct("pages", "__layout")).alias("top"))
+    groups = write_scratch(counts.join(tops, "__host").select(
+        "__host", "__layout", F.when(F.col("pages") >= min_pages, F.col("__layout"))
+        .when(F.col("top.pages") >= min_pages, F.col("top.__layout")).otherwise(F.lit(0)).alias("__group")), "groups")
+    # pages of small layouts are no references of another layout's group
+    own = narrow.join(groups, ["__host", "__layout"]).where((F.col("__group") == F.col("__layout")) | (F.col("__group") == 0))
+    typical = write_scratch(own.groupBy("__host", "__group").agg(
+        F.percentile_approx("n", 0.5).alias("__median")), "median_lengths")
     order = F.struct("c", (F.col("n") > 2 * F.col("__median")).alias("long"), F.xxhash64("__page").alias("x"),
-                     F.col("__page").alias("id"), "n")
-    best = write_scratch(narrow.groupBy("__h").agg(F.min(order).alias("o")).select(
-        "__h", F.col("o.n").alias("__n"), F.col("o.id").alias("__id")), "hosts")
-    found = rows.select("__host", page.alias("__page"), F.col(f"`{html}`").alias("__ref")).join(
+                     F.col("__page").alias("id"), "n", "h")
+    best = write_scratch(own.join(typical, ["__host", "__group"]).groupBy("__host", "__group").agg(
+        F.min(order).alias("o")).select(F.col("__host").alias("__h"), "__group", F.col("o.n").alias("__n"),
+                                        F.col("o.id").alias("__id"), F.col("o.h").alias("__digest")), "hosts")
+    found = pages.where(size > 0).select("__host", page.alias("__page"), F.col(f"`{html}`").alias("__ref")).join(
         best, (F.col("__host") == F.col("__h")) & F.col("__page").eqNullSafe(F.col("__id"))
-        & (F.length("__ref") == F.col("__n")))
-    # rows that repeat the reference's id: the smallest page
-    return write_scratch(found.groupBy("__host").agg(F.min("__ref").alias("__ref")), "references")
+        & (F.length("__ref") == F.col("__n")) & (F.xxhash64("__ref") == F.col("__digest")))
+    return groups, write_scratch(found.groupBy("__host", "__group").agg(F.min("__ref").alias("__ref")), "references")
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html",
@@ -439,33 +506,46 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html
     """Per page: id, url, ``text`` and ``n_template`` (template blocks found)."""
     src = pages.select(F.col(f"`{id_col}`"), F.col(f"`{url}`"), F.col(f"`{html}`"),
                        host_of(F.col(f"`{url}`")).alias("__host"))
-    refs = references(src, id_col=id_col, html=html)
+    laid_out = with_layout(src, html)
+    groups, refs = references(src, laid_out, id_col=id_col, html=html, min_pages=min_votes + 2)
 
     def vote(batches):
         seen = References()
         for batch in batches:
             votes: Counter = Counter()
             equal: Counter = Counter()
-            for host, text, ref in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for host, group, text, ref in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 page, reference = parse(text or ""), seen.get(host, ref)
                 pairs = aligned_blocks(page, reference)
                 if is_copy(page, reference, pairs):
                     continue
+                votes[host, group, VOTERS] += 1
                 for i, j in pairs:
-                    votes[host, j] += 1
-                    equal[host, j] += page.texts[i] == reference.texts[j]
+                    votes[host, group, j] += 1
+                    equal[host, group, j] += page.texts[i] == reference.texts[j]
             keys = list(votes)
             yield record_batch(h=pa.array([k[0] for k in keys], pa.string()),
-                               b=pa.array([k[1] for k in keys], pa.int32()),
+                               g=pa.array([k[1] for k in keys], pa.int64()),
+                               b=pa.array([k[2] for k in keys], pa.int32()),
                                v=pa.array([votes[k] for k in keys], pa.int64()),
                                e=pa.array([equal[k] for k in keys], pa.int64()))
 
-    template = (src.join(refs, "__host").select("__host", F.col(f"`{html}`"), "__ref")
-                .mapInArrow(vote, "__host string, block int, votes long, equal long")
-                .groupBy("__host", "block").agg(F.sum("votes").alias("votes"), F.sum("equal").alias("equal"))
-                .where((F.col("votes") >= min_votes) & (F.col("equal") >= constant_share * F.col("votes")))
-                .groupBy("__host").agg(F.sort_array(F.collect_list("block")).alias("__template")))
-    wrappers = write_scratch(refs.join(template, "__host", "left"), "wrappers")
+    votes = write_scratch(
+        laid_out.join(groups, ["__host", "__layout"]).join(refs, ["__host", "__group"])
+        .select("__host", "__group", F.col(f"`{html}`"), "__ref")
+        .mapInArrow(vote, "__host string, __group long, block int, votes long, equal long")
+        .groupBy("__host", "__group", "block").agg(F.sum("votes").alias("votes"), F.sum("equal").alias("equal"))
+        .where(F.col("votes") >= min_votes), "votes")
+    voters = votes.where(F.col("block") == VOTERS).select("__host", "__group", "votes")
+    template = (votes.where((F.col("block") != VOTERS) & (F.col("equal") >= constant_share * F.col("votes")))
+                .groupBy("__host", "__group").agg(F.sort_array(F.collect_list("block")).alias("__template")))
+    wrappers = write_scratch(refs.join(template, ["__host", "__group"]), "wrappers")
+    # groups without voters use the wrapper of the host's group with the most
+    most = voters.groupBy("__host").agg(F.max(F.struct("votes", "__group")).alias("most"))
+    used = write_scratch(
+        groups.join(voters, ["__host", "__group"], "left").join(most, "__host", "left")
+        .select("__host", "__layout", F.when(F.col("votes").isNotNull(), F.col("__group"))
+                .otherwise(F.col("most.__group")).alias("__group")), "used_groups")
 
     def run(batches):
         seen = References()
@@ -485,6 +565,6 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html
                                n=pa.array(n, pa.int64()))
 
     types = {f.name: f.dataType.simpleString() for f in pages.schema}
-    return (src.join(wrappers, "__host", "left")
+    return (laid_out.join(used, ["__host", "__layout"], "left").join(wrappers, ["__host", "__group"], "left")
             .select(F.col(f"`{id_col}`"), F.col(f"`{url}`"), "__host", F.col(f"`{html}`"), "__ref", "__template")
             .mapInArrow(run, f"`{id_col}` {types[id_col]}, `{url}` {types[url]}, text string, n_template long"))

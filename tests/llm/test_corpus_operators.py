@@ -367,6 +367,25 @@ def test_more_constant_blocks_than_paragraphs(sp):
         assert " ".join(story[0][3:]) in got[100 + i] and f"edit{i}" in got[100 + i]
 
 
+def test_every_layout_of_a_host_has_its_template(sp):
+    rng = np.random.default_rng(8)
+
+    def page_of(layout, tag, story, extra=""):
+        lines = "".join(f"<p>Fixed line {i} of {layout}</p>" for i in range(5))
+        inner = "".join(f"<p>{p}</p>" for p in story)
+        return f"<html><body>{extra}<{tag} class='{layout}'>{lines}</{tag}><div class='t'>{inner}</div></body></html>"
+    story = [[prose(rng, 30) for _ in range(3)] for _ in range(26)]
+    html = [page_of("shop", "section", s) for s in story[:12]] + [page_of("blog", "div", s) for s in story[12:18]]
+    html += [page_of("wiki", "table", s) for s in story[18:25]] + [page_of("shop", "section", story[25], "<section><h2>Own</h2></section>")]
+    html += [page_of("blog", "div", ["copy"], "<aside>x</aside>")] * 6         # a layout of copies: no voters of its own
+    rows = [(i, "http://h.example.com/", h) for i, h in enumerate(html)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(
+        sp.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] == " ".join(story[i]) for i in range(25)] == [True] * 25
+    assert got[25] == "Own " + " ".join(story[25])
+    assert all("copy" in got[i] for i in range(26, 32))
+
+
 def test_page_text_of_the_table(sp, table):
     import re
     from html import unescape
