@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import (decontaminate, host_rules, langid, license_scan, mixing, quality, simhash, tokens, warc,
-                           wrapper)
+from orderflow.llm import (decontaminate, host_rules, langid, license_scan, mixing, quality, ranking, repair, simhash,
+                           substrings, tokens, warc, wrapper)
 from orderflow.llm.base import read_table
 from orderflow.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
@@ -81,8 +81,27 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated passages removed from every document."""
+    rows = substrings.deduplicated(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_dense_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranking.top_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation."""
+    rows, report = repair.repair(read_table(spark, sf_dir, "conversations"))
+    digests = repair.digests(rows, report).withColumnRenamed("conv_id", "__conv")
+    return (report.join(digests, F.col("conv_id").eqNullSafe(F.col("__conv")))
+            .select("conv_id", *repair.COUNTS, "audit", "repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_wavelet_tokens, op3_host_rules, op4_raked_mixture, op5_wrapper_text,
     op6_quality_discriminant, op7_warc_dictionary, op8_simhash_pivots, op9_language_bayes,
-    op10_suffix_decontamination)}
+    op10_suffix_decontamination, op11_relative_lempel_ziv, op12_dense_ranking, op13_conversation_repair)}
 
