@@ -153,9 +153,124 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS B
 FROM d LEFT JOIN r USING (rid)
 """
 
+# a window's first place is the smallest (doc_id, word)
+SUBSTRINGS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT rid, doc_id, i, sha256(array_to_string(ws[i:i + 19], ' ')) AS g
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)
+), first AS (
+  SELECT g, min((doc_id, i)) AS place FROM win GROUP BY g HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 20)) AS p FROM win JOIN first USING (g) WHERE (doc_id, i) > place
+), per AS (
+  SELECT rid, list(p) AS ps FROM gone GROUP BY rid
+), kept AS (
+  SELECT d.rid, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d) d LEFT JOIN gone USING (rid, p)
+  WHERE gone.rid IS NULL GROUP BY d.rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+RANKING = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), total AS (
+  SELECT count(*) AS n, CAST(sum(len(ws)) AS BIGINT) AS l FROM d WHERE len(ws) > 0
+), q AS (
+  SELECT item, w, count(*) AS c FROM (SELECT item, unnest(ws) AS w FROM b) GROUP BY item, w
+), tf AS (
+  SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM q) GROUP BY rid, w
+), weight AS (
+  SELECT w, CAST(floor(1000 * ln((2.0::DOUBLE * n + 2) / (2 * df + 1))) AS BIGINT) AS wt
+  FROM (SELECT w, count(*) AS df FROM tf GROUP BY w), total
+), part AS (
+  SELECT tf.rid, tf.w, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(ws) * n) // l)) AS impact
+  FROM tf JOIN d USING (rid), total
+), s AS (
+  SELECT item, rid, CAST(sum(c * wt * impact) AS BIGINT) AS score
+  FROM q JOIN weight USING (w) JOIN part USING (w) GROUP BY item, rid
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s JOIN d USING (rid) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r JOIN b USING (item) WHERE rank <= 10
+"""
+
+# The damage's CRC-32 is its shift register over the key's bits; the cheapest
+# edits are the least (cost, initials) that reach each role state row by row.
+REPAIR = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), key AS (
+  SELECT k, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(k) + 1),
+      lambda i: [ascii(substr(k, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: xor(xor(c, x) >> 1, 3988292384::BIGINT * (xor(c, x) & 1)))) % 20 AS fault
+  FROM (SELECT DISTINCT k FROM src)
+), rows AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM src JOIN key USING (k), range(CASE fault WHEN 3 THEN 2 ELSE 1 END) WHERE fault <> 0
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, row_number() OVER o AS i,
+    lag(role) OVER o AS before
+  FROM rows WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE 'n' END AS fault,
+    before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal,
+    max(i) OVER (PARTITION BY conv_id) AS n
+  FROM placed
+), chain(state, ins, s2, price, add) AS (
+  VALUES (0, '', 0, 0, ''), (0, 'I', 2, 2, 'user:' || chr(10)), (0, 'II', 3, 4, 'user:' || chr(10) || 'assistant:' || chr(10)),
+         (1, '', 1, 0, ''), (1, 'I', 2, 2, 'user:' || chr(10)), (1, 'II', 3, 4, 'user:' || chr(10) || 'assistant:' || chr(10)),
+         (2, '', 2, 0, ''), (2, 'I', 3, 2, 'assistant:' || chr(10)), (3, '', 3, 0, ''), (3, 'I', 2, 2, 'user:' || chr(10))
+), edit(s2, op, role, s3, price) AS (
+  VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (3, 'K', 'u', 2, 0),
+         (0, 'R', NULL, 2, 2), (1, 'R', NULL, 2, 2), (2, 'R', NULL, 3, 2), (3, 'R', NULL, 2, 2),
+         (0, 'D', NULL, 0, 3), (1, 'D', NULL, 1, 3), (2, 'D', NULL, 2, 3), (3, 'D', NULL, 3, 3)
+), walk(c, i, state, best) AS (
+  SELECT DISTINCT c, 0::BIGINT, 0, {'cost': 0, 'audit': '', 't': ''} FROM judged
+  UNION ALL
+  SELECT w.c, w.i + 1, e.s3, min({'cost': w.best.cost + h.price + e.price + CASE WHEN e.op <> 'D' AND j.fault = 't' THEN 1 ELSE 0 END,
+    'audit': w.best.audit || h.ins || e.op,
+    't': w.best.t || h.add || CASE e.op WHEN 'D' THEN '' WHEN 'K' THEN j.role || ':' || j.text || chr(10)
+         ELSE CASE e.s3 WHEN 2 THEN 'user:' ELSE 'assistant:' END || j.text || chr(10) END})
+  FROM walk w JOIN judged j ON j.c = w.c AND j.i = w.i + 1 JOIN chain h ON h.state = w.state
+  JOIN edit e ON e.s2 = h.s2 AND (e.role IS NULL OR e.role = left(j.role, 1)) AND (e.op = 'D' OR j.fault IN ('n', 't'))
+  GROUP BY w.c, w.i, e.s3
+), done AS (
+  SELECT w.c, min({'cost': best.cost + h.price, 'audit': best.audit || h.ins, 't': best.t || h.add}) AS best
+  FROM walk w JOIN (SELECT DISTINCT c, n FROM judged) j ON j.c = w.c AND j.n = w.i JOIN chain h ON h.state = w.state
+  WHERE h.s2 IN (0, 3) GROUP BY w.c
+), counted AS (
+  SELECT conv_id, any_value(c) AS c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+    count(*) FILTER (WHERE fault = 't') AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(left(best.t, length(best.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done USING (c)
+"""
+
 ORACLES = {
     "op1_license_scan": LICENSES.strip(),
     "op3_host_rules": HOST_RULES.strip(),
     "op7_warc_dictionary": ARCHIVE.strip(),
     "op10_suffix_decontamination": DECONTAMINATION.strip(),
+    "op11_relative_lempel_ziv": SUBSTRINGS.strip(),
+    "op12_dense_ranking": RANKING.strip(),
+    "op13_conversation_repair": REPAIR.strip(),
 }
