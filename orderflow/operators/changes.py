@@ -157,7 +157,7 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str],
     A key repeated inside the batch is an error, as in the source database.
 
     One full outer join on the keys.  ``sources.versions.merge_table`` limits
-    the target to the buckets that hold changed keys.
+    the target to the partitions that hold changed keys.
     """
     cols = target.columns
     update_cols = [c for c in cols if c not in keys] if update_cols is None else update_cols
@@ -183,12 +183,17 @@ def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str],
     """Insert only unseen keys; duplicates inside the batch keep the first
     in ``order_cols`` order (default: all columns).  One anti-join of the
     batch against the target's keys."""
-    order_cols = order_cols if order_cols is not None else []
-    fresh = dedupe(changes.select(*target.columns), keys, order_cols)
-    new_rows = fresh.join(target.select(*keys), keys, "left_anti")
+    new_rows = unseen(target, changes.select(*target.columns), keys, order_cols)
     return target.unionByName(new_rows.select(*target.columns))
 
 
+def unseen(target: DataFrame, changes: DataFrame, keys: list[str], order_cols: list | None = None) -> DataFrame:
+    """The rows that insert-ignore adds: the first of each key that the target
+    does not have.  Only the target's keys are read."""
+    fresh = dedupe(changes, keys, order_cols if order_cols is not None else [])
+    return fresh.join(target.select(*keys), keys, "left_anti").select(*changes.columns)
+
+
 # --- C3 -------------------------------------------------------------------
 def update_by_key(target: DataFrame, changes: DataFrame, keys: list[str],
                   cols: list[str]) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderflow.functions import ids
 from orderflow.functions.time import ntz
+from orderflow.operators.ordered import Ordered, write_ordered
 from orderflow.schemas import ROUTES
+from orderflow.session import scratch_dir
 
 # FIXED VALUES: routes by destination city (in list order) and the default
 # route; each point is (lat, lon, label).
@@ -117,7 +119,7 @@ def page(df: DataFrame, page_no: int = 1, limit: int = 100, ts_col: str = "times
          id_col: str = "event_id") -> DataFrame:
     """L2: rows [(page-1)*limit, +limit) of the ordered feed; past the end
     -> empty.  Offset paging sorts up to offset+limit rows per task
-    (TakeOrderedAndProject); use ``page_after`` for deep pages."""
+    (TakeOrderedAndProject); ``page_after`` and ``page_of`` are for deep pages."""
     validate_page(page_no, limit)
     return order_events(df, ts_col, id_col).offset((page_no - 1) * limit).limit(limit)
 
@@ -132,6 +134,20 @@ def page_after(df: DataFrame, after_ts, after_id, limit: int = 100,
     return order_events(df.filter(cond), ts_col, id_col).limit(limit)
 
 
+def page_index(df: DataFrame, ts_col: str = "timestamp", id_col: str = "event_id",
+               partitions: int | None = None) -> Ordered:
+    """The feed written in event order with the number of rows before each
+    range; ``page_of`` reads a page off it."""
+    return write_ordered(df, [F.col(ts_col).asc(), F.col(id_col).asc()], "pages", partitions)
+
+
+def page_of(index: Ordered, page_no: int = 1, limit: int = 100) -> DataFrame:
+    """L2 at any depth: only the ranges that hold the page's rows are read, so
+    page 1,000,000 costs what page 1 does."""
+    validate_page(page_no, limit)
+    return index.slice((page_no - 1) * limit, limit)
+
+
 def pagination(df: DataFrame, page_no: int = 1, limit: int = 100) -> DataFrame:
     """L3: page, limit, total, pages = ceil(total / limit) (0 when empty)."""
     validate_page(page_no, limit)
@@ -250,35 +266,116 @@ def interpolate_route(points: DataFrame, route_col: str = "route") -> DataFrame:
             .drop("_seg", "_t"))
 
 
-def classify_event(points: DataFrame, key: str = "shipment_id", ts_col: str = "timestamp",
-                   id_col: str = "event_id", route_col: str = "route") -> DataFrame:
-    """T4 + T5 in (time, id) order of a shipment's readings: the first ->
-    pickup, the last -> delivered, the first reading on a new route segment ->
-    checkpoint, else temperature_reading; the checkpoint label is the first /
-    last / next point's label.
+# --- segmented scan: running values of a feed split over (key, time bucket) --------
+BUCKET_MINUTES = 240
+
+
+def running(df: DataFrame, key: str, stopped: Column | None = None, leg: Column | None = None,
+            ts_col: str = "timestamp", id_col: str = "event_id", bucket_minutes: int = BUCKET_MINUTES,
+            ends_move: bool = False) -> DataFrame:
+    """Adds what a reading needs to know of its key's other readings in
+    (time, id) order: ``__first`` and ``__last`` (is it the key's first / last
+    reading), ``__new_leg`` (its ``leg`` differs from the one before),
+    ``__stop``, and for stopped readings ``__run_start`` and ``__run_end``, the
+    times of the unbroken stopped run it stands in.  With ``ends_move`` the first and the last
+    reading of a key are in no run.
 
-    Progress never falls with time, so the first reading of a segment is an
-    aggregate (map-side combined): no window over a shipment's readings."""
+    The feed is shuffled and sorted once on (key, time bucket), so a hot key
+    is spread over its buckets; all running values are windows in that order.
+    What crosses a bucket's edge comes from one narrow row per (key, bucket):
+    its first and last reading, and the readings next to its outer moves.
+    A window over these rows of a key (one per bucket) hands the open run, the
+    last leg and the ends of the key to every bucket; they join on the
+    partitioning that the readings already have.
+
+    A reading without a key or a time is in no sequence (all marks false, no run) but stays a
+    row; such readings are dealt over buckets of their own."""
+    ts, rid = F.col(ts_col), F.col(id_col)
+    known = F.col(key).isNotNull() & ts.isNotNull()
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    bucket = F.floor(F.timestamp_diff("MINUTE", epoch, ts.cast("timestamp_ntz")) / bucket_minutes)
+    stray = F.pmod(F.xxhash64(rid), F.lit(1 << 20)) - F.lit(1 << 60)
+    x = (df.withColumn("__known", known)
+         .withColumn("__b", F.when(F.col("__known"), bucket).otherwise(stray))
+         .withColumn("__stop", F.coalesce(known & (F.lit(False) if stopped is None else stopped), F.lit(False)))
+         .withColumn("__leg", F.lit(0) if leg is None else leg))
+    w = Window.partitionBy(key, "__b").orderBy(ts, rid)
+
+    def beside(rows: DataFrame) -> DataFrame:
+        """Neighbours in the bucket: the time of a reading right after a move
+        and of one right before a move."""
+        before, after = F.lag("__stop").over(w), F.lead("__stop").over(w)
+        return (rows.withColumn("__opens", before.isNull()).withColumn("__closes", after.isNull())
+                .withColumn("__after", F.when(~before, ts)).withColumn("__ahead", F.when(~after, ts)))
+
+    # one row per (key, bucket)
+    reading = F.struct(ts.alias("t"), rid.alias("i"), F.col("__stop").alias("stop"), F.col("__leg").alias("leg"))
+    edges = (beside(x.filter("__known").select(key, "__b", ts_col, id_col, "__stop", "__leg"))
+             .groupBy(key, "__b").agg(
+                 F.min(reading).alias("head"), F.max(reading).alias("tail"), F.bool_or(~F.col("__stop")).alias("moves"),
+                 F.max("__after").alias("after"), F.min("__ahead").alias("ahead"),
+                 F.min(F.when(~F.col("__opens"), ts)).alias("second"),
+                 F.max(F.when(~F.col("__closes"), ts)).alias("second_last")))
+    trip = Window.partitionBy(key).orderBy("__b")
+    whole = trip.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = (edges.withColumn("next", F.lead("head.t").over(trip)).withColumn("prev", F.lag("tail.t").over(trip))
+             # the reading after the bucket's last move, the one before its first
+             .withColumn("opened", F.when(~F.col("tail.stop"), F.col("next")).when(F.col("moves"), F.col("after")))
+             .withColumn("closed", F.when(~F.col("head.stop"), F.col("prev")).when(F.col("moves"), F.col("ahead"))))
+    begin = F.first(F.coalesce("second", "next") if ends_move else F.col("head.t")).over(whole)
+    end = F.last(F.coalesce("second_last", "prev") if ends_move else F.col("tail.t")).over(whole)
+    carry = edges.select(
+        F.col(key).alias("__ck"), F.col("__b").alias("__cb"), F.lag("tail.leg").over(trip).alias("__leg_in"),
+        F.col("prev").isNull().alias("__begins"), F.col("next").isNull().alias("__ends"),
+        F.coalesce(F.last("opened", ignorenulls=True).over(trip.rowsBetween(Window.unboundedPreceding, -1)),
+                   begin).alias("__start_in"),
+        F.coalesce(F.first("closed", ignorenulls=True).over(trip.rowsBetween(1, Window.unboundedFollowing)),
+                   end).alias("__end_in"))
+
+    started = F.last("__after", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ended = F.first("__ahead", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = (beside(x).withColumn("__started", started).withColumn("__ended", ended)
+            .withColumn("__before", F.lag("__leg").over(w)))
+    first, last = F.col("__opens") & F.col("__begins"), F.col("__closes") & F.col("__ends")
+    held = F.col("__stop") & ~first & ~last if ends_move else F.col("__stop")
+    return (rows.join(carry, (F.col(key) == F.col("__ck")) & (F.col("__b") == F.col("__cb")), "left")
+            .withColumn("__first", F.coalesce(first, F.lit(False))).withColumn("__last", F.coalesce(last, F.lit(False)))
+            .withColumn("__new_leg", F.coalesce(~F.col("__leg").eqNullSafe(
+                F.coalesce("__before", "__leg_in")) & F.col("__known"), F.lit(False)))
+            .withColumn("__stop", F.coalesce(held, F.lit(False)))
+            .withColumn("__run_start", F.when(F.col("__stop"), F.coalesce("__started", "__start_in")))
+            .withColumn("__run_end", F.when(F.col("__stop"), F.coalesce("__ended", "__end_in")))
+            .drop("__known", "__b", "__leg", "__opens", "__closes", "__after", "__ahead", "__started", "__ended",
+                  "__before", "__ck", "__cb", "__leg_in", "__begins", "__ends", "__start_in", "__end_in"))
+
+
+MARKS = ("__first", "__last", "__new_leg", "__stop", "__run_start", "__run_end")
+
+
+def _route_leg(route_col: str) -> Column:
+    return (F.col("progress") * (F.size(route_col) - 1)).cast("int")
+
+
+def _typed(marked: DataFrame, route_col: str) -> DataFrame:
     k = F.size(route_col)
-    pos = (F.col("progress") * (k - 1)).cast("int")
-    at = F.struct(F.col(ts_col).alias("t"), F.col(id_col).alias("i"))
-    x = points.withColumn("_pos", pos).withColumn("_at", at)
-    legs = x.groupBy(key, "_pos").agg(F.min("_at").alias("_leg"), F.max("_at").alias("_end"))
-    trip = Window.partitionBy(key)           # over legs: a row per route segment
-    marks = legs.select(F.col(key).alias("_k"), F.col("_pos").alias("_p"), "_leg",
-                        F.min("_leg").over(trip).alias("_first"), F.max("_end").over(trip).alias("_last"))
-    x = x.join(marks, (F.col(key) == F.col("_k")) & (F.col("_pos") == F.col("_p")))
-    seg = F.least(F.col("_pos"), k - 2)
-    etype = (F.when(F.col("_at") == F.col("_first"), F.lit("pickup"))
-             .when(F.col("_at") == F.col("_last"), F.lit("delivered"))
-             .when(F.col("_at") == F.col("_leg"), F.lit("checkpoint"))
-             .otherwise(F.lit("temperature_reading")))
+    seg = F.least(_route_leg(route_col), k - 2)
+    etype = (F.when(F.col("__first"), F.lit("pickup")).when(F.col("__last"), F.lit("delivered"))
+             .when(F.col("__new_leg"), F.lit("checkpoint")).otherwise(F.lit("temperature_reading")))
     label = (F.when(F.col("event_type") == "pickup", F.element_at(route_col, 1)["label"])
              .when(F.col("event_type") == "delivered", F.element_at(route_col, -1)["label"])
              .when(F.col("event_type") == "checkpoint",
                    F.element_at(route_col, F.least(seg + 1, k - 1) + 1)["label"]))
-    return (x.withColumn("event_type", etype).withColumn("checkpoint", label)
-            .drop("_pos", "_at", "_leg", "_first", "_last", "_k", "_p"))
+    return marked.withColumn("event_type", etype).withColumn("checkpoint", label)
+
+
+def classify_event(points: DataFrame, key: str = "shipment_id", ts_col: str = "timestamp",
+                   id_col: str = "event_id", route_col: str = "route") -> DataFrame:
+    """T4 + T5 in (time, id) order of a shipment's readings: the first ->
+    pickup, the last -> delivered, the first reading on a new route segment ->
+    checkpoint, else temperature_reading; the checkpoint label is the first /
+    last / next point's label."""
+    marked = running(points, key, leg=_route_leg(route_col), ts_col=ts_col, id_col=id_col)
+    return _typed(marked, route_col).drop(*MARKS)
 
 
 # --- T7 -------------------------------------------------------------------
@@ -294,75 +391,39 @@ def temperature_alert(temp="temperature_celsius", zone="temperature_zone",
 
 
 # --- T8 -------------------------------------------------------------------
-def with_stop_anchor(df: DataFrame, key: str, stopped: Column, ts_col: str = "timestamp",
-                     id_col: str = "event_id", bucket_minutes: int = 60) -> DataFrame:
-    """Adds ``_stop`` and ``_anchor``: the (ts, id) of the last moving reading
-    at or before each row of its key (null when none), so consecutive
-    stopped readings share one anchor.
-
-    Skew-safe: the running max is computed inside (key, time bucket)
-    windows -- a hot key is spread over its buckets -- plus a carry from
-    earlier buckets taken from a per-(key, bucket) aggregate (one row per
-    bucket, so its window is small)."""
-    ts = F.col(ts_col)
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    bucket = F.floor(F.timestamp_diff("MINUTE", epoch, ts.cast("timestamp_ntz")) / bucket_minutes)
-    # a reading without a key or a time is in no run, but stays a row
-    known = F.col(key).isNotNull() & ts.isNotNull()
-    x = df.withColumn("_stop", F.coalesce(stopped & known, F.lit(False))).withColumn("_b", bucket)
-    move = F.when(~F.col("_stop"), F.struct(ts.alias("t"), F.col(id_col).alias("i")))
-    per_bucket = x.groupBy(key, "_b").agg(F.max(move).alias("_last_move"))
-    carry = per_bucket.withColumn("_carry", F.max("_last_move").over(
-        Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
-    w = (Window.partitionBy(key, "_b").orderBy(ts, F.col(id_col))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (x.withColumn("_local", F.max(move).over(w))
-            .join(carry.select(key, "_b", "_carry"), [key, "_b"], "left")
-            .withColumn("_anchor", F.coalesce("_local", "_carry"))
-            .drop("_local", "_carry", "_b"))
-
-
-def _stop_runs(anchored: DataFrame, key: str, ts_col: str) -> DataFrame:
-    ts = F.col(ts_col)
-    runs = anchored.filter("_stop").groupBy(key, "_anchor").agg(
-        F.min(ts).alias("stop_start"), F.max(ts).alias("stop_end"),
-        F.count(F.lit(1)).alias("n_points"))
-    micros = F.timestamp_diff("MICROSECOND", F.col("stop_start"), F.col("stop_end"))
-    return runs.withColumn("stop_minutes", micros / F.lit(60_000_000.0))
+def _minutes(start: str, end: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(60_000_000.0)
 
 
 def long_stops(df: DataFrame, key: str, stopped: Column, ts_col: str = "timestamp",
                id_col: str = "event_id", min_minutes: int = LONG_STOP_MINUTES,
-               bucket_minutes: int = 60) -> DataFrame:
+               bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
     """Unbroken runs of stopped readings per key (in (ts, id) order) that
-    last longer than ``min_minutes`` (last minus first stopped reading);
-    runs are a plain aggregate on (key, anchor)."""
-    anchored = with_stop_anchor(df.select(key, ts_col, id_col, stopped.alias("_s")),
-                                key, F.col("_s"), ts_col, id_col, bucket_minutes)
-    return (_stop_runs(anchored, key, ts_col)
-            .filter(F.col("stop_minutes") > F.lit(float(min_minutes)))
-            .select(key, "stop_start", "stop_end", "n_points", "stop_minutes"))
+    last longer than ``min_minutes`` (last minus first stopped reading)."""
+    narrow = df.select(key, ts_col, id_col, stopped.alias("__s"))
+    marked = running(narrow, key, F.col("__s"), ts_col=ts_col, id_col=id_col, bucket_minutes=bucket_minutes)
+    minutes = _minutes("__run_start", "__run_end")
+    # runs over half an hour of one key differ in their start
+    return (marked.filter(F.col("__stop") & (minutes > F.lit(float(min_minutes))))
+            .groupBy(key, F.col("__run_start").alias("stop_start"), F.col("__run_end").alias("stop_end"))
+            .agg(F.count(F.lit(1)).alias("n_points"))
+            .withColumn("stop_minutes", _minutes("stop_start", "stop_end")))
+
+
+def _alerted(marked: DataFrame, zone_col: str | None) -> DataFrame:
+    long_ = F.col("__stop") & (_minutes("__run_start", "__run_end") > F.lit(float(LONG_STOP_MINUTES)))
+    t_alert, t_detail = temperature_alert("temperature_celsius", zone_col)
+    return (marked.withColumn("alert", F.coalesce(t_alert, F.when(long_, F.lit(STOP_ALERT))))
+            .withColumn("alert_detail", F.coalesce(t_detail, F.when(long_, F.lit(STOP_DETAIL)))).drop(*MARKS))
 
 
 def long_stop_alert(events: DataFrame, key: str = "shipment_id", ts_col: str = "timestamp",
                     id_col: str = "event_id", zone_col: str | None = None) -> DataFrame:
     """T7 + T8 on a tracking feed: a temperature above 6 gives
     ``temperature_breach``; otherwise a reading inside a mid-trip zero-speed
-    run longer than 30 minutes gives ``long_stop``.  Each reading joins at
-    most one run, on (key, anchor)."""
+    run longer than 30 minutes gives ``long_stop``."""
     stopped = (F.col("speed_kmh") == 0) & ~F.col("event_type").isin("pickup", "delivered")
-    anchored = with_stop_anchor(events, key, stopped, ts_col, id_col)
-    runs = (_stop_runs(anchored, key, ts_col)
-            .filter(F.col("stop_minutes") > F.lit(float(LONG_STOP_MINUTES)))
-            .select(F.col(key).alias("_rk"), F.col("_anchor").alias("_ra"),
-                    F.lit(True).alias("_long")))
-    j = anchored.join(runs, (F.col(key) == F.col("_rk")) & F.col("_anchor").eqNullSafe(F.col("_ra")),
-                      "left")
-    long_ = F.col("_stop") & F.col("_long").isNotNull()
-    t_alert, t_detail = temperature_alert("temperature_celsius", zone_col)
-    return (j.withColumn("alert", F.coalesce(t_alert, F.when(long_, F.lit(STOP_ALERT))))
-            .withColumn("alert_detail", F.coalesce(t_detail, F.when(long_, F.lit(STOP_DETAIL))))
-            .drop("_stop", "_anchor", "_rk", "_ra", "_long"))
+    return _alerted(running(events, key, stopped, ts_col=ts_col, id_col=id_col), zone_col)
 
 
 # --- T9 -------------------------------------------------------------------
@@ -371,16 +432,29 @@ TRACKING_COLS = ["event_id", "shipment_id", "order_id", "event_type", "timestamp
                  "carrier", "driver_name", "checkpoint", "alert", "alert_detail"]
 
 
+def trips(shipments: DataFrame, routes: DataFrame | None = None, address_col: str = "delivery_address",
+          key: str = "shipment_id") -> DataFrame:
+    """Shipments with their matched route (J6), written once: a row per
+    shipment, which every pass over the feed then reads instead of matching
+    again."""
+    spark = shipments.sparkSession
+    matched = match_route(shipments, routes if routes is not None else reference_routes(spark), address_col)
+    path = scratch_dir(spark, "trips")
+    matched.filter(F.col(key).isNotNull()).write.parquet(path)
+    return spark.read.schema(matched.schema).parquet(path)
+
+
 def tracking_events(feed: DataFrame, shipments: DataFrame, routes: DataFrame | None = None,
-                    address_col: str = "delivery_address") -> DataFrame:
+                    address_col: str = "delivery_address", bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
     """T1-T8 + J6 on the observed feed (event_id, shipment_id, timestamp,
     temperature_celsius, speed_kmh): each reading of a shipped shipment with
-    its position on the route, event type, checkpoint and alert."""
-    routes = routes if routes is not None else reference_routes(shipments.sparkSession)
+    its position on the route, event type, checkpoint and alert, all from one
+    segmented scan of the feed."""
     s = shipments
     for c in ("vehicle_plate", "carrier", "driver_name", "temperature_zone"):
         if c not in s.columns:
             s = s.withColumn(c, F.lit(None).cast("string"))
-    points = observed_points(feed, match_route(s, routes, address_col))
-    located = classify_event(interpolate_route(points)).drop("route")
-    return long_stop_alert(located, zone_col="temperature_zone").select(*TRACKING_COLS)
+    located = interpolate_route(observed_points(feed, trips(s, routes, address_col)))
+    marked = running(located, "shipment_id", F.col("speed_kmh") == 0, _route_leg("route"), bucket_minutes=bucket_minutes,
+                     ends_move=True)
+    return _alerted(_typed(marked, "route"), "temperature_zone").select(*TRACKING_COLS)

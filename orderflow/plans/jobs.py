@@ -8,7 +8,7 @@
 * ``load_batch``: a historical or incremental load of the order tables (C5).
 
 The last two publish all tables of a version together (sources/versions.py);
-tables and key buckets that a run does not touch are carried over.
+tables and partitions that a run does not touch are carried over.
 """
 
 from __future__ import annotations
@@ -25,20 +25,25 @@ from orderflow.schemas import DEFAULTS, INSERT_IGNORE_TABLES, KEYS, TABLES, UPDA
 from orderflow.session import checkpoint_root
 from orderflow.sources import versions
 from orderflow.sources.readers import Source, TableSpec, default_specs, extract_table
-from orderflow.sources.sinks import write_partition
+from orderflow.sources.sinks import write_days, write_partition
 from orderflow.sources.state import has_new_data, incremental_pull, load_watermark, resolve_since
 
 
 def extract(spark: SparkSession, src: Source, root: str, data_date: str,
             specs: list[TableSpec] | None = None, lookback_days: int = 0,
             num_partitions: int | None = None) -> dict[str, str]:
-    """Land every table of ``specs`` for the run date.  Each write overwrites
-    one partition folder, so a failed run can simply be repeated."""
-    _, _, label = day_window(data_date, lookback_days)
+    """Land every table of ``specs`` for the run date.  A day window overwrites
+    one partition folder; with ``lookback_days`` it overwrites the folder of
+    every day of the window with that day's rows.  So a failed run can simply be
+    repeated.  Returns the folder of the run date of each table."""
+    start, end, label = day_window(data_date, lookback_days)
     written = {}
     for spec in specs or default_specs():
         df = extract_table(spark, src, spec, data_date, lookback_days, num_partitions)
-        written[spec.name] = write_partition(df, root, spec.name, label)
+        if lookback_days and spec.kind == "incremental":
+            written[spec.name] = write_days(df, root, spec.name, spec.ts_col, start, end)[-1]
+        else:
+            written[spec.name] = write_partition(df, root, spec.name, label)
     return written
 
 
@@ -63,28 +68,49 @@ def align(df: DataFrame, schema, defaults: dict | None = None) -> DataFrame:
                        .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+# Order data is partitioned by the month a row was made in (a shipment's month
+# is that of its last event: it moves with the row), snapshots by key.
+LAYOUTS = {name: versions.Layout(col) for name, col in {
+    "orders": "created_at", "order_items": "event_timestamp", "shipments": "event_timestamp",
+    "order_status_history": "status_ts", "payments": "created_at", "returns": "created_at"}.items()}
+
+
+def layout_of(name: str) -> versions.Layout:
+    return LAYOUTS.get(name, versions.Layout())
+
+
 def apply_changes(spark: SparkSession, out_root: str, as_of: _dt.date) -> int:
     """One late-change run on the published orders, shipments, payments and
-    order_status_history; all changes are published together.  Returns the
-    version."""
+    order_status_history; all changes are published together.  Only the
+    months of changed rows are rewritten, and new status events are added
+    without rewriting any.  Returns the version."""
     pub = versions.current(spark, out_root)
     if pub is None:
         raise ValueError(f"nothing is published in {out_root}")
     t = {n: versions.read(spark, out_root, n) for n in ("orders", "shipments", "payments", "order_status_history")}
     ch = late_changes(t["orders"], t["shipments"], t["payments"], t["order_status_history"], as_of)
-    rules = {
-        "orders": lambda old, c: C.update_by_key(old, c, KEYS["orders"], ["status", "updated_at", "event_timestamp"]),
-        "shipments": lambda old, c: C.update_by_key(old, c, KEYS["shipments"], ["status", "event_timestamp"]),
-        "payments": lambda old, c: C.update_by_key(old, c, KEYS["payments"], ["status"]),
-        "order_status_history": lambda old, c: C.insert_ignore(old, align(c, old.schema), KEYS["order_status_history"]),
-    }
+    updated = {"orders": ["status", "updated_at", "event_timestamp"], "shipments": ["status", "event_timestamp"],
+               "payments": ["status"]}
     checkpoint_root(spark)
-    # each change set is used twice (its buckets, the merge): cut the lineage
-    new = {n: versions.merge_table(out_root, n, pub.tables[n], df.checkpoint(), KEYS[n], rules[n])
-           for n, df in ch.items()}
+    new = {}
+    for n, df in ch.items():
+        # each change set is used twice (its partitions, the merge): cut the lineage
+        rows = df.checkpoint()
+        if n in updated:
+            new[n] = versions.merge_table(out_root, n, pub.tables[n], rows, KEYS[n],
+                                          lambda old, c, n=n: C.update_by_key(old, c, KEYS[n], updated[n]), layout_of(n))
+        else:
+            new[n] = append(out_root, n, pub.tables[n], align(rows, pub.tables[n].schema))
     return versions.publish(spark, out_root, new, pub)
 
 
+def append(root: str, name: str, old: versions.Table, rows: DataFrame) -> versions.Table:
+    """Insert-ignore (C2) onto a published table: unseen keys become new files."""
+    keys = KEYS[name]
+    return versions.append_table(root, name, old, rows, keys, lambda known, c: C.unseen(known, c, keys),
+                                 layout_of(name))
+
+
 def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str) -> int:
     """C5 for a whole load: ``historical`` rebuilds the batch's tables from
     the batch; ``incremental`` upserts the snapshot tables (only their update
@@ -100,11 +126,14 @@ def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_
         if mode == "incremental":
             if pub is None or name not in pub.tables:
                 raise ValueError(f"incremental load of {name} needs its published table")
+            if name in INSERT_IGNORE_TABLES:
+                new[name] = append(out_root, name, pub.tables[name], rows)
+                continue
 
             def merge(old, changes, name=name):
-                return C.load(mode, old, changes, KEYS[name], UPDATE_COLUMNS.get(name),
-                              append_only=name in INSERT_IGNORE_TABLES)
-            new[name] = versions.merge_table(out_root, name, pub.tables[name], rows, KEYS[name], merge)
+                return C.load(mode, old, changes, KEYS[name], UPDATE_COLUMNS.get(name))
+            new[name] = versions.merge_table(out_root, name, pub.tables[name], rows, KEYS[name], merge, layout_of(name))
         else:
-            new[name] = versions.write_table(out_root, name, C.load(mode, None, rows, KEYS[name]), KEYS[name])
+            new[name] = versions.write_table(out_root, name, C.load(mode, None, rows, KEYS[name]), KEYS[name],
+                                             layout_of(name))
     return versions.publish(spark, out_root, new, pub)

@@ -9,6 +9,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F, types as T
 
 from orderflow.operators import calendars as CAL
+from orderflow.operators import ordered as ORD
 from orderflow.operators import orders as O
 from orderflow.operators import quality as Q
 from orderflow.plans import driver_tables as dt
@@ -71,6 +72,32 @@ def q_allocate_skewed(spark, d):
     return CAL.allocate(w, "weight", n + 9, "day").drop("weight")
 
 
+@query("allocate_lines", """
+WITH w AS (SELECT l_returnflag AS flag, l_orderkey * 100 + l_linenumber AS line, sum(l_quantity) AS weight
+           FROM lineitem GROUP BY 1, 2),
+s AS (SELECT *, (SELECT 3 * count(*) + 7 FROM lineitem) AS total, sum(weight) OVER f AS whole, count(*) OVER f AS n
+      FROM w WINDOW f AS (PARTITION BY flag)),
+b AS (SELECT *, total::DOUBLE * weight / whole AS share, greatest(1, CAST(round_even(total::DOUBLE * weight / whole, 0)
+        AS BIGINT)) AS base FROM s),
+g AS (SELECT *, share - base AS res, total - sum(base) OVER (PARTITION BY flag) AS diff FROM b),
+give AS (SELECT flag, line, res, diff, unnest(range(1, CAST(greatest(diff, 0) // n + 2 AS BIGINT))) AS rd FROM g),
+ad AS (SELECT flag, line, count(*) AS c FROM (SELECT *, row_number() OVER (PARTITION BY flag ORDER BY rd, res DESC, line)
+         AS k FROM give) WHERE k <= diff GROUP BY flag, line),
+unit AS (SELECT flag, line, res, diff, unnest(range(1, base)) AS rd FROM g WHERE diff < 0),
+tk AS (SELECT flag, line, count(*) AS c FROM (SELECT *, row_number() OVER (PARTITION BY flag ORDER BY rd, res, line)
+         AS k FROM unit) WHERE k <= -diff GROUP BY flag, line)
+SELECT flag, line, CAST(base + coalesce(ad.c, 0) - coalesce(tk.c, 0) AS BIGINT) AS allocated
+FROM g LEFT JOIN ad USING (flag, line) LEFT JOIN tk USING (flag, line)
+""")
+def q_allocate_lines(spark, d):
+    """D4 over all order lines of a return flag (a group holds half of them):
+    units by quantity, exact, no task holds a group."""
+    lines = dt.table(spark, d, "lineitem")
+    w = lines.groupBy(F.col("l_returnflag").alias("flag"), (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line")
+                      ).agg(F.sum("l_quantity").alias("weight"))
+    return ORD.allocate_rows(w, "weight", 3 * lines.count() + 7, "line", ["flag"]).drop("weight")
+
+
 @query("expand_by_count", f"""
 WITH {_ALLOC_SQL}
 SELECT day, CAST(u AS BIGINT) AS unit FROM al, unnest(range(1, allocated + 1)) AS t(u)

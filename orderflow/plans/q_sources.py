@@ -21,6 +21,7 @@ from orderflow.session import scratch_dir
 from orderflow.sources import readers as R
 from orderflow.sources import sinks as K
 from orderflow.sources import state as W
+from orderflow.sources.versions import Layout
 from orderflow.streaming import streams as ST
 
 FEED_SCHEMA = T.StructType([
@@ -63,6 +64,23 @@ def q_extract_day(spark, d):
     return spark.read.parquet(f"{root}/events")
 
 
+@query("extract_lookback", """
+SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS data_date FROM events
+WHERE ts >= TIMESTAMP '2024-01-12 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+  AND (ts >= TIMESTAMP '2024-01-13 00:00:00' OR event_type <> 'purchase')
+""")
+def q_extract_lookback(spark, d):
+    """S2 + K1 backfill: four days land without their purchases; a rerun with
+    two days of lookback replaces the last three folders, each with the rows
+    of its own day, and leaves the first."""
+    root = scratch_dir(spark, "lookback")
+    dt.table(spark, d, "events").filter("event_type <> 'purchase'").write.parquet(f"{root}/source/events.parquet")
+    specs = [R.TableSpec("events", "incremental", "ts", source="events.parquet")]
+    jobs.extract(spark, _src(f"{root}/source"), f"{root}/landed", DATA_DATE, specs, lookback_days=3)
+    jobs.extract(spark, _src(d), f"{root}/landed", DATA_DATE, specs, lookback_days=2)
+    return spark.read.parquet(f"{root}/landed/events")
+
+
 @query("snapshot_copy", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, DATE '2024-01-15' AS data_date
 FROM customer
@@ -230,13 +248,13 @@ def q_stream_dedupe(spark, d):
     ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA)
     K.land_jsonl(feed.filter(F.col("timestamp") >= ntz(boundary)), landing, "2024-01-31", "2")
     ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA)
-    return spark.read.parquet(out).select(*FEED_COLS)
+    return ST.read_tracking(spark, out, FEED_SCHEMA)
 
 
 @query("stream_upsert", _UPSERT_SQL)
 def q_stream_upsert(spark, d):
     """ST2: the orders land as a first change file, the change batch as a
-    second; each ``availableNow`` run upserts into the key buckets it touches
+    second; each ``availableNow`` run upserts into the months it touches
     and publishes them."""
     base = scratch_dir(spark, "stream-upsert")
     changes, tables, ckpt = f"{base}/changes", f"{base}/orders", f"{base}/_checkpoint"
@@ -246,7 +264,8 @@ def q_stream_upsert(spark, d):
         (df.withColumn("event_timestamp", F.col("created_at"))
          .write.mode("append").option("ignoreNullFields", "false")
          .option("timestampNTZFormat", K.JSON_TS_FORMAT).json(changes))
-        ST.stream_upsert(spark, changes, schema, tables, ["order_id"], ["status", "priority"], ckpt)
+        ST.stream_upsert(spark, changes, schema, tables, ["order_id"], ["status", "priority"], ckpt,
+                         layout=Layout("created_at"))
     return ST.read_upserted(spark, tables).select(*ORDER_COLS)
 
 
@@ -262,7 +281,7 @@ def q_stream_late(spark, d):
     for i, part in enumerate([feed.filter(F.col("timestamp") >= ntz(cutoff)), feed]):
         K.land_jsonl(part, landing, f"2024-01-3{i}", str(i))
         ST.stream_tracking(spark, landing, out, ckpt, FEED_SCHEMA, lateness="1 day", late_out=late)
-    return spark.read.parquet(out).select(*FEED_COLS).unionByName(spark.read.parquet(late).select(*FEED_COLS))
+    return ST.read_tracking(spark, out, FEED_SCHEMA, late)
 
 
 @query("late_rows", f"""

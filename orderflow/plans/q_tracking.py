@@ -59,10 +59,12 @@ def shipments(spark, d):
                     F.when(k % 2 == 0, "0-4").alias("temperature_zone")))
 
 
-def located(spark, d):
-    readings = feed(spark, d).drop("event_type", "value")
-    points = TR.observed_points(readings, TR.match_route(shipments(spark, d), routes(spark, d)))
-    return TR.classify_event(TR.interpolate_route(points))
+def points(spark, d, trips):
+    return TR.observed_points(feed(spark, d).drop("event_type", "value"), trips)
+
+
+def classified(spark, d):
+    return TR.classify_event(points(spark, d, TR.trips(shipments(spark, d), routes(spark, d))))
 
 
 def feed(spark, d):
@@ -154,8 +156,8 @@ SELECT shipment_id, event_id, trip_minutes, round(progress, 6) AS progress,
 def q_trip_points(spark, d):
     """The observed readings of a shipment with their trip, progress
     and stable id."""
-    points = TR.observed_points(feed(spark, d), shipments(spark, d))
-    return points.select("shipment_id", "event_id", "trip_minutes", F.round("progress", 6).alias("progress"),
+    seen = TR.observed_points(feed(spark, d), shipments(spark, d))
+    return seen.select("shipment_id", "event_id", "trip_minutes", F.round("progress", 6).alias("progress"),
                          "tracking_id")
 
 
@@ -165,7 +167,8 @@ SELECT shipment_id, event_id, latitude, longitude FROM pc
 """)
 def q_interpolated_route(spark, d):
     """Position of each reading on its route polyline."""
-    return located(spark, d).select("shipment_id", "event_id", "latitude", "longitude")
+    matched = TR.match_route(shipments(spark, d), routes(spark, d))
+    return TR.interpolate_route(points(spark, d, matched)).select("shipment_id", "event_id", "latitude", "longitude")
 
 
 @query("event_types", f"""
@@ -174,7 +177,7 @@ SELECT shipment_id, event_id, event_type FROM pc
 """)
 def q_event_types(spark, d):
     """T4: pickup / checkpoint / temperature_reading / delivered."""
-    return located(spark, d).select("shipment_id", "event_id", "event_type")
+    return classified(spark, d).select("shipment_id", "event_id", "event_type")
 
 
 @query("checkpoints", f"""
@@ -183,7 +186,7 @@ SELECT shipment_id, event_id, event_type, checkpoint FROM pc WHERE checkpoint IS
 """)
 def q_checkpoints(spark, d):
     """T5: checkpoint label of pickup, checkpoint and delivered readings."""
-    return (located(spark, d).filter(F.col("checkpoint").isNotNull())
+    return (classified(spark, d).filter(F.col("checkpoint").isNotNull())
             .select("shipment_id", "event_id", "event_type", "checkpoint"))
 
 
@@ -221,6 +224,18 @@ def q_tracking_page(spark, d):
     return TR.page(dt.tracking_feed(spark, d).drop("props"), page_no=3, limit=100)
 
 
+@query("tracking_page_deep", """
+SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value
+FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS n FROM events), (SELECT count(*) * 9 // 1000 * 100 AS skip FROM events)
+WHERE n > skip AND n <= skip + 100
+""")
+def q_tracking_page_deep(spark, d):
+    """L2 by position: the page of 100 nine tenths down the feed, read off the
+    ranges that hold it."""
+    rows = dt.tracking_feed(spark, d).drop("props")
+    return TR.page_of(TR.page_index(rows), page_no=rows.count() * 9 // 1000 + 1, limit=100)
+
+
 @query("page_after", """
 SELECT event_id, ts AS "timestamp", user_id AS shipment_id, event_type, value FROM events
 WHERE ts > TIMESTAMP '2024-01-10 00:00:00' OR (ts = TIMESTAMP '2024-01-10 00:00:00' AND event_id > 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 # Microsecond timestamps in JSON (the default writer keeps milliseconds).
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -15,15 +15,34 @@ def partition_path(root: str, table: str, load_date: str, col: str = "data_date"
 
 
 # --- K1 -------------------------------------------------------------------
-def write_partition(df: DataFrame, root: str, table: str, load_date: str) -> str:
+def write_partition(df: DataFrame, root: str, table: str, load_date: str, col: str = "data_date") -> str:
     """Overwrite exactly one ``data_date=`` folder with Parquet.  The static
     path makes a rerun idempotent and lets an empty day clear the folder
     (dynamic partition overwrite would leave old rows behind)."""
-    path = partition_path(root, table, load_date)
+    path = partition_path(root, table, load_date, col)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def write_days(df: DataFrame, root: str, table: str, ts_col: str, start: _dt.datetime, end: _dt.datetime,
+               col: str = "data_date") -> list[str]:
+    """Overwrite the ``data_date=`` folders of the days in [start, end), each
+    with the rows of its own day, in one write (dynamic partition overwrite).
+    Other days stay as they are; a day without rows is cleared.  The days that
+    had rows are observed by the write itself, so ``df`` is read once."""
+    path = f"{root.rstrip('/')}/{table}"
+    seen = Observation()
+    day = F.to_date(ts_col)
+    (df.withColumn(col, day).observe(seen, F.collect_set(day.cast("string")).alias("days"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+    written = set(seen.get["days"])
+    labels = [(start + _dt.timedelta(days=i)).date().isoformat() for i in range((end - start).days)]
+    for label in labels:
+        if label not in written:
+            write_partition(df.limit(0), root, table, label, col)
+    return [partition_path(root, table, label, col) for label in labels]
+
+
 # --- K2 -------------------------------------------------------------------
 def batch_stamp(now: _dt.datetime | None = None) -> str:
     now = now or _dt.datetime.now(_dt.timezone.utc)

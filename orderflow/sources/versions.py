@@ -1,16 +1,22 @@
-"""Published versions of tables, stored in key buckets.
-
-A table is a set of bucket folders (rows dealt by a hash of the key).  A
-publication is one small pointer file below ``_versions/``; it names the
-folders of every table, so readers of a version see all tables of one state.
-New folders and pointers are written beside the old ones and nothing is
-deleted or overwritten: a job that fails leaves the last publication as it
-was.  A change batch rewrites only the buckets that hold its keys; the other
-buckets, and all tables it does not touch, keep their folders.
+"""Published versions of tables, stored in partitions.
+
+A table is partitioned Parquet: by the calendar month of one of its columns
+(``Layout(column)``; change batches are recent, so they touch few months), or
+by a hash of the key where no column is local in time.  A publication is one
+small pointer file below ``_versions/`` that names the live folders of every
+table, so readers of a version see all tables of one state.  Folders and
+pointers are written beside the old ones: a job that fails leaves
+the last publication as it was.
+
+* ``merge_table`` rewrites the partitions that hold changed keys or take
+  changed rows, and reads no other data than their keys.
+* ``append_table`` (insert-ignore) rewrites nothing: the new rows become one
+  more folder of their partitions.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from typing import NamedTuple
@@ -19,12 +25,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 N_BUCKETS = 64
-_POINTER = "version long, table string, bucket int, path string, schema string"
+PART = "_part"
+_POINTER = "version long, table string, part string, path string, schema string"
+_NO_MONTH = "none"
+
+
+class Layout(NamedTuple):
+    """How a table is partitioned: the month of ``column``, or a hash of its
+    keys.  A table keeps its layout for life."""
+    column: str | None = None
+    buckets: int = N_BUCKETS
+
+    def part(self, keys: list[str]) -> Column:
+        if self.column is not None:
+            return F.coalesce(F.date_format(F.col(self.column), "yyyy-MM"), F.lit(_NO_MONTH))
+        return F.concat(F.lit("h"), F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("string"))
 
 
 class Table(NamedTuple):
     schema: T.StructType
-    folders: dict[int, str]          # bucket -> folder; empty buckets have none
+    folders: dict[str, list[str]]    # partition -> folders; empty partitions have none
 
 
 class Publication(NamedTuple):
@@ -32,10 +52,6 @@ class Publication(NamedTuple):
     tables: dict[str, Table]
 
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
 def _pointers(root: str) -> str:
     return f"{root.rstrip('/')}/_versions"
 
@@ -54,72 +70,95 @@ def current(spark: SparkSession, root: str) -> Publication | None:
     if last is None:
         raise RuntimeError(f"no readable pointer in {_pointers(root)}")
     tables: dict[str, Table] = {}
-    for r in rows.filter(F.col("version") == last).collect():      # tables x buckets
-        t = tables.setdefault(r["table"], Table(T.StructType.fromJson(_json(r["schema"])), {}))
+    for r in rows.filter(F.col("version") == last).collect():      # live folders
+        t = tables.setdefault(r["table"], Table(T.StructType.fromJson(json.loads(r["schema"])), {}))
         if r["path"] is not None:
-            t.folders[r["bucket"]] = r["path"]
+            t.folders.setdefault(r["part"], []).append(r["path"])
     return Publication(last, tables)
 
 
-def _json(text: str):
-    import json
-    return json.loads(text)
-
-
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of the last publication."""
     pub = current(spark, root)
     if pub is None or table not in pub.tables:
         raise ValueError(f"{table!r} is not published in {root}")
-    return _read(spark, pub.tables[table])
+    return rows_of(spark, pub.tables[table])
 
 
-def _read(spark: SparkSession, t: Table, buckets: list[int] | None = None) -> DataFrame:
-    paths = [p for b, p in sorted(t.folders.items()) if buckets is None or b in buckets]
+def rows_of(spark: SparkSession, t: Table, parts=None, with_part: bool = False) -> DataFrame:
+    """The rows of a table or of some of its partitions; ``with_part`` adds
+    the partition as a column (read off the folder)."""
+    paths = [p for part, found in sorted(t.folders.items()) if parts is None or part in parts for p in found]
+    schema = T.StructType([*t.schema.fields, T.StructField(PART, T.StringType())]) if with_part else t.schema
     if not paths:
-        return spark.createDataFrame([], t.schema)
-    return spark.read.schema(t.schema).parquet(*paths)
-
-
-def write_table(root: str, name: str, df: DataFrame, keys: list[str],
-                buckets: int = N_BUCKETS) -> Table:
-    """Write all rows of a table into new bucket folders (unpublished).
-
-    Rows are rebalanced by bucket: AQE merges small buckets into one task and
-    splits a bucket above the advisory partition size over several tasks (each
-    writes a file of its own), so no task holds a whole large bucket."""
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    (df.withColumn("_bucket", bucket_of(keys, buckets)).hint("rebalance", F.col("_bucket"))
-     .write.partitionBy("_bucket").parquet(path))
+        return spark.createDataFrame([], schema)
+    if not with_part:
+        return spark.read.schema(schema).parquet(*paths)
+    # <root>/<table>/v=<id>/_part=<value>: the table's folder is the base
+    base = paths[0].rsplit("/", 2)[0]
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.fieldNames())
+
+
+def write_table(root: str, name: str, df: DataFrame, keys: list[str], layout: Layout = Layout()) -> Table:
+    """Write rows into new partition folders (unpublished).
+
+    Rows are rebalanced by partition: AQE merges small partitions into one task
+    and splits one above the advisory size over several tasks (each writes a
+    file of its own), so no task holds a whole large partition."""
+    path = f"{root.rstrip('/')}/{name}/v={uuid.uuid4().hex}"
+    (df.withColumn(PART, layout.part(keys)).hint("rebalance", F.col(PART))
+     .write.partitionBy(PART).parquet(path))
     spark = df.sparkSession
-    found = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
-    filled = [r[0] for r in found.select("_bucket").distinct().collect() if r[0] is not None]
-    return Table(df.schema, {b: f"{path}/_bucket={b}" for b in filled})
+    found = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
+    filled = [r[0] for r in found.select(PART).distinct().collect() if r[0] is not None]
+    return Table(df.schema, {p: [f"{path}/{PART}={p}"] for p in filled})
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, Table],
-            base: Publication | None) -> int:
+def publish(spark: SparkSession, root: str, tables: dict[str, Table], base: Publication | None) -> int:
     """Publish ``tables`` on top of ``base``; tables not named are carried
     over.  Two writers with the same base get the same number, and the second
     fails instead of hiding the first."""
     number = (base.number if base else 0) + 1
     state = {**(base.tables if base else {}), **tables}
-    rows = [(number, name, b, p, t.schema.json()) for name, t in state.items()
-            for b, p in [(-1, None), *t.folders.items()]]
+    rows = [(number, name, part, p, t.schema.json()) for name, t in state.items()
+            for part, p in [("", None), *[(part, p) for part, found in t.folders.items() for p in found]]]
     (spark.createDataFrame(rows, _POINTER).coalesce(1).write.mode("errorifexists")
      .option("ignoreNullFields", "false").json(f"{_pointers(root)}/{number:012d}"))
     return number
 
 
-def merge_table(root: str, name: str, old: Table, changes: DataFrame, keys: list[str],
-                merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = N_BUCKETS) -> Table:
-    """``merge(target, changes)`` on the buckets that hold changed keys; the
-    other buckets keep their folders.  ``buckets`` must stay the same for the
-    life of a table."""
+def touched_parts(old: Table, changes: DataFrame, keys: list[str], layout: Layout) -> list[str]:
+    """Partitions that hold a changed key or take a changed row.  Only the
+    keys of a table are read to find the former, and none at all when the
+    partition follows from the key."""
     spark = changes.sparkSession
-    touched = [r[0] for r in changes.select(bucket_of(keys, buckets)).distinct().collect()]
+    computable = layout.column is None or layout.column in changes.columns
+    found = changes.select(layout.part(keys).alias(PART)) if computable else None
+    if layout.column is not None:
+        held = (rows_of(spark, old, with_part=True).select(*keys, PART)
+                .join(changes.select(*keys), keys, "left_semi").select(PART))
+        found = held if found is None else found.union(held)
+    return [r[0] for r in found.distinct().collect()]            # months or buckets
+
+
+def merge_table(root: str, name: str, old: Table, changes: DataFrame, keys: list[str],
+                merge: Callable[[DataFrame, DataFrame], DataFrame], layout: Layout = Layout()) -> Table:
+    """``merge(target, changes)`` on the touched partitions; the others keep
+    their folders.  A row whose month changes leaves its old partition: both
+    are rewritten."""
+    touched = touched_parts(old, changes, keys, layout)
     if not touched:
         return old
-    new = write_table(root, name, merge(_read(spark, old, touched), changes), keys, buckets)
-    kept = {b: p for b, p in old.folders.items() if b not in touched}
+    new = write_table(root, name, merge(rows_of(changes.sparkSession, old, touched), changes), keys, layout)
+    kept = {p: f for p, f in old.folders.items() if p not in touched}
     return Table(old.schema, {**kept, **new.folders})
+
+
+def append_table(root: str, name: str, old: Table, changes: DataFrame, keys: list[str],
+                 fresh: Callable[[DataFrame, DataFrame], DataFrame], layout: Layout = Layout()) -> Table:
+    """The rows that ``fresh(known keys, changes)`` returns, added as new
+    folders; no live folder is rewritten."""
+    known = rows_of(changes.sparkSession, old).select(*keys)
+    new = write_table(root, name, fresh(known, changes), keys, layout)
+    return Table(old.schema, {p: [*old.folders.get(p, []), *new.folders.get(p, [])]
+                              for p in {**old.folders, **new.folders}})

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.calendar import day_window
 from orderflow.operators import calendars as CAL
+from orderflow.operators import ordered as ORD
 from orderflow.operators import quality as Q
 from tests.conftest import rows
 
@@ -115,3 +116,27 @@ def test_eligible_products_pools_and_rules(spark):
                    ("retail", "p1"), ("retail", "p2"), ("retail", "p3")]               # no preference
     rules = rows(O.eligibility_rules(types, products, prefs))
     assert rules == [("government", "*"), ("horeca", "cream"), ("horeca", "milk"), ("retail", "*")]
+
+
+@pytest.mark.parametrize("total,min_count,weights", [
+    (50, 1, lambda i: i % 5 + 1), (31, 1, lambda i: 100 if i == 3 else 1), (1000, 1, lambda i: (i * 37) % 11),
+    (30, 1, lambda i: 1), (33, 1, lambda i: 500 if i % 10 == 0 else 1), (95, 2, lambda i: i * i), (40, 0, lambda i: 1.5)])
+def test_allocate_rows_equals_the_window_form(spark, total, min_count, weights):
+    df = spark.createDataFrame([("g" if i % 3 else None, i, float(weights(i))) for i in range(30)],
+                               "grp string, id int, w double")
+    for groups in (None, ["grp"]):
+        a = CAL.allocate(df, "w", total, "id", groups, min_count)
+        b = ORD.allocate_rows(df, "w", total, "id", groups, min_count)
+        assert b.columns == a.columns and rows(a, "id", "allocated") == rows(b, "id", "allocated")
+
+
+def test_numbered_has_no_single_task(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 13).alias("v"), F.lit("x").alias("_at"))
+    got = ORD.numbered(df.drop("_at"), [F.col("v").desc(), F.col("id").asc()], partitions=6)
+    want = {i: n for n, (_, i) in enumerate(sorted((-(i * 7919 % 13), i) for i in range(5000)), 1)}
+    assert {r.id: r.row_number for r in got.collect()} == want
+    in_group = ORD.numbered(df.drop("_at"), [F.col("id").desc()], ["v"])
+    for v, g in [(0, [i for i in range(5000) if i * 7919 % 13 == 0])]:
+        assert {r.id: r.row_number for r in in_group.filter(F.col("v") == v).collect()} == {
+            i: n for n, i in enumerate(sorted(g, reverse=True), 1)}
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from orderflow.operators import changes as C
 from orderflow.plans import jobs
 from orderflow.schemas import TRACKING_EVENT
 from orderflow.sources import readers as R, sinks as K, state as W, versions as V
@@ -117,29 +118,86 @@ def test_stream_tracking_dedupes_across_runs(spark, tmp):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
-def test_stream_upsert_rewrites_touched_buckets_only(spark, tmp):
-    schema = R.T.StructType.fromDDL("id int, status string, event_timestamp timestamp_ntz")
+@pytest.mark.parametrize("layout", [V.Layout(buckets=8), V.Layout("made")])
+def test_stream_upsert_rewrites_touched_partitions_only(spark, tmp, layout):
+    schema = R.T.StructType.fromDDL("id int, status string, made timestamp_ntz, event_timestamp timestamp_ntz")
     changes, base, ck = f"{tmp}/changes", f"{tmp}/table", f"{tmp}/ck"
     n = 40
-    spark.createDataFrame([(i, "new", t(1)) for i in range(n)], schema).write.json(changes)
-    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, buckets=8)
+
+    def made(i):
+        return dt.datetime(2024, 1 + i % 6, 1)
+    spark.createDataFrame([(i, "new", made(i), t(1)) for i in range(n)], schema).write.json(changes)
+    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, layout=layout)
     before = V.current(spark, base).tables[ST.STREAM_TABLE].folders
-    spark.createDataFrame([(2, "confirmed", t(2)), (2, "assembled", t(3)), (n, "new", t(3))],
-                          schema).write.mode("append").json(changes)
-    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, buckets=8)
+    late = [(2, "confirmed", made(2), t(2)), (2, "assembled", made(2), t(3)), (n, "new", made(2), t(3))]
+    spark.createDataFrame(late, schema).write.mode("append").json(changes)
+    ST.stream_upsert(spark, changes, schema, base, ["id"], ["status"], ck, layout=layout)
     after = V.current(spark, base)
     assert after.number == 2
-    touched = {r[0] for r in spark.createDataFrame([(2,), (n,)], "id int").select(V.bucket_of(["id"], 8)).collect()}
-    assert {b for b, p in after.tables[ST.STREAM_TABLE].folders.items() if before.get(b) != p} == touched
+    touched = {r[0] for r in spark.createDataFrame(late, schema).select(layout.part(["id"])).collect()}
+    assert {p for p, f in after.tables[ST.STREAM_TABLE].folders.items() if before.get(p) != f} == touched
     want = [(i, "assembled" if i == 2 else "new") for i in range(n + 1)]
     assert sorted((r.id, r.status) for r in ST.read_upserted(spark, base).collect()) == want
 
 
+def test_a_recent_batch_rewrites_its_months_only(spark, tmp):
+    layout, base = V.Layout("made"), f"{tmp}/db"
+    rows_ = (spark.range(6000).select(F.col("id"), F.lit("new").alias("status"), F.make_timestamp_ntz(
+        F.lit(2022) + (F.col("id") % 24 / 12).cast("int"), F.col("id").cast("int") % 12 + 1, F.lit(3), F.lit(0), F.lit(0),
+        F.lit(0)).alias("made")))
+    table = V.write_table(base, "x", rows_, ["id"], layout)
+    V.publish(spark, base, {"x": table}, None)
+    assert len(table.folders) == 24
+    # 250 known orders of the last month and 750 new ones of the month after
+    recent = rows_.filter("date_format(made, 'yyyy-MM') = '2023-12'").withColumn("status", F.lit("done"))
+    fresh = spark.range(6000, 6750).select("id", F.lit("new").alias("status"), F.lit(dt.datetime(2024, 1, 5)).cast(
+        "timestamp_ntz").alias("made"))
+    batch = recent.unionByName(fresh)
+    assert V.touched_parts(table, batch, ["id"], layout) != [] and recent.count() == 250
+    seen = {}
+
+    def merge(old, c):
+        seen["read"] = {f.split("_part=")[1][:7] for f in old.inputFiles()}
+        return C.upsert(old, c, ["id"], ["status"])
+    new = V.merge_table(base, "x", table, batch, ["id"], merge, layout)
+    assert seen["read"] == {"2023-12"}                         # no other month's data is read
+    assert {p for p, f in new.folders.items() if table.folders.get(p) != f} == {"2023-12", "2024-01"}
+    V.publish(spark, base, {"x": new}, V.current(spark, base))
+    got = V.read(spark, base, "x")
+    assert got.count() == 6750 and got.filter("status = 'done'").count() == 250
+    # only keys and folders are read to find the partitions
+    keys = V.rows_of(spark, new, with_part=True).select("id", V.PART)
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_a_row_that_changes_its_month_leaves_the_old_one(spark, tmp):
+    layout, base = V.Layout("at"), f"{tmp}/db"
+    schema = "id int, at timestamp_ntz"
+    old = V.write_table(base, "x", spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 2)), (2, dt.datetime(2024, 2, 2)), (3, None)], schema), ["id"], layout)
+    moved = spark.createDataFrame([(1, dt.datetime(2024, 3, 2)), (3, dt.datetime(2024, 2, 9))], schema)
+    new = V.merge_table(base, "x", old, moved, ["id"], lambda o, c: C.upsert(o, c, ["id"]), layout)
+    assert sorted(new.folders) == ["2024-02", "2024-03"]       # January and 'none' are empty now
+    assert rows(V.rows_of(spark, new), "id") == [(1,), (2,), (3,)]
+
+
+def test_insert_ignore_adds_files_only(spark, tmp):
+    layout, base = V.Layout("at"), f"{tmp}/db"
+    schema = "id int, at timestamp_ntz"
+    old = V.write_table(base, "x", spark.createDataFrame([(1, dt.datetime(2024, 1, 2))], schema), ["id"], layout)
+    batch = spark.createDataFrame([(1, dt.datetime(2024, 5, 1)), (2, dt.datetime(2024, 1, 5)),
+                                   (2, dt.datetime(2024, 1, 5))], schema)
+    new = V.append_table(base, "x", old, batch, ["id"], lambda k, c: C.unseen(k, c, ["id"]), layout)
+    assert new.folders["2024-01"][0] == old.folders["2024-01"][0] and len(new.folders["2024-01"]) == 2
+    assert rows(V.rows_of(spark, new), "id") == [(1,), (2,)]
+
+
 def test_a_damaged_pointer_fails_and_keeps_the_version(spark, tmp):
     base = f"{tmp}/db"
     assert V.current(spark, base) is None
     df = spark.createDataFrame([(1, "a")], "id int, s string")
-    table = V.write_table(base, "x", df, ["id"], 4)
+    table = V.write_table(base, "x", df, ["id"], V.Layout(buckets=4))
     V.publish(spark, base, {"x": table}, None)
     with pytest.raises(Exception, match="(?i)exists"):          # a second writer with the same base
         V.publish(spark, base, {"x": table}, None)
@@ -147,7 +205,7 @@ def test_a_damaged_pointer_fails_and_keeps_the_version(spark, tmp):
     with open(f"{base}/_versions/000000000002/part-0.json", "w") as f:
         f.write('{"version": 2, "table"')
     with pytest.raises(Exception):
-        V.merge_table(base, "x", V.current(spark, base).tables["x"], df, ["id"], lambda o, c: c, 4)
+        V.merge_table(base, "x", V.current(spark, base).tables["x"], df, ["id"], lambda o, c: c, V.Layout(buckets=4))
     os.replace(f"{base}/_versions/000000000002/part-0.json", f"{base}/_damaged")
     assert rows(V.read(spark, base, "x")) == [(1, "a")]
     os.makedirs(f"{tmp}/empty/_versions")
@@ -155,16 +213,16 @@ def test_a_damaged_pointer_fails_and_keeps_the_version(spark, tmp):
         V.current(spark, f"{tmp}/empty")
 
 
-def test_a_large_bucket_is_written_by_several_tasks(spark, tmp):
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp):
     df = spark.range(0, 20_000, numPartitions=8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("s"))
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(size, "100k")
     try:
-        table = V.write_table(f"{tmp}/db", "x", df, ["id"], 2)
+        table = V.write_table(f"{tmp}/db", "x", df, ["id"], V.Layout(buckets=2))
     finally:
         spark.conf.unset(size)
-    assert sorted(table.folders) == [0, 1]
-    assert all(len([f for f in os.listdir(p) if f.endswith(".parquet")]) > 1 for p in table.folders.values())
+    assert sorted(table.folders) == ["h0", "h1"]
+    assert all(len([f for f in os.listdir(p) if f.endswith(".parquet")]) > 1 for (p,) in table.folders.values())
     V.publish(spark, f"{tmp}/db", {"x": table}, None)
     assert V.read(spark, f"{tmp}/db", "x").agg(F.count_distinct("id"), F.count("s")).first()[:] == (20_000, 20_000)
 

@@ -111,6 +111,68 @@ def test_observed_readings_match_brute_force(spark, minutes):
     assert p.filter("event_id = 'e00'").first().tracking_id == "TRK-" + hashlib.md5(b"SHP-1:e00").hexdigest()[:12].upper()
 
 
+def test_a_hot_shipment_matches_brute_force_over_its_buckets(spark):
+    """One shipment holds half of a feed of several days: types, labels and
+    long stops equal one pass over each shipment's sorted readings."""
+    import random
+    rnd = random.Random(5)
+    route = TR.REFERENCE_ROUTES[1][1]
+    ships = ["hot"] + [f"s{i}" for i in range(12)]
+    feed, n = [], 0
+    for name in ships:
+        for _ in range(360 if name == "hot" else 30):
+            n += 1
+            # many equal times, whole days without readings, long and short stops
+            minute = rnd.choice([rnd.randrange(0, 300), rnd.randrange(2000, 2100), 5 * rnd.randrange(0, 1000)])
+            feed.append((f"e{n:04d}", m(minute), name, float(rnd.choice([2, 7])), rnd.choice([0, 0, 0, 0, 40])))
+    s = spark.createDataFrame([(x, x, T0, None, m(4000), "Нижнекамск") for x in ships], SHIPMENT)
+    f = spark.createDataFrame(feed, "event_id string, timestamp timestamp_ntz, shipment_id string, "
+                                    "temperature_celsius double, speed_kmh int")
+    want = {}
+    for name in ships:
+        mine = sorted((r for r in feed if r[2] == name), key=lambda r: (r[1], r[0]))
+        types = py_readings([(r[0], r[1]) for r in mine], T0, m(4000), route)
+        events = [(name, r[1], r[0], r[4] == 0 and k[2] not in ("pickup", "delivered")) for r, k in zip(mine, types)]
+        long_ = py_long_stops(events)
+        # a stop belongs to the run whose readings surround it
+        run, inside = [], set()
+        for e in events + [None]:
+            if e is not None and e[3]:
+                run.append(e)
+                continue
+            if run and run[-1][1] - run[0][1] > dt.timedelta(minutes=30):
+                inside |= {x[2] for x in run}
+            run = []
+        assert sum(x[3] for x in long_) == len(inside)
+        for r, k in zip(mine, types):
+            alert = "temperature_breach" if r[3] > 6 else "long_stop" if r[0] in inside else None
+            want[r[0]] = (k[1], k[2], k[3], alert)
+    for minutes in (60, 240, 10_000):
+        got = {r.event_id: (r.latitude, r.event_type, r.checkpoint, r.alert)
+               for r in TR.tracking_events(f, s, bucket_minutes=minutes).collect()}
+        assert {k: v[1:] for k, v in got.items()} == {k: v[1:] for k, v in want.items()}
+        assert max(abs(got[k][0] - want[k][0]) for k in want) < 2e-6
+    assert any(w[3] == "long_stop" for w in want.values()) and any(w[1] == "checkpoint" for w in want.values())
+
+
+def test_pages_by_position_at_any_depth(spark):
+    f = feed(spark, [(f"e{i:04d}", m(i // 7), "s", "x") for i in range(1000)])
+    index = TR.page_index(f, partitions=7)
+    assert index.counts.agg(F.sum("n")).first()[0] == 1000 and index.counts.count() > 3
+    want = [r.event_id for r in TR.order_events(f).collect()]
+    for page, limit in ((1, 100), (5, 100), (10, 100), (11, 100), (3, 333), (1, 1000)):
+        got = TR.page_of(index, page, limit)
+        assert [r.event_id for r in got.collect()] == want[(page - 1) * limit:page * limit]
+        assert got.columns == f.columns
+    one = TR.page_of(index, 9, 10)
+    assert len({p.split("_range=")[1].split("/")[0] for p in one.inputFiles()}) >= 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_range" in plan or "PartitionFilters: [_range" in plan, plan
+    assert "SinglePartition" not in plan
+    empty = TR.page_index(f.limit(0))
+    assert TR.page_of(empty, 1, 10).collect() == []
+
+
 def test_default_trip_end(spark):
     s = spark.createDataFrame([("b", "o", T0, None, None, None)], SHIPMENT)
     assert s.select(TR.trip_end(), TR.trip_minutes()).first() == (T0 + dt.timedelta(hours=6), 360)
