@@ -4,23 +4,27 @@ A document is cut into passages that meet the reference text they can match:
 the smallest hash of ``GRAM`` consecutive words in a window of 20 words names
 the window, and a run of windows of one name is one passage.  Equal windows have equal
 names, so no pair of them is missed, and every window is in exactly one
-passage.  Passages travel once, to the blocks of their name.
+passage.  A passage that equals an earlier one (128-bit digest) is a factor
+as it stands; of equal passages the first goes on, and only where another
+passage has its name (or it may repeat itself): the others match nothing.
 
-There, the passages of many names (``BLOCK_BYTES``) are a reference block: its
-windows are indexed as sorted word-id keys with the earliest place each stands
-at.  Every passage that shares its name with another is parsed greedily
+Those meet in reference blocks: the passages of many names (``BLOCK_BYTES``).
+A block's windows are indexed as sorted word-id keys with the earliest place each stands
+at.  Every passage is parsed greedily
 against the block: a word whose window stands earlier opens a factor, which is
 extended as long as its source goes on; other words are literals.  Factors
 have ``window`` words at least.  The windows across a factor's end, which the
 factor says nothing about, are each looked up again, and may open the next,
 overlapping factor.  So every window that stands earlier lies in a factor, and
 every word of a factor lies in such a window.  Factors are the duplicate
-spans; they return to their documents by document id and text digest.
-
-Scale: texts are shuffled as overlapping passages once, and once more to meet
-their spans.  Passages repeated inside one shard of documents travel without
-their words, and equal passages stream past one another, so groups of copies
-cost their places only.  Passages of one name whose distinct text exceeds a block
+spans.
+
+Scale: texts are written once, as shard files in the shared scratch folder,
+and never shuffled whole: names, digests and places travel (some 40 bytes a
+passage), and of the words only the passages that share their name with a
+different one.  Passages repeated inside a shard do not travel at all, and
+equal passages stream past one another, so groups of copies cost their places
+only.  Passages of one name whose distinct text exceeds a block
 (a frequent phrase in many contexts) are dealt out again as single windows by
 the hash of all their words: then only equal windows meet, and these stream.
 A task holds one block and one shard.
@@ -35,24 +39,32 @@ are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import io
+from collections import defaultdict
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import record_batch, space_words, texts_of, write_scratch
+from orderflow.llm.base import read_file, record_batch, space_words, texts_of, write_file, write_scratch
+from orderflow.session import scratch_dir
 
 WINDOW = 20
 GRAM = 6
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
-PART_BYTES = 48 << 20            # passages of a partition, about
-SPREAD = 4                       # bytes of passages a byte of text makes, about
+PART_BYTES = 32 << 20            # passages of a partition, about
+WORD_BYTES = 8                   # of a word and its blank, about
 LONGEST = 4096                   # windows of a passage
 NO_ID = -(1 << 63)               # null ids stand first
 
-PASSAGE = "key long, doc long, row binary, start long, n long, words binary, again boolean"
+PLACE = "shard long, at long, doc long, start long, n long"
+PASSAGE = f"key long, {PLACE}, words binary"
+SPAN = f"{PLACE}, words binary"
 _P = np.uint64(0x9E3779B97F4A7C15)             # odd multipliers of the gram and name hashes
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -111,53 +123,193 @@ def may_repeat(grams, name, first, last, span):
     return twice
 
 
-def cut(texts: list[bytes], docs: list[int], rows: list[bytes], window: int, gram: int):
-    """The passages of a shard of documents; repeated ones go without their
-    words, under a name of their own place."""
-    split = [(i, w) for i, w in enumerate(map(space_words, texts)) if len(w) >= window]
+class Cut(NamedTuple):
+    """A shard's passages (columns), and per document the spans of passages
+    that stand earlier in the shard."""
+    columns: dict
+    spans: list[list[tuple[int, int]]]
+
+
+def cut(words: list[list[bytes]], docs: list[int], shard: int, window: int, gram: int) -> Cut:
+    split = sorted((i for i, w in enumerate(words) if len(w) >= window), key=docs.__getitem__)
+    columns: dict[str, list] = {c: [] for c in ("name", "digest", "at", "doc", "start", "n", "again")}
+    spans: list[list[tuple[int, int]]] = [[] for _ in words]
     if not split:
-        return None
-    split.sort(key=lambda x: docs[x[0]])
-    words = [x for _, w in split for x in w]
+        return Cut(columns, spans)
+    flat = [x for i in split for x in words[i]]
     hashed: dict[bytes, int] = {}
-    for w in words:
+    for w in flat:
         if w not in hashed:
             hashed[w] = xxhash.xxh64_intdigest(w, 11)
-    grams = grams_of(np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words)), gram)
+    grams = grams_of(np.fromiter(map(hashed.__getitem__, flat), np.uint64, len(flat)), gram)
+    del hashed
     span = window - gram + 1
     least = smallest(grams, span)
-    sizes = np.array([len(w) for _, w in split])
+    sizes = np.array([len(words[i]) for i in split])
     base = np.cumsum(sizes) - sizes
     # windows that lie in one document
-    inside = np.repeat(base + sizes, sizes) - np.arange(len(words)) >= window
+    inside = np.repeat(base + sizes, sizes) - np.arange(len(flat)) >= window
     at = np.flatnonzero(inside[:len(least)])
     which = np.searchsorted(base, at, "right") - 1
     name = least[at]
     first, last = runs(name, np.append(True, which[1:] != which[:-1]))
     twice = may_repeat(grams, name[first], at[first], at[last], span)
-
-    key, doc, row, start, n, body, again = [], [], [], [], [], [], []
     seen: dict[bytes, tuple[int, int]] = {}
     for f, z, d, k, r in zip(at[first].tolist(), at[last].tolist(), which[first].tolist(),
                              name[first].view(np.int64).tolist(), twice.tolist()):
-        text = b" ".join(words[f:z + window])
-        place = (docs[split[d][0]], f - int(base[d]))
-        known = seen.setdefault(text, place)
-        repeated = known < place
-        key.append(hash(place) if repeated else k)
-        doc.append(place[0])
-        row.append(rows[split[d][0]])
-        start.append(place[1])
-        n.append(z - f + window)
-        body.append(None if repeated else text)
-        again.append(r)
-    return batch(key, doc, row, start, n, body, again)
-
-
-def batch(key, doc, row, start, n, body, again):
-    return record_batch(key=pa.array(key, pa.int64()), doc=pa.array(doc, pa.int64()), row=pa.array(row, pa.binary()),
-                        start=pa.array(start, pa.int64()), n=pa.array(n, pa.int64()), words=pa.array(body, pa.binary()),
-                        again=pa.array(again, pa.bool_()))
+        digest = xxhash.xxh3_128_digest(b" ".join(flat[f:z + window]))
+        i = split[d]
+        start = f - int(base[d])
+        if seen.setdefault(digest, (docs[i], start)) < (docs[i], start):
+            spans[i].append((start, z - f + window))
+            continue
+        for c, v in zip(columns.values(), (k, digest, i, docs[i], start, z - f + window, r)):
+            c.append(v)
+    return Cut(columns, spans)
+
+
+# --- shards ---------------------------------------------------------------------------
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64())]))
+
+
+def shard_path(root: str, shard: int) -> str:
+    return f"{root}/shard-{shard}.arrow"
+
+
+def write_shard(path: str, ids: pa.Array, words: list[list[bytes]], spans: list[list[tuple[int, int]]]) -> None:
+    table = pa.table({"id": ids, "words": pa.array([b" ".join(w) for w in words], pa.large_binary()),
+                      "spans": pa.array([[dict(start=a, n=n) for a, n in x] for x in spans], _SPANS)})
+    buf = io.BytesIO()
+    with pa.ipc.new_stream(buf, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    write_file(path, lambda f: f.write(buf.getvalue()))
+
+
+def read_shard(path: str) -> pa.Table:
+    return pa.ipc.open_stream(io.BytesIO(read_file(path))).read_all()
+
+
+def write_shards(docs: DataFrame, root: str, text: str, id_col: str, window: int) -> DataFrame:
+    """Write the documents as shard files; their passages without words, and a
+    row without a name for every shard."""
+    kind = "name long, digest binary, shard long, at long, doc long, start long, n long, again boolean"
+
+    def run(batches):
+        attempt, made = TaskContext.get().taskAttemptId(), 0
+        for b in batches:
+            texts, ids = texts_of(b.column(1)), b.column(0)
+            lo = 0
+            while lo < len(texts):
+                hi, held = lo, 0
+                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SHARD_BYTES):
+                    held += len(texts[hi])
+                    hi += 1
+                shard, made = (attempt << 24) + made, made + 1      # each attempt has shards of its own
+                words = [space_words(t) for t in texts[lo:hi]]
+                keys = [NO_ID if i is None else i for i in ids.slice(lo, hi - lo).to_pylist()]
+                found = cut(words, keys, shard, window, GRAM)
+                write_shard(shard_path(root, shard), ids.slice(lo, hi - lo), words, found.spans)
+                c, n = found.columns, len(found.columns["name"])
+                yield record_batch(
+                    name=pa.array([*c["name"], None], pa.int64()), digest=pa.array([*c["digest"], None], pa.binary()),
+                    shard=pa.array([shard] * (n + 1), pa.int64()),
+                    **{k: pa.array([*c[k], None], pa.int64()) for k in ("at", "doc", "start", "n")},
+                    again=pa.array([*c["again"], None], pa.bool_()))
+                lo = hi
+
+    src = docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text}`").cast("binary"))
+    return write_scratch(src.mapInArrow(run, kind), "passages")
+
+
+def copies(passages: DataFrame, parts: int) -> DataFrame:
+    """Places of passages that equal an earlier one (``name`` null), and of
+    the first ones that go on to the blocks (``name`` set).
+
+    The passages of a name come sorted by digest and place, so a task holds
+    the first one only until it knows whether another follows."""
+    def run(batches):
+        now = last = least = None
+        again = sure = False
+        held: list[tuple] = []
+        out: list[tuple] = []
+
+        def close():
+            """The name is complete: a lone passage matches nothing but itself."""
+            if again or sure:
+                out.extend(held)
+            held.clear()
+
+        for b in batches:
+            for name, digest, shard, at, doc, start, n, twice in zip(*(c.to_pylist() for c in b.filter(paired(b)).columns)):
+                if name != now:
+                    close()
+                    now, last, least, again, sure = name, None, None, False, False
+                again |= twice
+                if digest == last and (doc, start) != least:
+                    out.append((None, shard, at, doc, start, n))
+                    continue
+                # another passage of the name, or (a repeated row) the same place again
+                sure |= last is not None and (digest != last or len(held) > 1000)
+                last, least = digest, (doc, start)
+                held.append((name, shard, at, doc, start, n))
+                if sure:
+                    out.extend(held)
+                    held.clear()
+            if out:
+                yield places(out)
+                out.clear()
+        close()
+        if out:
+            yield places(out)
+
+    def places(rows):
+        return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(
+            ("name", "shard", "at", "doc", "start", "n"), zip(*rows))})
+
+    rows = (passages.filter(F.col("name").isNotNull()).repartition(parts, "name")
+            .sortWithinPartitions("name", "digest", "doc", "start")
+            .select("name", "digest", "shard", "at", "doc", "start", "n", "again"))
+    return write_scratch(rows.mapInArrow(run, f"name long, {PLACE}"), "copies")
+
+
+def paired(b: pa.RecordBatch) -> pa.Array:
+    """Rows that are not alone with their name (as far as the batch tells)."""
+    key = b.column(0).to_numpy()
+    same = key[1:] == key[:-1]
+    keep = b.column(7).to_numpy(zero_copy_only=False).astype(bool)
+    keep[1:] |= same
+    keep[:-1] |= same
+    keep[:1] = keep[-1:] = True                # the neighbours may be in the next batch
+    return pa.array(keep)
+
+
+def by_shard(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "shard").sortWithinPartitions("shard", "at", "start")
+
+
+def with_words(wanted: DataFrame, root: str, parts: int) -> DataFrame:
+    """The wanted passages with their words, read off the shard files."""
+    def run(batches):
+        shard = table = None
+        at = words = None
+        for b in batches:
+            rows = list(zip(*(c.to_pylist() for c in b.columns)))
+            body = []
+            for name, s, i, doc, start, n in rows:
+                if s != shard:
+                    shard, table, at = s, read_shard(shard_path(root, s))["words"], None
+                if i != at:
+                    at, words = i, table[i].as_py().split()
+                body.append(b" ".join(words[start:start + n]))
+            if rows:
+                yield passage_batch(*zip(*rows), body)
+
+    return by_shard(wanted, parts).select("name", "shard", "at", "doc", "start", "n").mapInArrow(run, PASSAGE)
+
+
+def passage_batch(key, shard, at, doc, start, n, words):
+    return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(
+        ("key", "shard", "at", "doc", "start", "n"), (key, shard, at, doc, start, n))}, words=pa.array(words, pa.binary()))
 
 
 # --- reference blocks ------------------------------------------------------------------
@@ -212,102 +364,67 @@ class Block:
             p += size - self.window + 1        # the first window across the factor's end
 
 
-def parse_block(rows, window: int):
-    """Spans (doc, row, start, n) of a block's passages."""
-    doc, row, start, words = rows
+def parse_block(passages: list[tuple], window: int):
+    """Spans of a block's passages (shard, at, doc, start, n, words)."""
+    shard, at, doc, start, _, words = zip(*passages)
     block = Block(doc, start, words, window)
     for i in range(len(doc)):
         for p, n in block.parse(i):
-            yield doc[i], row[i], start[i] + p, n
+            yield shard[i], at[i], doc[i], start[i] + p, n, None
 
 
-def paired(b: pa.RecordBatch) -> pa.Array:
-    """Rows that are not alone with their name (as far as the batch tells)."""
-    key = b.column(0).to_numpy()
-    same = key[1:] == key[:-1]
-    keep = b.column(6).to_numpy(zero_copy_only=False) | ~b.column(5).is_valid().to_numpy(zero_copy_only=False)
-    keep[1:] |= same
-    keep[:-1] |= same
-    keep[:1] = keep[-1:] = True                # the neighbours may be in the next batch
-    return pa.array(keep)
-
-
-def spans_of(routed: DataFrame, window: int, whole: bool) -> DataFrame:
-    """Spans of sorted passages; passages of a name with more text than a
-    block come back as passages (``words`` set) unless names are ``whole``
-    windows, whose equals stream."""
-    kind = "doc long, row binary, start long, n long, words binary"
-
+def spans_of(rows: DataFrame, window: int) -> DataFrame:
+    """Spans of passages sorted by name; those of a name with more text than a
+    block come back with their words."""
     def run(batches):
         out: list[tuple] = []
-
-        def flush():
-            nonlocal out
-            cols = list(zip(*out)) or [(), (), (), (), ()]
-            out = []
-            return record_batch(**{c: pa.array(v, t) for c, t, v in zip(
-                ("doc", "row", "start", "n", "words"),
-                (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()), cols)})
-
-        block, size = ([], [], [], []), 0      # passages of finished names
-        group, group_size, members, over = ([], [], [], []), 0, 0, False
-        now = last = least = None
+        block: list[tuple] = []                # passages of finished names
+        group: list[tuple] = []
+        size = group_size = 0
+        now, over = None, False
 
         def close():
-            """The current name is complete; a passage alone with its name
-            matches nothing but itself."""
-            nonlocal block, size, group, group_size, members, over
-            if members > 1 and group[0]:
-                for a, b in zip(block, group):
-                    a.extend(b)
-                size += group_size
-                if size >= BLOCK_BYTES:
-                    out.extend((*s, None) for s in parse_block(block, window))
-                    block, size = ([], [], [], []), 0
-            group, group_size, members, over = ([], [], [], []), 0, 0, False
-
-        def take(doc, row, start, n, words):
-            nonlocal group, group_size, over
-            if not over and group_size + len(words) > BLOCK_BYTES:
-                over = True
-                out.extend((d, r, s, w.count(b" ") + 1, w) for d, r, s, w in zip(*group))
-                group, group_size = ([], [], [], []), 0
-            if over:
-                out.append((doc, row, start, n, words))
-            else:
-                for a, v in zip(group, (doc, row, start, words)):
-                    a.append(v)
-                group_size += len(words)
+            nonlocal size, group_size, over
+            block.extend(group)
+            size += group_size
+            if size >= BLOCK_BYTES:
+                out.extend(parse_block(block, window))
+                block.clear()
+                size = 0
+            group.clear()
+            group_size, over = 0, False
 
         for b in batches:
-            for key, doc, row, start, n, words, again in zip(*(c.to_pylist() for c in b.filter(paired(b)).columns)):
-                if words is None:              # repeats an earlier one of its shard
-                    out.append((doc, row, start, n, None))
-                    continue
+            for key, *row in zip(*(c.to_pylist() for c in b.columns)):
                 if key != now:
                     close()
-                    now, last, least = key, None, None
-                members += 1 + again
-                if words == last and (doc, start) != least:     # sorted: the earliest came first
-                    out.append((doc, row, start, n, None))
+                    now = key
+                if not over and group_size + len(row[-1]) > BLOCK_BYTES:
+                    over = True
+                    out.extend(group)
+                    group.clear()
+                    group_size = 0
+                if over:
+                    out.append(tuple(row))
                 else:
-                    last, least = words, (doc, start)
-                    if not whole:
-                        take(doc, row, start, n, words)
+                    group.append(tuple(row))
+                    group_size += len(row[-1])
                 if len(out) >= 5000:
-                    yield flush()
+                    yield span_batch(out)
+                    out = []
         close()
-        if block[0]:
-            out.extend((*s, None) for s in parse_block(block, window))
-        yield flush()
+        if block:
+            out.extend(parse_block(block, window))
+        if out:
+            yield span_batch(out)
 
-    return routed.mapInArrow(run, kind)
+    return rows.mapInArrow(run, SPAN)
 
 
-def routed(rows: DataFrame, parts: int) -> DataFrame:
-    """Passages by name; equal ones together, the earliest first, and those
-    without words after all others."""
-    return rows.repartition(parts, "key").sortWithinPartitions("key", F.asc_nulls_last("words"), "doc", "start")
+def span_batch(rows):
+    *place, words = zip(*rows)
+    return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(("shard", "at", "doc", "start", "n"), place)},
+                        words=pa.array(words, pa.binary()))
 
 
 def single_windows(rows: DataFrame, window: int) -> DataFrame:
@@ -315,92 +432,120 @@ def single_windows(rows: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for b in batches:
             out = []
-            for doc, row, start, words in zip(*(c.to_pylist() for c in b.columns)):
+            for shard, at, doc, start, _, words in zip(*(c.to_pylist() for c in b.columns)):
                 w = words.split()
                 for i in range(len(w) - window + 1):
                     text = b" ".join(w[i:i + window])
-                    out.append((xxhash.xxh64_intdigest(text, 7) - (1 << 63), doc, row, start + i, window, text, False))
+                    out.append((xxhash.xxh64_intdigest(text, 7) - (1 << 63), shard, at, doc, start + i, window, text))
                 if len(out) >= 5000:
-                    yield batch(*zip(*out))
+                    yield passage_batch(*zip(*out))
                     out = []
             if out:
-                yield batch(*zip(*out))
+                yield passage_batch(*zip(*out))
 
-    return rows.select("doc", "row", "start", "words").mapInArrow(run, PASSAGE)
+    return rows.mapInArrow(run, PASSAGE)
 
 
-def duplicate_spans(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
-    """doc, row (text digest), start, n: spans of words covered by windows
-    that stand earlier."""
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-size * SPREAD // PART_BYTES))
-
+def later_windows(rows: DataFrame) -> DataFrame:
+    """Spans of single windows that stand earlier: equal ones come together,
+    the earliest first, and stream."""
     def run(batches):
+        last = least = None
         for b in batches:
-            texts = texts_of(b.column(2))
-            ids, rows = b.column(0).to_pylist(), b.column(1).to_pylist()
-            lo = 0
-            while lo < len(texts):
-                hi, held = lo, 0
-                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SHARD_BYTES):
-                    held += len(texts[hi])
-                    hi += 1
-                made = cut(texts[lo:hi], ids[lo:hi], rows[lo:hi], window, GRAM)
-                if made is not None:
-                    yield made
-                lo = hi
+            out = []
+            for _, shard, at, doc, start, n, words in zip(*(c.to_pylist() for c in b.columns)):
+                if words != last:
+                    last, least = words, (doc, start)
+                elif (doc, start) != least:
+                    out.append((shard, at, doc, start, n, None))
+            if out:
+                yield span_batch(out)
 
-    src = keyed(docs, text, id_col).select("doc", "row", F.col(f"`{text}`").cast("binary").alias("utf8"))
-    found = write_scratch(spans_of(routed(src.mapInArrow(run, PASSAGE), parts), window, False), "spans")
-    rest = found.filter(F.col("words").isNotNull())
-    spans = found.filter(F.col("words").isNull()).drop("words")
-    if rest.isEmpty():
-        return spans
-    again = routed(single_windows(rest, window), parts)
-    return spans.union(write_scratch(spans_of(again, window, True).drop("words"), "window_spans"))
+    return rows.mapInArrow(run, SPAN)
 
 
-def keyed(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """``docs`` with ``doc`` (id, null first) and ``row`` (digest of the text)."""
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text}`"),
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("row"))
+def routed(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "words", "doc", "start")
 
 
-def without_spans(docs: DataFrame, spans: DataFrame, *, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per document: id, n_words, n_removed, kept (its other words, joined by
-    one space)."""
-    src = keyed(docs, text, id_col)
-    per = spans.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    both = (src.join(per, ["doc", "row"], "left")
-            .select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("utf8"), "spans"))
-    id_type = docs.schema[id_col].dataType.simpleString()
+class Parsed(NamedTuple):
+    """Shard files below ``root``, their numbers, and the duplicate spans."""
+    root: str
+    shards: DataFrame
+    spans: DataFrame
+    parts: int
 
-    def run(batches):
-        for b in batches:
-            total, removed, kept = [], [], []
-            for t, spans in zip(texts_of(b.column(1)), b.column(2).to_pylist()):
-                words = space_words(t)
-                if spans:
+
+def parse(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> Parsed:
+    """Spans (shard, at, start, n) of words covered by windows that stand
+    earlier; those inside a shard are in its file."""
+    spark = docs.sparkSession
+    root = scratch_dir(spark, "shards")
+    cores = spark.sparkContext.defaultParallelism
+    passages = write_shards(docs, root, text, id_col, window)
+    shards = passages.filter(F.col("name").isNull()).select("shard")
+    n = passages.count()
+    found = copies(passages, max(cores, -(-n * 40 // PART_BYTES)))
+    wanted, copied = found.filter(F.col("name").isNotNull()), found.filter(F.col("name").isNull())
+    held = wanted.agg(F.sum("n")).first()[0] or 0
+    parts = max(cores, -(-held * WORD_BYTES // PART_BYTES))
+    parsed = write_scratch(spans_of(routed(with_words(wanted, root, parts), parts), window), "spans")
+    spans = copied.drop("name").union(parsed.filter(F.col("words").isNull()).drop("words"))
+    rest = parsed.filter(F.col("words").isNotNull())
+    if not rest.isEmpty():
+        windows = routed(single_windows(rest, window), parts)
+        spans = spans.union(write_scratch(later_windows(windows).drop("words"), "window_spans"))
+    return Parsed(root, shards, spans.select("shard", "at", "start", "n"), max(cores, parts))
+
+
+def without_spans(parsed: Parsed, id_col: str, id_type) -> DataFrame:
+    """Per document: id, n_words, n_removed, ``spans`` and ``kept`` (its other
+    words, joined by one space)."""
+    kind = f"`{id_col}` long, n_words long, n_removed long, spans array<struct<start:long,n:long>>, kept binary"
+    root = parsed.root
+
+    def shard_rows(shard, spans):
+        table = read_shard(shard_path(root, shard))
+        per = defaultdict(list)
+        for at, start, n in spans:
+            per[at].append((start, n))
+        for lo in range(0, table.num_rows, 1000):
+            part = table.slice(lo, 1000)
+            out = []
+            for i, (text, own) in enumerate(zip(part["words"].to_pylist(), part["spans"].to_pylist()), lo):
+                words = text.split()
+                cuts = sorted({(s["start"], s["n"]) for s in own} | set(per.get(i, ())))
+                left = words
+                if cuts:
                     gone = np.zeros(len(words) + 1, np.int64)
-                    first = np.array([s["start"] for s in spans])
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + np.array([s["n"] for s in spans]), -1)
-                    stay = np.flatnonzero(np.cumsum(gone)[:-1] == 0)
-                    left = [words[i] for i in stay.tolist()]
-                else:
-                    left = words
-                total.append(len(words))
-                removed.append(len(words) - len(left))
-                kept.append(b" ".join(left))
-            yield record_batch(id=b.column(0), n=pa.array(total, pa.int64()), r=pa.array(removed, pa.int64()),
-                               k=pa.array(kept, pa.binary()))
+                    np.add.at(gone, [a for a, _ in cuts], 1)
+                    np.add.at(gone, [a + n for a, n in cuts], -1)
+                    left = [words[k] for k in np.flatnonzero(np.cumsum(gone)[:-1] == 0).tolist()]
+                out.append((len(words), len(words) - len(left), [dict(start=a, n=n) for a, n in cuts], b" ".join(left)))
+            total, removed, cuts, kept = zip(*out)
+            yield record_batch(id=part["id"].combine_chunks(), n=pa.array(total, pa.int64()), r=pa.array(removed, pa.int64()),
+                               s=pa.array(cuts, _SPANS), k=pa.array(kept, pa.binary()))
 
-    return (both.mapInArrow(run, f"id {id_type}, n_words long, n_removed long, kept binary")
-            .select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").cast("string").alias("kept")))
+    def run(batches):
+        shard, spans = None, []
+        for b in batches:
+            for s, at, start, n in zip(*(c.to_pylist() for c in b.columns)):
+                if s != shard:
+                    if shard is not None:
+                        yield from shard_rows(shard, spans)
+                    shard, spans = s, []
+                if at is not None:
+                    spans.append((at, start, n))
+        if shard is not None:
+            yield from shard_rows(shard, spans)
+
+    every = parsed.shards.select("shard", *[F.lit(None).cast("long").alias(c) for c in ("at", "start", "n")])
+    rows = by_shard(every.union(parsed.spans), parsed.parts).select("shard", "at", "start", "n")
+    return rows.mapInArrow(run, kind).select(F.col(f"`{id_col}`").cast(id_type), "n_words", "n_removed", "spans",
+                                             F.col("kept").cast("string").alias("kept"))
 
 
 def deduplicated(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """Documents without the words of windows that stand earlier in the corpus."""
-    return without_spans(docs, duplicate_spans(docs, text=text, id_col=id_col, window=window), text=text, id_col=id_col)
+    parsed = parse(docs, text=text, id_col=id_col, window=window)
+    return without_spans(parsed, id_col, docs.schema[id_col].dataType)
