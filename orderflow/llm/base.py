@@ -8,6 +8,8 @@ exactly the words of the text, without decoding it.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import uuid
@@ -80,11 +82,39 @@ def record_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+_HELD: dict = {"owner": None}
+
+
+def claim(owner: str, key=None, make: Callable | None = None):
+    """What an operator keeps in a worker from task to task (a tokenizer, a
+    block of the benchmark): made when its key is new, one at a time.  Workers
+    outlive their stage, so the first task of another operator frees it and
+    gives the memory back to the system."""
+    if _HELD["owner"] != owner or (make is not None and _HELD.get("key") != key):
+        had = _HELD.pop("value", None) is not None
+        _HELD.clear()
+        _HELD.update(owner=owner, key=key)
+        if had:
+            _give_back()
+    if make is not None and "value" not in _HELD:
+        _HELD["value"] = make()
+    return _HELD.get("value")
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def filter_rows(docs: DataFrame, text: str, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:
     """The rows whose text ``keep`` accepts, all columns unchanged."""
     at, rows = docs.columns.index(text), positional(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(keep.__module__)
         for batch in batches:
             yield batch.filter(pa.array(keep(texts_of(batch.column(at))), pa.bool_()))
 

@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import (BLANKS, CONTINUATION, as_bytes, filter_rows, record_batch, space_words, texts_of,
-                                write_scratch)
+from orderflow.llm.base import (BLANKS, CONTINUATION, as_bytes, claim, filter_rows, record_batch, space_words,
+                                texts_of, write_scratch)
 
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 DIGITS, SYMBOLS, STOPS = b"0123456789", b"#*$%&|<>", b".,;:?"
@@ -142,6 +142,7 @@ def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality", id_col:
 def document_features(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``__id``, ``held_out`` and the statistics ``x`` of every document."""
     def run(batches):
+        claim(__name__)
         for batch in batches:
             x = pa.FixedSizeListArray.from_arrays(pa.array(matrix(texts_of(batch.column(2))).ravel(), pa.float64()),
                                                   len(FEATURES)).cast(pa.list_(pa.float64()))
