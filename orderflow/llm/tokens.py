@@ -2,10 +2,14 @@
 
 Documents are put in ascending id order by a range partitioning, encoded with
 the given tokenizer, and written as shard files.  A shard file holds its
-tokens once, as the bit planes of a wavelet matrix, each a Zstandard frame,
-after a header with the document ids and lengths.  With the ranks of each
-plane a shard gives random token access, counts and the places of a token
-(``rank``, ``select``) without decoding the rest, and decodes as a whole.
+tokens once, as the bit planes of a wavelet matrix, and a bit vector of the
+documents' last tokens.  All of them are cut into blocks of ``BLOCK_BYTES``, each a
+Zstandard frame, and the header tells the frames and the ones before every
+block (the rank directory).  So a shard gives random token access, counts and the places of a token
+(``rank``, ``select``) from the blocks they touch, without inflating the rest,
+and decodes as a whole.  Reading back takes where documents start and end
+from the bit vector, and how often a token stands in each document from the ranks of
+its bounds.
 
 Shards are named by partition, attempt and number and moved into place when
 complete.  A manifest table lists those of the tasks that succeeded; the
@@ -25,6 +29,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,24 +39,87 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import read_file, record_batch, task_name, write_file, write_scratch
+from orderflow.llm.base import claim, read_file, record_batch, task_name, write_file, write_scratch
 from orderflow.session import scratch_dir
 
 SHARD_TOKENS = 1 << 20
 GROUP_BYTES = 4 << 20
-MAGIC = b"WVMX0001"
+MAGIC = b"WVMX0002"
+BLOCK_BYTES = 32 << 10           # of a bit vector, inflated at a time
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, n_bytes long"
 
 
 # -- wavelet matrix ----------------------------------------------------------
 
+class BitVector:
+    """Bits in blocks that are inflated when they are touched; ``before`` holds
+    the ones before each block."""
+
+    def __init__(self, n: int, before: np.ndarray, load):
+        self.n, self.before, self._load = n, before, load
+        self._blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    @classmethod
+    def of(cls, packed: np.ndarray, n: int) -> BitVector:
+        parts = [packed[i:i + BLOCK_BYTES] for i in range(0, len(packed), BLOCK_BYTES)]
+        ones = [int(np.bitwise_count(p).sum(dtype=np.int64)) for p in parts]
+        return cls(n, np.append(0, np.cumsum(ones, dtype=np.int64)), parts.__getitem__)
+
+    def block(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block's bytes and the ones before each of them."""
+        if k not in self._blocks:
+            data = self._load(k)
+            self._blocks[k] = data, np.append(0, np.cumsum(np.bitwise_count(data), dtype=np.int64))
+        return self._blocks[k]
+
+    def packed(self) -> np.ndarray:
+        parts = [self._load(k) for k in range(len(self.before) - 1)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+
+    def bits(self) -> np.ndarray:
+        return np.unpackbits(self.packed(), count=self.n).view(bool)
+
+    def get(self, i: int) -> int:
+        byte = i >> 3
+        return int(self.block(byte // BLOCK_BYTES)[0][byte % BLOCK_BYTES]) >> (7 - (i & 7)) & 1
+
+    def ranks(self, i: np.ndarray) -> np.ndarray:
+        """Ones among the first ``i`` bits, for many ``i``."""
+        out = np.empty(len(i), np.int64)
+        byte = i >> 3
+        which = byte // BLOCK_BYTES
+        for k in np.unique(which).tolist():
+            mine = np.flatnonzero(which == k)
+            out[mine] = self.before[min(k, len(self.before) - 1)]
+            if k < len(self.before) - 1:
+                data, ones = self.block(k)
+                at = byte[mine] - k * BLOCK_BYTES
+                part = np.append(data, np.uint8(0))[at] >> (8 - (i[mine] & 7)).astype(np.uint8)
+                out[mine] += ones[at] + np.where(i[mine] & 7, np.bitwise_count(part), 0)
+        return out
+
+    def rank(self, i: int) -> int:
+        return int(self.ranks(np.array([i]))[0])
+
+    def select(self, k: int, bit: int = 1) -> int:
+        """Position of the ``k``-th bit (from 0) of this value."""
+        lo, hi = 0, self.n
+        while lo < hi:
+            mid = (lo + hi) // 2
+            ones = self.rank(mid + 1)
+            if (ones if bit else mid + 1 - ones) > k:
+                hi = mid
+            else:
+                lo = mid + 1
+        return lo
+
+
 class WaveletMatrix:
     """Bit planes from the highest bit down; each level holds the zeros of
     the level above first, then its ones, in stable order."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int):
-        self.planes, self.zeros, self.n = planes, zeros, n      # planes packed, big-endian bits
-        self._ranks: list[np.ndarray] | None = None
+    def __init__(self, planes: list[BitVector], zeros: list[int], n: int):
+        self.planes, self.zeros, self.n = planes, zeros, n
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
@@ -59,14 +127,14 @@ class WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in reversed(range(bits)):
             bit = (cur & cur.dtype.type(1 << level)).astype(bool)
-            planes.append(np.packbits(bit))
+            planes.append(BitVector.of(np.packbits(bit), len(bit)))
             low = np.compress(~bit, cur)
             zeros.append(len(low))
             cur = np.concatenate([low, np.compress(bit, cur)])
         return cls(planes, zeros, len(ids))
 
     def bits(self, level: int) -> np.ndarray:
-        return np.unpackbits(self.planes[level], count=self.n).view(bool)
+        return self.planes[level].bits()
 
     def decode(self) -> np.ndarray:
         """All ids, from the lowest plane back up."""
@@ -80,41 +148,29 @@ class WaveletMatrix:
             cur = up
         return cur.astype(np.uint32)
 
-    def _ones(self, level: int, i: int) -> int:
-        """Ones among the first ``i`` bits of a plane (64-byte rank blocks)."""
-        if self._ranks is None:
-            self._ranks = []
-            for p in self.planes:
-                full = np.bitwise_count(np.pad(p, (0, -len(p) % 64))).reshape(-1, 64).sum(axis=1, dtype=np.int64)
-                self._ranks.append(np.append(0, np.cumsum(full)))
-        plane, byte = self.planes[level], i >> 3
-        block = byte >> 6
-        ones = int(self._ranks[level][block]) + int(np.bitwise_count(plane[block << 6:byte]).sum())
-        if i & 7:
-            ones += (int(plane[byte]) >> (8 - (i & 7))).bit_count()
-        return ones
-
     def access(self, i: int) -> int:
         """The id at position ``i``."""
         out = 0
-        for level, z in enumerate(self.zeros):
-            bit = (int(self.planes[level][i >> 3]) >> (7 - (i & 7))) & 1
-            ones = self._ones(level, i)
+        for plane, z in zip(self.planes, self.zeros):
+            bit, ones = plane.get(i), plane.rank(i)
             i = z + ones if bit else i - ones
             out = out << 1 | bit
         return out
 
-    def rank(self, token: int, i: int) -> int:
-        """Occurrences of ``token`` among the first ``i`` ids."""
-        lo, hi = self._range(token, i)
+    def ranks(self, token: int, i: np.ndarray) -> np.ndarray:
+        """Occurrences of ``token`` among the first ``i`` ids, for many ``i``."""
+        lo, hi = self._range(token, np.asarray(i, np.int64))
         return hi - lo
 
-    def _range(self, token: int, i: int) -> tuple[int, int]:
-        lo, hi, top = 0, i, len(self.planes) - 1
+    def rank(self, token: int, i: int) -> int:
+        return int(self.ranks(token, np.array([i]))[0])
+
+    def _range(self, token: int, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi, top = np.zeros(1, np.int64), i, len(self.planes) - 1
         if token >> (top + 1):
-            return 0, 0
-        for level, z in enumerate(self.zeros):
-            a, b = self._ones(level, lo), self._ones(level, hi)
+            return np.zeros_like(i), np.zeros_like(i)
+        for level, (plane, z) in enumerate(zip(self.planes, self.zeros)):
+            a, b = plane.ranks(lo), plane.ranks(hi)
             lo, hi = (z + a, z + b) if token >> (top - level) & 1 else (lo - a, hi - b)
         return lo, hi
 
@@ -123,59 +179,73 @@ class WaveletMatrix:
 
     def select(self, token: int, k: int) -> int:
         """Position of the ``k``-th occurrence (from 0) of ``token``."""
-        lo, hi = self._range(token, self.n)
+        lo, hi = (int(x[0]) for x in self._range(token, np.array([self.n])))
         if not 0 <= k < hi - lo:
             raise IndexError(f"token {token} occurs {hi - lo} times")
         pos = lo + k
-        for level in reversed(range(len(self.planes))):
-            z = self.zeros[level]
-            pos = self._find(level, 1, pos - z) if pos >= z else self._find(level, 0, pos)
+        for plane, z in zip(reversed(self.planes), reversed(self.zeros)):
+            pos = plane.select(pos - z, 1) if pos >= z else plane.select(pos, 0)
         return pos
 
-    def _find(self, level: int, bit: int, k: int) -> int:
-        """Position of the ``k``-th bit of this value in a plane."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self._ones(level, mid + 1)
-            if (ones if bit else mid + 1 - ones) > k:
-                hi = mid
-            else:
-                lo = mid + 1
-        return lo
-
     def places(self, token: int) -> list[int]:
         return [self.select(token, k) for k in range(self.count(token))]
 
 
 # -- shard files -------------------------------------------------------------
 
+class Shard(NamedTuple):
+    """A shard read back: document ids, their last tokens, and the tokens."""
+    doc_ids: list[int | None]
+    last: BitVector
+    tokens: WaveletMatrix
+
+    def ends(self) -> np.ndarray:
+        """Tokens before the end of each document."""
+        return np.flatnonzero(self.last.bits()) + 1
+
+    def counts(self, token: int) -> np.ndarray:
+        """Occurrences of a token in each document: ranks at its bounds."""
+        return np.diff(self.tokens.ranks(token, np.append(0, self.ends())))
+
+
 def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int) -> bytes:
+    """Every document has one token at least (its end id)."""
     wm = WaveletMatrix.build(ids, bits)
+    last = np.zeros(wm.n, bool)
+    last[np.cumsum(lengths, dtype=np.int64) - 1] = True
     press = zstandard.ZstdCompressor(level=1)
-    docs = np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes() + np.array(lengths, "<i8").tobytes()
-    frames = [press.compress(docs)] + [press.compress(p.tobytes()) for p in wm.planes]
-    head = json.dumps({"n": wm.n, "docs": len(doc_ids), "zeros": wm.zeros,
-                       "null_ids": [i for i, d in enumerate(doc_ids) if d is None],
-                       "frames": [len(f) for f in frames]}).encode()
+    frames = [press.compress(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes())]
+    vectors = []
+    for vector in (BitVector.of(np.packbits(last), wm.n), *wm.planes):
+        blocks = [press.compress(vector._load(k).tobytes()) for k in range(len(vector.before) - 1)]
+        vectors.append({"frames": [len(x) for x in blocks], "before": vector.before.tolist()})
+        frames += blocks
+    head = json.dumps({"n": wm.n, "zeros": wm.zeros, "null_ids": [i for i, d in enumerate(doc_ids) if d is None],
+                       "ids": len(frames[0]), "vectors": vectors}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *frames])
 
 
-def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, their token counts and the wavelet matrix of a shard."""
+def read_shard(data: bytes) -> Shard:
+    """A shard; blocks of its planes are inflated as they are touched."""
     if data[:8] != MAGIC:
         raise ValueError("not a token shard")
     size = int.from_bytes(data[8:12], "little")
-    head, at, parts = json.loads(data[12:12 + size]), 12 + size, []
-    for length in head["frames"]:
-        parts.append(zstandard.ZstdDecompressor().decompress(data[at:at + length]))
-        at += length
-    numbers = np.frombuffer(parts[0], "<i8")
-    ids: list[int | None] = numbers[:head["docs"]].tolist()
+    head, at = json.loads(data[12:12 + size]), 12 + size
+
+    def inflate(start: int, length: int) -> bytes:
+        return zstandard.ZstdDecompressor().decompress(data[start:start + length])
+
+    ids: list[int | None] = np.frombuffer(inflate(at, head["ids"]), "<i8").tolist()
     for i in head["null_ids"]:
         ids[i] = None
-    planes = [np.frombuffer(p, np.uint8) for p in parts[1:]]
-    return ids, numbers[head["docs"]:], WaveletMatrix(planes, head["zeros"], head["n"])
+    at += head["ids"]
+    vectors = []
+    for v in head["vectors"]:
+        starts = (at + np.cumsum([0, *v["frames"]])).tolist()
+        at = starts[-1]
+        vectors.append(BitVector(head["n"], np.array(v["before"], np.int64), lambda k, starts=starts: np.frombuffer(
+            inflate(starts[k], starts[k + 1] - starts[k]), np.uint8)))
+    return Shard(ids, vectors[0], WaveletMatrix(vectors[1:], head["zeros"], head["n"]))
 
 
 # -- encoding ----------------------------------------------------------------
@@ -328,13 +398,8 @@ def cores_text(cores: list[bytes], letters: dict[int, str]) -> list[str]:
     return [c.decode() if c.isascii() else c.decode("latin-1").translate(letters) for c in cores]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return claim(__name__, path, lambda: Encoder(path))
 
 
 def groups_of(sizes: np.ndarray, limit: int):
@@ -411,9 +476,10 @@ def write_tokens(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
     return write_scratch(ordered.mapInArrow(run, MANIFEST), "token_manifest")
 
 
-def read_tokens(manifest: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """Decode the shard files of a manifest: per document its id, ``start``
-    (ids of all documents before it), ``n_tokens`` and ``ids_crc32``."""
+def read_tokens(manifest: DataFrame, *, id_col: str = "doc_id", end_id: int = 2) -> DataFrame:
+    """Read the shard files of a manifest: per document its id, ``start``
+    (ids of all documents before it), ``n_tokens``, ``ids_crc32``, and
+    ``n_end_ids``, how often the end id stands in it."""
     whole = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = whole.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")
@@ -423,18 +489,38 @@ def read_tokens(manifest: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     def run(batches):
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids, lengths, wm = read_shard(read_file(path))
-                data = memoryview(wm.decode().astype("<u4").tobytes())
-                ends = np.cumsum(lengths)
-                crc = [zlib.crc32(data[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
-                yield record_batch(id=pa.array(ids, pa.int64()), start=pa.array(start + ends - lengths, pa.int64()),
-                                   n=pa.array(lengths, pa.int64()), crc=pa.array(crc, pa.int64()))
+                shard = read_shard(read_file(path))
+                ends = shard.ends()
+                first = np.append(0, ends[:-1])
+                data = memoryview(shard.tokens.decode().astype("<u4").tobytes())
+                crc = [zlib.crc32(data[4 * a:4 * e]) for a, e in zip(first.tolist(), ends.tolist())]
+                yield record_batch(id=pa.array(shard.doc_ids, pa.int64()), start=pa.array(start + first, pa.int64()),
+                                   n=pa.array(ends - first, pa.int64()), crc=pa.array(crc, pa.int64()),
+                                   e=pa.array(shard.counts(end_id), pa.int64()))
 
     tasks = max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism))
     return shards.repartition(tasks).mapInArrow(
-        run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
+        run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long, n_end_ids long")
 
 
 def token_output(docs: DataFrame, **options) -> DataFrame:
     """Write the shards and read them back."""
-    return read_tokens(write_tokens(docs, **options), id_col=options.get("id_col", "doc_id"))
+    return read_tokens(write_tokens(docs, **options), id_col=options.get("id_col", "doc_id"),
+                       end_id=options.get("end_id", 2))
+
+
+def token_counts(manifest: DataFrame, tokens: list[int], *, id_col: str = "doc_id") -> DataFrame:
+    """token, document id and ``n`` for every document that holds one of the
+    tokens, from ranks alone: no shard is decoded."""
+    def run(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                shard = read_shard(read_file(path))
+                for token in tokens:
+                    n = shard.counts(token)
+                    hit = np.flatnonzero(n)
+                    yield record_batch(token=pa.array(np.full(len(hit), token), pa.int64()),
+                                       id=pa.array([shard.doc_ids[i] for i in hit.tolist()], pa.int64()),
+                                       n=pa.array(n[hit], pa.int64()))
+
+    return manifest.select("path").mapInArrow(run, f"token long, `{id_col}` long, n long")
