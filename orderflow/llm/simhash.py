@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from orderflow.llm.base import as_bytes, positional, record_batch, space_words, texts_of, write_scratch
+from orderflow.llm.base import as_bytes, claim, positional, record_batch, space_words, texts_of, write_scratch
 
 SEED = 42
 N_PIVOTS = 24
@@ -62,6 +62,7 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", shingle: int = 4) -> DataFrame:
     """``id_col`` and ``fp`` (the fingerprint as a signed long) of every row."""
     def run(batches):
+        claim(__name__)
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in texts_of(batch.column(1))], dtype=np.uint64)
             yield record_batch(id=batch.column(0), fp=pa.array(fps.view(np.int64), pa.int64()))
@@ -271,9 +272,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", id_col: str = "doc_i
 def one_per_group(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", shingle: int = 4,
                   max_bits: int = 4, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One document of each near-duplicate group, all columns unchanged: the
-    one with the group's smallest id (of rows that repeat this id, the one
-    with the smallest text).  A group without any id keeps the row with the
-    smallest text."""
+    one with the group's smallest id (of rows that repeat this id in the group,
+    the one with the smallest text).  A group without any id keeps the row with
+    the smallest text.  Where rows of one id are in several groups, a row
+    stands for its own group only."""
     columns = docs.columns
     at, docs = columns.index(text), positional(docs)
     names = docs.columns
@@ -286,8 +288,13 @@ def one_per_group(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         rank = F.row_number().over(Window.partitionBy(group).orderBy(by_text))
         return rows.withColumn("__row", rank).where(F.col("__row") == 1).select(*names)
 
-    firsts = class_ids.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__first"))
-    named = first_of(docs.join(write_scratch(firsts.distinct(), "group_firsts"), key == F.col("__first")), "__first")
+    firsts = class_ids.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__first")).distinct()
+    # ids whose rows have different fingerprints: the group is told by the row's own
+    split = docs_fp.where(key.isNotNull()).groupBy(key.alias("__first")).agg(
+        (F.min("fp") != F.max("fp")).alias("__split"))
+    firsts = write_scratch(firsts.join(split, "__first"), "group_firsts")
+    once = docs.join(firsts.where(~F.col("__split")).drop("__split"), key == F.col("__first"))
+    named = first_of(once, "__first")
 
     def run(batches):
         for batch in batches:
@@ -295,7 +302,10 @@ def one_per_group(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
             yield batch.append_column("__fp", pa.array(fps.view(np.int64), pa.int64()))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
-    nameless = docs.where(key.isNull()).mapInArrow(run, schema).join(
-        class_ids.where(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")),
-        "__fp")
-    return named.union(first_of(nameless, "__root")).toDF(*columns)
+    rest = docs.where(key.isNull())
+    if not firsts.where("__split").isEmpty():
+        rest = docs.join(firsts.where("__split").select("__first"), key == F.col("__first"), "left_semi").unionByName(rest)
+    rest = rest.mapInArrow(run, schema)
+    ids = class_ids.select(F.col("fp").alias("__fp"), F.col("root").alias("__root"), F.col("component_id").alias("__id"))
+    rest = rest.join(ids, "__fp").where(key.eqNullSafe(F.col("__id")))
+    return named.union(first_of(rest, "__root")).toDF(*columns)
