@@ -1,17 +1,19 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 A shard is a run of whole documents of one Arrow batch.  Its words become
-ids of the benchmark's vocabulary (0 for every other word and at document
+ids of its own (0 for words that no benchmark item has and at document
 ends), and its suffix array is the sorted order of the suffixes that can hold
-a window, compared on their first ``window`` words.  Every window of the
-benchmark (each suffix of an item, cut to the window) is binary-searched in
-it; the range found gives all its locations.  Windows that follow one another
+a window, compared on their first ``window`` words.  It is built once and
+serves every block of the benchmark: each window of a block
+(each suffix of an item, cut to the window) whose words, and whose sum of
+words, the shard has is binary-searched in it; the range found gives all its locations.  Windows that follow one another
 on the same diagonal (document position minus item position) make the longest
 verbatim match.  Documents never leave their task, so nothing is shuffled.
 
 The benchmark is written as block files of bounded size in the shared scratch
-folder; a task holds one block and one shard at a time, however large the
-benchmark is.
+folder, as arrays that are used as they are read: the vocabulary, the distinct
+windows as word numbers, and where each stands.  A task holds one shard and
+``KEPT_BYTES`` of blocks, however large the benchmark is.
 
 Defined results: null or empty texts have no words (never hit, never a
 window); an item with fewer words than the window is one window; repeated
@@ -23,84 +25,117 @@ tables give no hits; further columns are not read.
 from __future__ import annotations
 
 import io
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import (as_bytes, filter_rows, letter_words, read_file, record_batch, task_name, texts_of,
+from orderflow.llm.base import (as_bytes, claim, filter_rows, letter_words, read_file, record_batch, task_name, texts_of,
                                 write_file)
 from orderflow.session import scratch_dir
 
-SHARD_BYTES = 8 << 20
-BLOCK_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+KEPT_BYTES = 32 << 20
 MATCH = "struct<item_id:bigint,item_start:bigint,doc_start:bigint,n_words:bigint>"
 
 
-def benchmark_blocks(benchmark: DataFrame, *, text: str = "text", id_col: str = "item_id",
+def benchmark_blocks(benchmark: DataFrame, *, window: int, text: str = "text", id_col: str = "item_id",
                      block_bytes: int = BLOCK_BYTES) -> list[str]:
-    """Write the benchmark as block files of about ``block_bytes``; their paths."""
-    size = benchmark.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    """Write the benchmark as block files of about ``block_bytes`` of text
+    (one longer item is a block of its own); their paths."""
     root = scratch_dir(benchmark.sparkSession, "benchmark")
 
     def run(batches):
-        ids, valid, words = [], [], []
+        ids, texts, size, made = [], [], 0, 0
+
+        def flush():
+            nonlocal ids, texts, size, made
+            path = f"{root}/block-{task_name()}-{made:06d}.arrow"
+            data = block_data(ids, texts, window)
+            write_file(path, lambda f: f.write(data))
+            ids, texts, size, made = [], [], 0, made + 1
+            return record_batch(path=pa.array([path], pa.string()))
+
         for batch in batches:
-            ids += [0 if i is None else i for i in batch.column(0).to_pylist()]
-            valid += batch.column(0).is_valid().to_pylist()
-            words += [b" ".join(letter_words(t)) for t in texts_of(batch.column(1))]
-        if not ids:
-            return
-        table = pa.table({"id": pa.array(ids, pa.int64()), "valid": pa.array(valid, pa.bool_()),
-                          "words": pa.array(words, pa.binary())})
-        buf = io.BytesIO()
-        with pa.ipc.new_file(buf, table.schema) as out:
-            out.write_table(table)
-        path = f"{root}/block-{task_name()}.arrow"
-        write_file(path, lambda f: f.write(buf.getvalue()))
-        yield record_batch(path=pa.array([path], pa.string()))
+            for i, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                if ids and size + len(t) > block_bytes:
+                    yield flush()
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
+        if ids:
+            yield flush()
 
-    parts = max(1, -(-size // block_bytes))
     src = as_bytes(benchmark.withColumn("__id", F.col(f"`{id_col}`").cast("long")), text, "__id")
-    return sorted(r["path"] for r in src.repartition(parts).mapInArrow(run, "path string").collect())
+    return sorted(r["path"] for r in src.mapInArrow(run, "path string").collect())
+
+
+def block_data(ids: list, texts: list[bytes], window: int) -> bytes:
+    """A block: its items, its vocabulary, and per window length the distinct
+    windows (rows of word numbers) with the (item, offset) pairs of each."""
+    vocabulary: dict[bytes, int] = {}
+    split = [letter_words(t) for t in texts]
+    sizes = np.array([len(w) for w in split], np.int64)
+    flat = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for words in split for w in words), np.uint32,
+                       int(sizes.sum()))
+    first = np.cumsum(sizes) - sizes
+    tables = [pa.table({"id": pa.array(ids, pa.int64())}), pa.table({"word": pa.array(list(vocabulary), pa.binary())})]
+    lengths = np.minimum(sizes, window)
+    for size in np.unique(lengths[lengths > 0]).tolist():
+        mine = np.flatnonzero(lengths == size)
+        n = sizes[mine] - size + 1
+        item = np.repeat(mine, n)
+        offset = expand(np.zeros(len(mine), np.int64), n)
+        rows = flat[(first[item] + offset)[:, None] + np.arange(size)]
+        keys = np.ascontiguousarray(rows, ">u4").view(f"S{4 * size}").ravel()
+        _, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        tables.append(pa.table({"word": rows[one].ravel()}))
+        tables.append(pa.table({"n": np.bincount(which, minlength=len(one))}))
+        tables.append(pa.table({"item": item[order], "offset": offset[order]}))
+    buf = io.BytesIO()
+    for table in tables:
+        with pa.ipc.new_stream(buf, table.schema) as out:
+            out.write_table(table)
+    return buf.getvalue()
 
 
 class Windows:
     """The benchmark block's vocabulary and its distinct windows by length."""
 
-    def __init__(self, path: str, window: int):
-        table = pa.ipc.open_file(io.BytesIO(read_file(path))).read_all()
-        self.vocabulary: dict[bytes, int] = {}
-        self.item_ids = table["id"].to_numpy()
-        self.valid = table["valid"].to_numpy(zero_copy_only=False)
-        by_len: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
-        for k, words in enumerate(table["words"].to_pylist()):
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words.split()]
-            size = min(window, len(ids))
-            packed = np.array(ids, dtype=">u4").tobytes()
-            for o in range(len(ids) - size + 1 if size else 0):
-                by_len.setdefault(size, {}).setdefault(packed[4 * o:4 * (o + size)], []).append((k, o))
-        self.depth = max(by_len, default=0)
-        self.shortest = min(by_len, default=0)
-        # per length: sorted keys, and the (item, offset) pairs of each as ranges
+    def __init__(self, path: str):
+        data = read_file(path)
+        self.size = len(data)
+        buf = io.BytesIO(data)
+        tables = []
+        while buf.tell() < self.size:
+            tables.append(pa.ipc.open_stream(buf).read_all().combine_chunks())
+        self.item_ids = tables[0]["id"].fill_null(0).to_numpy()
+        self.valid = tables[0]["id"].is_valid().to_numpy()
+        self.words = tables[1]["word"].combine_chunks()
+        # per length: distinct windows (rows of words), the pairs of each as ranges
         self.lengths = []
-        for size, found in sorted(by_len.items()):
-            keys = sorted(found)
-            pairs = np.array([p for key in keys for p in found[key]], dtype=np.int64).reshape(-1, 2)
-            ends = np.cumsum([len(found[key]) for key in keys])
-            self.lengths.append((size, np.array(keys, dtype=f"S{4 * size}"), pairs, ends))
-
-
-_LOADED: dict[tuple[str, int], Windows] = {}
-
-
-def load_windows(path: str, window: int) -> Windows:
-    if (path, window) not in _LOADED:
-        _LOADED.clear()                      # one block in memory at a time
-        _LOADED[path, window] = Windows(path, window)
-    return _LOADED[path, window]
+        for rows, n, pairs in zip(tables[2::3], tables[3::3], tables[4::3]):
+            n = n["n"].to_numpy()
+            rows = rows["word"].to_numpy().reshape(len(n), -1)
+            pairs = np.stack([pairs["item"].to_numpy(), pairs["offset"].to_numpy()], axis=1)
+            self.lengths.append((rows.shape[1], rows, pairs, np.cumsum(n)))
+        self.depth = max((x[0] for x in self.lengths), default=0)
+        self.shortest = min((x[0] for x in self.lengths), default=1 << 30)
+
+
+def load_windows(path: str) -> Windows:
+    """Blocks that fit together stay from shard to shard."""
+    kept: dict[str, Windows] = claim(__name__, "blocks", dict)
+    if path not in kept:
+        block = Windows(path)
+        if sum(b.size for b in kept.values()) + block.size > KEPT_BYTES:
+            kept.clear()
+        kept[path] = block
+    return kept[path]
 
 
 def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -124,16 +159,43 @@ def suffix_array(ids: np.ndarray, shortest: int, depth: int) -> tuple[np.ndarray
     return at[order], keys[order]
 
 
-def search_shard(ids: np.ndarray, win: Windows):
-    """(document positions, window length, item, offset) of every occurrence."""
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Sums(dict):
+    """Per window length the sorted word sums of a shard's windows.  Equal
+    windows have equal sums, so most windows of a block need no search."""
+
+    def __init__(self, ids: np.ndarray):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, size: int) -> np.ndarray:
+        out = np.zeros(max(0, len(self.ids) - size + 1), np.uint64)
+        for k in range(size):
+            out = out * _MIX + self.ids[k:k + len(out)].astype(np.uint64)
+        self[size] = np.sort(out)
+        return self[size]
+
+
+def search_block(at: np.ndarray, keys: np.ndarray, depth: int, block: Windows, known: np.ndarray, sums: Sums):
+    """(document positions, window length, item, offset) of every occurrence of
+    a block's windows; ``known`` turns its words into the shard's (0: none)."""
     out = []
-    if not win.depth or not len(ids):
-        return out
-    at, keys = suffix_array(ids, win.shortest, win.depth)
-    if not len(at):
-        return out
-    for size, tests, pairs, ends in win.lengths:
-        cut = keys if size == win.depth else np.ascontiguousarray(
+    for size, rows, pairs, ends in block.lengths:
+        here = np.flatnonzero(known[rows[:, 0]] > 0)
+        total = np.zeros(len(here), np.uint64)
+        for k in range(size):                    # word by word: the shard has all their words, and their sum
+            word = known[rows[here, k]]
+            stay = np.flatnonzero(word > 0)
+            here, total = here[stay], total[stay] * _MIX + word[stay].astype(np.uint64)
+        have = sums[size]
+        found = np.searchsorted(have, total)
+        here = here[have[np.minimum(found, len(have) - 1)] == total] if len(have) else here[:0]
+        if not len(here):
+            continue
+        tests = np.ascontiguousarray(known[rows[here]], ">u4").view(f"S{4 * size}").ravel()
+        cut = keys if size == depth else np.ascontiguousarray(
             keys.view("u1").reshape(len(keys), -1)[:, :4 * size]).view(f"S{4 * size}").ravel()
         lo = np.searchsorted(cut, tests, "left")
         n = np.searchsorted(cut, tests, "right") - lo
@@ -141,10 +203,10 @@ def search_shard(ids: np.ndarray, win: Windows):
         if not len(found):
             continue
         where = at[expand(lo[found], n[found])]
-        which = np.repeat(found, n[found])               # the window of each occurrence
+        which = here[np.repeat(found, n[found])]         # the window of each occurrence
         per = np.diff(ends, prepend=0)[which]
-        rows = expand((ends - np.diff(ends, prepend=0))[which], per)
-        out.append((np.repeat(where, per), size, pairs[rows, 0], pairs[rows, 1]))
+        rows_at = expand((ends - np.diff(ends, prepend=0))[which], per)
+        out.append((np.repeat(where, per), size, pairs[rows_at, 0], pairs[rows_at, 1]))
     return out
 
 
@@ -161,7 +223,7 @@ def longest_matches(pos, size, item, offset, bounds):
     return doc, item[first], offset[first], pos[first] - bounds[doc], pos[last] - pos[first] + size
 
 
-def shard_hits(texts: list[bytes], paths: list[str], window: int):
+def shard_hits(texts: list[bytes], paths: list[str]):
     """Per document: words, hit words, item ids and longest matches."""
     words = [letter_words(t) for t in texts]
     n = np.array([len(w) for w in words], np.int64)
@@ -169,20 +231,35 @@ def shard_hits(texts: list[bytes], paths: list[str], window: int):
     hit = np.zeros(int(bounds[-1]) + 1, np.int64)
     items: list[set] = [set() for _ in texts]
     matches: list[list] = [[] for _ in texts]
+    local: dict[bytes, int] = {}
+    ids = np.zeros(int(bounds[-1]), np.int64)
+    for b, w in zip(bounds, words):
+        ids[b:b + len(w)] = np.fromiter((local.setdefault(x, len(local) + 1) for x in w), np.int64, len(w))
+    names = pa.array(list(local), pa.binary())
+    del words, local
+
+    def known(block):
+        return (pc.fill_null(pc.index_in(block.words, value_set=names), -1).to_numpy(zero_copy_only=False) + 1).astype(np.int32)
+
+    use, shortest, depth = np.zeros(len(names) + 1, bool), 1 << 30, 0
     for path in paths:
-        win = load_windows(path, window)
-        get = win.vocabulary.get
-        ids = np.zeros(int(bounds[-1]), np.int64)
-        for b, w in zip(bounds, words):
-            ids[b:b + len(w)] = np.fromiter(map(get, w, repeat(0)), np.int64, len(w))
-        for pos, size, item, offset in search_shard(ids, win):
+        block = load_windows(path)
+        use[known(block)] = True
+        shortest, depth = min(shortest, block.shortest), max(depth, block.depth)
+    use[0] = False
+    ids = np.where(use[ids], ids, 0).astype(np.int32)
+    at, keys = suffix_array(ids, shortest, depth) if depth and len(ids) else (ids[:0], None)
+    sums = Sums(ids)
+    for path in paths if len(at) else []:
+        win = load_windows(path)
+        for pos, size, item, offset in search_block(at, keys, depth, win, known(win), sums):
             np.add.at(hit, pos, 1)
             np.add.at(hit, pos + size, -1)
             for d, k, o, p, m in zip(*(x.tolist() for x in longest_matches(pos, size, item, offset, bounds))):
-                known = bool(win.valid[k])
-                if known:
+                valid = bool(win.valid[k])
+                if valid:
                     items[d].add(int(win.item_ids[k]))
-                matches[d].append((int(win.item_ids[k]) if known else None, o, p, m))
+                matches[d].append((int(win.item_ids[k]) if valid else None, o, p, m))
     covered = np.append(0, np.cumsum(np.cumsum(hit[:-1]) > 0))
     n_hit = covered[bounds[1:]] - covered[bounds[:-1]]
     return n, n_hit, [sorted(x) for x in items], matches
@@ -202,14 +279,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                   item_col: str = "item_id", window: int = 10) -> DataFrame:
     """Per document: n_words, n_hit, ``items`` (ids with a window in it) and
     ``matches`` (longest verbatim matches: item, item_start, doc_start, words)."""
-    paths = benchmark_blocks(benchmark, id_col=item_col)
+    paths = benchmark_blocks(benchmark, window=window, id_col=item_col)
     kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("item_id", "item_start", "doc_start", "n_words")]))
 
     def run(batches):
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in shards(texts):
-                n, n_hit, items, matches = shard_hits(texts[lo:hi], paths, window)
+                n, n_hit, items, matches = shard_hits(texts[lo:hi], paths)
                 rows = [[dict(zip(("item_id", "item_start", "doc_start", "n_words"), m)) for m in ms]
                         for ms in matches]
                 yield record_batch(id=batch.column(0).slice(lo, hi - lo), n=pa.array(n, pa.int64()),
@@ -223,6 +300,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", window: int = 10) -> DataFrame:
     """The documents without any benchmark window, all columns unchanged."""
-    paths = benchmark_blocks(benchmark)
+    paths = benchmark_blocks(benchmark, window=window)
     return filter_rows(docs, text, lambda texts: [
-        h == 0 for lo, hi in shards(texts) for h in shard_hits(texts[lo:hi], paths, window)[1].tolist()])
+        h == 0 for lo, hi in shards(texts) for h in shard_hits(texts[lo:hi], paths)[1].tolist()])
