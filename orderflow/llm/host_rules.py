@@ -6,7 +6,11 @@ as a narrow table.  Failures are summed per host (map-side combined, so a hot
 host costs one row per task), the beta prior comes from the moments of the
 host rates over all hosts, and each host's shrunk rate
 ``(failures + a) / (documents + a + b)`` decides its verdict, which is joined
-back to the documents.  A document stays if it passes the rules and its host
+back to the documents.  A host is judged against the corpus: it is rejected
+if its rate, less ``z`` standard deviations of its beta posterior, is still
+more than ``margin`` above the corpus rate; so a host whose documents fail far
+more often than others goes, also where less than half of them fail, and a
+host of few documents has to be worse to go.  A document stays if it passes the rules and its host
 is not rejected.
 
 Defined results: a null or empty text has no words and fails the length rule;
@@ -68,7 +72,7 @@ def document_stats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
         run, f"`{id_col}` {id_type}, __host string, " + ", ".join(f"{n} long" for n in STATS))
 
 
-def host_verdicts(stats: DataFrame, failed: str, reject_above: float) -> DataFrame:
+def host_verdicts(stats: DataFrame, failed: str, margin: float, z: float) -> DataFrame:
     """Per host: documents, failures, shrunk failure rate and the verdict."""
     hosts = write_scratch(stats.groupBy("__host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("f")), "hosts")
@@ -82,13 +86,15 @@ def host_verdicts(stats: DataFrame, failed: str, reject_above: float) -> DataFra
     strength = min(1e6, max(1.0, strength))
     a, b = mean * strength, (1 - mean) * strength
     rate = (F.col("f") + F.lit(a)) / (F.col("n") + F.lit(a + b))
-    return hosts.select("__host", rate.alias("host_rate"), (rate > F.lit(reject_above)).alias("host_rejected"))
+    deviation = F.sqrt(rate * (F.lit(1.0) - rate) / (F.col("n") + F.lit(a + b + 1)))
+    worse = rate - F.lit(z) * deviation > F.lit(mean + margin)
+    return hosts.select("__host", rate.alias("host_rate"), worse.alias("host_rejected"))
 
 
 def host_rules(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", host: str = "source",
                min_words: int = 50, max_repeat_pct: int = 50, max_symbol_pct: int = 10,
                max_dup_line_pct: int = 50, word_chars: tuple[int, int] = (2, 15),
-               reject_above: float = 0.5) -> DataFrame:
+               margin: float = 0.15, z: float = 1.645) -> DataFrame:
     """Counts, rule results, the host's shrunk rate and verdict, and ``kept``."""
     n = F.col("n_words")
     base = (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * n)
@@ -97,6 +103,6 @@ def host_rules(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", h
             | (F.col("word_chars") < word_chars[0] * n) | (F.col("word_chars") > word_chars[1] * n))
     stats = write_scratch(document_stats(docs, text=text, id_col=id_col, host=host)
                           .withColumns({"base_failed": base, "rule_failed": base | soft}), "host_stats")
-    verdicts = write_scratch(host_verdicts(stats, "rule_failed", reject_above), "host_verdicts")
+    verdicts = write_scratch(host_verdicts(stats, "rule_failed", margin, z), "host_verdicts")
     return (stats.join(verdicts, "__host", "left")
             .withColumn("kept", ~F.col("rule_failed") & ~F.col("host_rejected")))

@@ -44,8 +44,10 @@ WITH d AS (
 ), prior AS (
   SELECT mean, CASE WHEN spread > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) ELSE 1e6 END AS k
   FROM m
+), rate AS (
+  SELECT host, n, mean, k, (f + mean * k) / (n + k) AS r FROM h, prior
 ), bad AS (
-  SELECT host, (f + mean * k) / (n + k) > 0.5 AS rejected FROM h, prior
+  SELECT host, r - 1.645::DOUBLE * sqrt(r * (1 - r) / (n + k + 1)) > mean + 0.15::DOUBLE AS rejected FROM rate
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR soft_failed) AND NOT rejected AS kept
