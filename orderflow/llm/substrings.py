@@ -24,8 +24,8 @@ and never shuffled whole: names, digests and places travel (some 40 bytes a
 passage), and of the words only the passages that share their name with a
 different one.  Passages repeated inside a shard do not travel at all, and
 equal passages stream past one another, so groups of copies cost their places
-only.  Passages of one name whose distinct text exceeds a block
-(a frequent phrase in many contexts) are dealt out again as single windows by
+only.  More than ``HOT`` passages of one name, or more text than a block
+(a frequent phrase in many contexts), are dealt out as single windows by
 the hash of all their words: then only equal windows meet, and these stream.
 A task holds one block and one shard.
 
@@ -45,6 +45,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -55,11 +56,12 @@ from orderflow.session import scratch_dir
 
 WINDOW = 20
 GRAM = 6
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 32 << 20            # passages of a partition, about
 WORD_BYTES = 8                   # of a word and its blank, about
 LONGEST = 4096                   # windows of a passage
+HOT = 256                        # passages of one name that are parsed together
 NO_ID = -(1 << 63)               # null ids stand first
 
 PLACE = "shard long, at long, doc long, start long, n long"
@@ -197,15 +199,13 @@ def write_shards(docs: DataFrame, root: str, text: str, id_col: str, window: int
     def run(batches):
         attempt, made = TaskContext.get().taskAttemptId(), 0
         for b in batches:
-            texts, ids = texts_of(b.column(1)), b.column(0)
+            ids, ends = b.column(0), np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy())
             lo = 0
-            while lo < len(texts):
-                hi, held = lo, 0
-                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SHARD_BYTES):
-                    held += len(texts[hi])
-                    hi += 1
+            while lo < len(ids):
+                done = int(ends[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, done + SHARD_BYTES, "right")))
                 shard, made = (attempt << 24) + made, made + 1      # each attempt has shards of its own
-                words = [space_words(t) for t in texts[lo:hi]]
+                words = [space_words(t) for t in texts_of(b.column(1).slice(lo, hi - lo))]
                 keys = [NO_ID if i is None else i for i in ids.slice(lo, hi - lo).to_pylist()]
                 found = cut(words, keys, shard, window, GRAM)
                 write_shard(shard_path(root, shard), ids.slice(lo, hi - lo), words, found.spans)
@@ -223,38 +223,43 @@ def write_shards(docs: DataFrame, root: str, text: str, id_col: str, window: int
 
 def copies(passages: DataFrame, parts: int) -> DataFrame:
     """Places of passages that equal an earlier one (``name`` null), and of
-    the first ones that go on to the blocks (``name`` set).
+    the first ones that go on to the blocks (``name`` set; ``hot`` where the
+    name has more than ``HOT`` of them).
 
     The passages of a name come sorted by digest and place, so a task holds
-    the first one only until it knows whether another follows."""
+    only the first ones, until it knows whether others follow and how many."""
     def run(batches):
         now = last = least = None
-        again = sure = False
+        again = sure = hot = False
         held: list[tuple] = []
         out: list[tuple] = []
 
+        def release():
+            out.extend((*row, hot) for row in held)
+            held.clear()
+
         def close():
             """The name is complete: a lone passage matches nothing but itself."""
             if again or sure:
-                out.extend(held)
+                release()
             held.clear()
 
         for b in batches:
             for name, digest, shard, at, doc, start, n, twice in zip(*(c.to_pylist() for c in b.filter(paired(b)).columns)):
                 if name != now:
                     close()
-                    now, last, least, again, sure = name, None, None, False, False
+                    now, last, least, again, sure, hot = name, None, None, False, False, False
                 again |= twice
                 if digest == last and (doc, start) != least:
-                    out.append((None, shard, at, doc, start, n))
+                    out.append((None, shard, at, doc, start, n, False))
                     continue
                 # another passage of the name, or (a repeated row) the same place again
-                sure |= last is not None and (digest != last or len(held) > 1000)
+                sure |= last is not None and digest != last
                 last, least = digest, (doc, start)
                 held.append((name, shard, at, doc, start, n))
-                if sure:
-                    out.extend(held)
-                    held.clear()
+                if hot or len(held) > HOT:
+                    hot = sure = True
+                    release()
             if out:
                 yield places(out)
                 out.clear()
@@ -263,13 +268,14 @@ def copies(passages: DataFrame, parts: int) -> DataFrame:
             yield places(out)
 
     def places(rows):
+        *columns, hot = zip(*rows)
         return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(
-            ("name", "shard", "at", "doc", "start", "n"), zip(*rows))})
+            ("name", "shard", "at", "doc", "start", "n"), columns)}, hot=pa.array(hot, pa.bool_()))
 
     rows = (passages.filter(F.col("name").isNotNull()).repartition(parts, "name")
             .sortWithinPartitions("name", "digest", "doc", "start")
             .select("name", "digest", "shard", "at", "doc", "start", "n", "again"))
-    return write_scratch(rows.mapInArrow(run, f"name long, {PLACE}"), "copies")
+    return write_scratch(rows.mapInArrow(run, f"name long, {PLACE}, hot boolean"), "copies")
 
 
 def paired(b: pa.RecordBatch) -> pa.Array:
@@ -489,11 +495,12 @@ def parse(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window
     wanted, copied = found.filter(F.col("name").isNotNull()), found.filter(F.col("name").isNull())
     held = wanted.agg(F.sum("n")).first()[0] or 0
     parts = max(cores, -(-held * WORD_BYTES // PART_BYTES))
-    parsed = write_scratch(spans_of(routed(with_words(wanted, root, parts), parts), window), "spans")
-    spans = copied.drop("name").union(parsed.filter(F.col("words").isNull()).drop("words"))
-    rest = parsed.filter(F.col("words").isNotNull())
-    if not rest.isEmpty():
-        windows = routed(single_windows(rest, window), parts)
+    parsed = write_scratch(spans_of(routed(with_words(wanted.filter(~F.col("hot")), root, parts), parts), window), "spans")
+    spans = copied.drop("name", "hot").union(parsed.filter(F.col("words").isNull()).drop("words"))
+    large = parsed.filter(F.col("words").isNotNull())
+    hot = with_words(wanted.filter("hot"), root, parts).drop("key")
+    if not (large.isEmpty() and wanted.filter("hot").isEmpty()):
+        windows = routed(single_windows(large.union(hot), window), parts)
         spans = spans.union(write_scratch(later_windows(windows).drop("words"), "window_spans"))
     return Parsed(root, shards, spans.select("shard", "at", "start", "n"), max(cores, parts))
 
