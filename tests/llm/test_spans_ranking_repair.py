@@ -70,7 +70,7 @@ def test_spans_equal_brute_force(frame, monkeypatch, block, shard):
     if block:
         monkeypatch.setattr(substrings, "BLOCK_BYTES", block)      # many blocks, frequent names go by window
         monkeypatch.setattr(substrings, "SHARD_BYTES", shard)
-        monkeypatch.setattr(substrings, "LONGEST", 7)
+        monkeypatch.setattr(substrings, "HOT", 3)
     rows = corpus(1 if block else 2)
     assert spans_of(frame, rows, monkeypatch) == brute_spans(rows)
 

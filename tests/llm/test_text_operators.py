@@ -112,6 +112,16 @@ def test_bad_host_is_rejected_and_small_host_shrunk(frame):
     assert 0.5 < got[301]["host_rate"] < 1 and 0 < got[300]["host_rate"] < 0.5
 
 
+def test_a_host_far_above_the_corpus_is_rejected_below_one_half(frame):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(40 * h + i, "bad" if i < 4 else good, "en", f"h{h}") for h in range(25) for i in range(40)]
+    rows += [(5000 + i, "bad" if i < 90 else good, "en", "worse") for i in range(200)]       # 45 %
+    rows += [(6000 + i, "bad" if i < 2 else good, "en", "few") for i in range(4)]            # half of four
+    got = by_id(host_rules.host_rules(frame(rows)))
+    assert 0.25 < got[5150]["host_rate"] < 0.5 and got[5150]["host_rejected"] and not got[5150]["kept"]
+    assert not got[6003]["host_rejected"] and got[6003]["kept"] and got[39]["kept"]
+
+
 # -- decontamination -----------------------------------------------------------
 
 def brute_hits(text, items, window=10):
@@ -244,6 +254,19 @@ def test_language_equals_direct_bayes(sp, frame):
         assert got[i]["score"] == pytest.approx(1 / sum(np.exp(v - post[best]) for v in post.values()), abs=1e-4)
 
 
+def test_language_blocks_change_nothing(frame, monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [(i, " ".join(f"{'abcdefghijklm'[i % 13]}{'xyz'[int(k)]}wort" for k in rnd.integers(0, 3, 9)), f"l{i % 13:02}", "s")
+            for i in range(160)]
+    docs = frame(rows)
+    want = {i: (r["lang_pred"], round(r["score"], 9)) for i, r in by_id(langid.identify(docs)).items()}
+    assert len({p for p, _ in want.values()}) == 13
+    for block, shared in ((3, 64 << 20), (1, 0)):           # several blocks, broadcast or as files
+        monkeypatch.setattr(langid, "BLOCK_LANGS", block)
+        monkeypatch.setattr(langid, "SHARED_BYTES", shared)
+        assert {i: (r["lang_pred"], round(r["score"], 9)) for i, r in by_id(langid.identify(docs)).items()} == want
+
+
 def test_language_edges(frame):
     docs = frame(EDGE + [(50, "123 !?", "en", "a"), (51, "½²", "en", "a"), (52, "漢字", "zh", "a"),
                          (53, "kurz", "de", "a"), (54, "abc", "en", "a"), (55, "def", "en", "a")])
@@ -253,5 +276,3 @@ def test_language_edges(frame):
     assert got[5]["lang_pred"] in {"de", "en", "fr", "zh"}
     assert langid.identify(frame([])).count() == 0
     assert {r["lang_pred"] for r in langid.identify(frame([(1, "abc", None, None)])).collect()} == {"und"}
-    with pytest.raises(ValueError, match="max_langs"):
-        langid.identify(docs, max_langs=1)
