@@ -14,6 +14,7 @@ from orderflow.functions.time import ntz
 from orderflow.functions.status import (CLOSED_STATUSES, LIFECYCLE, reconcile_shipment_status, stage_rank,
                                         transitions_table)
 from orderflow.operators import changes as C
+from orderflow.session import written
 
 
 def status_event_id(key, status, ts):
@@ -195,8 +196,11 @@ def late_changes(orders: DataFrame, shipments: DataFrame, payments: DataFrame, h
                  as_of) -> dict[str, DataFrame]:
     """The change sets that landed shipments, payments and history imply
     for all open orders.  The caller applies them with C3 (orders, shipments,
-    payments) and C2 (history), and publishes them together."""
-    updates = late_order_updates(orders, shipments, history)
+    payments) and C2 (history), and publishes them together.
+
+    The order updates, which two of the sets need, are worked out once and
+    written: one narrow row per order that moved."""
+    updates = written(late_order_updates(orders, shipments, history), "order_updates")
     return {"orders": updates, "shipments": late_shipments(shipments),
             "payments": late_payments(payments, as_of),
             "order_status_history": late_status_events(updates, history)}

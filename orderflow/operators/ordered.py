@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from orderflow.session import scratch_dir
+from orderflow.session import scratch_dir, written
 
 PART, AT = "_range", "_at"
 _LOCAL = (1 << 33) - 1          # monotonically_increasing_id: partition << 33 | row
@@ -51,12 +51,6 @@ class Ordered(NamedTuple):
                 .orderBy("_position").select(*self.schema.fieldNames()))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_ordered(df: DataFrame, order: list[Column], name: str = "ordered", partitions: int | None = None) -> Ordered:
     """Write ``df`` in the total order ``order``, a folder per range."""
     spark = df.sparkSession
@@ -115,7 +109,7 @@ def allocate_rows(df: DataFrame, weight_col: str, total: int, order_col: str, gr
     x = (joined(x, weights).withColumn("_share", share)
          .withColumn("_base", F.greatest(F.lit(min_count), F.rint("_share").cast("long")))
          .withColumn("_res", F.col("_share") - F.col("_base")).withColumn("_excess", F.col("_base") - F.lit(min_count)))
-    x = _written(x, "allocation")       # a sum of doubles may differ when it is computed again
+    x = written(x, "allocation")       # a sum of doubles may differ when it is computed again
     # group sums and full rounds of taking, from one row per distinct excess
     # (a group has at most about sqrt(2 * total) of them)
     steps = x.groupBy("_g", "_excess").agg(F.count(F.lit(1)).alias("_c"))

@@ -82,15 +82,17 @@ def order_totals(items: DataFrame, key: str = "order_id") -> DataFrame:
 def enrich_orders(orders: DataFrame, customers: DataFrame | None = None,
                   warehouses: DataFrame | None = None, managers: DataFrame | None = None,
                   regions: DataFrame | None = None) -> DataFrame:
-    """Star join into the denormalised header: each dimension is an inner
-    equi-join on its key, copying the attributes the order lacks."""
+    """Star join into the denormalised header: each dimension is a left
+    equi-join on its key, copying the attributes the order lacks.  An order
+    whose dimension row is missing stays, with nulls; the foreign-key check
+    (Q3) reports it."""
     out = orders
     for dim, key in ((customers, "customer_id"), (warehouses, "warehouse_id"),
                      (managers, "sales_manager_id"), (regions, "region_id")):
         if dim is None:
             continue
         cols = [key] + [c for c in dim.columns if c != key and c not in out.columns]
-        out = out.join(dim.select(*cols), key, "inner")
+        out = out.join(dim.select(*cols), key, "left")
     return out
 
 

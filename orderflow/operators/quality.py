@@ -70,36 +70,57 @@ def width_violations(df: DataFrame, widths: dict[str, int] | None = None,
 def constraint_report(tables: dict[str, DataFrame], schemas: dict, keys: dict, foreign_keys: list,
                       widths: dict, numerics: dict) -> DataFrame:
     """One row per declared constraint of the given tables: (table_name,
-    constraint_name, violations).  Nullability, widths and NUMERIC limits of a
-    table are one pass; a key is one aggregate (keys seen more than once); a
-    foreign key is one anti-join.  Constraints on columns a table does not
-    carry are left out."""
-    parts = []
+    constraint_name, violations).  Constraints on columns a table does not
+    carry are left out.
+
+    Every table is read once: a row gives one entry per key it holds (its own,
+    those it refers to, those others refer to) and one per violated null,
+    width or range rule.  All entries of all tables meet in one aggregate by
+    (constraint, key), map-side combined, whose presence flags tell repeated
+    keys and missing parents; a second one sums per constraint."""
+    names: list[tuple[str, str]] = []
+    entries: dict[str, list] = {t: [] for t in tables}
+
+    def entry(table, constraint, key, cond, own=0, child=0, parent=0):
+        entries[table].append((cond, F.struct(
+            F.lit(constraint).alias("c"), key.cast("string").alias("k"), F.lit(own).alias("own"),
+            F.lit(child).alias("child"), F.lit(parent).alias("parent"))))
+
+    def named(table, what):
+        names.append((table, what))
+        return len(names) - 1
+
     for name, df in tables.items():
         checks = [(f"{f.name} NOT NULL", F.col(f.name).isNull()) for f in schemas[name].fields
                   if not f.nullable and f.name in df.columns]
         checks += [(f"{c} {lim}", cond) for c, lim, cond in _limits(
             {c: n for c, n in widths.get(name, {}).items() if c in df.columns},
             {c: n for c, n in numerics.get(name, {}).items() if c in df.columns})]
-        counts = df.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, cond) in enumerate(checks)])
-        parts.append(counts.select(F.inline(F.array(*[
-            F.struct(F.lit(name).alias("table_name"), F.lit(what).alias("constraint_name"),
-                     F.col(f"_v{i}").cast("long").alias("violations"))
-            for i, (what, _) in enumerate(checks)]))))
+        for what, cond in checks:
+            entry(name, named(name, what), F.lit(None), cond, child=1)
         if all(k in df.columns for k in keys[name]):
-            parts.append(duplicate_keys(df, keys[name]).agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(name).alias("table_name"), F.lit(f"PRIMARY KEY ({', '.join(keys[name])})")
-                .alias("constraint_name"), "violations"))
+            constraint = named(name, f"PRIMARY KEY ({', '.join(keys[name])})")
+            entry(name, constraint, F.to_json(F.struct(*keys[name])), F.lit(True), own=1)
     for child, col, parent, pcol in foreign_keys:
         if child in tables and parent in tables and col in tables[child].columns and pcol in tables[parent].columns:
-            parts.append(orphans(tables[child].select(col), tables[parent], col, pcol)
-                         .agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(child).alias("table_name"), F.lit(f"{col} REFERENCES {parent}({pcol})")
-                .alias("constraint_name"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            constraint = named(child, f"{col} REFERENCES {parent}({pcol})")
+            kind = tables[parent].schema[pcol].dataType
+            entry(child, constraint, F.col(col).cast(kind), F.col(col).isNotNull(), child=1)
+            entry(parent, constraint, F.col(pcol), F.col(pcol).isNotNull(), parent=1)
+    rows = None
+    for name, df in tables.items():
+        if entries[name]:
+            found = df.select(F.inline(F.array_compact(F.array(*[F.when(cond, e) for cond, e in entries[name]]))))
+            rows = found if rows is None else rows.unionByName(found)
+    per_key = rows.groupBy("c", "k").agg(F.sum("own").alias("own"), F.sum("child").alias("child"),
+                                         F.max("parent").alias("parent"))
+    counted = per_key.groupBy("c").agg(F.sum(
+        F.when(F.col("own") > 1, 1).otherwise(0) + F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).alias("n"))
+    spark = rows.sparkSession
+    declared = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(names)],
+                                     "c int, table_name string, constraint_name string")
+    return declared.join(F.broadcast(counted), "c", "left").select(          # a row per declared constraint
+        "table_name", "constraint_name", F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
 
 
 # --- Q5 -------------------------------------------------------------------

@@ -13,7 +13,7 @@ from orderflow.functions import ids
 from orderflow.functions.time import ntz
 from orderflow.operators.ordered import Ordered, write_ordered
 from orderflow.schemas import ROUTES
-from orderflow.session import scratch_dir
+from orderflow.session import written
 
 # FIXED VALUES: routes by destination city (in list order) and the default
 # route; each point is (lat, lon, label).
@@ -58,6 +58,7 @@ STOP_ALERT = "long_stop"
 STOP_DETAIL = "Простой > 30 мин"
 LONG_STOP_MINUTES = 30
 PAGE_LIMIT_MAX = 1000
+NAMES_IN_PLAN = 10_000          # city names that a plan carries
 
 
 def _c(x) -> Column:
@@ -193,22 +194,30 @@ def match_route(df: DataFrame, routes: DataFrame, address_col: str = "delivery_a
     whose name is a substring of the address; the default route on a null
     or empty address or no match.
 
-    Each distinct address is matched once: its substrings of every city
-    length are joined with the city names (an equi-join on the whole name, so
-    a short name matches only itself), and the match comes back by address.
-    The city lengths are few (at most the longest name's)."""
+    Each distinct address is matched once: of its substrings of every city
+    length only those that are a city name (a hash lookup in the names, up to
+    ``NAMES_IN_PLAN`` of them) become rows, so an address gives as many rows
+    as it names cities.  They are joined with the routes on the whole name, so a
+    short name matches only itself, and the match comes back by address.  With
+    more names than that every substring is joined: the same rows, more of them on the way."""
     default = route_literal(default_route or DEFAULT_ROUTE)
-    sizes = [r[0] for r in routes.select(F.length("city").alias("n")).filter("n > 0").distinct().collect()]
+    names = [r[0] for r in routes.select("city").filter("city <> ''").distinct().limit(NAMES_IN_PLAN + 1).collect()]
+    if len(names) <= NAMES_IN_PLAN:
+        sizes = sorted({len(n) for n in names})
+    else:
+        sizes = sorted(r[0] for r in routes.select(F.length("city").alias("n")).filter("n > 0").distinct().collect())
     addr = df.select(F.col(address_col).alias("_address")).filter("_address <> ''").distinct()
+    none = F.array().cast("array<string>")
 
     def substrings(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.length("_address") - F.lit(n - 1))
-        return F.when(F.length("_address") >= n, F.transform(
-            starts, lambda p: F.substring(F.col("_address"), p, F.lit(n)))).otherwise(none)
+        found = F.transform(starts, lambda p: F.substring(F.col("_address"), p, F.lit(n)))
+        if len(names) <= NAMES_IN_PLAN:
+            found = F.filter(found, lambda x: x.isin(*[c for c in names if len(c) == n]))
+        return F.when(F.length("_address") >= n, found).otherwise(none)
 
-    none = F.array().cast("array<string>")
-    names = F.array_distinct(F.flatten(F.array(none, *[substrings(n) for n in sorted(sizes)])))
-    hit = (addr.select("_address", F.explode(names).alias("city"))
+    cities = F.array_distinct(F.flatten(F.array(none, *[substrings(n) for n in sizes])))
+    hit = (addr.select("_address", F.explode(cities).alias("city"))
            .join(routes.select("city", "ord"), "city")
            .groupBy("_address").agg(F.min(F.struct("ord", "city")).alias("_hit"))
            .select("_address", F.col("_hit.ord").alias("ord"), F.col("_hit.city").alias("city"))
@@ -439,9 +448,7 @@ def trips(shipments: DataFrame, routes: DataFrame | None = None, address_col: st
     again."""
     spark = shipments.sparkSession
     matched = match_route(shipments, routes if routes is not None else reference_routes(spark), address_col)
-    path = scratch_dir(spark, "trips")
-    matched.filter(F.col(key).isNotNull()).write.parquet(path)
-    return spark.read.schema(matched.schema).parquet(path)
+    return written(matched.filter(F.col(key).isNotNull()), "trips")
 
 
 def tracking_events(feed: DataFrame, shipments: DataFrame, routes: DataFrame | None = None,

@@ -14,8 +14,9 @@ tables and partitions that a run does not touch are carried over.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orderflow.functions.calendar import day_window
 from orderflow.operators import changes as C
@@ -111,18 +112,26 @@ def append(root: str, name: str, old: versions.Table, rows: DataFrame) -> versio
                                  layout_of(name))
 
 
-def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str) -> int:
+class Loaded(NamedTuple):
+    """The published version and the rows of each table of the batch (A4)."""
+    version: int
+    rows: dict[str, int]
+
+
+def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_root: str) -> Loaded:
     """C5 for a whole load: ``historical`` rebuilds the batch's tables from
     the batch; ``incremental`` upserts the snapshot tables (only their update
     columns) and insert-ignores the append-only ones onto the published
-    tables.  Each table is conformed to its declared schema first.  Returns
-    the version."""
+    tables.  Each table is conformed to its declared schema first.  The row
+    counts of the load summary are observed by the load's own jobs: no table is
+    scanned for them."""
     pub = versions.current(spark, out_root)
-    new = {}
+    new, seen = {}, {}
     for name, df in batch.items():
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}")
-        rows = align(df, TABLES[name], DEFAULTS.get(name))
+        seen[name] = Observation()
+        rows = align(df, TABLES[name], DEFAULTS.get(name)).observe(seen[name], F.count(F.lit(1)).alias("n"))
         if mode == "incremental":
             if pub is None or name not in pub.tables:
                 raise ValueError(f"incremental load of {name} needs its published table")
@@ -136,4 +145,4 @@ def load_batch(spark: SparkSession, mode: str, batch: dict[str, DataFrame], out_
         else:
             new[name] = versions.write_table(out_root, name, C.load(mode, None, rows, KEYS[name]), KEYS[name],
                                              layout_of(name))
-    return versions.publish(spark, out_root, new, pub)
+    return Loaded(versions.publish(spark, out_root, new, pub), {name: o.get["n"] for name, o in seen.items()})

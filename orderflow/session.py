@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings we rely on for results (UTC, ANSI-like decimals) and for scale
 # (AQE re-plans joins and coalesces / splits skewed shuffle partitions).
@@ -97,3 +97,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/orderflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: a
+    result that several later steps use, fixed against recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,26 +19,39 @@ from orderflow.sources.sinks import land_jsonl, skip_if_empty
 
 
 # --- W1 / W2 ------------------------------------------------------------------
-def load_watermark(spark: SparkSession, path: str) -> str | None:
-    """``last_timestamp`` of the newest state document, or None when there is
-    no state yet; other errors propagate."""
+SLOTS = ("a", "b")
+
+
+def _newest(spark: SparkSession, path: str):
+    """The newest state document and its file, or None without any state."""
     try:
-        rows = (spark.read.schema(WATERMARK).json(path)
+        rows = (spark.read.schema(WATERMARK).option("recursiveFileLookup", "true").json(path)
+                .select("*", F.col("_metadata.file_path").alias("file"))
                 .orderBy(F.col("saved_at").desc(), F.col("last_timestamp").desc()).limit(1).collect())
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
         raise
-    return rows[0]["last_timestamp"] if rows else None
+    return rows[0] if rows else None
+
+
+def load_watermark(spark: SparkSession, path: str) -> str | None:
+    """``last_timestamp`` of the newest state document, or None when there is
+    no state yet; other errors propagate."""
+    row = _newest(spark, path)
+    return row["last_timestamp"] if row else None
 
 
 def save_watermark(spark: SparkSession, path: str, ts: str,
                    now: _dt.datetime | None = None) -> None:
-    """Add a state document with ``last_timestamp`` and ``saved_at``; the old
-    one stays, so a crash in between never loses the state."""
+    """Save ``last_timestamp`` and ``saved_at`` in the slot that does not hold
+    the newest document: the last state stays until the new one is complete,
+    so a crash in between never loses it, and there are never more than two."""
     saved = (now or _dt.datetime.now(_dt.timezone.utc)).isoformat(timespec="microseconds")
+    last = _newest(spark, path)
+    slot = SLOTS[1] if last and f"/slot={SLOTS[0]}/" in last["file"] else SLOTS[0]
     (spark.createDataFrame([(ts, saved)], WATERMARK).coalesce(1)
-     .write.mode("append").json(path))
+     .write.mode("overwrite").json(f"{path.rstrip('/')}/slot={slot}"))
 
 
 # --- W3 -------------------------------------------------------------------

@@ -54,7 +54,10 @@ def all_tables(spark):
 
 def test_apply_changes_publishes_all_tables(spark, tmp):
     out = f"{tmp}/out"
-    assert jobs.load_batch(spark, "historical", all_tables(spark), out) == 1
+    loaded = jobs.load_batch(spark, "historical", all_tables(spark), out)
+    assert loaded.version == 1
+    assert loaded.rows == {"customers": 2, "products": 1, "orders": 3, "order_items": 3, "shipments": 1,
+                           "order_status_history": 1, "payments": 1, "returns": 0}
     assert jobs.apply_changes(spark, out, dt.date(2024, 3, 10)) == 2
 
     def table(n):
@@ -77,7 +80,7 @@ def test_incremental_load_of_one_table_keeps_the_others(spark, tmp):
     later = DAY.replace(day=1)
     cust = make(spark, S.CUSTOMERS, [dict(customer_id=c, customer_name="renamed", customer_type="horeca",
                                           customer_inn="1", created_at=later, updated_at=DAY) for c in ("c2", "c3")])
-    jobs.load_batch(spark, "incremental", {"customers": cust}, out)
+    assert jobs.load_batch(spark, "incremental", {"customers": cust}, out).rows == {"customers": 2}
     c = {r.customer_id: r for r in versions.read(spark, out, "customers").collect()}
     assert set(c) == {"c1", "c2", "c3"} and c["c2"].customer_name == "renamed" and c["c2"].created_at == DAY
     assert sorted(versions.current(spark, out).tables) == sorted(S.TABLES)
@@ -86,7 +89,7 @@ def test_incremental_load_of_one_table_keeps_the_others(spark, tmp):
     pay = make(spark, S.PAYMENTS, [dict(payment_id=p, order_id="o1", customer_id="c1", status="paid",
                                         amount_total=D("1.00"), amount_paid=D("1.00"), created_at=DAY,
                                         event_timestamp=DAY) for p in ("p1", "p2")]).drop("currency")
-    jobs.load_batch(spark, "incremental", {"payments": pay}, out)
+    assert jobs.load_batch(spark, "incremental", {"payments": pay}, out).rows == {"payments": 2}
     p = {r.payment_id: r for r in versions.read(spark, out, "payments").collect()}
     assert p["p1"].status == "planned" and p["p2"].status == "paid" and p["p2"].currency == "RUB"
     with pytest.raises(ValueError, match="published table"):

@@ -64,3 +64,39 @@ def test_no_cartesian_product_in_any_query(spark):
     bad = [n for n, q in E.queries().items() if q.__module__.startswith("orderflow.plans")
            and re.search("CartesianProduct|NestedLoopJoin", plan(q(spark, SMOKE)))]
     assert bad == []
+
+
+def count(p: str, what: str) -> int:
+    return len(re.findall(what, p))
+
+
+EXCHANGE = r"Exchange (?:hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
+def test_tracking_events_is_one_segmented_scan(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["tracking_events"](spark, SMOKE))
+    assert count(p, EXCHANGE) <= 6 and p.count("FileScan") <= 4, p
+    assert re.search(r"hashpartitioning\(shipment_id#\d+L?, __b#\d+L?", p), p      # a hot shipment is spread
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
+def test_constraint_report_reads_each_table_once(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["constraint_report"](spark, SMOKE))
+    assert count(p, r"hashpartitioning\(c#\d+, k#\d+") == 1 and count(p, r"hashpartitioning\(c#\d+, \d") == 1, p
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
+def test_bucketed_landings_are_picked_without_a_shuffle(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["current_state_bucketed"](spark, SMOKE))
+    assert "Exchange" not in p and "Bucketed: true" in p, p
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
+def test_allocation_of_lines_has_no_task_with_a_group(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["allocate_lines"](spark, SMOKE))
+    assert "SinglePartition" not in p and not count(p, r"Window \[row_number"), p

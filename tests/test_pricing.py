@@ -104,3 +104,12 @@ def test_vat_fast_path_equals_general_formula(spark):
     assert bad == 0
     other = df.select(P.vat_included("a", Decimal("0.18")).alias("v")).filter("v IS NULL").count()
     assert other == 0
+
+
+def test_orders_without_a_dimension_row_stay_in_the_header(spark):
+    orders = spark.createDataFrame([("o1", "c1", "w1", dt.datetime(2024, 1, 1)), ("o2", "c9", None, dt.datetime(2024, 1, 1))],
+                                   "order_id string, customer_id string, warehouse_id string, created_at timestamp_ntz")
+    dims = dict(customers=spark.createDataFrame([("c1", "n1")], "customer_id string, customer_name string"),
+                warehouses=spark.createDataFrame([("w1", "W")], "warehouse_id string, warehouse_name string"))
+    got = {r.order_id: (r.customer_name, r.warehouse_name) for r in O.enrich_orders(orders, **dims).collect()}
+    assert got == {"o1": ("n1", "W"), "o2": (None, None)}

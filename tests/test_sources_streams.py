@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -302,3 +303,55 @@ def test_stream_tracking_in_bounded_batches(spark, tmp):
     q = ST.stream_tracking(spark, landing, out, ck, schema, max_files=1)
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["dup", "e0", "e1", "e2"]
     assert len(q.recentProgress) >= 3
+
+
+def test_a_lookback_replaces_the_folders_of_its_days(spark, tmp):
+    def day(d):
+        return dt.datetime(2024, 3, d, 5)
+    table = spark.createDataFrame([(1, day(10)), (2, day(11)), (3, day(13))], "id int, ts timestamp_ntz")
+    K.write_days(table, tmp, "t", "ts", dt.datetime(2024, 3, 10), dt.datetime(2024, 3, 14))
+    fixed = spark.createDataFrame([(2, day(11)), (9, day(11)), (8, day(12))], "id int, ts timestamp_ntz")
+    paths = K.write_days(fixed, tmp, "t", "ts", dt.datetime(2024, 3, 11), dt.datetime(2024, 3, 14))
+    assert [p[-10:] for p in paths] == ["2024-03-11", "2024-03-12", "2024-03-13"]
+    got = spark.read.parquet(f"{tmp}/t")
+    assert rows(got, "id", "data_date") == [(1, dt.date(2024, 3, 10)), (2, dt.date(2024, 3, 11)),
+                                            (8, dt.date(2024, 3, 12)), (9, dt.date(2024, 3, 11))]   # the 13th is cleared
+
+
+def test_reconciliation_reads_new_files_and_their_days(spark, tmp):
+    schema = R.T.StructType.fromDDL(SCHEMA)
+    landing, out, ck = f"{tmp}/landing", f"{tmp}/out", f"{tmp}/ck"
+    K.land_jsonl(ev(spark, [(f"d{i}", t(24 * i), "s", "x", None) for i in range(40)]), landing, "d1", "1")
+    ST.stream_tracking(spark, landing, out, ck, schema, lateness="1 hour")
+    mark = W.load_watermark(spark, f"{ST.late_sink(out)}/_reconciled")
+    assert mark is not None
+    time.sleep(2.5)                 # file times: a landing of a later second
+    # a day later: one new event, and one that is 30 days late
+    K.land_jsonl(ev(spark, [("new", t(24 * 40), "s", "x", None), ("late", t(24 * 9 + 1), "s", "x", None)]), landing, "d2", "2")
+    _, missing = ST.late_events(spark, landing, out, ST.late_sink(out), schema, since=mark)
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    read = {f for f in missing.inputFiles() if "/landing/" in f}
+    assert read and all("/dt=d2/" in f for f in read) and "PartitionFilters: [(event_day" in plan
+    ST.stream_tracking(spark, landing, out, ck, schema, lateness="1 hour")
+    got = sorted(r.event_id for r in ST.read_tracking(spark, out, schema).collect())
+    assert got == sorted([f"d{i}" for i in range(40)] + ["new", "late"])
+    assert [r.event_id for r in spark.read.schema(schema).parquet(ST.late_sink(out)).collect()] == ["late"]
+    ST.stream_tracking(spark, landing, out, ck, schema, lateness="1 hour")       # nothing new: nothing is added
+    assert ST.read_tracking(spark, out, schema).count() == 42
+
+
+def test_a_pull_observes_its_watermark(spark, tmp):
+    feed = ev(spark, [("a", t(1), "s", "x", None), ("b", t(3, us=100_000), "s", "x", None)])
+    got = W.incremental_pull(spark, feed, f"{tmp}/state", f"{tmp}/landing", "2024-03-14", "1")
+    assert got["rows"] == 2 and dt.datetime.fromisoformat(got["watermark"]) == t(3, us=100_000)
+    assert W.load_watermark(spark, f"{tmp}/state") == got["watermark"]
+
+
+def test_the_state_keeps_two_documents(spark, tmp):
+    path = f"{tmp}/state"
+    assert W.load_watermark(spark, path) is None
+    for i in range(5):
+        W.save_watermark(spark, path, f"2024-03-0{i + 1}T00:00:00", dt.datetime(2024, 3, 9, i))
+        assert W.load_watermark(spark, path) == f"2024-03-0{i + 1}T00:00:00"
+    kept = spark.read.option("recursiveFileLookup", "true").json(path)
+    assert kept.count() == 2 and sorted(os.listdir(path)) == ["slot=a", "slot=b"]

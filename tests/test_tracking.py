@@ -66,6 +66,18 @@ def test_match_route_first_city_and_defaults(spark):
     assert got["5"] == ("Нижнекамск", "Нижнекамск")
 
 
+@pytest.mark.parametrize("in_plan", [10_000, 3])
+def test_match_route_with_many_cities(spark, monkeypatch, in_plan):
+    monkeypatch.setattr(TR, "NAMES_IN_PLAN", in_plan)
+    cities = [f"Город{i}" for i in range(300)] + ["Го", "Дальний"]
+    routes = spark.createDataFrame([(c, i, [(1.0, 2.0, c)]) for i, c in enumerate(cities)],
+                                   "city string, ord int, route array<struct<lat:double,lon:double,label:string>>")
+    texts = [f"ул. {i}, {cities[i * 7 % 302]} и {cities[i * 11 % 302]}" for i in range(120)] + ["Г", "нигде", None]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(texts)], "id int, delivery_address string")
+    got = {r.id: r.route_city for r in TR.match_route(df, routes).collect()}
+    assert got == {i: next((c for c in cities if a and c in a), None) for i, a in enumerate(texts)}
+
+
 def py_readings(readings, shipped, end, route):
     """Brute-force reading of the rules over one shipment's readings."""
     minutes = max(60, int((end - shipped).total_seconds() / 60))
