@@ -703,7 +703,7 @@ def test_column_names_of_the_operators_own_clash_with_nothing(sp, frame, tmp_pat
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
     assert decontaminate.BLOCK_BYTES > 0
