@@ -31,11 +31,13 @@ def write_days(df: DataFrame, root: str, table: str, ts_col: str, start: _dt.dat
     Other days stay as they are; a day without rows is cleared.  The days that
     had rows are observed by the write itself, so ``df`` is read once."""
     path = f"{root.rstrip('/')}/{table}"
-    seen = Observation()
-    day = F.to_date(ts_col)
-    (df.withColumn(col, day).observe(seen, F.collect_set(day.cast("string")).alias("days"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
-    written = set(seen.get["days"])
+    written: set[str] = set()
+    if not df.isEmpty():                   # a one-row probe: an empty plan may lose its observation
+        seen = Observation()
+        day = F.to_date(ts_col)
+        (df.withColumn(col, day).observe(seen, F.collect_set(day.cast("string")).alias("days"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+        written = set(seen.get["days"])
     labels = [(start + _dt.timedelta(days=i)).date().isoformat() for i in range((end - start).days)]
     for label in labels:
         if label not in written:

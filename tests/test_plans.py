@@ -48,7 +48,7 @@ def test_long_stops_windows_are_bucketed(spark):
                                + F.make_interval(mins=F.col("id").cast("int"))).alias("timestamp"),
                               F.col("id").alias("event_id"), (F.col("v") < 300).alias("stop"))
     p = plan(TR.long_stops(df, "k", F.col("stop")))
-    assert re.search(r"hashpartitioning\(k#\d+, _b#\d+", p), p
+    assert re.search(r"hashpartitioning\(k#\d+, __b#\d+", p), p
 
 
 def test_upsert_plans(spark):
