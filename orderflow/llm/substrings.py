@@ -25,9 +25,12 @@ passage), and of the words only the passages that share their name with a
 different one.  Passages repeated inside a shard do not travel at all, and
 equal passages stream past one another, so groups of copies cost their places
 only.  More than ``HOT`` passages of one name, or more text than a block
-(a frequent phrase in many contexts), are dealt out as single windows by
-the hash of all their words: then only equal windows meet, and these stream.
-A task holds one block and one shard.
+(a frequent phrase in many contexts), are compared window by window: a shard
+settles its own equal windows and sends one digest for each of the others, packed
+by digest into a row for each of ``buckets``.  So a window that stands a million
+times costs an entry for each shard, not one for each place, and rows are far
+fewer than windows.  A task holds one block, one shard, or one bucket
+(``BUCKET_BYTES``).
 
 Defined results: null and empty texts and texts of under ``window`` words
 lose nothing; a place is (document id, word), null ids first; a window is
@@ -59,6 +62,8 @@ GRAM = 6
 SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 32 << 20            # passages of a partition, about
+BUCKET_BYTES = 8 << 20           # windows of a bucket, about
+BUCKETS = 256                    # at least
 WORD_BYTES = 8                   # of a word and its blank, about
 LONGEST = 4096                   # windows of a passage
 HOT = 256                        # passages of one name that are parsed together
@@ -66,7 +71,10 @@ NO_ID = -(1 << 63)               # null ids stand first
 
 PLACE = "shard long, at long, doc long, start long, n long"
 PASSAGE = f"key long, {PLACE}, words binary"
-SPAN = f"{PLACE}, words binary"
+SPAN = f"{PLACE}, large boolean"
+PACK = "key long, shard long, windows binary, spans binary"
+_WINDOW = np.dtype([("high", "<u8"), ("low", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("at", "<i8")])
+_OWN = np.dtype([("at", "<i8"), ("doc", "<i8"), ("start", "<i8"), ("n", "<i8")])
 _P = np.uint64(0x9E3779B97F4A7C15)             # odd multipliers of the gram and name hashes
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -293,22 +301,29 @@ def by_shard(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, "shard").sortWithinPartitions("shard", "at", "start")
 
 
+def read_passages(batches, root: str):
+    """Per batch of places sorted by shard: its rows (name, shard, at, doc,
+    start, n, words), off the shard files."""
+    shard = table = None
+    at = words = None
+    for b in batches:
+        out = []
+        for name, s, i, doc, start, n in zip(*(c.to_pylist() for c in b.columns)):
+            if s != shard:
+                shard, table, at = s, read_shard(shard_path(root, s))["words"], None
+            if i != at:
+                at, words = i, table[i].as_py().split()
+            out.append((name, s, i, doc, start, n, words[start:start + n]))
+        yield out
+
+
 def with_words(wanted: DataFrame, root: str, parts: int) -> DataFrame:
     """The wanted passages with their words, read off the shard files."""
     def run(batches):
-        shard = table = None
-        at = words = None
-        for b in batches:
-            rows = list(zip(*(c.to_pylist() for c in b.columns)))
-            body = []
-            for name, s, i, doc, start, n in rows:
-                if s != shard:
-                    shard, table, at = s, read_shard(shard_path(root, s))["words"], None
-                if i != at:
-                    at, words = i, table[i].as_py().split()
-                body.append(b" ".join(words[start:start + n]))
+        for rows in read_passages(batches, root):
             if rows:
-                yield passage_batch(*zip(*rows), body)
+                *place, words = zip(*rows)
+                yield passage_batch(*place, [b" ".join(w) for w in words])
 
     return by_shard(wanted, parts).select("name", "shard", "at", "doc", "start", "n").mapInArrow(run, PASSAGE)
 
@@ -376,12 +391,12 @@ def parse_block(passages: list[tuple], window: int):
     block = Block(doc, start, words, window)
     for i in range(len(doc)):
         for p, n in block.parse(i):
-            yield shard[i], at[i], doc[i], start[i] + p, n, None
+            yield shard[i], at[i], doc[i], start[i] + p, n, False
 
 
 def spans_of(rows: DataFrame, window: int) -> DataFrame:
     """Spans of passages sorted by name; those of a name with more text than a
-    block come back with their words."""
+    block come back whole (``large``)."""
     def run(batches):
         out: list[tuple] = []
         block: list[tuple] = []                # passages of finished names
@@ -407,11 +422,11 @@ def spans_of(rows: DataFrame, window: int) -> DataFrame:
                     now = key
                 if not over and group_size + len(row[-1]) > BLOCK_BYTES:
                     over = True
-                    out.extend(group)
+                    out.extend((*g[:-1], True) for g in group)
                     group.clear()
                     group_size = 0
                 if over:
-                    out.append(tuple(row))
+                    out.append((*row[:-1], True))
                 else:
                     group.append(tuple(row))
                     group_size += len(row[-1])
@@ -428,46 +443,114 @@ def spans_of(rows: DataFrame, window: int) -> DataFrame:
 
 
 def span_batch(rows):
-    *place, words = zip(*rows)
+    *place, large = zip(*rows)
     return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(("shard", "at", "doc", "start", "n"), place)},
-                        words=pa.array(words, pa.binary()))
+                        large=pa.array(large, pa.bool_()))
+
+
+def window_digests(words: list[bytes], window: int) -> list[bytes]:
+    """128-bit digest of each window of a passage."""
+    text = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+    begins = [0, *ends]
+    return [xxhash.xxh3_128_digest(text[a:z - 1]) for a, z in zip(begins, ends[window - 1:])]
+
+
+def first_of_equals(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of windows (``_WINDOW``) by digest and place, and which of them in
+    that order stand at the earliest place of their digest."""
+    order = np.lexsort((w["start"], w["doc"], w["low"], w["high"]))
+    w = w[order]
+    new = np.ones(len(w), bool)
+    new[1:] = (w["high"][1:] != w["high"][:-1]) | (w["low"][1:] != w["low"][:-1])
+    least = w[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(w) else w
+    return order, (w["doc"] == least["doc"]) & (w["start"] == least["start"])
+
+
+def window_packs(wanted: DataFrame, root: str, window: int, parts: int, buckets: int) -> DataFrame:
+    """The windows of the wanted passages, a shard's in one row per bucket of
+    digests.  Those that stand earlier in the shard do not travel: runs of them
+    are spans already."""
+    def shard_rows(shard, passages):
+        sizes = np.array([len(d) for *_, d in passages])
+        w = np.empty(int(sizes.sum()), _WINDOW)
+        digests = np.frombuffer(b"".join(x for *_, d in passages for x in d), "<u8").reshape(-1, 2)
+        w["high"], w["low"] = digests[:, 0], digests[:, 1]
+        base = np.cumsum(sizes) - sizes
+        at, doc, start = (np.array(c, np.int64) for c in list(zip(*passages))[:3])
+        w["at"], w["doc"] = np.repeat(at, sizes), np.repeat(doc, sizes)
+        w["start"] = np.repeat(start - base, sizes) + np.arange(len(w))
+        order, first = first_of_equals(w)
+        later = np.zeros(len(w), bool)
+        later[order[~first]] = True
+        # runs of later windows of one passage
+        opens = later.copy()
+        opens[1:] &= ~later[:-1]
+        opens[base] = later[base]
+        begin = np.flatnonzero(opens)
+        run_of = np.cumsum(opens)[later] - 1
+        own = np.empty(len(begin), _OWN)
+        for c in ("at", "doc", "start"):
+            own[c] = w[c][begin]
+        own["n"] = np.bincount(run_of, minlength=len(begin)) + window - 1
+        w = w[~later]
+        key = (w["high"] % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(key, kind="stable")
+        w, key = w[by], key[by]
+        keys, begin = np.unique(key, return_index=True)
+        packs = [x.tobytes() for x in np.split(w, begin[1:])]
+        keys, spans = keys.tolist(), [None] * len(packs)
+        if len(own):
+            keys, packs, spans = [*keys, shard % buckets], [*packs, None], [*spans, own.tobytes()]
+        return record_batch(key=pa.array(keys, pa.int64()), shard=pa.array([shard] * len(keys), pa.int64()),
+                            windows=pa.array(packs, pa.binary()), spans=pa.array(spans, pa.binary()))
 
-
-def single_windows(rows: DataFrame, window: int) -> DataFrame:
-    """Each window of the passages as a passage named by all its words."""
     def run(batches):
-        for b in batches:
-            out = []
-            for shard, at, doc, start, _, words in zip(*(c.to_pylist() for c in b.columns)):
-                w = words.split()
-                for i in range(len(w) - window + 1):
-                    text = b" ".join(w[i:i + window])
-                    out.append((xxhash.xxh64_intdigest(text, 7) - (1 << 63), shard, at, doc, start + i, window, text))
-                if len(out) >= 5000:
-                    yield passage_batch(*zip(*out))
-                    out = []
-            if out:
-                yield passage_batch(*zip(*out))
-
-    return rows.mapInArrow(run, PASSAGE)
+        now, held = None, []
+        for rows in read_passages(batches, root):
+            for _, shard, at, doc, start, _, words in rows:
+                if shard != now:
+                    if held:
+                        yield shard_rows(now, held)
+                    now, held = shard, []
+                held.append((at, doc, start, window_digests(words, window)))
+        if held:
+            yield shard_rows(now, held)
+
+    return by_shard(wanted, parts).select("name", "shard", "at", "doc", "start", "n").mapInArrow(run, PACK)
+
+
+def later_windows(packs: DataFrame, window: int) -> DataFrame:
+    """Spans of packed windows that stand earlier; packs come sorted by bucket,
+    which holds all equal windows."""
+    def batch(shard, w, n):
+        columns = (shard, w["at"], w["doc"], w["start"], n)
+        return record_batch(**{c: pa.array(v, pa.int64()) for c, v in zip(("shard", "at", "doc", "start", "n"), columns)})
+
+    def settle(held):
+        w = np.concatenate([p for _, p in held])
+        shard = np.repeat(np.array([s for s, _ in held], np.int64), [len(p) for _, p in held])
+        order, first = first_of_equals(w)
+        later = order[~first]
+        return batch(shard[later], w[later], np.full(len(later), window))
 
-
-def later_windows(rows: DataFrame) -> DataFrame:
-    """Spans of single windows that stand earlier: equal ones come together,
-    the earliest first, and stream."""
     def run(batches):
-        last = least = None
+        now, held = None, []
         for b in batches:
-            out = []
-            for _, shard, at, doc, start, n, words in zip(*(c.to_pylist() for c in b.columns)):
-                if words != last:
-                    last, least = words, (doc, start)
-                elif (doc, start) != least:
-                    out.append((shard, at, doc, start, n, None))
-            if out:
-                yield span_batch(out)
+            for key, shard, windows, spans in zip(*(c.to_pylist() for c in b.columns)):
+                if spans is not None:
+                    own = np.frombuffer(spans, _OWN)
+                    yield batch(np.full(len(own), shard), own, own["n"])
+                    continue
+                if key != now:
+                    if held:
+                        yield settle(held)
+                    now, held = key, []
+                held.append((shard, np.frombuffer(windows, _WINDOW)))
+        if held:
+            yield settle(held)
 
-    return rows.mapInArrow(run, SPAN)
+    return packs.mapInArrow(run, PLACE)
 
 
 def routed(rows: DataFrame, parts: int) -> DataFrame:
@@ -496,12 +579,16 @@ def parse(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window
     held = wanted.agg(F.sum("n")).first()[0] or 0
     parts = max(cores, -(-held * WORD_BYTES // PART_BYTES))
     parsed = write_scratch(spans_of(routed(with_words(wanted.filter(~F.col("hot")), root, parts), parts), window), "spans")
-    spans = copied.drop("name", "hot").union(parsed.filter(F.col("words").isNull()).drop("words"))
-    large = parsed.filter(F.col("words").isNotNull())
-    hot = with_words(wanted.filter("hot"), root, parts).drop("key")
-    if not (large.isEmpty() and wanted.filter("hot").isEmpty()):
-        windows = routed(single_windows(large.union(hot), window), parts)
-        spans = spans.union(write_scratch(later_windows(windows).drop("words"), "window_spans"))
+    spans = copied.drop("name", "hot").union(parsed.filter(~F.col("large")).drop("large"))
+    place = ("name", "shard", "at", "doc", "start", "n")
+    frequent = wanted.filter("hot").select(*place).union(
+        parsed.filter("large").select(F.lit(None).cast("long").alias("name"), *place[1:]))
+    windows = frequent.agg(F.sum(F.col("n") - (window - 1))).first()[0]
+    if windows:
+        buckets = max(BUCKETS, -(-windows * _WINDOW.itemsize // BUCKET_BYTES))
+        packs = window_packs(frequent, root, window, max(cores, parts), buckets).repartition(
+            max(cores, -(-windows * _WINDOW.itemsize // PART_BYTES)), "key").sortWithinPartitions("key")
+        spans = spans.union(write_scratch(later_windows(packs, window), "window_spans"))
     return Parsed(root, shards, spans.select("shard", "at", "start", "n"), max(cores, parts))
 
 

@@ -87,6 +87,28 @@ def test_a_frequent_phrase_in_many_contexts(frame, monkeypatch):
     assert spans_of(frame, rows, monkeypatch) == brute_spans(rows)
 
 
+def test_a_frequent_window_travels_once_a_shard(frame, sp, monkeypatch, tmp_path):
+    """Texts of two words in turn, of many lengths: thousands of places of two
+    windows, under one name."""
+    monkeypatch.setattr(substrings, "HOT", 3)
+    rows = [(i, ("x " if i % 2 else "") + "a b " * (10 + i) + f"e{i}") for i in range(1, 120)]
+    rows += [rows[5], rows[5], (None, rows[7][1]), (None, rows[7][1])]
+    packed, pack = [], substrings.window_packs
+
+    def seen(*args):
+        packed.append(pack(*args).persist())
+        return packed[-1]
+    monkeypatch.setattr(substrings, "window_packs", seen)
+    assert spans_of(frame, rows, monkeypatch) == brute_spans(rows)
+    (packs,) = packed
+    entries = np.concatenate([np.frombuffer(r["windows"], substrings._WINDOW)
+                              for r in packs.where("windows is not null").collect()])
+    places = sum(max(0, len(space_words(t)) - 19) for _, t in rows)
+    # every text ends in windows of its own; of the others a shard sends one (and its repeated rows)
+    assert len(entries) < places / 3 and packs.count() <= len(entries) + packs.select("shard").distinct().count()
+    packs.unpersist()
+
+
 def test_long_documents_and_empty_table(frame, monkeypatch):
     long = " ".join(f"wort{i % 977}" for i in range(30_000))
     rows = [(1, long), (2, long + " end"), (3, "kurz")]
