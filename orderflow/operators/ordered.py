@@ -74,14 +74,15 @@ def numbered(df: DataFrame, order: list[Column], groups: list[str] | None = None
     """``df`` with ``name``: the row's number (from 1) in the order, inside its
     group if ``groups`` are given.  No window over rows: ranges are numbered
     on their own and shifted by the rows before them; a group starts at the
-    smallest number in it."""
+    smallest number in it.  The starts are written, so the planner knows how
+    few they are and sends them to the rows, not a group's rows to one task."""
     by = [F.col(g) for g in groups or []]
     done = write_ordered(df, [*[g.asc() for g in by], *order], "numbered", partitions)
     rows = (done.rows().join(F.broadcast(done.counts.select(PART, "before")), PART)       # a row per range
             .withColumn(name, F.col("before") + F.col(AT) + 1))
     if groups:
         keys = F.struct(*by)
-        start = rows.groupBy(keys.alias("__group")).agg(F.min(name).alias("__start"))
+        start = written(rows.groupBy(keys.alias("__group")).agg(F.min(name).alias("__start")), "group_starts")
         rows = rows.join(start, keys.eqNullSafe(F.col("__group"))).withColumn(name, F.col(name) - F.col("__start") + 1)
     return rows.select(*df.columns, name)
 
@@ -92,7 +93,8 @@ def allocate_rows(df: DataFrame, weight_col: str, total: int, order_col: str, gr
     """``calendars.allocate`` for groups of any size: the same split, exact to
     the unit, from group aggregates (map-side combined) and one distributed
     numbering of the rows that may move; ``order_col`` must be unique in a
-    group.
+    group.  The aggregates are written before they meet the rows: the planner
+    broadcasts small ones, and a group's rows stay where they are.
 
     Rows that gain a unit more (or lose one) are the first in residual order
     of one side of the group, so one numbering by (group, side, residual)
@@ -102,7 +104,7 @@ def allocate_rows(df: DataFrame, weight_col: str, total: int, order_col: str, gr
     weights = x.groupBy("_g").agg(F.sum(weight_col).alias("_sum"), F.count(F.lit(1)).alias("_n"))
 
     def joined(rows: DataFrame, per_group: DataFrame) -> DataFrame:
-        other = per_group.withColumnRenamed("_g", "_og")
+        other = written(per_group.withColumnRenamed("_g", "_og"), "groups")
         return rows.join(other, rows["_g"].eqNullSafe(other["_og"])).drop("_og")
 
     share = F.lit(float(total)) * F.col(weight_col) / F.coalesce("_sum", F.lit(0.0))

@@ -100,3 +100,18 @@ def test_allocation_of_lines_has_no_task_with_a_group(spark):
     import __spark_entry__ as E
     p = plan(E.queries()["allocate_lines"](spark, SMOKE))
     assert "SinglePartition" not in p and not count(p, r"Window \[row_number"), p
+
+
+def test_allocation_sends_no_group_to_a_task(spark, monkeypatch):
+    from orderflow.operators import ordered as ORD
+    plans, write = [], ORD.written
+
+    def seen(df, name):
+        plans.append(plan(df))
+        return write(df, name)
+    monkeypatch.setattr(ORD, "written", seen)
+    df = spark.createDataFrame([(i % 3 or None, i, float(i % 7 + 1)) for i in range(300)], "g int, id long, w double")
+    got = ORD.allocate_rows(df, "w", 1000, "id", ["g"])
+    assert {r.g: r.s for r in got.groupBy("g").agg(F.sum("allocated").alias("s")).collect()} == {None: 1000, 1: 1000, 2: 1000}
+    for p in [*plans, plan(got)]:
+        assert not count(p, "SortMergeJoin|ShuffledHashJoin"), p
